@@ -54,9 +54,11 @@ def row_count_check(inp: DataFrame, out: DataFrame, key: str) -> DataFrame:
 def box_contract(df: DataFrame, boxes: str = "boxes") -> DataFrame:
     """ARR-9: schema check and counts of frames / boxes / invalid boxes."""
     type_ok = bx.boxes_type_ok(df, boxes)
+    # Field-level checks need the contract's fields; a wrong type reports NULL there.
+    invalid = F.sum(bx.n_invalid(boxes)).cast("long") if type_ok else F.lit(None).cast("long")
     return df.agg(
         F.count(F.lit(1)).alias("n_frames"),
         F.count_if(F.col(boxes).isNull()).alias("n_null_frames"),
         F.sum(bx.n_detections(boxes)).cast("long").alias("n_boxes"),
-        F.sum(bx.n_invalid(boxes)).cast("long").alias("n_invalid_boxes"),
+        invalid.alias("n_invalid_boxes"),
     ).withColumn("schema_ok", F.lit(type_ok))

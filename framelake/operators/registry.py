@@ -92,22 +92,30 @@ def champion_metric(
     tables; the planner (AQE) broadcasts a side only when its measured size fits.
     """
     models = runs.select("name").distinct()
+    return models.join(_champions(runs, versions, aliases, metric), "name", "left")
+
+
+def _rank_key(metric_col: str = "metric") -> Column:
+    """Sort key for 'metric DESC NULLS LAST, run_id ASC' usable by min_by."""
+    return F.struct(F.col(metric_col).isNull(), -F.col(metric_col), F.col("run_id"))
+
+
+def _champions(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric: str) -> DataFrame:
+    """Champion version, run and metric per model that has a champion alias.
+
+    Starts from the alias table (one row per model at most) and looks up the
+    version's run and the run's metric: the big tables are only probed.
+    """
     champ = aliases.filter(F.col("alias") == CHAMPION).select("name", F.col("version").alias("champion_version"))
     v = versions.select("name", F.col("version").alias("champion_version"), F.col("run_id").alias("champion_run_id"))
     r = runs.select("name", F.col("run_id").alias("champion_run_id"), get_metric("metrics", metric).alias("champion_metric"))
     return (
-        models.join(champ, "name", "left")
-        .join(v.dropDuplicates(["name", "champion_version"]), ["name", "champion_version"], "left")
+        champ.join(v.dropDuplicates(["name", "champion_version"]), ["name", "champion_version"], "left")
         .join(r, ["name", "champion_run_id"], "left")
         .select("name", "champion_version", "champion_run_id", "champion_metric")
     )
 
 
-def _rank_key(metric_col: str = "metric") -> Column:
-    """Sort key for 'metric DESC NULLS LAST, run_id ASC' usable by min_by."""
-    return F.struct(F.col(metric_col).isNull(), -F.col(metric_col), F.col("run_id"))
-
-
 def promotion(
     runs: DataFrame,
     versions: DataFrame,
@@ -120,13 +128,22 @@ def promotion(
     Best finished run by metric; its newest version; the champion's metric; a strict
     gate ``best > champion * min_gain``; the challenger is the next ranked run
     whose newest version differs from the best's.
+
+    One aggregate over (runs LEFT JOIN newest versions) yields, per model, the
+    finished-run count and the best run (unfinished runs sort last, so models
+    without a finished run still appear); a second aggregate over the same join
+    yields the challenger. Both are partial aggregates, so a model holding most
+    runs is combined map-side.
     """
     gain_text = str(min_gain)
-    fin = finished(runs).select("name", "run_id", get_metric("metrics", metric).alias("metric"))
-    fv = fin.join(newest_versions(versions), ["name", "run_id"], "left")
-    best = fv.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_finished"),
-        F.min_by(F.struct("run_id", "metric", "version"), _rank_key()).alias("_best"),
+    is_fin = F.col("status") == FINISHED
+    rv = runs.select("name", "run_id", is_fin.alias("finished"), get_metric("metrics", metric).alias("metric")).join(
+        newest_versions(versions), ["name", "run_id"], "left"
+    )
+    key = F.struct(~F.col("finished"), F.col("metric").isNull(), -F.col("metric"), F.col("run_id"))
+    best = rv.groupBy("name").agg(
+        F.count_if(F.col("finished")).alias("n_finished"),
+        F.min_by(F.struct("run_id", "metric", "version"), key).alias("_best"),
     ).select(
         "name",
         "n_finished",
@@ -135,18 +152,16 @@ def promotion(
         F.col("_best.version").alias("best_version"),
     )
     challenger = (
-        fv.filter(F.col("version").isNotNull())
+        rv.filter(F.col("finished") & F.col("version").isNotNull())
         .join(best.select("name", F.col("best_version").alias("_bv")), "name")
         .filter(F.col("version") != F.col("_bv"))
         .groupBy("name")
         .agg(F.min_by("version", _rank_key()).alias("_challenger"))
     )
-    champ = champion_metric(runs, versions, aliases, metric)
-    models = runs.select("name").distinct()
-    j = models.join(best, "name", "left").join(champ, "name", "left").join(challenger, "name", "left")
+    j = best.join(_champions(runs, versions, aliases, metric), "name", "left").join(challenger, "name", "left")
 
     status = (
-        F.when(F.col("n_finished").isNull(), "error_no_runs")
+        F.when(F.col("n_finished") == 0, "error_no_runs")
         .when(F.col("best_metric").isNull(), "error_no_metric")
         .when(F.col("best_version").isNull(), "error_no_version")
         .otherwise("ok")
@@ -165,14 +180,15 @@ def promotion(
     )
     decision = F.when(~ok, F.lit(None).cast("string")).when(promote, "promoted").otherwise("kept_champion")
     chall = F.when(ok, F.col("_challenger"))
+    has_best = F.col("n_finished") > 0
     return (
         j.withColumn("status", status)
         .select(
             "name",
             "status",
-            F.when(F.col("n_finished").isNotNull(), F.col("best_run_id")).alias("best_run_id"),
-            "best_version",
-            F.col("best_metric"),
+            F.when(has_best, F.col("best_run_id")).alias("best_run_id"),
+            F.when(has_best, F.col("best_version")).alias("best_version"),
+            F.when(has_best, F.col("best_metric")).alias("best_metric"),
             "champion_version",
             F.col("champion_metric"),
             F.lit(min_gain).alias("gain_gate"),
@@ -186,12 +202,20 @@ def promotion(
 
 
 def alias_updates(decisions: DataFrame) -> DataFrame:
-    """REG-3 / REG-6: alias rows to set: champion for promoted, challenger when one exists."""
-    champ = decisions.filter(F.col("promote")).select("name", F.lit(CHAMPION).alias("alias"), F.col("best_version").alias("version"))
-    chall = decisions.filter(F.col("challenger_version").isNotNull()).select(
-        "name", F.lit(CHALLENGER).alias("alias"), F.col("challenger_version").alias("version")
+    """REG-3 / REG-6: alias rows to set - champion for promoted models, challenger
+    when one exists - in one pass over the decisions."""
+    moves = F.array(
+        F.when(F.col("promote"), F.struct(F.lit(CHAMPION).alias("alias"), F.col("best_version").alias("version"))),
+        F.when(
+            F.col("challenger_version").isNotNull(),
+            F.struct(F.lit(CHALLENGER).alias("alias"), F.col("challenger_version").alias("version")),
+        ),
+    )
+    return (
+        decisions.select("name", F.explode(moves).alias("_m"))
+        .filter(F.col("_m").isNotNull())
+        .select("name", F.col("_m.alias").alias("alias"), F.col("_m.version").alias("version"))
     )
-    return champ.unionByName(chall)
 
 
 def move_aliases(aliases: DataFrame, decisions: DataFrame) -> DataFrame:

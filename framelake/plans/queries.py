@@ -17,6 +17,7 @@ from framelake import fixtures as fx
 from framelake.functions import boxes as bx
 from framelake.functions import ids
 from framelake.operators import contracts, features, frames, monitor, registry, scoring
+from framelake.session import materialize
 from framelake.sinks import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,8 +215,13 @@ def champion_metric(spark, d):
     return c.select("name", "champion_version", "champion_run_id", r6("champion_metric").alias("champion_metric"))
 
 
-def _decisions(spark, d) -> DataFrame:
-    return registry.promotion(fx.runs_fx(spark, d), fx.versions_fx(spark, d), fx.aliases_fx(spark, d))
+def _registry(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx.runs_fx(spark, d), fx.versions_fx(spark, d), fx.aliases_fx(spark, d)
+
+
+def _decisions(spark, d, reg=None) -> DataFrame:
+    runs, versions, aliases = reg or _registry(spark, d)
+    return registry.promotion(runs, versions, aliases)
 
 
 def promotion_gate(spark, d):
@@ -228,11 +234,15 @@ def promotion_gate(spark, d):
 
 
 def alias_moves(spark, d):
-    return registry.move_aliases(fx.aliases_fx(spark, d), _decisions(spark, d))
+    reg = _registry(spark, d)
+    # One row per model, read by both sides of the merge: computed once.
+    decisions = materialize(_decisions(spark, d, reg))
+    return registry.move_aliases(reg[2], decisions)
 
 
 def decision_tags(spark, d):
-    t = registry.decision_tags(fx.runs_fx(spark, d), _decisions(spark, d))
+    reg = _registry(spark, d)
+    t = registry.decision_tags(reg[0], _decisions(spark, d, reg))
     return t.select(
         "name", "run_id", F.col("tags")["promotion_decision"].alias("promotion_decision"), F.size("tags").alias("n_tags")
     )

@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_to_workers(spark)
     return spark
 
 
@@ -60,3 +61,30 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder (streams, staged tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def materialize(df):
+    """Cut lineage of a small derived table that several plans read.
+
+    Reliable checkpoint into the shared checkpoint folder (never a local one), so
+    the table is computed once and a lost executor re-reads it instead of
+    recomputing its whole lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def ship_to_workers(spark: SparkSession, *extra_paths: str) -> None:
+    """Make this package (and ``extra_paths``) importable by Python workers.
+
+    Workers are started with the SparkContext environment, so adding the package
+    root to its PYTHONPATH lets functions defined here be unpickled there. On a
+    cluster, install the package on the executors (or ship it with --py-files).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    for p in (root, *extra_paths):
+        if p not in have:
+            have.append(p)
+    env["PYTHONPATH"] = os.pathsep.join(have)

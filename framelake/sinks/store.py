@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.operators.contracts import check_keys
+from framelake.session import ensure_checkpoint_dir
 
 _VERSION_PREFIX = "v="
 
@@ -103,6 +104,11 @@ def upsert(
     Returns what was done: 'created', 'merged' or 'versioned:<n>'.
     """
     keys = list(keys)
+    # The increment is read several times (key check, anti join, union): cut its
+    # lineage once into the shared checkpoint folder so upstream work (a scoring
+    # UDF, above all) runs exactly once and survives executor loss.
+    ensure_checkpoint_dir(spark)
+    source = source.checkpoint(eager=True)
     if check:
         check_keys(source, keys)
     if "/" not in target:

@@ -1,0 +1,60 @@
+"""Metrics, baseline, profile, drift, flags (PRJ-5, MON-1..5)."""
+
+from datetime import datetime, timedelta
+
+import numpy as np
+
+from framelake.operators import monitor
+
+METRICS = "frame_id string, video_id string, inferred_at timestamp_ntz, n_detections int, avg_conf double"
+
+
+def _metrics(spark, rows):
+    return spark.createDataFrame(rows, METRICS)
+
+
+def test_baseline_window_and_nulls(spark):
+    t0 = datetime(2024, 1, 1, 12)
+    rows = [("a", "v", t0, 1, 0.5), ("b", "v", t0 + timedelta(days=6, hours=23), 1, 0.5),
+            ("c", "v", t0 + timedelta(days=7), 1, 0.5), ("d", "v", None, 1, 0.5)]
+    m = _metrics(spark, rows)
+    assert sorted(r["frame_id"] for r in monitor.baseline(m, 7).collect()) == ["a", "b"]
+    assert sorted(r["frame_id"] for r in monitor.baseline_pushdown(m, 7).collect()) == ["a", "b"]
+    assert monitor.baseline_cutoff(m, 7) == t0 + timedelta(days=7)
+    empty = _metrics(spark, [])
+    assert monitor.baseline(empty).count() == 0 and monitor.baseline_cutoff(empty) is None
+
+
+def test_profile_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    t0 = datetime(2024, 1, 1)
+    rows = [(f"f{i}", "v", t0 + timedelta(hours=int(h)), int(n), float(c))
+            for i, (h, n, c) in enumerate(zip(rng.integers(0, 72, 500), rng.integers(0, 12, 500), rng.random(500)))]
+    p = monitor.profile(_metrics(spark, rows)).collect()
+    assert len(p) == 6
+    for r in p:
+        day = r["window_start"]
+        vals = np.array([x[4] if r["column_name"] == "avg_conf" else x[3] for x in rows
+                         if day <= x[2] < day + timedelta(days=1)], dtype=float)
+        assert r["n"] == len(vals) and r["n_null"] == 0 and r["n_distinct"] == len(set(vals))
+        assert np.isclose(r["mean"], vals.mean()) and np.isclose(r["stddev"], vals.std(ddof=1))
+        for q, col in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            assert np.isclose(r[col], np.quantile(vals, q)), (q, r[col], np.quantile(vals, q))
+
+
+def test_drift_psi_ks_by_hand(spark):
+    t0 = datetime(2024, 1, 1)
+    base = [(f"b{i}", "v", t0, 1, 0.05) for i in range(4)]
+    cur = [(f"c{i}", "v", t0 + timedelta(days=3), 2 if i < 2 else 1, 0.95) for i in range(4)]
+    d = {r["column_name"]: r for r in monitor.drift(_metrics(spark, cur), _metrics(spark, base)).collect()}
+    # avg_conf: all mass moves from bin 0 to bin 9
+    f = 1e-6
+    assert np.isclose(d["avg_conf"]["psi"], 2 * (1 - f) * np.log((1 - f) / f))
+    assert np.isclose(d["avg_conf"]["ks"], 1.0) and np.isclose(d["avg_conf"]["mean_delta"], 0.9)
+    # n_detections: p = (0, .5, .5), q = (0, 1, 0)
+    psi = (0.5 - 1) * np.log(0.5 / 1) + (0.5 - f) * np.log(0.5 / f)
+    assert np.isclose(d["n_detections"]["psi"], psi) and np.isclose(d["n_detections"]["ks"], 0.5)
+    flags = monitor.flags(monitor.drift(_metrics(spark, cur), _metrics(spark, base)),
+                          spark.createDataFrame([("m", "champion", "3")], "name string, alias string, version string"),
+                          "m", "champion")
+    assert {r["column_name"] for r in flags.collect()} == {"avg_conf", "n_detections"}

@@ -1,0 +1,79 @@
+"""Vectorized scoring, isolation, predict contract, incremental passes (UDF-1..4, JOI-1, STR-1)."""
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from framelake.operators import scoring
+from framelake.schemas import BOXES_DDL, DETECTIONS_COLUMNS, PREDICT_OUTPUT_COLUMNS
+
+
+class PathPredictor(scoring.Predictor):
+    """Boxes derived from the path text; paths containing 'bad' raise."""
+
+    key = "path-test"
+
+    def load(self):
+        return {"loaded": True}
+
+    def predict(self, model, inputs: pd.Series):
+        out = []
+        for p in inputs:
+            if p is None or "bad" in p:
+                raise ValueError("cannot read image")
+            n = len(p) % 3
+            out.append([{"x1": 0.0, "y1": 0.0, "x2": 1.0, "y2": 1.0, "conf": 0.5, "cls": i} for i in range(n)])
+        return out
+
+
+def _frames(spark):
+    rows = [(f"v__{i:06d}", "v", f"/f/v/v__{i:06d}{'_bad' if i % 4 == 0 else ''}.jpg") for i in range(20)]
+    return spark.createDataFrame(rows, "frame_id string, video_id string, frame_path string")
+
+
+def test_failures_isolated_per_row_and_countable(spark):
+    s = scoring.score(_frames(spark), "frame_path", PathPredictor(), error_col="error")
+    rows = s.collect()
+    bad = [r for r in rows if "bad" in r["frame_path"]]
+    good = [r for r in rows if "bad" not in r["frame_path"]]
+    assert len(rows) == 20 and len(bad) == 5
+    assert all(r["boxes"] == [] and r["error"].startswith("ValueError") for r in bad)
+    assert all(r["error"] is None and len(r["boxes"]) == len(r["frame_path"]) % 3 for r in good)
+    assert s.schema["boxes"].dataType.simpleString() == BOXES_DDL
+
+
+def test_predict_contract_keeps_rows_and_columns(spark):
+    inp = spark.createDataFrame([("/a/x__000001.jpg", None), ("/a/y.png", "given"), ("/a/bad.jpg", None)], "path string, frame_id string")
+    out = scoring.predict_frames(inp, PathPredictor())
+    assert out.columns == list(PREDICT_OUTPUT_COLUMNS)
+    got = {r["frame_id"]: r for r in out.collect()}
+    assert set(got) == {"x__000001", "given", "bad"}
+    assert got["bad"]["boxes"] == [] and got["bad"]["confs"] == [] and got["bad"]["classes"] == []
+    assert got["given"]["classes"] == list(range(len("/a/y.png") % 3))
+
+
+def test_two_passes_score_each_frame_once(spark):
+    frames = _frames(spark)
+    pred = PathPredictor()
+    first = scoring.incremental_pass(frames.filter(F.col("frame_id") < "v__000010"), None, "frame_path", pred, "1", "champion")
+    assert first.columns == list(DETECTIONS_COLUMNS)
+    second = scoring.incremental_pass(frames, first, "frame_path", pred, "2", "champion")
+    assert second.count() == 10
+    third = scoring.incremental_pass(frames, first.unionByName(second), "frame_path", pred, "3", "champion")
+    assert third.count() == 0
+
+
+def test_rescore_on_model_version(spark):
+    frames = _frames(spark)
+    done = scoring.with_provenance(scoring.score(frames, "frame_path", PathPredictor()), "1", "champion")
+    todo = scoring.unscored(
+        frames.withColumn("model_version", F.lit("2")), done, rescore_on=("frame_id", "model_version")
+    )
+    assert todo.count() == 20
+
+
+def test_resolved_version_from_alias_table(spark):
+    aliases = spark.createDataFrame([("m", "champion", "7"), ("m", "challenger", "5")], "name string, alias string, version string")
+    det = scoring.score(_frames(spark), "frame_path", PathPredictor())
+    out = scoring.with_resolved_version(det, aliases, "m", "champion")
+    assert {r["model_version"] for r in out.collect()} == {"7"}
+    assert scoring.with_resolved_version(det, aliases, "m", "missing").count() == 0
