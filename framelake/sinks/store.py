@@ -4,12 +4,13 @@ Keyed upsert has two forms:
 
 * a catalog table whose format supports row-level operations (Delta, Iceberg):
   ``DataFrame.mergeInto`` - update all on match, insert all otherwise;
-* a plain Parquet location: copy-on-write versions. The new version is
-  ``target LEFT ANTI source UNION ALL source`` written to a fresh sibling folder
-  ``v=<n+1>``; a version counts only once its ``_SUCCESS`` marker exists, and
-  readers take the newest committed one. Nothing is overwritten in place, so a
-  crash or a lost executor mid-write leaves the previous version intact and the
-  retried job simply writes the next folder again.
+* a plain Parquet location: an increment whose keys are all new is written as
+  an append segment ``a=<n>`` (nothing stored is rewritten); otherwise a new
+  snapshot ``v=<n>`` = ``current LEFT ANTI source UNION ALL source`` is written
+  to a fresh sibling folder. An entry counts only once its ``_SUCCESS`` marker
+  exists; readers take the newest snapshot plus later segments. Nothing is
+  overwritten in place, so a crash or a lost executor mid-write leaves the
+  previous state intact and the retried job writes the next folder again.
 """
 
 from __future__ import annotations
@@ -43,14 +44,21 @@ def merge_result(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 # ---------------------------------------------------------------- path versions
+# A path table is a folder of committed entries: full snapshots "v=<n>" and
+# append segments "a=<n>" (one counter). The current content is the newest
+# snapshot plus every later segment. An entry counts once Spark's job commit has
+# written its _SUCCESS marker, so half-written folders are never read.
+_APPEND_PREFIX = "a="
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers under ``path`` whose write committed (has ``_SUCCESS``)."""
+def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, kind) of committed entries, kind 'snapshot' or 'append', in order."""
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
         return []
@@ -58,26 +66,39 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
     out = []
     for st in fs.listStatus(jpath):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_VERSION_PREFIX):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(_VERSION_PREFIX):]))
+        for prefix, kind in ((_VERSION_PREFIX, "snapshot"), (_APPEND_PREFIX, "append")):
+            if st.isDirectory() and name.startswith(prefix):
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out.append((int(name[len(prefix):]), kind))
     return sorted(out)
 
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/{_VERSION_PREFIX}{version:06d}"
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of all committed entries (snapshots and append segments)."""
+    return [n for n, _ in committed_entries(spark, path)]
+
+
+def version_path(path: str, version: int, kind: str = "snapshot") -> str:
+    prefix = _VERSION_PREFIX if kind == "snapshot" else _APPEND_PREFIX
+    return f"{path.rstrip('/')}/{prefix}{version:06d}"
+
+
+def _current_paths(entries: list[tuple[int, str]], path: str) -> list[str]:
+    snaps = [n for n, k in entries if k == "snapshot"]
+    base = snaps[-1] if snaps else 0
+    return [version_path(path, n, k) for n, k in entries if n >= base]
 
 
 def read_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """SRC-6 for the path form: the newest committed version, or None."""
-    versions = committed_versions(spark, path)
-    if not versions:
+    """SRC-6 for the path form: newest snapshot plus later append segments, or None."""
+    entries = committed_entries(spark, path)
+    if not entries:
         return None
-    return spark.read.format(fmt).load(version_path(path, versions[-1]))
+    return spark.read.format(fmt).load(_current_paths(entries, path))
 
 
-def _write_version(df: DataFrame, path: str, version: int, fmt: str) -> str:
-    out = version_path(path, version)
+def _write_version(df: DataFrame, path: str, version: int, fmt: str, kind: str = "snapshot") -> str:
+    out = version_path(path, version, kind)
     df.write.format(fmt).mode("errorifexists").save(out)
     return out
 
@@ -136,14 +157,21 @@ def upsert(
         spark.sql(f"DROP TABLE {target}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
         return "swapped"
-    versions = committed_versions(spark, target)
-    if not versions:
+    entries = committed_entries(spark, target)
+    if not entries:
         _write_version(source, target, 1, fmt)
         return "versioned:1"
-    current = spark.read.format(fmt).load(version_path(target, versions[-1]))
-    merged = merge_result(current, source, keys)
-    n = versions[-1] + 1
-    _write_version(merged, target, n, fmt)
+    current = spark.read.format(fmt).load(_current_paths(entries, target))
+    n = entries[-1][0] + 1
+    # Insert-only increments (the normal case for incremental scoring, whose
+    # frames were anti-joined against the target) are appended as a segment:
+    # nothing already stored is rewritten. The check reads only the key columns
+    # of the target; AQE broadcasts the increment's keys when they are small.
+    overlap = source.select(*keys).join(current.select(*keys), keys, "left_semi").limit(1).count() > 0
+    if not overlap:
+        _write_version(source.select(*current.columns), target, n, fmt, kind="append")
+        return f"appended:{n}"
+    _write_version(merge_result(current, source, keys), target, n, fmt)
     return f"versioned:{n}"
 
 
@@ -157,7 +185,7 @@ def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     if "/" in target:
         spark = df.sparkSession
         versions = committed_versions(spark, target)
-        _write_version(df, target, (versions[-1] + 1) if versions else 1, fmt)
+        _write_version(df, target, (versions[-1] + 1) if versions else 1, fmt)  # a new full snapshot
     else:
         df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
 

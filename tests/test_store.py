@@ -30,6 +30,18 @@ def test_path_upsert_is_idempotent_and_versioned(spark, tmp_dir):
     assert store.committed_versions(spark, path) == [1, 2, 3]
 
 
+def test_insert_only_increment_is_appended(spark, tmp_dir):
+    path = f"{tmp_dir}/det"
+    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 1)]), ["frame_id"]) == "appended:2"
+    assert store.upsert(spark, path, _frames(spark, [("c", "v", 1)]), ["frame_id"]) == "appended:3"
+    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b", "c"]
+    # an overlapping increment folds everything into a new snapshot
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 9)]), ["frame_id"]) == "versioned:4"
+    assert sorted(tuple(r) for r in store.read_versioned(spark, path).collect()) == [("a", "v", 1), ("b", "v", 9), ("c", "v", 1)]
+    assert store.committed_entries(spark, path) == [(1, "snapshot"), (2, "append"), (3, "append"), (4, "snapshot")]
+
+
 def test_uncommitted_version_is_ignored(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
