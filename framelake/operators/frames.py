@@ -72,3 +72,8 @@ def with_extracted_at(manifest: DataFrame) -> DataFrame:
 def frames_per_video(frames: DataFrame) -> DataFrame:
     """AGG-5: sampled frames per video plus a total row (video_id NULL)."""
     return frames.rollup("video_id").agg(F.count(F.lit(1)).alias("n_frames"))
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """ORD-5: the first ``n`` rows (a limit, not a sort)."""
+    return df.limit(n)

@@ -225,3 +225,28 @@ def flags(drift_df: DataFrame, aliases: DataFrame, name: str, alias: str, thresh
     )
     hot = drift_df.filter(F.col("psi") > threshold).select("window_start", "column_name", "psi")
     return hot.crossJoin(F.broadcast(active))
+
+
+def top_frame(metrics: DataFrame, frames: DataFrame) -> DataFrame:
+    """AGG-7 / JOI-7: the frame with the most detections (ties: smallest frame_id),
+    with its path. A global aggregate is one row, so its broadcast is bounded."""
+    best = metrics.agg(
+        F.min_by("frame_id", F.struct(-F.col("n_detections"), F.col("frame_id"))).alias("frame_id"),
+        F.max("n_detections").alias("n_detections"),
+    )
+    return F.broadcast(best).join(frames.select("frame_id", "frame_path"), "frame_id", "left")
+
+
+def refresh_monitor(spark, metrics: DataFrame, baseline_df: DataFrame, out_path: str) -> dict[str, str]:
+    """MON-4: (re)compute profile and drift and upsert them by (window_start, column_name).
+
+    Re-running converges to one row per key, so an existing monitor is simply
+    refreshed, never duplicated.
+    """
+    from framelake.sinks.store import upsert
+
+    keys = ["window_start", "column_name"]
+    return {
+        "profile": upsert(spark, f"{out_path.rstrip('/')}/profile", profile(metrics), keys),
+        "drift": upsert(spark, f"{out_path.rstrip('/')}/drift", drift(metrics, baseline_df), keys),
+    }

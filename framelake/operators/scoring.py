@@ -200,3 +200,8 @@ def incremental_pass(
 
 
 Scorer = Callable[[DataFrame], DataFrame]
+
+
+def pending_count(frames: DataFrame, scored: DataFrame | None = None) -> int:
+    """AGG-1: number of frames still to score (partial + final count, no UDF in it)."""
+    return unscored(frames, scored).count()

@@ -307,7 +307,9 @@ ORACLE: dict[str, str] = {
     "box_totals": _q(
         ["metrics"],
         """select count(*) as n_frames, sum(n_detections)::bigint as total_boxes,
-        first(frame_id order by n_detections desc, frame_id) as top_frame_id, max(n_detections) as top_n from metrics""",
+        first(frame_id order by n_detections desc, frame_id) as top_frame_id, max(n_detections) as top_n,
+        first(printf('/frames/%s/%s.jpg', video_id, frame_id) order by n_detections desc, frame_id) as top_frame_path
+        from metrics""",
     ),
     "box_contract": _q(
         ["detections_fx"],

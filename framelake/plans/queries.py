@@ -159,13 +159,14 @@ def boxes_topk(spark, d):
 
 
 def box_totals(spark, d):
-    m = _metrics(spark, d)
-    return m.agg(
-        F.count(F.lit(1)).alias("n_frames"),
-        F.sum("n_detections").cast("long").alias("total_boxes"),
-        F.min_by("frame_id", F.struct(-F.col("n_detections"), F.col("frame_id"))).alias("top_frame_id"),
-        F.max("n_detections").alias("top_n"),
+    det = fx.detections_fx(spark, d)
+    m = monitor.detections_metrics(det)
+    paths = det.select("frame_id", F.format_string("/frames/%s/%s.jpg", "video_id", "frame_id").alias("frame_path"))
+    totals = m.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("n_detections").cast("long").alias("total_boxes"))
+    top = monitor.top_frame(m, paths).select(
+        F.col("frame_id").alias("top_frame_id"), F.col("n_detections").alias("top_n"), F.col("frame_path").alias("top_frame_path")
     )
+    return totals.crossJoin(top)
 
 
 def box_contract(spark, d):

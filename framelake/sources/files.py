@@ -55,24 +55,60 @@ def list_videos(spark: SparkSession, raw_videos_dir: str) -> DataFrame:
     )
 
 
-def decode_videos(files: DataFrame, decode_fn: DecodeFn, path_col: str = "path") -> DataFrame:
-    """SRC-2: every decoded frame of every file, one task per file partition.
-
-    ``decode_fn`` yields ``(frame_number, pos_ms, width, height)`` per decoded frame,
-    numbering frames from 0. Files are spread one per partition before decoding so
-    a slow video never queues behind others in the same task.
+def decode_videos(
+    files: DataFrame,
+    decode_fn,
+    path_col: str = "path",
+    frames_per_task: int | None = None,
+    count_fn=None,
+) -> DataFrame:
+    """SRC-2: every decoded frame of every file, decoded on the executors.
+
+    Without ``frames_per_task``: ``decode_fn(path)`` yields
+    ``(frame_number, pos_ms, width, height)`` for each frame, numbered from 0, and
+    each file is decoded by one task (files are spread over partitions first).
+
+    With ``frames_per_task`` and a seeking decoder, a long video is cut into frame
+    ranges so it never becomes one giant task: ``count_fn(path)`` returns the
+    frame count, each range ``[start, end)`` is its own row (spread by a shuffle),
+    and ``decode_fn(path, start, end)`` yields the frames of that range.
     """
     spread = files.select(F.col(path_col).alias("path"), ids.video_id_from_path(path_col).alias("video_id"))
-    spread = spread.repartition("path")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [f.name for f in DECODED_SCHEMA.fields]
+    if frames_per_task is None:
+        spread = spread.repartition("path")
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for path, vid in zip(pdf["path"], pdf["video_id"]):
+                    rows = [(vid, int(k), float(ms), int(w), int(h)) for k, ms, w, h in decode_fn(path)]
+                    if rows:
+                        yield pd.DataFrame(rows, columns=names)
+
+        return spread.mapInPandas(run, DECODED_SCHEMA)
+
+    if count_fn is None:
+        raise ValueError("frames_per_task needs count_fn(path) -> number of frames")
+    step = int(frames_per_task)
+
+    @F.pandas_udf("long")
+    def n_frames(paths: pd.Series) -> pd.Series:
+        return paths.map(lambda p: int(count_fn(p)))
+
+    counted = spread.withColumn("_n", n_frames("path"))
+    ranges = counted.select(
+        "path", "video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("start"), "_n"
+    ).withColumn("end", F.least(F.col("start") + step, F.col("_n")))
+    ranges = ranges.repartition("path", "start")
+
+    def run_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, vid in zip(pdf["path"], pdf["video_id"]):
-                rows = [(vid, int(k), float(ms), int(w), int(h)) for k, ms, w, h in decode_fn(path)]
+            for path, vid, start, end in zip(pdf["path"], pdf["video_id"], pdf["start"], pdf["end"]):
+                rows = [(vid, int(k), float(ms), int(w), int(h)) for k, ms, w, h in decode_fn(path, int(start), int(end))]
                 if rows:
-                    yield pd.DataFrame(rows, columns=[f.name for f in DECODED_SCHEMA.fields])
+                    yield pd.DataFrame(rows, columns=names)
 
-    return spread.mapInPandas(run, DECODED_SCHEMA)
+    return ranges.filter(F.col("_n") > 0).mapInPandas(run_ranges, DECODED_SCHEMA)
 
 
 def build_frames(spark: SparkSession, manifest: DataFrame) -> DataFrame:

@@ -46,6 +46,22 @@ def test_decode_sample_cap_count(spark, tmp_dir):
         frames.sample_frames(decoded, 0, "/out")
 
 
+def _count(path):
+    return 95 if "long" in path else 31
+
+
+def _decode_range(path, start, end):
+    for k in range(start, end):
+        yield k, k * 1000.0 / 60.0, 1920, 1080
+
+
+def test_long_video_split_into_frame_ranges(spark, tmp_dir):
+    listing = spark.createDataFrame([(f"{tmp_dir}/long.mp4",), (f"{tmp_dir}/short.MOV",)], "path string")
+    whole = files.decode_videos(listing, _fake_decode)
+    split = files.decode_videos(listing, _decode_range, frames_per_task=10, count_fn=_count)
+    assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in whole.collect())
+
+
 def test_frames_with_ingest_time_and_empty_short_circuit(spark):
     from framelake.sources.files import build_frames, is_empty
 

@@ -58,3 +58,25 @@ def test_drift_psi_ks_by_hand(spark):
                           spark.createDataFrame([("m", "champion", "3")], "name string, alias string, version string"),
                           "m", "champion")
     assert {r["column_name"] for r in flags.collect()} == {"avg_conf", "n_detections"}
+
+
+def test_refresh_monitor_is_idempotent(spark, tmp_dir):
+    from framelake.sinks.store import read_versioned
+
+    t0 = datetime(2024, 1, 1)
+    rows = [(f"f{i}", "v", t0 + timedelta(hours=7 * i), i % 4, (i % 10) / 10) for i in range(60)]
+    m = _metrics(spark, rows)
+    b = monitor.baseline(m, 7)
+    monitor.refresh_monitor(spark, m, b, tmp_dir)
+    first = sorted(tuple(r) for r in read_versioned(spark, f"{tmp_dir}/profile").collect())
+    monitor.refresh_monitor(spark, m, b, tmp_dir)
+    again = sorted(tuple(r) for r in read_versioned(spark, f"{tmp_dir}/profile").collect())
+    assert first == again and len(again) == 2 * 18
+    assert read_versioned(spark, f"{tmp_dir}/drift").count() == 2 * 18
+
+
+def test_top_frame_with_path(spark):
+    m = _metrics(spark, [("b", "v", None, 3, 0.1), ("a", "v", None, 3, 0.1), ("c", "v", None, 1, 0.1)])
+    frames = spark.createDataFrame([("a", "/a.jpg"), ("b", "/b.jpg")], "frame_id string, frame_path string")
+    r = monitor.top_frame(m, frames).first()
+    assert (r["frame_id"], r["n_detections"], r["frame_path"]) == ("a", 3, "/a.jpg")
