@@ -52,7 +52,9 @@ FX: dict[str, str] = {
                      printf('cust_%d', o_custkey) as video_id, o_orderdate as inferred_at from orders) f
         left join (select frame_id, list({'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'conf': conf, 'cls': cls}
                           order by conf desc, x1, y1, x2, y2, cls) as boxes
-                   from boxes_fx group by frame_id) b on f.frame_id = b.frame_id""",
+                   from (select * from boxes_fx qualify row_number() over (partition by frame_id
+                                 order by conf desc, x1, y1, x2, y2, cls) <= 300)
+                   group by frame_id) b on f.frame_id = b.frame_id""",
     "metrics": """select frame_id, video_id, inferred_at, coalesce(len(boxes), 0)::int as n_detections,
         case when coalesce(len(boxes), 0) > 0
              then list_sum(list_transform(boxes, lambda b: b.conf::double)) / len(boxes)
