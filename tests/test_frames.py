@@ -44,6 +44,11 @@ def test_decode_sample_cap_count(spark, tmp_dir):
     assert counts == {"long": 4, "short": 2, None: 6}
     with pytest.raises(ValueError):
         frames.sample_frames(decoded, 0, "/out")
+    # ranked cap on a manifest with gaps
+    gappy = sampled.withColumn("frame_number", F.regexp_extract("frame_id", r"__(\d+)$", 1).cast("long"))
+    gappy = gappy.filter(F.col("frame_number") != 30)
+    kept = sorted(r["frame_id"] for r in frames.cap_per_video(gappy, 2).collect())
+    assert kept == ["long__000000", "long__000060", "short__000000"]
 
 
 def _count(path):
