@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.functions import ids
 from framelake.operators.sequence import number_within
 from framelake.schemas import BOX_TYPE, DETECT_MAX_BOXES, METRIC_NAME_MAP
 
@@ -196,5 +195,5 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "table", "files_fx", "decoded_fx", "frames_fx", "scored_fx", "boxes_fx", "detections_fx",
-    "raw_results_fx", "runs_fx", "versions_fx", "aliases_fx", "embeddings", "ids",
+    "raw_results_fx", "runs_fx", "versions_fx", "aliases_fx", "embeddings",
 ]

@@ -9,7 +9,7 @@ batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -199,8 +199,6 @@ def incremental_pass(
     return with_provenance(score(todo, input_col, predictor), model_version, alias)
 
 
-Scorer = Callable[[DataFrame], DataFrame]
-
 
 def pending_count(frames: DataFrame, scored: DataFrame | None = None) -> int:
     """AGG-1: number of frames still to score (partial + final count, no UDF in it)."""

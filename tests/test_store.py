@@ -1,7 +1,6 @@
 """Upsert, versions, change feed, table maintenance (SNK-1..SNK-9, AGG-9)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from framelake.sinks import store
 
