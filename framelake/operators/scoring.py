@@ -191,15 +191,38 @@ def predict_frames(frames: DataFrame, predictor: Predictor, path_col: str = "pat
     return scored.select("frame_id", "boxes", bx.confs("boxes").alias("confs"), bx.classes("boxes").alias("classes"))
 
 
+def spread_for_model(todo: DataFrame, rows_per_task: int, pending: int | None = None) -> DataFrame:
+    """Give the scoring UDF a bounded number of frames per task.
+
+    AQE sizes partitions by bytes, and a frame row (a path) is tiny while its model
+    call is not, so after the anti join a single task could receive hundreds of
+    thousands of frames. Here the pending count (computed anyway to skip empty
+    runs) fixes the partition count instead.
+    """
+    n = todo.count() if pending is None else pending
+    return todo.repartition(max(1, -(-n // int(rows_per_task))), FRAME_KEY)
+
+
 def incremental_pass(
-    frames: DataFrame, detections: DataFrame | None, input_col: str, predictor: Predictor, model_version: str, alias: str
+    frames: DataFrame,
+    detections: DataFrame | None,
+    input_col: str,
+    predictor: Predictor,
+    model_version: str,
+    alias: str,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """STR-1 (one pass): score only the frames missing from ``detections``."""
+    """STR-1 (one pass): score only the frames missing from ``detections``.
+
+    With ``rows_per_task`` the pending frames are spread to that many per task
+    before the model runs (one count job, as the reference also counts first).
+    """
     todo = unscored(frames, detections)
+    if rows_per_task:
+        todo = spread_for_model(todo, rows_per_task)
     return with_provenance(score(todo, input_col, predictor), model_version, alias)
 
 
-
 def pending_count(frames: DataFrame, scored: DataFrame | None = None) -> int:
     """AGG-1: number of frames still to score (partial + final count, no UDF in it)."""
     return unscored(frames, scored).count()

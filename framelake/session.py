@@ -88,3 +88,30 @@ def ship_to_workers(spark: SparkSession, *extra_paths: str) -> None:
         if p not in have:
             have.append(p)
     env["PYTHONPATH"] = os.pathsep.join(have)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, image_scoring: bool = False) -> dict[str, str]:
+    """Settings this library expects on a large cluster, sized from the input.
+
+    * shuffle partitions: ~200 MB per partition, at least 2 per core (AQE
+      coalesces small ones; explicit-count range slices keep this number);
+    * 256 MB file splits; AQE with skew-join splitting on;
+    * broadcast only under 64 MB as measured at run time;
+    * small Arrow batches when the UDF runs an image model.
+    """
+    partitions = max(2 * total_cores, int(input_bytes // (200 * 1024 * 1024)) + 1)
+    conf = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.exchange.reuse": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.python.worker.reuse": "true",
+    }
+    if image_scoring:
+        conf["spark.sql.execution.arrow.maxRecordsPerBatch"] = "64"
+    return conf

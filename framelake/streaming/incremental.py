@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from framelake.operators.scoring import Predictor, unscored, score, with_provenance
+from framelake.operators.scoring import Predictor, score, spread_for_model, unscored, with_provenance
 from framelake.session import checkpoint_path
 from framelake.sinks.store import read_versioned, upsert
 
@@ -29,14 +29,18 @@ def score_new_frames(
     alias: str,
     name: str = "incremental-scoring",
     available_now: bool = True,
+    rows_per_task: int | None = None,
 ):
     """Start the stream; with ``available_now`` it processes what exists and stops."""
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         current = read_versioned(spark, detections_path)
         todo = unscored(batch, current)
-        if todo.isEmpty():
+        pending = todo.count()
+        if pending == 0:
             return
+        if rows_per_task:
+            todo = spread_for_model(todo, rows_per_task, pending)
         scored = with_provenance(score(todo, input_col, predictor), model_version, alias)
         upsert(spark, detections_path, scored, ["frame_id"])
 

@@ -77,3 +77,19 @@ def test_resolved_version_from_alias_table(spark):
     out = scoring.with_resolved_version(det, aliases, "m", "champion")
     assert {r["model_version"] for r in out.collect()} == {"7"}
     assert scoring.with_resolved_version(det, aliases, "m", "missing").count() == 0
+
+
+def test_spread_for_model_bounds_rows_per_task(spark):
+    frames = _frames(spark)
+    spread = scoring.spread_for_model(frames, 3)
+    assert spread.rdd.getNumPartitions() == 7
+    out = scoring.incremental_pass(frames, None, "frame_path", PathPredictor(), "1", "champion", rows_per_task=4)
+    assert out.count() == 20
+
+
+def test_cluster_conf_sizes_partitions():
+    from framelake.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, 8000, image_scoring=True)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 500_000 // 1
+    assert conf["spark.sql.execution.arrow.maxRecordsPerBatch"] == "64"
