@@ -157,15 +157,19 @@ def runs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def versions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered versions: one run may have several, some none; version is text."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    """Registered versions: one run may have several, some none; version is text.
+
+    Lineitem keys are de-duplicated before the join (orders is unique on its key),
+    so the join and the string building see each version once.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.format_string("det_%d", F.col("o_custkey") % MODELS).alias("name"),
         F.col("l_orderkey").alias("run_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("version"),
-    ).distinct()
+    )
 
 
 def aliases_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
