@@ -46,3 +46,11 @@ def test_single_hot_group_spans_all_slices(spark):
     got = number_within(df, ["g"], ["id"], out="rn", partitions=16)
     row = got.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn"), F.sum((F.col("rn") != F.col("id") + 1).cast("int"))).first()
     assert tuple(row) == (1, 5000, 5000, 0)
+
+
+def test_empty_input_and_global_numbering(spark):
+    empty = spark.range(0).withColumn("g", F.lit("x"))
+    assert number_within(empty, ["g"], ["id"], out="rn", partitions=4).count() == 0
+    df = spark.range(0, 2000).withColumn("v", (F.col("id") * 7919) % 2000)
+    got = number_within(df, [], ["v"], out="rn", partitions=9)
+    assert got.filter(F.col("rn") != F.col("v") + 1).count() == 0
