@@ -159,7 +159,14 @@ def upsert(
         return "swapped"
     entries = committed_entries(spark, target)
     if not entries:
-        _write_version(source, target, 1, fmt)
+        fs, jpath = _fs(spark, target)
+        if fs.exists(jpath):
+            # A plain (unversioned) table at the path: its rows are the current
+            # content; the merged result becomes the first version beside them.
+            plain = spark.read.format(fmt).load(target)
+            _write_version(merge_result(plain, source, keys), target, 1, fmt)
+        else:
+            _write_version(source, target, 1, fmt)
         return "versioned:1"
     current = spark.read.format(fmt).load(_current_paths(entries, target))
     n = entries[-1][0] + 1
