@@ -42,13 +42,16 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def row_count_check(inp: DataFrame, out: DataFrame, key: str) -> DataFrame:
-    """AGG-8: counts in / out and keys missing either way (anti joins both ways)."""
-    n_in = inp.agg(F.count(F.lit(1)).alias("n_in"))
-    n_out = out.agg(F.count(F.lit(1)).alias("n_out"))
-    lost = inp.select(key).join(out.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n_lost"))
-    extra = out.select(key).join(inp.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n_extra"))
-    # Four one-row aggregates: the cross joins are 1x1.
-    return n_in.crossJoin(n_out).crossJoin(lost).crossJoin(extra)
+    """AGG-8: counts in / out and keys missing either way (anti joins both ways).
+
+    One row; the other three counts enter as scalar subqueries.
+    """
+    n_out = out.agg(F.count(F.lit(1))).scalar()
+    lost = inp.select(key).join(out.select(key), key, "left_anti").agg(F.count(F.lit(1))).scalar()
+    extra = out.select(key).join(inp.select(key), key, "left_anti").agg(F.count(F.lit(1))).scalar()
+    return inp.agg(F.count(F.lit(1)).alias("n_in")).select(
+        "n_in", n_out.alias("n_out"), lost.alias("n_lost"), extra.alias("n_extra")
+    )
 
 
 def box_contract(df: DataFrame, boxes: str = "boxes") -> DataFrame:

@@ -51,12 +51,11 @@ def detections_summary(detections: DataFrame, digits: int = 3) -> DataFrame:
 def baseline(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_at") -> DataFrame:
     """MON-1 / AGG-2 / FLT-4: rows in [min(ts), min(ts) + days); NULL ts drops out.
 
-    The minimum stays in the plan: a global aggregate is exactly one row, so its
-    broadcast to the filter is bounded. Empty input -> empty baseline.
+    The minimum stays in the plan as a scalar subquery (one value, computed once
+    before the scan, no join). Empty input -> NULL minimum -> empty baseline.
     """
-    mn = metrics.agg(F.min(ts).alias("_min_ts"))
-    cutoff = F.col("_min_ts") + F.expr(f"INTERVAL {int(days)} DAYS")
-    return metrics.crossJoin(F.broadcast(mn)).filter(F.col(ts) < cutoff).drop("_min_ts")
+    first_ts = metrics.agg(F.min(ts)).scalar()
+    return metrics.filter(F.col(ts) < first_ts + F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
 def baseline_cutoff(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_at"):
@@ -217,24 +216,31 @@ def drift(
 def flags(drift_df: DataFrame, aliases: DataFrame, name: str, alias: str, threshold: float = PSI_FLAG) -> DataFrame:
     """MON-5: windows whose PSI exceeds the threshold flag the active alias for review.
 
-    The alias lookup is one key of the alias table (at most one row), so the cross
-    join with it is bounded.
+    The alias is one key of the alias table: its version enters as a scalar
+    subquery (Spark fails the query if that key ever held two rows).
     """
-    active = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select(
-        "name", "alias", F.col("version").alias("flagged_version")
+    version = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select("version").scalar()
+    hot = drift_df.filter(F.col("psi") > threshold).select(
+        "window_start", "column_name", "psi", F.lit(name).alias("name"), F.lit(alias).alias("alias"),
+        version.alias("flagged_version"),
     )
-    hot = drift_df.filter(F.col("psi") > threshold).select("window_start", "column_name", "psi")
-    return hot.crossJoin(F.broadcast(active))
+    return hot.filter(F.col("flagged_version").isNotNull())
 
 
 def top_frame(metrics: DataFrame, frames: DataFrame) -> DataFrame:
     """AGG-7 / JOI-7: the frame with the most detections (ties: smallest frame_id),
-    with its path. A global aggregate is one row, so its broadcast is bounded."""
+    with its path (NULL when the frame is not in ``frames``).
+
+    The winner is a one-row global aggregate; it is the broadcast build side of an
+    inner join that streams ``frames`` (no shuffle of the big side), and the path
+    comes back as a scalar.
+    """
     best = metrics.agg(
         F.min_by("frame_id", F.struct(-F.col("n_detections"), F.col("frame_id"))).alias("frame_id"),
         F.max("n_detections").alias("n_detections"),
     )
-    return F.broadcast(best).join(frames.select("frame_id", "frame_path"), "frame_id", "left")
+    path = frames.join(F.broadcast(best.select("frame_id")), "frame_id").agg(F.max("frame_path")).scalar()
+    return best.select("frame_id", "n_detections", path.alias("frame_path"))
 
 
 def refresh_monitor(spark, metrics: DataFrame, baseline_df: DataFrame, out_path: str) -> dict[str, str]:

@@ -168,13 +168,13 @@ def with_provenance(scored: DataFrame, model_version: Column | str, alias: str)
 def with_resolved_version(scored: DataFrame, aliases: DataFrame, name: str, alias: str) -> DataFrame:
     """JOI-5 + PRJ-4: resolve ``name@alias`` in the plan and stamp every row with it.
 
-    The lookup is a single key of the alias table (at most one row), so the
-    broadcast is bounded; an unknown alias yields no rows rather than NULL lineage.
+    The lookup is one key of the alias table, attached as a scalar subquery (no
+    join; Spark fails the query if the key held two rows). An unknown alias
+    yields no rows rather than NULL lineage.
     """
-    version = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select(
-        F.col("version").alias("_resolved_version")
-    )
-    return with_provenance(scored.crossJoin(F.broadcast(version)), F.col("_resolved_version"), alias)
+    version = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select("version").scalar()
+    stamped = with_provenance(scored, version, alias)
+    return stamped.filter(F.col("model_version").isNotNull())
 
 
 def predict_frames(frames: DataFrame, predictor: Predictor, path_col: str = "path") -> DataFrame:

@@ -162,18 +162,21 @@ def box_totals(spark, d):
     det = fx.detections_fx(spark, d)
     m = monitor.detections_metrics(det)
     paths = det.select("frame_id", F.format_string("/frames/%s/%s.jpg", "video_id", "frame_id").alias("frame_path"))
-    totals = m.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("n_detections").cast("long").alias("total_boxes"))
-    top = monitor.top_frame(m, paths).select(
-        F.col("frame_id").alias("top_frame_id"), F.col("n_detections").alias("top_n"), F.col("frame_path").alias("top_frame_path")
+    top = monitor.top_frame(m, paths).select(F.struct("frame_id", "n_detections", "frame_path")).scalar()
+    return m.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("n_detections").cast("long").alias("total_boxes")).select(
+        "*",
+        top["frame_id"].alias("top_frame_id"),
+        top["n_detections"].alias("top_n"),
+        top["frame_path"].alias("top_frame_path"),
     )
-    return totals.crossJoin(top)
 
 
 def box_contract(spark, d):
     det = fx.detections_fx(spark, d)
     c = contracts.box_contract(det)
     rc = contracts.row_count_check(det, monitor.detections_metrics(det), "frame_id")
-    return c.crossJoin(rc)
+    counts = rc.select(F.struct(*rc.columns)).scalar()  # one row, one subquery
+    return c.select("*", *[counts[k].alias(k) for k in rc.columns])
 
 
 def model_features(spark, d):
