@@ -4,13 +4,13 @@ Keyed upsert has two forms:
 
 * a catalog table whose format supports row-level operations (Delta, Iceberg):
   ``DataFrame.mergeInto`` - update all on match, insert all otherwise;
-* a plain Parquet location: an increment whose keys are all new is written as
-  an append segment ``a=<n>`` (nothing stored is rewritten); otherwise a new
-  snapshot ``v=<n>`` = ``current LEFT ANTI source UNION ALL source`` is written
-  to a fresh sibling folder. An entry counts only once its ``_SUCCESS`` marker
-  exists; readers take the newest snapshot plus later segments. Nothing is
-  overwritten in place, so a crash or a lost executor mid-write leaves the
-  previous state intact and the retried job writes the next folder again.
+* a plain Parquet location: the increment is written once as a staged segment
+  ``a=<n>``; if all its keys are new it is committed as is (nothing stored is
+  rewritten), otherwise a new snapshot ``v=<n+1>`` = ``current LEFT ANTI staged
+  UNION ALL staged`` is written beside it. An entry counts only once its
+  ``_COMMITTED`` marker exists; readers take the newest snapshot plus later
+  segments. Nothing is overwritten in place, so a crash or a lost executor
+  mid-write leaves the previous state intact and a retry writes new folders.
 """
 
 from __future__ import annotations
@@ -44,11 +44,13 @@ def merge_result(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 # ---------------------------------------------------------------- path versions
-# A path table is a folder of committed entries: full snapshots "v=<n>" and
-# append segments "a=<n>" (one counter). The current content is the newest
-# snapshot plus every later segment. An entry counts once Spark's job commit has
-# written its _SUCCESS marker, so half-written folders are never read.
+# A path table is a folder of entries: full snapshots "v=<n>" and append segments
+# "a=<n>" (one counter). The current content is the newest snapshot plus every
+# later segment. An entry counts only once its _COMMITTED marker exists (written
+# after Spark's job commit and our checks), so half-written or rejected folders
+# are never read.
 _APPEND_PREFIX = "a="
+_COMMIT_MARKER = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,8 +59,7 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, kind) of committed entries, kind 'snapshot' or 'append', in order."""
+def _entries(spark: SparkSession, path: str, committed_only: bool) -> list[tuple[int, str]]:
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
         return []
@@ -68,11 +69,16 @@ def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
         name = st.getPath().getName()
         for prefix, kind in ((_VERSION_PREFIX, "snapshot"), (_APPEND_PREFIX, "append")):
             if st.isDirectory() and name.startswith(prefix):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _COMMIT_MARKER)):
                     out.append((int(name[len(prefix):]), kind))
     return sorted(out)
 
 
+def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, kind) of committed entries, kind 'snapshot' or 'append', in order."""
+    return _entries(spark, path, committed_only=True)
+
+
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of all committed entries (snapshots and append segments)."""
     return [n for n, _ in committed_entries(spark, path)]
@@ -97,12 +103,62 @@ def read_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(_current_paths(entries, path))
 
 
-def _write_version(df: DataFrame, path: str, version: int, fmt: str, kind: str = "snapshot") -> str:
-    out = version_path(path, version, kind)
+def _next_number(spark: SparkSession, path: str) -> int:
+    """Next entry number, past committed and abandoned folders alike."""
+    every = _entries(spark, path, committed_only=False)
+    return (every[-1][0] + 1) if every else 1
+
+
+def _write_entry(df: DataFrame, path: str, n: int, fmt: str, kind: str) -> str:
+    out = version_path(path, n, kind)
     df.write.format(fmt).mode("errorifexists").save(out)
     return out
 
 
+def _commit(spark: SparkSession, folder: str) -> None:
+    fs, jpath = _fs(spark, folder)
+    jvm = spark.sparkContext._jvm
+    fs.create(jvm.org.apache.hadoop.fs.Path(jpath, _COMMIT_MARKER), True).close()
+
+
+def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list[str], fmt: str, check: bool) -> str:
+    """Path form of the upsert: the increment is written once, as a staged segment.
+
+    The staged files are then the only copy of the increment anyone reads: the key
+    check and the overlap test read just their key columns, and a merge reads
+    them instead of re-running the increment's plan (a scoring UDF runs once). An
+    insert-only increment is committed in place as an append segment; otherwise
+    a merged snapshot is written and committed, and the staged folder stays
+    uncommitted (ignored by readers).
+    """
+    entries = committed_entries(spark, target)
+    current = spark.read.format(fmt).load(_current_paths(entries, target)) if entries else None
+    if current is None:
+        fs, jpath = _fs(spark, target)
+        if fs.exists(jpath) and fs.listStatus(jpath):
+            # A plain (unversioned) table at the path: its rows are the current content.
+            current = spark.read.format(fmt).load(target)
+    n = _next_number(spark, target)
+    staged_path = _write_entry(source if current is None else source.select(*current.columns), target, n, fmt, "append")
+    staged = spark.read.format(fmt).load(staged_path)
+    if check:
+        check_keys(staged, keys)
+    if current is None:
+        _commit(spark, staged_path)
+        return f"created:{n}"
+    # Insert-only increments (the normal case for incremental scoring, whose
+    # frames were anti-joined against the target) are appended: nothing already
+    # stored is rewritten. Only key columns are read; AQE broadcasts the
+    # increment's keys when they are small.
+    overlap = staged.select(*keys).join(current.select(*keys), keys, "left_semi").limit(1).count() > 0
+    if not overlap and entries:
+        _commit(spark, staged_path)
+        return f"appended:{n}"
+    out = _write_entry(merge_result(current, staged, keys), target, n + 1, fmt, "snapshot")
+    _commit(spark, out)
+    return f"versioned:{n + 1}"
+
+
 def _supports_merge(spark: SparkSession, table: str) -> bool:
     try:
         provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Provider").collect()
@@ -122,64 +178,43 @@ def upsert(
     """SNK-2 / SNK-3 / SNK-4: create on first write, else idempotent keyed upsert.
 
     ``target`` is a catalog table name or a storage path (contains '/').
-    Returns what was done: 'created', 'merged' or 'versioned:<n>'.
+    Returns what was done: 'created[:n]', 'appended:n', 'versioned:n' (paths) or
+    'created', 'merged', 'swapped' (catalog tables).
     """
     keys = list(keys)
-    # The increment is read several times (key check, anti join, union): cut its
-    # lineage once into the shared checkpoint folder so upstream work (a scoring
-    # UDF, above all) runs exactly once and survives executor loss.
+    if "/" in target:
+        return _upsert_path(spark, target, source, keys, fmt, check)
+    # Catalog table: the increment is read several times (key check, merge): cut
+    # its lineage once into the shared checkpoint folder so upstream work (a
+    # scoring UDF, above all) runs exactly once and survives executor loss.
     ensure_checkpoint_dir(spark)
     source = source.checkpoint(eager=True)
     if check:
         check_keys(source, keys)
-    if "/" not in target:
-        if not table_exists(spark, target):
-            source.write.format(fmt).saveAsTable(target)
-            return "created"
-        if _supports_merge(spark, target):
-            cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-            (
-                source.alias("s")
-                .mergeInto(target, F.expr(cond))
-                .whenMatched()
-                .updateAll()
-                .whenNotMatched()
-                .insertAll()
-                .merge()
-            )
-            return "merged"
-        # Plain catalog table (Parquet): stage the merged result as its own table,
-        # then swap names. Spark refuses to overwrite a table it is reading, and a
-        # crash between the two steps leaves the complete staged table behind.
-        staged = f"{target}__staged"
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        merge_result(spark.table(target), source, keys).write.format(fmt).saveAsTable(staged)
-        spark.sql(f"DROP TABLE {target}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
-        return "swapped"
-    entries = committed_entries(spark, target)
-    if not entries:
-        fs, jpath = _fs(spark, target)
-        if fs.exists(jpath):
-            # A plain (unversioned) table at the path: its rows are the current
-            # content; the merged result becomes the first version beside them.
-            plain = spark.read.format(fmt).load(target)
-            _write_version(merge_result(plain, source, keys), target, 1, fmt)
-        else:
-            _write_version(source, target, 1, fmt)
-        return "versioned:1"
-    current = spark.read.format(fmt).load(_current_paths(entries, target))
-    n = entries[-1][0] + 1
-    # Insert-only increments (the normal case for incremental scoring, whose
-    # frames were anti-joined against the target) are appended as a segment:
-    # nothing already stored is rewritten. The check reads only the key columns
-    # of the target; AQE broadcasts the increment's keys when they are small.
-    overlap = source.select(*keys).join(current.select(*keys), keys, "left_semi").limit(1).count() > 0
-    if not overlap:
-        _write_version(source.select(*current.columns), target, n, fmt, kind="append")
-        return f"appended:{n}"
-    _write_version(merge_result(current, source, keys), target, n, fmt)
-    return f"versioned:{n}"
+    if not table_exists(spark, target):
+        source.write.format(fmt).saveAsTable(target)
+        return "created"
+    if _supports_merge(spark, target):
+        cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+        (
+            source.alias("s")
+            .mergeInto(target, F.expr(cond))
+            .whenMatched()
+            .updateAll()
+            .whenNotMatched()
+            .insertAll()
+            .merge()
+        )
+        return "merged"
+    # Plain catalog table (Parquet): stage the merged result as its own table,
+    # then swap names. Spark refuses to overwrite a table it is reading, and a
+    # crash between the two steps leaves the complete staged table behind.
+    staged = f"{target}__staged"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    merge_result(spark.table(target), source, keys).write.format(fmt).saveAsTable(staged)
+    spark.sql(f"DROP TABLE {target}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    return "swapped"
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
@@ -191,8 +226,7 @@ def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """
     if "/" in target:
         spark = df.sparkSession
-        versions = committed_versions(spark, target)
-        _write_version(df, target, (versions[-1] + 1) if versions else 1, fmt)  # a new full snapshot
+        _commit(spark, _write_entry(df, target, _next_number(spark, target), fmt, "snapshot"))  # a new full snapshot
     else:
         df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
 

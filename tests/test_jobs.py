@@ -37,7 +37,8 @@ def test_stage_flows(spark, tmp_dir):
     jobs.ingest_frames(spark, raw, _decode, f"{lake}/frames", f"{lake}/jpg", frame_interval=30)
     assert jobs.read(spark, f"{lake}/frames").count() == 5          # re-ingest converges
 
-    assert jobs.register_features(spark, f"{lake}/frames", f"{lake}/features").startswith("versioned")
+    assert jobs.register_features(spark, f"{lake}/frames", f"{lake}/features") == "created:1"
+    assert jobs.register_features(spark, f"{lake}/frames", f"{lake}/features") == "versioned:3"
     assert jobs.read(spark, f"{lake}/features").columns == ["frame_id", "frame_path", "video_id", "timestamp_ms"]
 
     aliases = spark.createDataFrame([("det", "champion", "3")], "name string, alias string, version string")

@@ -19,14 +19,15 @@ def test_merge_result_updates_and_inserts(spark):
 def test_path_upsert_is_idempotent_and_versioned(spark, tmp_dir):
     path = f"{tmp_dir}/frames"
     first = _frames(spark, [("a", "v", 1), ("b", "v", 1)])
-    assert store.upsert(spark, path, first, ["frame_id"]) == "versioned:1"
+    assert store.upsert(spark, path, first, ["frame_id"]) == "created:1"
     inc = _frames(spark, [("b", "v", 2), ("c", "v", 2)])
-    store.upsert(spark, path, inc, ["frame_id"])
+    assert store.upsert(spark, path, inc, ["frame_id"]) == "versioned:3"
     once = sorted(tuple(r) for r in store.read_versioned(spark, path).collect())
-    store.upsert(spark, path, inc, ["frame_id"])
+    assert store.upsert(spark, path, inc, ["frame_id"]) == "versioned:5"
     twice = sorted(tuple(r) for r in store.read_versioned(spark, path).collect())
     assert once == twice == [("a", "v", 1), ("b", "v", 2), ("c", "v", 2)]
-    assert store.committed_versions(spark, path) == [1, 2, 3]
+    # staged increments that were merged stay uncommitted and unread
+    assert store.committed_entries(spark, path) == [(1, "append"), (3, "snapshot"), (5, "snapshot")]
 
 
 def test_insert_only_increment_is_appended(spark, tmp_dir):
@@ -36,25 +37,26 @@ def test_insert_only_increment_is_appended(spark, tmp_dir):
     assert store.upsert(spark, path, _frames(spark, [("c", "v", 1)]), ["frame_id"]) == "appended:3"
     assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b", "c"]
     # an overlapping increment folds everything into a new snapshot
-    assert store.upsert(spark, path, _frames(spark, [("b", "v", 9)]), ["frame_id"]) == "versioned:4"
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 9)]), ["frame_id"]) == "versioned:5"
     assert sorted(tuple(r) for r in store.read_versioned(spark, path).collect()) == [("a", "v", 1), ("b", "v", 9), ("c", "v", 1)]
-    assert store.committed_entries(spark, path) == [(1, "snapshot"), (2, "append"), (3, "append"), (4, "snapshot")]
+    assert store.committed_entries(spark, path) == [(1, "append"), (2, "append"), (3, "append"), (5, "snapshot")]
 
 
-def test_uncommitted_version_is_ignored(spark, tmp_dir):
+def test_uncommitted_entry_is_ignored(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
-    # a crashed writer leaves a folder without _SUCCESS
+    # a crashed writer leaves a folder without the commit marker
     _frames(spark, [("zzz", "v", 9)]).write.parquet(store.version_path(path, 2))
-    import os
-    os.remove(os.path.join(store.version_path(path, 2), "_SUCCESS"))
     assert [r[0] for r in store.read_versioned(spark, path).collect()] == ["a"]
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 1)]), ["frame_id"]) == "appended:3"
+    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b"]
 
 
 @pytest.mark.parametrize("rows", [[("a", "v", 1), ("a", "v", 2)], [(None, "v", 1)]])
 def test_upsert_rejects_duplicate_or_null_keys(spark, tmp_dir, rows):
     with pytest.raises(ValueError):
         store.upsert(spark, f"{tmp_dir}/x", _frames(spark, rows), ["frame_id"])
+    assert store.read_versioned(spark, f"{tmp_dir}/x") is None  # rejected increment never committed
 
 
 def test_catalog_table_create_then_swap(spark):
