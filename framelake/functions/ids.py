@@ -42,13 +42,23 @@ def frame_id_from_path(frame_id: Column | str, path: Column | str) -> Column:
 
 
 def frame_id(video_id: Column | str, frame_number: Column | str) -> Column:
-    """SCL-1: '{video_id}__{frame_number:06d}' (at least six digits, never cut)."""
-    return F.format_string("%s__%06d", _c(video_id), _c(frame_number).cast("long"))
+    """SCL-1: '{video_id}__{frame_number:06d}' (at least six digits, never cut).
+
+    ``lpad`` cuts longer numbers, so it is used only below 10**6; negative numbers
+    (not produced by a decoder) keep printf's sign handling.
+    """
+    n = _c(frame_number).cast("long")
+    digits = (
+        F.when((n >= 0) & (n < 1000000), F.lpad(n.cast("string"), 6, "0"))
+        .when(n >= 1000000, n.cast("string"))
+        .otherwise(F.format_string("%06d", n))
+    )
+    return F.concat(_c(video_id), F.lit("__"), digits)
 
 
 def frame_path(out_dir: str, video_id: Column | str, fid: Column | str) -> Column:
     """SCL-4: '{out_dir}/{video_id}/{frame_id}.jpg'."""
-    return F.format_string(out_dir.rstrip("/") + "/%s/%s.jpg", _c(video_id), _c(fid))
+    return F.concat(F.lit(out_dir.rstrip("/") + "/"), _c(video_id), F.lit("/"), _c(fid), F.lit(".jpg"))
 
 
 def truncate_ms(pos_ms: Column | str) -> Column:

@@ -10,13 +10,14 @@ from framelake.operators.contracts import require_positive_int
 from framelake.operators.sequence import number_within
 
 
-def listing(files: DataFrame, path_col: str = "path") -> DataFrame:
+def listing(files: DataFrame, path_col: str = "path", keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC-1 / SCL-2 / SCL-6 / ORD-6 on a file table: supported videos, sorted by name."""
     name = ids.base_name(path_col)
     return (
-        files.select(F.col(path_col).alias("path"), name.alias("file_name"))
+        files.select(F.col(path_col).alias("path"), name.alias("file_name"), *keep)
         .filter(ids.has_video_suffix("file_name"))
         .withColumn("video_id", ids.stem("file_name"))
+        .select("path", "file_name", "video_id", *keep)
         .orderBy("file_name", "path")
     )
 

@@ -49,10 +49,19 @@ def list_videos(spark: SparkSession, raw_videos_dir: str) -> DataFrame:
         .load(raw_videos_dir)
         .select("path", "length", "modificationTime")
     )
-    out = listing(files)
-    return out.join(files.select("path", "length"), "path").select("path", "file_name", "video_id", "length").orderBy(
-        "file_name", "path"
-    )
+    return listing(files, keep=("length",))
+
+
+def _one_item_per_task(df: DataFrame) -> DataFrame:
+    """Spread work items (files, frame ranges) evenly, one per task where possible.
+
+    A path row is a few bytes, so AQE, which sizes partitions by bytes, would put
+    thousands of videos in one task; an explicit count (round robin) prevents that.
+    The count job only reads the small item table.
+    """
+    spark = df.sparkSession
+    cap = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(1, min(df.count(), cap)))
 
 
 def decode_videos(
@@ -76,7 +85,7 @@ def decode_videos(
     spread = files.select(F.col(path_col).alias("path"), ids.video_id_from_path(path_col).alias("video_id"))
     names = [f.name for f in DECODED_SCHEMA.fields]
     if frames_per_task is None:
-        spread = spread.repartition("path")
+        spread = _one_item_per_task(spread)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -99,7 +108,7 @@ def decode_videos(
     ranges = counted.select(
         "path", "video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("start"), "_n"
     ).withColumn("end", F.least(F.col("start") + step, F.col("_n")))
-    ranges = ranges.repartition("path", "start")
+    ranges = _one_item_per_task(ranges)
 
     def run_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
