@@ -126,6 +126,13 @@ def _metrics(spark, d) -> DataFrame:
     return monitor.detections_metrics(fx.detections_fx(spark, d))
 
 
+def _metrics_table(spark, d) -> DataFrame:
+    """The metrics snapshot as the monitoring stage sees it: written once (SNK-7 in
+    the reference flow), then read by the baseline, profile and drift plans. Here
+    it is a checkpoint in the shared checkpoint folder."""
+    return materialize(_metrics(spark, d))
+
+
 def detections_metrics(spark, d):
     m = _metrics(spark, d)
     return m.select("frame_id", "video_id", "inferred_at", "n_detections", r6("avg_conf").alias("avg_conf"))
@@ -253,18 +260,18 @@ def decision_tags(spark, d):
 
 
 def baseline_window(spark, d):
-    b = monitor.baseline(_metrics(spark, d))
+    b = monitor.baseline(_metrics_table(spark, d))
     return b.select("frame_id", "video_id", "inferred_at", "n_detections", r6("avg_conf").alias("avg_conf"))
 
 
 def daily_profile(spark, d):
-    p = monitor.profile(_metrics(spark, d))
+    p = monitor.profile(_metrics_table(spark, d))
     dbl = ["mean", "stddev", "min", "max", "p25", "p50", "p75"]
     return p.select("window_start", "column_name", "n", "n_null", "n_distinct", *[r6(c).alias(c) for c in dbl])
 
 
 def _drift(spark, d) -> DataFrame:
-    m = _metrics(spark, d)
+    m = _metrics_table(spark, d)
     return monitor.drift(m, monitor.baseline(m))
 
 
