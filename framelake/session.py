@@ -48,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Only a session without that setting (a local test) gets a fresh
     scratch folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns checkpointing
+        return spark.conf.get(CHECKPOINT_CONF, None) or ""
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="framelake-ckpt-")
@@ -82,7 +85,10 @@ def ship_to_workers(spark: SparkSession, *extra_paths: str) -> None:
     cluster, install the package on the executors (or ship it with --py-files).
     """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    env = spark.sparkContext.environment
+    try:
+        env = spark.sparkContext.environment
+    except Exception:  # Spark Connect: install the package on the server side instead
+        return
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     for p in (root, *extra_paths):
         if p not in have:
