@@ -122,6 +122,8 @@ def batch_inference(
         todo = scoring.spread_for_model(todo, rows_per_task, pending)
     detections = scoring.with_provenance(scoring.score(todo, input_col, predictor), version, alias)
     store.upsert(spark, detections_target, detections, [FRAME_KEY])
+    if "/" in detections_target:
+        store.compact(spark, detections_target)  # keeps the number of segments bounded
     return pending
 
 

@@ -217,6 +217,25 @@ def upsert(
     return "swapped"
 
 
+def compact(spark: SparkSession, target: str, max_segments: int = 32, fmt: str = "parquet") -> str | None:
+    """Fold the newest snapshot and its append segments into one new snapshot.
+
+    Incremental runs add one segment each; past ``max_segments`` a reader would list
+    and open too many small folders, so the current content is rewritten once as
+    a snapshot (committed like any other entry; readers switch atomically).
+    Returns the new entry, or None when compaction is not needed.
+    """
+    entries = committed_entries(spark, target)
+    current_paths = _current_paths(entries, target)
+    segments = [n for n, k in entries if k == "append" and version_path(target, n, k) in current_paths]
+    if len(segments) <= max_segments:
+        return None
+    n = _next_number(spark, target)
+    out = _write_entry(spark.read.format(fmt).load(current_paths), target, n, fmt, "snapshot")
+    _commit(spark, out)
+    return f"compacted:{n}"
+
+
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """SNK-7: snapshot overwrite with schema replacement.
 

@@ -42,6 +42,18 @@ def test_insert_only_increment_is_appended(spark, tmp_dir):
     assert store.committed_entries(spark, path) == [(1, "append"), (2, "append"), (3, "append"), (5, "snapshot")]
 
 
+def test_compaction_folds_segments(spark, tmp_dir):
+    path = f"{tmp_dir}/c"
+    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
+    for k in "bcd":
+        store.upsert(spark, path, _frames(spark, [(k, "v", 1)]), ["frame_id"])
+    assert store.compact(spark, path, max_segments=5) is None
+    assert store.compact(spark, path, max_segments=2) == "compacted:5"
+    assert store.committed_entries(spark, path)[-1] == (5, "snapshot")
+    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b", "c", "d"]
+    assert store.compact(spark, path, max_segments=2) is None
+
+
 def test_uncommitted_entry_is_ignored(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
