@@ -10,8 +10,11 @@ a slice can continue from an earlier slice, so the correction table has at most
 ``partitions - 1`` rows: a proven bound, which is what makes its broadcast safe.
 
 Plan shape: Exchange(rangepartitioning) -> Sort -> MapInPandas (local numbers)
-left-joined with a broadcast of the correction table, which is computed by a
-partial/final aggregate over the same (reused) exchange.
+left-joined with a broadcast of the correction table. The correction branch reads
+the same range exchange (ReusedExchange), re-runs the cheap local pass and
+reduces it with a partial/final count per (slice, group). Sharing the exchange is
+what makes slice boundaries identical in both branches; two separate range
+exchanges would sample different boundaries.
 """
 
 from __future__ import annotations
