@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.operators.sequence import number_within
+from framelake.operators.sequence import cap_within, number_within
 from framelake.schemas import BOX_TYPE, DETECT_MAX_BOXES, METRIC_NAME_MAP
 
 # --- fixed values of the fixtures (mirror FIXTURES.md) ------------------------
@@ -79,17 +79,16 @@ def detections_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested detections per order-frame; NULL boxes without lineitems, empty for k % 97 = 0.
 
     Detector output holds at most ``DETECT_MAX_BOXES`` boxes per frame (ARR-7), so
-    the boxes of a frame are ranked (skew-safe numbering: an order holding a third
-    of all lineitems is still spread over many tasks) and only the best 300 are
-    gathered: every collected group is bounded by the detector contract.
+    only the best 300 boxes of a frame are gathered (``cap_within``: frames above
+    the cap are ranked by the skew-safe numbering, so an order holding a third of
+    all lineitems is still spread over many tasks): every collected group is
+    bounded by the detector contract.
     """
     from framelake.functions.boxes import sort_boxes
 
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % EMPTY_FRAME_MOD != 0)
     b = li.select(F.col("l_orderkey").alias("k"), _box_struct().alias("b")).select("k", "b.*")
-    ranked = number_within(
-        b, ["k"], [F.col("conf").desc(), "x1", "y1", "x2", "y2", "cls"], out="_r"
-    ).filter(F.col("_r") <= DETECT_MAX_BOXES)
+    ranked = cap_within(b, ["k"], [F.col("conf").desc(), "x1", "y1", "x2", "y2", "cls"], DETECT_MAX_BOXES)
     box = F.struct(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "conf", "cls")])
     per_frame = ranked.groupBy("k").agg(F.collect_list(box).alias("bx"))
     orders = table(spark, sf_dir, "orders").select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions import ids
 from framelake.operators.contracts import require_positive_int
-from framelake.operators.sequence import number_within
+from framelake.operators.sequence import cap_within
 
 
 def listing(files: DataFrame, path_col: str = "path", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -54,12 +54,12 @@ def cap_per_video(frames: DataFrame, max_frames: int) -> DataFrame:
     """FLT-5 for any manifest (frame numbers may have gaps): the first ``max_frames``
     frames of each video by frame number.
 
-    Numbered with the skew-safe sequence operator: a long video is split over
+    Videos with at most ``max_frames`` frames pass untouched; longer ones are
+    numbered with the skew-safe sequence operator, so a long video is split over
     many tasks instead of landing in one window partition.
     """
     require_positive_int("max_frames", max_frames)
-    numbered = number_within(frames, ["video_id"], ["frame_number"], out="_k")
-    return numbered.filter(F.col("_k") <= max_frames).drop("_k")
+    return cap_within(frames, ["video_id"], ["frame_number"], max_frames)
 
 
 def with_extracted_at(manifest: DataFrame) -> DataFrame:

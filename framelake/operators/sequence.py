@@ -152,3 +152,34 @@ def number_within(
             F.when(F.col(_OFF).isNotNull(), F.col(f"_fl_cf_{c}")).otherwise(F.col(f"_fl_first_{c}")).alias(f"first_{c}")
         )
     return joined.select(*result_cols)
+
+
+def cap_within(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column | str],
+    k: int,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Rows ranked ``<= k`` inside each group (ties broken by ``order``), skew-safe.
+
+    A partial/final count per group finds the groups holding more than ``k`` rows.
+    Every other group is kept whole: its rows cannot rank above ``k``, so they
+    need no ordering at all. Only the rows of the larger groups are numbered
+    with ``number_within``, which spreads a hot group over many tasks. The
+    large-group keys reach the row side through a NULL-safe semi/anti join that
+    AQE broadcasts when it measures the key table small (the usual case: few or
+    no groups above the cap).
+    """
+    by = list(by)
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_fl_n"))
+    heavy = counts.filter(F.col("_fl_n") > k).select(*[F.col(c).alias(f"_fl_h_{c}") for c in by])
+    cond = None
+    for c in by:
+        term = F.col(c).eqNullSafe(F.col(f"_fl_h_{c}"))
+        cond = term if cond is None else cond & term
+    light_rows = df.join(heavy, cond, "left_anti")
+    heavy_rows = df.join(heavy, cond, "left_semi")
+    capped = number_within(heavy_rows, by, order, out="_fl_k", partitions=partitions)
+    capped = capped.filter(F.col("_fl_k") <= k).drop("_fl_k")
+    return light_rows.unionByName(capped)

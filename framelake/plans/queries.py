@@ -166,20 +166,30 @@ def boxes_topk(spark, d):
 
 
 def box_totals(spark, d):
+    """AGG-6, AGG-7, JOI-7 in one pass: totals and the top frame with its path
+    (``min_by`` over a struct carrying the path; ``monitor.top_frame`` is the
+    join form for a separate frames table)."""
     det = fx.detections_fx(spark, d)
-    m = monitor.detections_metrics(det)
-    paths = det.select("frame_id", F.format_string("/frames/%s/%s.jpg", "video_id", "frame_id").alias("frame_path"))
-    top = monitor.top_frame(m, paths).select(F.struct("frame_id", "n_detections", "frame_path")).scalar()
-    return m.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("n_detections").cast("long").alias("total_boxes")).select(
-        "*",
-        top["frame_id"].alias("top_frame_id"),
-        top["n_detections"].alias("top_n"),
-        top["frame_path"].alias("top_frame_path"),
+    m = det.select(
+        "frame_id",
+        F.format_string("/frames/%s/%s.jpg", "video_id", "frame_id").alias("frame_path"),
+        bx.n_detections("boxes").alias("n_detections"),
+    )
+    top = F.min_by(F.struct("frame_id", "n_detections", "frame_path"), F.struct(-F.col("n_detections"), F.col("frame_id")))
+    return m.agg(
+        F.count(F.lit(1)).alias("n_frames"), F.sum("n_detections").cast("long").alias("total_boxes"), top.alias("_top")
+    ).select(
+        "n_frames",
+        "total_boxes",
+        F.col("_top.frame_id").alias("top_frame_id"),
+        F.col("_top.n_detections").alias("top_n"),
+        F.col("_top.frame_path").alias("top_frame_path"),
     )
 
 
 def box_contract(spark, d):
-    det = fx.detections_fx(spark, d)
+    # A contract check reads the stored detections table several times: written once here.
+    det = materialize(fx.detections_fx(spark, d))
     c = contracts.box_contract(det)
     rc = contracts.row_count_check(det, monitor.detections_metrics(det), "frame_id")
     counts = rc.select(F.struct(*rc.columns)).scalar()  # one row, one subquery

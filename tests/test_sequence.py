@@ -54,3 +54,14 @@ def test_empty_input_and_global_numbering(spark):
     df = spark.range(0, 2000).withColumn("v", (F.col("id") * 7919) % 2000)
     got = number_within(df, [], ["v"], out="rn", partitions=9)
     assert got.filter(F.col("rn") != F.col("v") + 1).count() == 0
+
+
+@pytest.mark.parametrize("k", [7, 50])
+def test_cap_within_matches_window_filter(spark, k):
+    from framelake.operators.sequence import cap_within
+
+    df = _data(spark, n=2500, seed=9)  # one hot group, ~40 groups of ~30 rows, a NULL group
+    got = cap_within(df, ["g"], ["t", "id"], k, partitions=6)
+    w = Window.partitionBy("g").orderBy("t", "id")
+    ref = df.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
