@@ -174,3 +174,32 @@ def setup_monitoring(
     store.overwrite(base, baseline_target)
     monitor.refresh_monitor(spark, written, read(spark, baseline_target), monitor_target)
     return cutoff
+
+
+def log_runs(spark: SparkSession, runs_target: str, runs: DataFrame) -> str:
+    """Stage 03 (REG-1): record runs (status, params, tags, metrics); re-logging a run
+    replaces its row."""
+    return store.upsert(spark, runs_target, runs, ["run_id"])
+
+
+def register_model_versions(
+    spark: SparkSession,
+    versions_target: str,
+    aliases_target: str,
+    new_runs: DataFrame,
+    alias: str | None = None,
+) -> DataFrame:
+    """Stage 03 (REG-2, REG-3): register a version for each new (name, run_id) and
+    optionally point ``alias`` at each model's newest registered version.
+
+    Versions continue each model's integer sequence; the new rows are returned.
+    """
+    current = read(spark, versions_target)
+    if current is None:
+        current = spark.createDataFrame([], "name string, run_id long, version string")
+    registered = materialize(registry.register_versions(current, new_runs))
+    store.upsert(spark, versions_target, registered, ["name", "version"])
+    if alias:
+        newest = registered.groupBy("name").agg(F.max(F.col("version").cast("long")).cast("string").alias("version"))
+        store.upsert(spark, aliases_target, newest.select("name", F.lit(alias).alias("alias"), "version"), ["name", "alias"])
+    return registered

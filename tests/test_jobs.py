@@ -78,3 +78,18 @@ def test_promotion_flow_is_idempotent(spark, tmp_dir):
     tags = {r["run_id"]: r["tags"].get("promotion_decision") for r in jobs.read(spark, paths["runs"]).collect()}
     assert tags == {1: None, 2: "kept_champion", 3: "kept_champion"}
     assert committed_entries(spark, paths["aliases"])[-1][1] == "snapshot"
+
+
+def test_log_and_register_versions(spark, tmp_dir):
+    t = datetime(2024, 1, 1)
+    runs = spark.createDataFrame([("m", 1, "FINISHED", t, {}, {}, {"mAP50": 0.5})],
+                                 "name string, run_id long, status string, start_time timestamp, "
+                                 "params map<string,string>, tags map<string,string>, metrics map<string,double>")
+    assert jobs.log_runs(spark, f"{tmp_dir}/runs", runs).startswith("created")
+    new = spark.createDataFrame([("m", 1), ("m", 2), ("n", 5)], "name string, run_id long")
+    reg = jobs.register_model_versions(spark, f"{tmp_dir}/versions", f"{tmp_dir}/aliases", new, alias="champion")
+    assert sorted(tuple(r) for r in reg.collect()) == [("m", 1, "1"), ("m", 2, "2"), ("n", 5, "1")]
+    more = spark.createDataFrame([("m", 9)], "name string, run_id long")
+    jobs.register_model_versions(spark, f"{tmp_dir}/versions", f"{tmp_dir}/aliases", more, alias="champion")
+    assert sorted(tuple(r) for r in jobs.read(spark, f"{tmp_dir}/aliases").collect()) == [("m", "champion", "3"), ("n", "champion", "1")]
+    assert jobs.read(spark, f"{tmp_dir}/versions").count() == 4

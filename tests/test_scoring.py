@@ -93,3 +93,37 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 1024**4, 8000, image_scoring=True)
     assert int(conf["spark.sql.shuffle.partitions"]) > 500_000 // 1
     assert conf["spark.sql.execution.arrow.maxRecordsPerBatch"] == "64"
+
+
+class LoadCountingPredictor(scoring.Predictor):
+    """Records every model load with the loading process id."""
+
+    def __init__(self, log_dir):
+        self.log_dir = log_dir
+        self.key = f"count-loads:{log_dir}"
+
+    def load(self):
+        import os
+
+        with open(os.path.join(self.log_dir, f"load-{os.getpid()}"), "a") as fh:
+            fh.write("x\n")
+        return {}
+
+    def predict(self, model, inputs):
+        return [[] for _ in inputs]
+
+
+def test_model_loaded_once_per_worker_process(spark, tmp_dir):
+    import os
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        frames = spark.range(0, 400).selectExpr("cast(id as string) as p").repartition(16)
+        scored = scoring.score(frames, "p", LoadCountingPredictor(tmp_dir))
+        scored.write.format("noop").mode("overwrite").save()  # count() alone would prune the UDF
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    logs = [f for f in os.listdir(tmp_dir) if f.startswith("load-")]
+    assert logs  # at least one worker loaded it
+    for f in logs:  # 80 batches over 16 tasks, yet one load per process
+        assert open(os.path.join(tmp_dir, f)).read() == "x\n"
