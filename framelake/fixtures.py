@@ -122,13 +122,12 @@ def raw_results_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("FAILED")
     )
     precision = F.concat(F.lit("0."), F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"))
-    raw = F.map_filter(
-        F.create_map(
-            F.lit("metrics/mAP50(B)"), _map50_raw(),
-            F.lit("metrics/precision(B)"), precision,
-            F.lit("fitness"), F.col("o_orderpriority"),
-        ),
-        lambda k, v: v.isNotNull(),
+    # A missing result key is absent from the map (not a NULL value).
+    empty = F.create_map().cast("map<string,string>")
+    map50 = _map50_raw()
+    raw = F.map_concat(
+        F.when(map50.isNotNull(), F.create_map(F.lit("metrics/mAP50(B)"), map50)).otherwise(empty),
+        F.create_map(F.lit("metrics/precision(B)"), precision, F.lit("fitness"), F.col("o_orderpriority")),
     )
     return o.select(
         F.format_string("det_%d", F.col("o_custkey") % MODELS).alias("name"),

@@ -25,14 +25,16 @@ def _c(col: Column | str) -> Column:
 def clean_metrics(results: Column | str, name_map: dict[str, str]) -> Column:
     """SCL-8: keep the mapped keys, rename them, keep numeric values only, as DOUBLE.
 
-    Per-row higher-order map functions: no explode, no shuffle.
+    The key set is fixed, so the clean map is a ``map_concat`` of one-entry maps,
+    each present only when its raw value parses as a number. Plain expressions:
+    no explode, no shuffle, and it stays inside whole-stage codegen.
     """
-    keys = list(name_map)
-    rename = F.create_map(*[x for k, v in name_map.items() for x in (F.lit(k), F.lit(v))])
-    kept = F.map_filter(_c(results), lambda k, v: k.isin(keys))
-    renamed = F.transform_keys(kept, lambda k, v: F.element_at(rename, k))
-    typed = F.transform_values(renamed, lambda k, v: v.try_cast("double"))
-    return F.map_filter(typed, lambda k, v: v.isNotNull())
+    empty = F.create_map().cast("map<string,double>")
+    parts = []
+    for raw, clean in name_map.items():
+        value = F.try_element_at(_c(results), F.lit(raw)).try_cast("double")
+        parts.append(F.when(value.isNotNull(), F.create_map(F.lit(clean), value)).otherwise(empty))
+    return F.map_concat(*parts)
 
 
 def get_metric(metrics: Column | str, metric: str = DEFAULT_METRIC) -> Column:
