@@ -91,6 +91,28 @@ def _local_numbering(by: Sequence[str], first: Sequence[str]):
     return run
 
 
+_SLICE_BYTES = 128 * 1024 * 1024
+_MAX_SLICES = 200_000
+
+
+def default_slices(df: DataFrame) -> int:
+    """Slice count: the shuffle partitions, or more when the input is large.
+
+    About one slice per 128 MB of the bytes the plan reads (the summed size of its
+    leaf scans), so a 100 TB input is not cut into only 200 slices. Leaf sizes are
+    measured file sizes; a join's own estimate (a product of its inputs without
+    cost-based statistics) is not used. Capped so the correction table stays small.
+    """
+    p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        p = max(p, min(_MAX_SLICES, size // _SLICE_BYTES + 1))
+    except Exception:  # no plan statistics available (e.g. Spark Connect): keep the setting
+        pass
+    return p
+
+
 def _as_sort(c: Column | str) -> Column:
     return F.col(c).asc_nulls_first() if isinstance(c, str) else c
 
@@ -114,7 +136,7 @@ def number_within(
     spark = df.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         raise RuntimeError("number_within needs spark.sql.exchange.reuse=true (one range exchange feeds both branches)")
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = partitions or default_slices(df)
     sort_keys = [F.col(c).asc_nulls_first() for c in by] + [_as_sort(o) for o in order]
 
     ranged = df.repartitionByRange(p, *sort_keys).sortWithinPartitions(*sort_keys).withColumn(

@@ -65,3 +65,16 @@ def test_cap_within_matches_window_filter(spark, k):
     w = Window.partitionBy("g").orderBy("t", "id")
     ref = df.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+
+
+def test_default_slices_follow_input_size(spark):
+    from framelake.operators.sequence import default_slices
+
+    small = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    assert default_slices(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = small.join(small.select("l_orderkey"), "l_orderkey")  # a product estimate must not count
+    assert default_slices(joined) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    many = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    for _ in range(7):  # 2**7 copies of a ~10 MB scan: the leaves add up past 8 slices of 128 MB
+        many = many.unionByName(many)
+    assert default_slices(many) > int(spark.conf.get("spark.sql.shuffle.partitions"))
