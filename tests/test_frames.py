@@ -86,3 +86,17 @@ def test_raw_features_dedup_newest_and_model_features(spark):
     metrics = spark.createDataFrame([("a", 3, 0.5)], "frame_id string, n_detections int, avg_conf double")
     mf = {r["frame_id"]: (r["detection_count"], r["mean_confidence"]) for r in features.with_model_features(feats, metrics).collect()}
     assert mf == {"a": (3, 0.5), "b": (None, None)}
+
+
+def test_preview_pending_and_table_reads(spark, tmp_dir):
+    from framelake.operators.scoring import pending_count
+    from framelake.sources.files import read_table
+
+    f = spark.createDataFrame([(f"v__{i:06d}", "v", f"/p/{i}") for i in range(30)], "frame_id string, video_id string, frame_path string")
+    assert frames.preview(f).count() == 10
+    scored = f.limit(12).select("frame_id")
+    assert pending_count(f) == 30 and pending_count(f, scored) == 18
+    f.write.parquet(f"{tmp_dir}/m")
+    assert read_table(spark, f"{tmp_dir}/m").count() == 30
+    f.createOrReplaceTempView("fl_frames_view")
+    assert read_table(spark, "fl_frames_view").count() == 30
