@@ -103,10 +103,15 @@ def default_slices(df: DataFrame) -> int:
     measured file sizes; a join's own estimate (a product of its inputs without
     cost-based statistics) is not used. Capped so the correction table stays small.
     """
-    p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    p = int(conf.get("spark.sql.shuffle.partitions"))
     try:
+        unknown = int("".join(ch for ch in str(conf.get("spark.sql.defaultSizeInBytes")) if ch.isdigit()))
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        # A leaf without statistics (a checkpoint, an RDD) reports the "unknown"
+        # default; it carries no information and must not inflate the count.
+        size = sum(x for x in sizes if x < unknown)
         p = max(p, min(_MAX_SLICES, size // _SLICE_BYTES + 1))
     except Exception:  # no plan statistics available (e.g. Spark Connect): keep the setting
         pass

@@ -78,3 +78,7 @@ def test_default_slices_follow_input_size(spark):
     for _ in range(7):  # 2**7 copies of a ~10 MB scan: the leaves add up past 8 slices of 128 MB
         many = many.unionByName(many)
     assert default_slices(many) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from framelake.session import materialize
+
+    ckpt = materialize(small.limit(100))  # no size statistics: falls back to the setting
+    assert default_slices(ckpt) == int(spark.conf.get("spark.sql.shuffle.partitions"))
