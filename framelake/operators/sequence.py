@@ -108,10 +108,17 @@ def default_slices(df: DataFrame) -> int:
     try:
         unknown = int("".join(ch for ch in str(conf.get("spark.sql.defaultSizeInBytes")) if ch.isdigit()))
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-        # A leaf without statistics (a checkpoint, an RDD) reports the "unknown"
-        # default; it carries no information and must not inflate the count.
-        size = sum(x for x in sizes if x < unknown)
+        size = 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            # Only measured sizes count: file/table scans and local data. RDD leaves
+            # (checkpoints) report either the "unknown" default or an estimate
+            # inherited from their original plan, neither of which is measured.
+            if "RDD" in leaf.getClass().getSimpleName():
+                continue
+            x = int(str(leaf.stats().sizeInBytes()))
+            if x < unknown:
+                size += x
         p = max(p, min(_MAX_SLICES, size // _SLICE_BYTES + 1))
     except Exception:  # no plan statistics available (e.g. Spark Connect): keep the setting
         pass
