@@ -68,13 +68,6 @@ def _box_struct() -> F.Column:
     )
 
 
-def boxes_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat boxes: an order is a frame, its lineitems are boxes."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % EMPTY_FRAME_MOD != 0)
-    frame = F.format_string("order_%d__%06d", "l_orderkey", F.lit(0)).alias("frame_id")
-    return li.select(frame, _box_struct().alias("b")).select("frame_id", "b.*")
-
-
 def detections_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested detections per order-frame; NULL boxes without lineitems, empty for k % 97 = 0.
 
@@ -196,6 +189,6 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
-    "table", "files_fx", "decoded_fx", "frames_fx", "scored_fx", "boxes_fx", "detections_fx",
+    "table", "files_fx", "decoded_fx", "frames_fx", "scored_fx", "detections_fx",
     "raw_results_fx", "runs_fx", "versions_fx", "aliases_fx", "embeddings",
 ]
