@@ -82,3 +82,15 @@ def test_default_slices_follow_input_size(spark):
 
     ckpt = materialize(small.limit(100))  # no size statistics: falls back to the setting
     assert default_slices(ckpt) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_numbering_without_aqe(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = _data(spark, n=1200, seed=21)
+        got = number_within(df, ["g"], ["t", "id"], out="rn", partitions=11)
+        w = Window.partitionBy("g").orderBy("t", "id")
+        ref = df.select("id", F.row_number().over(w).alias("rn2"))
+        assert got.join(ref, "id").filter(F.col("rn") != F.col("rn2")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
