@@ -42,6 +42,8 @@ def read(spark: SparkSession, target: str) -> DataFrame | None:
     versioned = store.read_versioned(spark, target)
     if versioned is not None:
         return versioned
+    if store.has_entries(spark, target):
+        return None  # our layout, nothing committed yet (e.g. a rejected first write)
     fs, p = store._fs(spark, target)
     return spark.read.parquet(target) if fs.exists(p) else None
 

@@ -79,6 +79,11 @@ def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return _entries(spark, path, committed_only=True)
 
 
+def has_entries(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` uses the entry layout at all (committed or not)."""
+    return bool(_entries(spark, path, committed_only=False))
+
+
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of all committed entries (snapshots and append segments)."""
     return [n for n, _ in committed_entries(spark, path)]
@@ -133,10 +138,11 @@ def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list
     """
     entries = committed_entries(spark, target)
     current = spark.read.format(fmt).load(_current_paths(entries, target)) if entries else None
-    if current is None:
+    if current is None and not has_entries(spark, target):
         fs, jpath = _fs(spark, target)
         if fs.exists(jpath) and fs.listStatus(jpath):
             # A plain (unversioned) table at the path: its rows are the current content.
+            # (Uncommitted entry folders alone, e.g. a rejected first write, are not.)
             current = spark.read.format(fmt).load(target)
     n = _next_number(spark, target)
     staged_path = _write_entry(source if current is None else source.select(*current.columns), target, n, fmt, "append")

@@ -93,3 +93,16 @@ def test_log_and_register_versions(spark, tmp_dir):
     jobs.register_model_versions(spark, f"{tmp_dir}/versions", f"{tmp_dir}/aliases", more, alias="champion")
     assert sorted(tuple(r) for r in jobs.read(spark, f"{tmp_dir}/aliases").collect()) == [("m", "champion", "3"), ("n", "champion", "1")]
     assert jobs.read(spark, f"{tmp_dir}/versions").count() == 4
+
+
+def test_ingest_refuses_two_files_with_one_video_id(spark, tmp_dir):
+    import pytest
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    for n in ["a.mp4", "a.MOV"]:
+        with open(os.path.join(raw, n), "wb") as fh:
+            fh.write(b"x")
+    with pytest.raises(ValueError, match="unique"):
+        jobs.ingest_frames(spark, raw, _decode, f"{tmp_dir}/frames", f"{tmp_dir}/jpg")
+    assert jobs.read(spark, f"{tmp_dir}/frames") is None  # nothing committed

@@ -69,6 +69,9 @@ def test_upsert_rejects_duplicate_or_null_keys(spark, tmp_dir, rows):
     with pytest.raises(ValueError):
         store.upsert(spark, f"{tmp_dir}/x", _frames(spark, rows), ["frame_id"])
     assert store.read_versioned(spark, f"{tmp_dir}/x") is None  # rejected increment never committed
+    # the next valid write starts clean: the rejected rows are never read back
+    assert store.upsert(spark, f"{tmp_dir}/x", _frames(spark, [("z", "v", 3)]), ["frame_id"]).startswith("created")
+    assert [tuple(r) for r in store.read_versioned(spark, f"{tmp_dir}/x").collect()] == [("z", "v", 3)]
 
 
 def test_catalog_table_create_then_swap(spark):
