@@ -35,7 +35,8 @@ def score_new_frames(
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         current = read_versioned(spark, detections_path)
-        todo = unscored(batch, current)
+        # A frame listed twice in one micro batch (two files) is one frame: score it once.
+        todo = unscored(batch.dropDuplicates(["frame_id"]), current)
         pending = todo.count()
         if pending == 0:
             return

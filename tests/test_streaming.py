@@ -25,6 +25,7 @@ def test_stream_scores_new_frames_once(spark, tmp_dir):
     q.awaitTermination(120)
     assert read_versioned(spark, out).count() == 5
     spark.createDataFrame([(f"b__{i:06d}", "b", f"/b/{i}.jpg") for i in range(3)] + [("a__000000", "a", "/a/0.jpg")], SCHEMA).write.parquet(f"{src}/b2")
+    spark.createDataFrame([("b__000001", "b", "/b/1.jpg")], SCHEMA).write.parquet(f"{src}/b3")  # listed twice
     q = score_new_frames(spark, f"{src}/*", schema, out, "frame_path", LenPredictor(), "2", "champion", name="t-stream")
     q.awaitTermination(120)
     det = read_versioned(spark, out)
