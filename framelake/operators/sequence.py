@@ -107,7 +107,7 @@ def default_slices(df: DataFrame) -> int:
     p = int(conf.get("spark.sql.shuffle.partitions"))
     try:
         unknown = int("".join(ch for ch in str(conf.get("spark.sql.defaultSizeInBytes")) if ch.isdigit()))
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
         size = 0
         for i in range(leaves.size()):
             leaf = leaves.apply(i)

@@ -255,7 +255,9 @@ def promotion_gate(spark, d):
 
 
 def alias_moves(spark, d):
-    reg = _registry(spark, d)
+    runs, versions, aliases = _registry(spark, d)
+    # The alias table is both read by the gate and merged into: written once.
+    reg = (runs, versions, materialize(aliases))
     # One row per model, read by both sides of the merge: computed once.
     decisions = materialize(_decisions(spark, d, reg))
     return registry.move_aliases(reg[2], decisions)
