@@ -37,3 +37,8 @@ def test_truncate_ms_toward_zero(spark):
 def test_fmt_decimal_half_away_from_zero(spark):
     df = spark.createDataFrame([(0.123455,), (0.00025 * 1.02,), (0.5,)], "x double")
     assert [r[0] for r in df.select(ids.fmt_decimal("x")).collect()] == ["0.12346", "0.00026", "0.50000"]
+
+
+def test_frame_id_negative_keeps_printf_sign(spark):
+    df = spark.createDataFrame([("v", -5)], "video_id string, n long")
+    assert df.select(ids.frame_id("video_id", "n")).first()[0] == f"v__{-5:06d}"

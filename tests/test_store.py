@@ -115,3 +115,10 @@ def test_manifest_parquet_and_csv(spark, tmp_dir):
     store.write_manifest(df, tmp_dir)
     assert spark.read.parquet(f"{tmp_dir}/manifest.parquet").count() == 1
     assert spark.read.option("header", True).csv(f"{tmp_dir}/manifest.csv").columns == df.columns
+
+
+def test_snapshot_changes_null_to_value_is_update(spark):
+    old = _frames(spark, [("a", None, 1), ("b", "v", None)])
+    new = _frames(spark, [("a", "v", 1), ("b", "v", None)])
+    got = [(r["frame_id"], r["change_type"]) for r in store.snapshot_changes(old, new, ["frame_id"]).collect()]
+    assert got == [("a", "update")]
