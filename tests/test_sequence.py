@@ -94,3 +94,11 @@ def test_numbering_without_aqe(spark):
         assert got.join(ref, "id").filter(F.col("rn") != F.col("rn2")).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_both_branches_share_one_range_exchange(spark):
+    df = _data(spark, n=800, seed=4)
+    got = number_within(df, ["g"], ["t", "id"], out="rn", partitions=5)
+    got.collect()  # final adaptive plan
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "rangepartitioning" in plan
