@@ -7,18 +7,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framelake.llm import decontam, dedup, spm
 from framelake.llm.jaccard import jaccard_components
+from framelake.llm.langid import identify
+from framelake.llm.quality import quality_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document, with inclusion scores and decoded digests."""
+    return spm.digest_columns(spm.sample_segmentations(table(spark, sf_dir, "documents")))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have Jaccard 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard_join,)}
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by rank-order profiles."""
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, docs)
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of identical texts; the largest doc_id of each stays."""
+    return dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    return decontam.digest_columns(decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a sparse rule ensemble."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sentencepiece_sampling, op2_ngram_jaccard_join, op3_language_id, op4_exact_dedup, op5_benchmark_decontamination,
+    op6_quality_classifier)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP}
