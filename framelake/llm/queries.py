@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontam, dedup, spm
+from framelake.llm import decontam, dedup, lm, spm, urls, warc
+from framelake.llm.html import extract_text
 from framelake.llm.jaccard import jaccard_components
 from framelake.llm.langid import identify
 from framelake.llm.quality import quality_scores
+from framelake.llm.staging import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,8 +50,34 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the bigram counts of all documents."""
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives with revisits, and read back by the salvage reader."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_archives(spark, path, payloads=False))
+
+
+#: Rules of the registered URL filter: verdict, host and path prefix.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or tree verdict of every page's URL."""
+    return urls.classify_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_sampling, op2_ngram_jaccard_join, op3_language_id, op4_exact_dedup, op5_benchmark_decontamination,
-    op6_quality_classifier)}
+    op6_quality_classifier, op7_stupid_backoff, op8_html_extraction, op9_warc_salvage, op10_url_filter)}
 
-ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP}
+ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP, "op9_warc_salvage": warc.ORACLE_WARC}
