@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of every document, with inclusion scores and decoded digests."""
-    return spm.digest_columns(spm.sample_segmentations(table(spark, sf_dir, "documents")))
+    return spm.segmentation_digests(table(spark, sf_dir, "documents"))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ blank are segmented in parts of that length (no piece crosses the cut; nothing i
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,7 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 ALPHA = 1.0
 SEED = 20240229
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _PART = 1 << 19
 _UNUSED = -1e8
 _SAMPLES = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()),
@@ -50,7 +51,8 @@ def _letter(cp: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocab:
-    """Piece hashes (sorted), their ids and log-probabilities, byte pieces, and every id's surface."""
+    """Hashes of all prefixes of pieces (sorted), the ids (-1 for a mere prefix) and log-probabilities of pieces,
+    byte pieces, and every id's surface."""
 
     keys: np.ndarray
     slot: np.ndarray
@@ -80,9 +82,15 @@ def load_vocab(model_file: str = MODEL, alpha: float = ALPHA) -> Vocab:
     logp = -np.log(10 - s) if (s == np.round(s)).all() else s
     logp = alpha * (logp - np.log(np.exp(logp).sum()))
     cps = [np.array([ord(c) for c in text[i]], dtype=np.uint32) for i in plain]
-    keys = np.array([int(mix((_letter(c) * _pow("b", 64)[:len(c)]).sum(dtype=U, keepdims=True) + U(len(c)))[0]) for c in cps], dtype=U)
-    order = np.argsort(keys)
-    keys = keys[order]
+    size = np.array([len(c) for c in cps])
+    ends = np.cumsum(size)
+    place = np.arange(ends[-1]) - np.repeat(ends - size, size)
+    run = np.concatenate([np.zeros(1, U), np.cumsum(_letter(np.concatenate(cps)) * _pow("b", 64)[place], dtype=U)])
+    every = mix(run[1:] - np.repeat(run[ends - size], size) + (place + 1).astype(U))
+    keys = np.unique(every)
+    at = np.searchsorted(keys, every[ends - 1])
+    ids, logps = np.full(len(keys), -1, dtype=np.int32), np.full(len(keys), -np.inf)
+    ids[at], logps[at] = plain, logp
     byte_ids = np.full(256, sp.unk_id(), dtype=np.int32)
     raw = [t.replace(chr(BLANK), " ").encode() for t in text]
     for i in range(n):
@@ -92,13 +100,13 @@ def load_vocab(model_file: str = MODEL, alpha: float = ALPHA) -> Vocab:
         elif sp.is_control(i) or sp.is_unknown(i):
             raw[i] = b""
     slot = np.searchsorted(keys >> U(48), np.arange(65537, dtype=U)).astype(np.int32)
-    return Vocab(keys, slot, np.array(plain, dtype=np.int32)[order], logp[order], max(len(c) for c in cps), byte_ids,
+    return Vocab(keys, slot, ids, logps, int(size.max()), byte_ids,
                  float(logp.min()), np.frombuffer(b"".join(raw), dtype=np.uint8),
                  np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
 
 
 def _find(v: Vocab, h: np.ndarray) -> np.ndarray:
-    """Place of each hash among the vocabulary's, or -1: a table by the top 16 bits, then a short scan."""
+    """Place of each hash among the vocabulary's prefixes, or -1: a table by the top 16 bits, then a short scan."""
     top = (h >> U(48)).astype(np.int64)
     at, end = v.slot[top], v.slot[top + 1]
     out = np.full(len(h), -1, dtype=np.int32)
@@ -131,14 +139,18 @@ class Lattice:
         left = np.repeat(self.first[1:], size) - np.arange(total)
         ids = np.full((longest, total), -1, dtype=np.int32)
         logp = np.full((longest, total), -np.inf, dtype=np.float32)
-        pos = np.arange(total)
+        pos, used = np.arange(total), 1
         for n in range(1, longest + 1):
             pos = pos[left[pos] >= n]
             s = src[pos]
             found = _find(v, mix((run[s + n] - run[s]) * inv[s] + U(n)))
-            ok = found >= 0
-            ids[n - 1, pos[ok]] = v.ids[found[ok]]
-            logp[n - 1, pos[ok]] = v.logp[found[ok]]
+            pos, found = pos[found >= 0], found[found >= 0]  # only prefixes of pieces go on
+            if not len(pos):
+                break
+            ids[n - 1, pos] = v.ids[found]
+            logp[n - 1, pos] = v.logp[found]
+            used = n
+        longest, ids, logp = used, ids[:used], logp[:used]
         none = np.flatnonzero(ids[0] < 0)
         c = self.cp[none]
         ids[0, none] = -2
@@ -394,7 +406,25 @@ def decode_ids(rows: DataFrame, ids: str = "ids", model_file: str = MODEL) -> Da
     return rows.mapInArrow(_decode(model_file, ids), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", decoded string")
 
 
-def digest_columns(samples: DataFrame) -> DataFrame:
-    """Samples with their ids told by count and hash, and the decoded text by SHA-256."""
-    return decode_ids(samples).select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
-                                      "log_prob", "perturbed", "inclusion", F.sha2("decoded", 256).alias("decoded_sha256"))
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        col = b.column("ids")
+        at = np.concatenate([[0], np.cumsum(pc.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        raw = memoryview(pc.list_flatten(col).to_numpy(zero_copy_only=False).astype("<i4").tobytes())
+        ids = [hashlib.sha256(raw[4 * s:4 * e]).hexdigest() for s, e in zip(at[:-1], at[1:])]
+        texts = [hashlib.sha256(t.encode()).hexdigest() for t in b.column("decoded").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), b.column("sample"), pa.array(np.diff(at)), b.column("log_prob"), b.column("perturbed"), b.column("inclusion"),
+             pa.array(ids), pa.array(texts)],
+            names=["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids_sha256", "decoded_sha256"])
+
+
+def segmentation_digests(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED, model_file: str = MODEL) -> DataFrame:
+    """:func:`sample_segmentations` and :func:`decode_ids` in one stage, with ids (32-bit little-endian) and decoded text told by SHA-256.
+
+    Rows ``doc_id, sample, n_pieces, log_prob, perturbed, inclusion, ids_sha256, decoded_sha256``.
+    """
+    sample, decode = _sample(model_file, k, alpha, seed), _decode(model_file, "ids")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        lambda batches: _digest(decode(sample(batches))),
+        "doc_id long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, ids_sha256 string, decoded_sha256 string")
