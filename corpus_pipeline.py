@@ -42,7 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of each document, told by digests, with the decoded text's digest."""
-    return spm.digest_columns(spm.sample_segmentations(docs))
+    return spm.segmentation_digests(docs)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
