@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.operators.sequence import cap_within, number_within
-from framelake.schemas import BOX_TYPE, DETECT_MAX_BOXES, METRIC_NAME_MAP
+from framelake.operators.sequence import number_within
+from framelake.schemas import METRIC_NAME_MAP
 
 # --- fixed values of the fixtures (mirror FIXTURES.md) ------------------------
 FILE_SUFFIXES = ["mp4", "MOV", "avi", "txt", "mkv"]
 FRAMES_OUT_DIR = "/frames"
 FIXTURE_STRIDE = 30
-EMPTY_FRAME_MOD = 97
+FRAME_BOXES = 8  # lineitems of one frame; a larger order has several frames
 MODELS = 50
+UNFINISHED_MODEL, UNMEASURED_MODEL, UNREGISTERED_MODEL = 47, 48, 49
 # -----------------------------------------------------------------------------
 
 
@@ -69,32 +70,29 @@ def _box_struct() -> F.Column:
 
 
 def detections_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested detections per order-frame; NULL boxes without lineitems, empty for k % 97 = 0.
+    """Nested detections of every order: all its lineitems, ``FRAME_BOXES`` to a frame.
 
-    Detector output holds at most ``DETECT_MAX_BOXES`` boxes per frame (ARR-7), so
-    only the best 300 boxes of a frame are gathered (``cap_within``: frames above
-    the cap are ranked by the skew-safe numbering, so an order holding a third of
-    all lineitems is still spread over many tasks): every collected group is
-    bounded by the detector contract.
+    Lineitems are numbered inside their order (skew-safe) and every ``FRAME_BOXES``-th
+    starts a new frame, so arrays are bounded and no lineitem is left out. An order without
+    lineitems has one frame with NULL boxes.
     """
     from framelake.functions.boxes import sort_boxes
 
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % EMPTY_FRAME_MOD != 0)
+    li = table(spark, sf_dir, "lineitem")
+    box = ["x1", "y1", "x2", "y2", "conf", "cls"]
     b = li.select(F.col("l_orderkey").alias("k"), _box_struct().alias("b")).select("k", "b.*")
-    ranked = cap_within(b, ["k"], [F.col("conf").desc(), "x1", "y1", "x2", "y2", "cls"], DETECT_MAX_BOXES)
-    box = F.struct(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "conf", "cls")])
-    per_frame = ranked.groupBy("k").agg(F.collect_list(box).alias("bx"))
+    numbered = number_within(b, ["k"], [F.col("conf").desc(), *box[:4], "cls"])
+    frame = F.floor((F.col("rn") - 1) / FRAME_BOXES).cast("int")
+    per_frame = numbered.groupBy("k", frame.alias("f")).agg(F.collect_list(F.struct(*box)).alias("bx"))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey"), F.col("o_orderdate").alias("inferred_at")
     )
     j = orders.join(per_frame, "k", "left")
-    empty = F.filter(F.array(F.lit(None).cast(BOX_TYPE)), lambda x: F.lit(False))
-    boxes = F.when(F.col("k") % EMPTY_FRAME_MOD == 0, empty).otherwise(sort_boxes("bx"))
     return j.select(
-        F.format_string("order_%d__%06d", "k", F.lit(0)).alias("frame_id"),
+        F.format_string("order_%d__%06d", "k", F.coalesce("f", F.lit(0))).alias("frame_id"),
         F.format_string("cust_%d", "o_custkey").alias("video_id"),
         F.col("inferred_at"),
-        boxes.alias("boxes"),
+        sort_boxes("bx").alias("boxes"),
     )
 
 
@@ -102,7 +100,7 @@ def _map50_raw() -> F.Column:
     k = F.col("o_orderkey")
     digits = F.lpad(((k * 7919 + F.col("o_custkey")) % 100000).cast("string"), 5, "0")
     return (
-        F.when(k % 7 == 0, F.lit(None).cast("string"))
+        F.when((k % 7 == 0) | (F.col("o_custkey") % MODELS == UNMEASURED_MODEL), F.lit(None).cast("string"))
         .when(k % 11 == 0, F.lit("n/a"))
         .otherwise(F.concat(F.lit("0."), digits))
     )
@@ -111,8 +109,10 @@ def _map50_raw() -> F.Column:
 def raw_results_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training runs with their raw result dictionaries (string values, some missing)."""
     o = table(spark, sf_dir, "orders")
+    model = F.col("o_custkey") % MODELS
     status = (
-        F.when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("FAILED")
+        F.when(model == UNFINISHED_MODEL, "FAILED")
+        .when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("FAILED")
     )
     precision = F.concat(F.lit("0."), F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"))
     # A missing result key is absent from the map (not a NULL value).
@@ -148,13 +148,13 @@ def runs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def versions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered versions: one run may have several, some none; version is text.
+    """Registered versions: one run may have several, some none, one model has none at all; version is text.
 
     Lineitem keys are de-duplicated before the join (orders is unique on its key),
     so the join and the string building see each version once.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").filter(F.col("o_custkey") % MODELS != UNREGISTERED_MODEL)
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.format_string("det_%d", F.col("o_custkey") % MODELS).alias("name"),

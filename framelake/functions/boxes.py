@@ -27,16 +27,24 @@ def n_detections(boxes: Column | str) -> Column:
 
 
 def conf_sum(boxes: Column | str) -> Column:
-    """Sum of ``conf`` widened to DOUBLE before adding."""
+    """Sum of ``conf`` in DOUBLE; NULL for a NULL frame."""
+    return _fold(boxes, lambda acc: acc["total"])
+
+
+def _fold(boxes: Column | str, finish) -> Column:
+    """One pass over the boxes carrying (total conf, number of boxes)."""
+    zero = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("boxes"))
     return F.aggregate(
-        F.transform(_c(boxes), lambda b: b["conf"].cast("double")), F.lit(0.0).cast("double"), lambda a, c: a + c
+        _c(boxes),
+        zero,
+        lambda acc, b: F.struct((acc["total"] + b["conf"]).alias("total"), (acc["boxes"] + 1).alias("boxes")),
+        finish,
     )
 
 
 def avg_conf(boxes: Column | str) -> Column:
     """ARR-2: mean conf as DOUBLE; 0.0 for a NULL or empty frame."""
-    n = n_detections(boxes)
-    return F.when(n > 0, conf_sum(boxes) / n).otherwise(F.lit(0.0)).cast("double")
+    return F.coalesce(_fold(boxes, lambda acc: F.try_divide(acc["total"], acc["boxes"])), F.lit(0.0))
 
 
 def avg_conf_or_null(boxes: Column | str, digits: int = 3) -> Column:
@@ -137,12 +145,10 @@ def n_invalid(boxes: Column | str) -> Column:
 
 def boxes_type_ok(df: DataFrame, col: str = "boxes") -> bool:
     """ARR-9: the column has exactly the contract type (field names, order and types)."""
-    from pyspark.sql.types import _parse_datatype_string
-
-    return df.schema[col].dataType == _parse_datatype_string(BOXES_DDL)
+    return df.schema[col].dataType.simpleString() == BOXES_DDL
 
 
 def flatten(df: DataFrame, boxes: str, keep: list[str], pos: str = "pos") -> DataFrame:
-    """ARR-8: one row per box with its list position; frames without boxes vanish."""
-    exploded = df.select(*keep, F.posexplode(boxes).alias(pos, "_box"))
+    """ARR-8: one row per box with its list position; a frame without boxes keeps one row of NULLs."""
+    exploded = df.select(*keep, F.posexplode_outer(boxes).alias(pos, "_box"))
     return exploded.select(*keep, pos, *[F.col("_box")[f].alias(f) for f in BOX_FIELDS])

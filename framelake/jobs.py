@@ -22,22 +22,16 @@ from framelake.schemas import (
     DEFAULT_METRIC,
     DEFAULT_MIN_GAIN,
     FEATURE_PRIMARY_KEY,
-    FEATURE_TABLE_TAGS,
     FRAME_KEY,
 )
 from framelake.session import materialize
 from framelake.sinks import store
 from framelake.sources import files
 
-FEATURE_TABLE_DESCRIPTION = (
-    "Raw, model-independent frame features, one row per extracted frame, keyed by frame_id. "
-    "Model-derived features (detection_count, mean_confidence) are merged in after scoring."
-)
-
-
 def read(spark: SparkSession, target: str) -> DataFrame | None:
     """A target's current content: catalog table, versioned path, or plain path; None if absent."""
     if "/" not in target:
+        store.recover_table(spark, target)
         return spark.table(target) if store.table_exists(spark, target) else None
     versioned = store.read_versioned(spark, target)
     if versioned is not None:
@@ -81,21 +75,28 @@ def register_features(
     spark: SparkSession,
     frames_source: str,
     feature_target: str,
-    tags: dict[str, str] = FEATURE_TABLE_TAGS,
-    description: str = FEATURE_TABLE_DESCRIPTION,
+    tags: dict[str, str] | None = None,
+    description: str = "",
 ) -> str:
-    """Stage 02: raw features, created with key + description + tags, else upserted."""
+    """Stage 02: raw features, created with key + description + tags, else upserted (model features stay as they are)."""
     feats = features.raw_features(read(spark, frames_source))
     if "/" not in feature_target and not store.table_exists(spark, feature_target):
         store.create_feature_table(spark, feature_target, feats, FEATURE_PRIMARY_KEY, description)
         done = "created"
     else:
-        done = store.upsert(spark, feature_target, feats, [FEATURE_PRIMARY_KEY])
-    if "/" not in feature_target:
+        done = store.upsert(spark, feature_target, feats, [FEATURE_PRIMARY_KEY], evolve=True)
+    if "/" not in feature_target and tags:
         store.set_table_properties(spark, feature_target, tags)
     return done
 
 
+def merge_model_features(spark: SparkSession, metrics_source: str, feature_target: str) -> str:
+    """Stage 02, after scoring: detection_count and mean_confidence of scored frames merged into the feature table."""
+    feats = read(spark, feature_target)
+    scored = features.with_model_features(feats, read(spark, metrics_source)).filter(F.col("detection_count").isNotNull())
+    return store.upsert(spark, feature_target, scored, [FEATURE_PRIMARY_KEY], evolve=True)
+
+
 def batch_inference(
     spark: SparkSession,
     frames_source: str,
@@ -106,24 +107,30 @@ def batch_inference(
     predictor: scoring.Predictor,
     input_col: str = "frame_path",
     rows_per_task: int | None = None,
+    failures_target: str | None = None,
 ) -> int:
     """Stage 05: resolve name@alias, score only unscored frames, upsert detections.
 
-    Returns the number of frames scored in this run (0 on a re-run).
+    Returns the number of frames scored in this run (0 on a re-run). With ``failures_target`` the frames whose
+    scoring failed (stored with empty boxes) are upserted there with their error text.
     """
     require_names(model_name=model_name, alias=alias)
-    row = registry.resolve_alias(aliases, model_name, alias).first()
-    if row is None:
-        raise ValueError(f"alias {model_name}@{alias} does not exist")
-    version = row["version"]
+    found = registry.resolve_alias(aliases, model_name, alias).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"alias {model_name}@{alias} " + ("has several versions" if found else "does not exist"))
+    version = found[0]["version"]
     todo = scoring.unscored(read(spark, frames_source), read(spark, detections_target))
     pending = todo.count()
     if pending == 0:
         return 0
     if rows_per_task:
         todo = scoring.spread_for_model(todo, rows_per_task, pending)
-    detections = scoring.with_provenance(scoring.score(todo, input_col, predictor), version, alias)
-    store.upsert(spark, detections_target, detections, [FRAME_KEY])
+    scored = scoring.score(todo, input_col, predictor, error_col="error")
+    if failures_target:
+        scored = materialize(scored)  # read twice; the model runs once
+        failed = scored.filter(F.col("error").isNotNull()).select(FRAME_KEY, "error", F.lit(version).cast("string").alias("model_version"))
+        store.upsert(spark, failures_target, failed, [FRAME_KEY])
+    store.upsert(spark, detections_target, scoring.with_provenance(scored, version, alias), [FRAME_KEY])
     if "/" in detections_target:
         store.compact(spark, detections_target)  # keeps the number of segments bounded
     return pending
@@ -160,21 +167,26 @@ def setup_monitoring(
     baseline_target: str,
     monitor_target: str,
     window_days: int = BASELINE_DAYS,
+    review: tuple[DataFrame, str, str] | None = None,
 ) -> datetime | None:
     """Stage 06: metrics snapshot, baseline of the first days, profile and drift.
 
+    ``review`` (aliases, model name, alias) also writes the windows that flag this alias for review.
+
     Returns the baseline cutoff, or None when there are no metrics yet (then no
     baseline or monitor output is written).
     """
     metrics = monitor.detections_metrics(read(spark, detections_source))
-    store.overwrite(metrics, metrics_target)
+    store.overwrite(metrics, metrics_target, change_feed=True)
     written = read(spark, metrics_target)
     cutoff = monitor.baseline_cutoff(written, window_days)
     if cutoff is None:
         return None
     base = written.filter(F.col("inferred_at") < F.lit(cutoff))
     store.overwrite(base, baseline_target)
-    monitor.refresh_monitor(spark, written, read(spark, baseline_target), monitor_target)
+    out = monitor.refresh_monitor(spark, written, read(spark, baseline_target), monitor_target)
+    if review:
+        store.overwrite(monitor.flags(read(spark, out["drift_path"]), *review), f"{monitor_target.rstrip('/')}/flags")
     return cutoff
 
 

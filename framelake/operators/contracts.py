@@ -42,15 +42,16 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def row_count_check(inp: DataFrame, out: DataFrame, key: str) -> DataFrame:
-    """AGG-8: counts in / out and keys missing either way (anti joins both ways).
-
-    One row; the other three counts enter as scalar subqueries.
-    """
-    n_out = out.agg(F.count(F.lit(1))).scalar()
-    lost = inp.select(key).join(out.select(key), key, "left_anti").agg(F.count(F.lit(1))).scalar()
-    extra = out.select(key).join(inp.select(key), key, "left_anti").agg(F.count(F.lit(1))).scalar()
-    return inp.agg(F.count(F.lit(1)).alias("n_in")).select(
-        "n_in", n_out.alias("n_out"), lost.alias("n_lost"), extra.alias("n_extra")
+    """AGG-8: counts in / out and rows whose key is missing on the other side, from one full outer join of the key counts."""
+    a = inp.groupBy(key).agg(F.count(F.lit(1)).alias("a"))
+    b = out.groupBy(key).agg(F.count(F.lit(1)).alias("b"))
+
+    def total(c, when=None):
+        return F.coalesce(F.sum(c if when is None else F.when(when, F.col(c))), F.lit(0)).cast("long")
+
+    return a.join(b, key, "full_outer").agg(
+        total("a").alias("n_in"), total("b").alias("n_out"), total("a", F.col("b").isNull()).alias("n_lost"),
+        total("b", F.col("a").isNull()).alias("n_extra"),
     )
 
 

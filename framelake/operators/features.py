@@ -35,10 +35,10 @@ def raw_features(frames: DataFrame) -> DataFrame:
 
 
 def with_model_features(features: DataFrame, metrics: DataFrame) -> DataFrame:
-    """JOI-6: model-derived features merged in (NULL until the frame is scored)."""
+    """JOI-6: model-derived features merged in (NULL until the frame is scored); earlier ones are replaced."""
     m = metrics.select(
         "frame_id",
         F.col("n_detections").alias("detection_count"),
         F.col("avg_conf").alias("mean_confidence"),
     )
-    return features.join(m, "frame_id", "left")
+    return features.drop("detection_count", "mean_confidence").join(m, "frame_id", "left")

@@ -32,13 +32,9 @@ def sample_frames(
     per-frame work and reaches the scan as a data filter.
     """
     require_positive_int("frame_interval", frame_interval)
-    keep = F.col("frame_number") % frame_interval == 0
+    kept = decoded.filter(F.col("frame_number") % frame_interval == 0)
     if max_frames is not None:
-        # FLT-5 under the decoder contract: frame_number is the decode-order index
-        # (0, 1, 2, ...), so the k-th kept frame is frame (k - 1) * interval and the
-        # cap is a plain predicate - no ranking, no shuffle.
-        keep = keep & (F.col("frame_number") < require_positive_int("max_frames", max_frames) * frame_interval)
-    kept = decoded.filter(keep)
+        kept = cap_per_video(kept, max_frames)
     fid = ids.frame_id("video_id", "frame_number")
     return kept.select(
         F.col("video_id"),
@@ -51,11 +47,9 @@ def sample_frames(
 
 
 def cap_per_video(frames: DataFrame, max_frames: int) -> DataFrame:
-    """FLT-5 for any manifest (frame numbers may have gaps): the first ``max_frames``
-    frames of each video by frame number.
+    """FLT-5: the first ``max_frames`` frames of each video by frame number (numbers may have gaps).
 
-    Videos with at most ``max_frames`` frames pass untouched; longer ones are
-    numbered with the skew-safe sequence operator, so a long video is split over
+    Frames are numbered with the skew-safe sequence operator, so a long video is split over
     many tasks instead of landing in one window partition.
     """
     require_positive_int("max_frames", max_frames)

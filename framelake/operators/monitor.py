@@ -1,32 +1,34 @@
 """Per-frame quality metrics, baseline, daily profile, drift and flags (PRJ-5, MON-1..5).
 
 The reference hands profiling and drift to a hosted monitor; here they are plain
-DataFrame plans: the statistics are exact, computed by partial/final aggregates
-and by the skew-safe numbering operator for quantiles (no per-group collection).
+DataFrame plans: one aggregate counts the values per window, and every statistic is exact,
+computed from those counts and their skew-safe running totals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelake.functions import boxes as bx
-from framelake.operators.sequence import number_within
+from framelake.operators.sequence import running_total
 from framelake.schemas import BASELINE_DAYS, MONITOR_GRANULARITY
 
 # --- fixed values of the drift statistics ------------------------------------
-# Binning per monitored column: ("unit", k) -> k equal bins on [0, 1];
-# ("count", m) -> one bin per value 0..m-1 and an open last bin m.
-DRIFT_BINS = {"avg_conf": ("unit", 10), "n_detections": ("count", 10)}
+# Quantiles of the baseline that cut the PSI bins.
+BIN_QUANTILES = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 SHARE_FLOOR = 1e-6
 PSI_FLAG = 0.2
 QUANTILES = (0.25, 0.5, 0.75)
 MONITORED = ("n_detections", "avg_conf")
 # -----------------------------------------------------------------------------
 
+BY = ["window_start", "column_name"]
+
 
 def detections_metrics(detections: DataFrame) -> DataFrame:
     """PRJ-5 / ARR-1 / ARR-2: one row per frame with scalar quality signals."""
@@ -54,8 +56,7 @@ def baseline(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_
     The minimum stays in the plan as a scalar subquery (one value, computed once
     before the scan, no join). Empty input -> NULL minimum -> empty baseline.
     """
-    first_ts = metrics.agg(F.min(ts)).scalar()
-    return metrics.filter(F.col(ts) < first_ts + F.expr(f"INTERVAL {int(days)} DAYS"))
+    return metrics.filter(F.col(ts) < baseline_end(metrics, days, ts))
 
 
 def baseline_cutoff(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_at"):
@@ -73,46 +74,62 @@ def baseline_pushdown(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "
     return metrics.filter(F.col(ts) < F.lit(cutoff))
 
 
-def _long(metrics: DataFrame, cols: Sequence[str], granularity: str, ts: str) -> DataFrame:
+def value_counts(
+    metrics: DataFrame,
+    cols: Sequence[str] = MONITORED,
+    granularity: str = MONITOR_GRANULARITY,
+    ts: str = "inferred_at",
+    baseline_until: Column | None = None,
+) -> DataFrame:
+    """``(window_start, column_name, value, c, cb)``: rows of each value per window, and how many lie in the baseline.
+
+    The one pass over the metrics that profile and drift need: a hot value (most frames may share one)
+    collapses in the partial aggregate. ``baseline_until`` is the baseline's end; without it ``cb`` is 0.
+    """
     cols = list(cols)
+    inside = F.lit(False) if baseline_until is None else F.col(ts) < baseline_until
     typed = metrics.filter(F.col(ts).isNotNull()).select(
-        F.window(ts, granularity).start.alias("window_start"), *[F.col(c).cast("double").alias(c) for c in cols]
+        F.window(ts, granularity).start.alias("window_start"), inside.alias("inside"), *[F.col(c).cast("double").alias(c) for c in cols]
     )
-    return typed.unpivot("window_start", cols, "column_name", "value")
+    long = typed.unpivot(["window_start", "inside"], cols, "column_name", "value")
+    return long.groupBy(*BY, "value").agg(F.count(F.lit(1)).alias("c"), F.count_if("inside").alias("cb"))
 
 
-def quantiles(long: DataFrame, by: Sequence[str], qs: Sequence[float] = QUANTILES) -> DataFrame:
-    """Exact linear-interpolated quantiles (quantile_cont) per group.
+def baseline_end(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_at") -> Column:
+    """MON-1: the end of the baseline window, as a scalar subquery."""
+    return metrics.agg(F.min(ts)).scalar() + F.expr(f"INTERVAL {int(days)} DAYS")
 
-    Values are numbered inside each group by the skew-safe operator; only the two
-    neighbours of each quantile position are kept and combined. No group is ever
-    gathered into one task.
-    """
-    by = list(by)
-    vals = long.filter(F.col("value").isNotNull())
-    counts = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = number_within(vals, by, ["value"], out="_r").join(counts, by)
-    pos = F.col("_r") - 1
-    aggs = []
-    for q in qs:
-        h = (F.col("_n") - 1) * F.lit(q)
-        lo, hi = F.floor(h), F.ceil(h)
-        tag = f"{int(round(q * 100)):02d}"
-        aggs.append(F.max(F.when(pos == lo, F.col("value"))).alias(f"_lo{tag}"))
-        aggs.append(F.max(F.when(pos == hi, F.col("value"))).alias(f"_hi{tag}"))
-        aggs.append(F.max(h - lo).alias(f"_d{tag}"))
-    # Only rows at a quantile position survive the filter below.
-    near = F.lit(False)
-    for q in qs:
-        h = (F.col("_n") - 1) * F.lit(q)
-        near = near | (pos == F.floor(h)) | (pos == F.ceil(h))
-    agg = ranked.filter(near).groupBy(*by).agg(*aggs)
-    out = [F.col(c) for c in by]
+
+def _at(q: float, n: str) -> Column:
+    """Zero-based position of a quantile among ``n`` sorted rows."""
+    return (F.col(n) - 1) * F.lit(q)
+
+
+def profile_counts(counts: DataFrame, qs: Sequence[float] = QUANTILES) -> DataFrame:
+    """MON-2 from value counts: see :func:`profile`."""
+    c, v = F.col("c"), F.col("value")
+    stats = counts.groupBy(*BY).agg(
+        F.sum("c").alias("n"),
+        F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("n_null"),
+        F.sum(F.when(v.isNotNull(), c)).alias("_n"),
+        (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.count("value").alias("n_distinct"),
+    )
+    total = running_total(counts.filter(v.isNotNull()), BY, ["value"], c, "_r")
+    joined = total.join(stats.select(*BY, "_n", "mean"), BY)
+    aggs = [F.sqrt(F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))) / F.nullif(F.max("_n") - 1, F.lit(0))).alias("stddev")]
     for q in qs:
-        tag = f"{int(round(q * 100)):02d}"
-        lo, hi, d = F.col(f"_lo{tag}"), F.col(f"_hi{tag}"), F.col(f"_d{tag}")
-        out.append((lo + d * (hi - lo)).alias(f"p{tag}"))
-    return agg.select(*out)
+        h = _at(q, "_n")
+        for name, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((F.col("_r") - c <= at) & (at < F.col("_r")), v)).alias(f"_{name}{q}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_d{q}"))
+    near = joined.groupBy(*BY).agg(*aggs)
+    spread = [
+        (F.col(f"`_lo{q}`") + F.col(f"`_d{q}`") * (F.col(f"`_hi{q}`") - F.col(f"`_lo{q}`"))).alias(f"p{round(q * 100):02d}") for q in qs
+    ]
+    return stats.drop("_n").join(near.select(*BY, "stddev", *spread), BY, "left")
 
 
 def profile(
@@ -124,45 +141,49 @@ def profile(
     """MON-2: time-series profile per window and column.
 
     count, nulls, mean, sample stddev, min, max, exact distinct count and exact
-    quartiles, keyed by (window_start, column_name).
+    interpolated quartiles, keyed by (window_start, column_name), all from one table of value counts.
     """
-    long = _long(metrics, cols, granularity, ts)
-    by = ["window_start", "column_name"]
-    stats = long.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("value").isNull()).alias("n_null"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.count_distinct("value").alias("n_distinct"),
-    )
-    return stats.join(quantiles(long, by), by, "left")
-
-
-def _bin(col: str) -> F.Column:
-    kind, k = DRIFT_BINS[col]
-    v = F.col("value")
-    if kind == "unit":
-        return F.greatest(F.lit(0), F.least(F.lit(k - 1), F.floor(v * k).cast("int")))
-    return F.greatest(F.lit(0), F.least(F.lit(k), v.cast("int")))
-
+    return profile_counts(value_counts(metrics, cols, granularity, ts))
 
-def _bin_expr(cols: Sequence[str]) -> F.Column:
-    e = None
-    for c in cols:
-        e = (F.when(F.col("column_name") == c, _bin(c))) if e is None else e.when(F.col("column_name") == c, _bin(c))
-    return e
 
-
-def _last_bin(cols: Sequence[str]) -> F.Column:
-    """Highest bin number of the current column (bins are 0..last)."""
-    e = None
-    for c in cols:
-        kind, k = DRIFT_BINS[c]
-        last = F.lit(k - 1 if kind == "unit" else k)
-        e = F.when(F.col("column_name") == c, last) if e is None else e.when(F.col("column_name") == c, last)
-    return e
+def drift_counts(counts: DataFrame, qs: Sequence[float] = BIN_QUANTILES) -> DataFrame:
+    """MON-3 from value counts (``c`` of the window, ``cb`` of the baseline): see :func:`drift`."""
+    known = counts.filter(F.col("value").isNotNull())
+    base = known.groupBy("column_name").agg(
+        F.sum("cb").alias("baseline_n"), F.try_divide(F.sum(F.col("value") * F.col("cb")), F.sum("cb")).alias("baseline_mean")
+    )
+    values = known.groupBy("column_name", "value").agg(F.sum("cb").alias("cb"))
+    values = running_total(values, ["column_name"], ["value"], F.col("cb"), "rb").join(base, "column_name")
+    here = [(F.col("rb") - F.col("cb") <= F.floor(_at(q, "baseline_n"))) & (F.floor(_at(q, "baseline_n")) < F.col("rb")) for q in qs]
+    edges = values.filter(reduce(lambda a, b: a | b, here)).groupBy("column_name").agg(F.sort_array(F.collect_set("value")).alias("edges"))
+    # One row per monitored column: the column list bounds these broadcasts.
+    edges = base.join(F.broadcast(edges), "column_name", "left").select(
+        "column_name", F.coalesce("edges", F.array().cast("array<double>")).alias("edges"))
+
+    cur = known.filter("c > 0").drop("cb")
+    stats = cur.groupBy(*BY).agg(F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"))
+    low, high = F.col("rb") - F.col("cb"), F.col("rb")
+    gaps = running_total(cur, BY, ["value"], F.col("c"), "rw").join(stats.select(*BY, "n"), BY).join(
+        values.select("column_name", "value", "cb", "rb", "baseline_n"), ["column_name", "value"])
+    ks = gaps.groupBy(*BY).agg(F.max(F.greatest(
+        F.abs(F.try_divide(F.col("rw"), F.col("n")) - F.try_divide(high, F.col("baseline_n"))),
+        F.abs(F.try_divide(F.col("rw") - F.col("c"), F.col("n")) - F.try_divide(low, F.col("baseline_n"))))).alias("ks"))
+
+    place = F.aggregate(
+        "edges", F.lit(0), lambda acc, e: acc + (e < F.col("value")).cast("int") + (e <= F.col("value")).cast("int"))
+    cur_bins = cur.join(F.broadcast(edges), "column_name").groupBy(*BY, place.alias("bin")).agg(F.sum("c").alias("c"))
+    base_bins = values.join(F.broadcast(edges), "column_name").groupBy("column_name", place.alias("bin")).agg(F.sum("cb").alias("cb"))
+    grid = stats.join(F.broadcast(edges), "column_name").select(
+        *BY, "n", F.explode(F.sequence(F.lit(0), F.size("edges") * 2)).alias("bin"))
+    g = grid.join(cur_bins, [*BY, "bin"], "left").join(F.broadcast(base_bins), ["column_name", "bin"], "left").join(
+        F.broadcast(base), "column_name")
+    p = F.greatest(F.coalesce("c", F.lit(0)) / F.col("n"), F.lit(SHARE_FLOOR))
+    q = F.greatest(F.try_divide(F.coalesce("cb", F.lit(0)), F.col("baseline_n")), F.lit(SHARE_FLOOR))
+    psi = g.groupBy(*BY).agg(F.sum(F.when(F.col("baseline_n") > 0, (p - q) * F.ln(p / q))).alias("psi"))
+    return (
+        stats.join(F.broadcast(base), "column_name").join(psi, BY).join(ks, BY)
+        .select(*BY, "n", "baseline_n", "mean", "baseline_mean", (F.col("mean") - F.col("baseline_mean")).alias("mean_delta"), "psi", "ks")
+    )
 
 
 def drift(
@@ -174,43 +195,13 @@ def drift(
 ) -> DataFrame:
     """MON-3: per window and column, drift against the baseline distribution.
 
-    mean delta; PSI = sum((p - q) * ln(p / q)) over the fixed bins with both shares
-    floored at 1e-6; KS = max |P - Q| over the cumulative bin shares.
-    Everything is aggregated to (window, column, bin) counts before any join.
+    mean delta; KS, the largest distance of the two exact distribution functions; PSI = sum((p - q) * ln(p / q))
+    over open-ended bins cut at the baseline's deciles, where each cut value is a bin of its own
+    (so a shift away from a hot value shows), with both shares floored at 1e-6. PSI and KS are NULL without a baseline.
     """
-    cols = list(cols)
-    by = ["window_start", "column_name"]
-    cur = _long(metrics, cols, granularity, ts).filter(F.col("value").isNotNull())
-    base = _long(baseline_df, cols, granularity, ts).filter(F.col("value").isNotNull())
-    cur_bins = cur.withColumn("bin", _bin_expr(cols)).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("c"))
-    cur_tot = cur.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
-    base_bins = base.withColumn("bin", _bin_expr(cols)).groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("cb"))
-    base_tot = base.groupBy("column_name").agg(F.count(F.lit(1)).alias("baseline_n"), F.avg("value").alias("baseline_mean"))
-
-    # Every fixed bin of every (window, column), generated in the plan.
-    grid = cur_tot.withColumn("bin", F.explode(F.sequence(F.lit(0), _last_bin(cols))))
-    g = (
-        grid.join(cur_bins, [*by, "bin"], "left")
-        .join(base_bins, ["column_name", "bin"], "left")
-        .join(base_tot, "column_name", "left")
-    )
-    p = F.coalesce(F.col("c"), F.lit(0)) / F.col("n")
-    q = F.coalesce(F.col("cb"), F.lit(0)) / F.col("baseline_n")
-    g = g.withColumn("p", p).withColumn("q", q)
-    pf, qf = F.greatest(F.col("p"), F.lit(SHARE_FLOOR)), F.greatest(F.col("q"), F.lit(SHARE_FLOOR))
-    w = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = g.withColumn("_psi", (pf - qf) * F.ln(pf / qf)).withColumn(
-        "_gap", F.abs(F.sum("p").over(w) - F.sum("q").over(w))
-    )
-    return g.groupBy(*by).agg(
-        F.max("n").alias("n"),
-        F.max("baseline_n").alias("baseline_n"),
-        F.max("mean").alias("mean"),
-        F.max("baseline_mean").alias("baseline_mean"),
-        (F.max("mean") - F.max("baseline_mean")).alias("mean_delta"),
-        F.sum("_psi").alias("psi"),
-        F.max("_gap").alias("ks"),
-    )
+    current = value_counts(metrics, cols, granularity, ts).withColumn("cb", F.lit(0).cast("long"))
+    base = value_counts(baseline_df, cols, granularity, ts).select(*BY, "value", F.lit(0).cast("long").alias("c"), F.col("c").alias("cb"))
+    return drift_counts(current.unionByName(base).groupBy(*BY, "value").agg(F.sum("c").alias("c"), F.sum("cb").alias("cb")))
 
 
 def flags(drift_df: DataFrame, aliases: DataFrame, name: str, alias: str, threshold: float = PSI_FLAG) -> DataFrame:
@@ -255,4 +246,5 @@ def refresh_monitor(spark, metrics: DataFrame, baseline_df: DataFrame, out_path:
     return {
         "profile": upsert(spark, f"{out_path.rstrip('/')}/profile", profile(metrics), keys),
         "drift": upsert(spark, f"{out_path.rstrip('/')}/drift", drift(metrics, baseline_df), keys),
+        "drift_path": f"{out_path.rstrip('/')}/drift",
     }

@@ -38,8 +38,9 @@ def clean_metrics(results: Column | str, name_map: dict[str, str]) -> Column:
 
 
 def get_metric(metrics: Column | str, metric: str = DEFAULT_METRIC) -> Column:
-    """REG-4: the metric value, NULL when the run did not log it."""
-    return F.try_element_at(_c(metrics), F.lit(metric))
+    """REG-4: the metric value, NULL when the run did not log it (a NaN counts as not logged)."""
+    value = F.try_element_at(_c(metrics), F.lit(metric))
+    return F.when(~F.isnan(value), value)
 
 
 def finished(runs: DataFrame) -> DataFrame:
@@ -97,22 +98,20 @@ def champion_metric(
     return models.join(_champions(runs, versions, aliases, metric), "name", "left")
 
 
-def _rank_key(metric_col: str = "metric") -> Column:
-    """Sort key for 'metric DESC NULLS LAST, run_id ASC' usable by min_by."""
-    return F.struct(F.col(metric_col).isNull(), -F.col(metric_col), F.col("run_id"))
-
-
 def _champions(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric: str) -> DataFrame:
     """Champion version, run and metric per model that has a champion alias.
 
     Starts from the alias table (one row per model at most) and looks up the
-    version's run and the run's metric: the big tables are only probed.
+    version's run (the smallest run_id if a version has several) and the run's metric: the
+    big tables are only probed, and nothing is made unique before the join.
     """
     champ = aliases.filter(F.col("alias") == CHAMPION).select("name", F.col("version").alias("champion_version"))
     v = versions.select("name", F.col("version").alias("champion_version"), F.col("run_id").alias("champion_run_id"))
     r = runs.select("name", F.col("run_id").alias("champion_run_id"), get_metric("metrics", metric).alias("champion_metric"))
     return (
-        champ.join(v.dropDuplicates(["name", "champion_version"]), ["name", "champion_version"], "left")
+        champ.join(v, ["name", "champion_version"], "left")
+        .groupBy("name", "champion_version")
+        .agg(F.min("champion_run_id").alias("champion_run_id"))
         .join(r, ["name", "champion_run_id"], "left")
         .select("name", "champion_version", "champion_run_id", "champion_metric")
     )
@@ -131,11 +130,10 @@ def promotion(
     gate ``best > champion * min_gain``; the challenger is the next ranked run
     whose newest version differs from the best's.
 
-    One aggregate over (runs LEFT JOIN newest versions) yields, per model, the
+    One aggregate over (runs LEFT JOIN newest versions) keeps, per model and version, the
     finished-run count and the best run (unfinished runs sort last, so models
-    without a finished run still appear); a second aggregate over the same join
-    yields the challenger. Both are partial aggregates, so a model holding most
-    runs is combined map-side.
+    without a finished run still appear). The best run and the challenger come from that
+    table: partial aggregates throughout, so a model holding most runs is combined map-side.
     """
     gain_text = str(min_gain)
     is_fin = F.col("status") == FINISHED
@@ -143,10 +141,12 @@ def promotion(
         newest_versions(versions), ["name", "run_id"], "left"
     )
     key = F.struct(~F.col("finished"), F.col("metric").isNull(), -F.col("metric"), F.col("run_id"))
-    best = rv.groupBy("name").agg(
+    per_version = rv.groupBy("name", "version").agg(
         F.count_if(F.col("finished")).alias("n_finished"),
+        F.min(key).alias("key"),
         F.min_by(F.struct("run_id", "metric", "version"), key).alias("_best"),
-    ).select(
+    )
+    best = per_version.groupBy("name").agg(F.sum("n_finished").alias("n_finished"), F.min_by("_best", "key").alias("_best")).select(
         "name",
         "n_finished",
         F.col("_best.run_id").alias("best_run_id"),
@@ -154,11 +154,12 @@ def promotion(
         F.col("_best.version").alias("best_version"),
     )
     challenger = (
-        rv.filter(F.col("finished") & F.col("version").isNotNull())
+        per_version.filter((F.col("n_finished") > 0) & F.col("version").isNotNull())
+        .select("name", "version", "key")
         .join(best.select("name", F.col("best_version").alias("_bv")), "name")
         .filter(F.col("version") != F.col("_bv"))
         .groupBy("name")
-        .agg(F.min_by("version", _rank_key()).alias("_challenger"))
+        .agg(F.min_by("version", "key").alias("_challenger"))
     )
     j = best.join(_champions(runs, versions, aliases, metric), "name", "left").join(challenger, "name", "left")
 
@@ -171,6 +172,7 @@ def promotion(
     ok = F.col("status") == "ok"
     threshold = F.col("champion_metric") * F.lit(min_gain)
     promote = ok & (F.col("champion_metric").isNull() | (F.col("best_metric") > threshold))
+    # The reason texts.
     tail = F.concat(
         F.lit(" champion "), fmt_decimal("champion_metric"), F.lit(f" * {gain_text} ("), fmt_decimal(threshold), F.lit(")")
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions import ids
-from framelake.schemas import BOXES_DDL, BOXES_TYPE, DETECTIONS_COLUMNS, FRAME_KEY, SCORING_INPUT_COLUMNS
+from framelake.schemas import BOX_FIELDS, BOXES_DDL, BOXES_TYPE, DETECTIONS_COLUMNS, FRAME_KEY, SCORING_INPUT_COLUMNS
 
 # Per worker process: model key -> loaded model.
 _WORKER_MODELS: dict[str, Any] = {}
@@ -41,12 +41,11 @@ class Predictor:
 
 
 class VectorBoxPredictor(Predictor):
-    """Stand-in detector over vectors: every 6 values are a box
-    (x1, y1, x2, y2, conf=|v|, cls = v > 0); boxes below ``min_conf`` are dropped."""
+    """Stand-in detector over vectors: every 4 values are a box (x1, y1, x2, y2) with
+    conf = |y2| and cls = (x2 > 0); boxes below ``min_conf`` are dropped. All values are used."""
 
-    # --- fixed values of the stand-in detector ---
-    BOXES_PER_IMAGE = 10
-    FIELDS_PER_BOX = 6
+    # --- fixed value of the stand-in detector ---
+    VALUES_PER_BOX = 4
 
     def __init__(self, min_conf: float = 0.10):
         self.min_conf = float(min_conf)
@@ -56,25 +55,14 @@ class VectorBoxPredictor(Predictor):
         return {"min_conf": self.min_conf}
 
     def predict(self, model: Any, inputs: pd.Series) -> list[list[dict]]:
-        width = self.BOXES_PER_IMAGE * self.FIELDS_PER_BOX
-        mat = np.stack([np.asarray(v, dtype=np.float32)[:width] for v in inputs])  # raises on NULL / short rows
-        if mat.shape[1] != width:
-            raise ValueError("input vector too short")
-        b = mat.reshape(len(inputs), self.BOXES_PER_IMAGE, self.FIELDS_PER_BOX)
-        conf = np.abs(b[:, :, 4])
-        cls = (b[:, :, 5] > 0).astype(np.int32)
+        b = np.concatenate([np.asarray(v, dtype=np.float32).reshape(-1, self.VALUES_PER_BOX) for v in inputs])  # raises on NULL rows
+        image = np.repeat(np.arange(len(inputs)), [len(v) // self.VALUES_PER_BOX for v in inputs])
+        conf = np.abs(b[:, 3])
         keep = conf.astype(np.float64) >= model["min_conf"]
-        out = []
-        for i in range(len(inputs)):
-            rows = np.nonzero(keep[i])[0]
-            out.append(
-                [
-                    {"x1": float(b[i, j, 0]), "y1": float(b[i, j, 1]), "x2": float(b[i, j, 2]),
-                     "y2": float(b[i, j, 3]), "conf": float(conf[i, j]), "cls": int(cls[i, j])}
-                    for j in rows
-                ]
-            )
-        return out
+        cols = [*b[keep].T, conf[keep], (b[keep, 2] > 0).astype(np.int32)]
+        found = [dict(zip(BOX_FIELDS, box)) for box in zip(*(c.tolist() for c in cols))]
+        ends = np.searchsorted(image[keep], np.arange(len(inputs) + 1))
+        return [found[s:e] for s, e in zip(ends[:-1], ends[1:])]
 
 
 def _model(predictor: Predictor) -> Any:
@@ -99,7 +87,7 @@ def _predict_isolated(predictor: Predictor, model: Any, inputs: pd.Series) -> tu
                 errors.append(None)
             except Exception as exc:  # noqa: BLE001 - isolation is the contract
                 boxes.append([])
-                errors.append(f"{type(exc).__name__}: {exc}"[:500])
+                errors.append(f"{type(exc).__name__}: {exc}")
         return boxes, errors
 
 
@@ -169,12 +157,11 @@ def with_resolved_version(scored: DataFrame, aliases: DataFrame, name: str, alia
     """JOI-5 + PRJ-4: resolve ``name@alias`` in the plan and stamp every row with it.
 
     The lookup is one key of the alias table, attached as a scalar subquery (no
-    join; Spark fails the query if the key held two rows). An unknown alias
-    yields no rows rather than NULL lineage.
+    join; Spark fails the query if the key held two rows). An unknown alias fails the query.
     """
     version = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select("version").scalar()
-    stamped = with_provenance(scored, version, alias)
-    return stamped.filter(F.col("model_version").isNotNull())
+    unknown = F.raise_error(F.lit(f"alias {name}@{alias} does not exist")).cast("string")
+    return with_provenance(scored, F.coalesce(version, unknown), alias)
 
 
 def predict_frames(frames: DataFrame, predictor: Predictor, path_col: str = "path") -> DataFrame:

@@ -1,191 +1,100 @@
-"""Skew-safe numbering of rows inside groups.
+"""Skew-safe numbering and running totals inside groups, in the JVM.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` puts every row of a group into
 one task; a video holding a third of all frames would then be one task holding a
-third of the data. Here the rows are instead range-partitioned on ``(g, o)``, so a
-hot group is cut into many ordered slices. Each slice is numbered locally (one
-pass, per partition, in Arrow batches), and a group that continues from earlier
-slices gets the count of its rows in those slices added. Only the first group of
-a slice can continue from an earlier slice, so the correction table has at most
-``partitions - 1`` rows: a proven bound, which is what makes its broadcast safe.
-
-Plan shape: Exchange(rangepartitioning) -> Sort -> MapInPandas (local numbers)
-left-joined with a broadcast of the correction table. The correction branch reads
-the same range exchange (ReusedExchange), re-runs the cheap local pass and
-reduces it with a partial/final count per (slice, group). Sharing the exchange is
-what makes slice boundaries identical in both branches; two separate range
-exchanges would sample different boundaries.
+third of the data. Here the rows are range-partitioned on ``(g, o)``, so a hot group is
+cut into many ordered slices. Inside a slice a running window adds up the amounts and subtracts
+what came before the group's start. Only the first group of a slice can continue from an earlier slice, so
+the correction table has at most ``partitions - 1`` rows: a proven bound, which is what makes its
+broadcast safe.
+
+Rows never leave the JVM, so every column keeps its type and value. Keys compare
+NULL-safely, and NaN equals NaN.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_PID = "_fl_pid"
-_LRANK = "_fl_lrank"
-_OFF = "_fl_off"
-_CNT = "_fl_cnt"
-
-
-def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    eq = np.asarray(pd.Series(a).to_numpy() == pd.Series(b).to_numpy(), dtype=bool)
-    both_null = np.asarray(pd.isna(a), dtype=bool) & np.asarray(pd.isna(b), dtype=bool)
-    return eq | both_null
-
-
-def _key_equal(x: tuple, y: tuple) -> bool:
-    for u, v in zip(x, y):
-        if pd.isna(u) and pd.isna(v):
-            continue
-        if pd.isna(u) or pd.isna(v) or u != v:
-            return False
-    return True
-
-
-def _local_numbering(by: Sequence[str], first: Sequence[str]):
-    """Per-partition pass over rows sorted by (by, order): local row numbers."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev_key: tuple | None = None
-        prev_rank = 0
-        prev_first: dict = {}
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                yield pdf.assign(**{_LRANK: pd.Series([], dtype="int64")}, **{f"_fl_first_{c}": pdf[c] for c in first})
-                continue
-            cols = [pdf[c].to_numpy() for c in by]
-            change = np.zeros(n, dtype=bool)
-            for a in cols:
-                if n > 1:
-                    change[1:] |= ~_same(a[1:], a[:-1])
-            key0 = tuple(a[0] for a in cols)
-            continues = prev_key is not None and _key_equal(key0, prev_key)
-            change[0] = not continues
-            idx = np.arange(n)
-            starts = np.maximum.accumulate(np.where(change, idx, 0))
-            rank = idx - starts + 1
-            carried = ~np.maximum.accumulate(change) if continues else np.zeros(n, dtype=bool)
-            if continues:
-                rank = rank + np.where(carried, prev_rank, 0)
-            out = {_LRANK: rank.astype("int64")}
-            for c in first:
-                vals = pdf[c].to_numpy()
-                fv = vals[starts]
-                if continues:
-                    fv = fv.copy()
-                    fv[carried] = prev_first[c]
-                out[f"_fl_first_{c}"] = pd.Series(fv, index=pdf.index, dtype=pdf[c].dtype)
-            res = pdf.assign(**out)
-            prev_key = tuple(a[-1] for a in cols)
-            prev_rank = int(rank[-1])
-            prev_first = {c: out[f"_fl_first_{c}"].iloc[-1] for c in first}
-            yield res
-
-    return run
-
-
-_SLICE_BYTES = 128 * 1024 * 1024
-_MAX_SLICES = 200_000
-
-
-def default_slices(df: DataFrame) -> int:
-    """Slice count: the shuffle partitions, or more when the input is large.
-
-    About one slice per 128 MB of the bytes the plan reads (the summed size of its
-    leaf scans), so a 100 TB input is not cut into only 200 slices. Leaf sizes are
-    measured file sizes; a join's own estimate (a product of its inputs without
-    cost-based statistics) is not used. Capped so the correction table stays small.
-    """
-    conf = df.sparkSession.conf
-    p = int(conf.get("spark.sql.shuffle.partitions"))
-    try:
-        unknown = int("".join(ch for ch in str(conf.get("spark.sql.defaultSizeInBytes")) if ch.isdigit()))
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        size = 0
-        for i in range(leaves.size()):
-            leaf = leaves.apply(i)
-            # Only measured sizes count: file/table scans and local data. RDD leaves
-            # (checkpoints) report either the "unknown" default or an estimate
-            # inherited from their original plan, neither of which is measured.
-            if "RDD" in leaf.getClass().getSimpleName():
-                continue
-            x = int(str(leaf.stats().sizeInBytes()))
-            if x < unknown:
-                size += x
-        p = max(p, min(_MAX_SLICES, size // _SLICE_BYTES + 1))
-    except Exception:  # no plan statistics available (e.g. Spark Connect): keep the setting
-        pass
-    return p
+
+_PID, _AT, _NEW, _START, _FIRST, _OFF, _CNT = "_fl_pid", "_fl_at", "_fl_new", "_fl_start", "_fl_first", "_fl_off", "_fl_cnt"
+_AMOUNT, _SUM = "_fl_amount", "_fl_sum"
 
 
 def _as_sort(c: Column | str) -> Column:
     return F.col(c).asc_nulls_first() if isinstance(c, str) else c
 
 
-def number_within(
+def running_total(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[Column | str],
-    out: str = "rn",
+    amount: Column,
+    out: str,
     first: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
-    """``row_number() over (partition by by order by order)`` without hot-group skew.
+    """``sum(amount) over (partition by by order by order rows to current)`` without hot-group skew.
 
-    ``order`` must make the order total inside a group for a deterministic result.
-    ``first`` names columns whose value on the group's first row is added as
-    ``first_<name>``.
+    ``amount`` is a whole number, zero or more. ``order`` must make the order total inside a group
+    for a deterministic result. ``first`` names columns whose value on the group's first row is added as
+    ``first_<name>``. ``partitions`` is the number of slices, by default
+    ``spark.sql.shuffle.partitions``; both branches must share one range exchange, so
+    ``spark.sql.exchange.reuse`` has to be on.
     """
-    by = list(by)
-    first = list(first)
+    by, first = list(by), list(first)
     spark = df.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise RuntimeError("number_within needs spark.sql.exchange.reuse=true (one range exchange feeds both branches)")
-    p = partitions or default_slices(df)
+        raise RuntimeError("running totals need spark.sql.exchange.reuse=true (one range exchange feeds both branches)")
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_keys = [F.col(c).asc_nulls_first() for c in by] + [_as_sort(o) for o in order]
-
-    ranged = df.repartitionByRange(p, *sort_keys).sortWithinPartitions(*sort_keys).withColumn(
-        _PID, F.spark_partition_id()
-    )
-
-    fields = list(ranged.schema.fields) + [T.StructField(_LRANK, T.LongType(), False)]
-    fields += [T.StructField(f"_fl_first_{c}", ranged.schema[c].dataType, True) for c in first]
-    local = ranged.mapInPandas(_local_numbering(by, first), T.StructType(fields))
-
-    # Correction table: per (slice, group) counts; keep groups that continue from an
-    # earlier slice. At most one such group per slice -> at most p - 1 rows.
-    # It is aggregated from the same `local` plan, so both branches share one range
-    # exchange (ReusedExchange): slice boundaries are identical by construction.
-    aggs = [F.count(F.lit(1)).alias(_CNT)] + [F.min(f"_fl_first_{c}").alias(f"_fl_lf_{c}") for c in first]
+    ranged = df.withColumn(_AMOUNT, amount.cast("long")).repartitionByRange(p, *sort_keys).sortWithinPartitions(*sort_keys)
+    ranged = ranged.withColumns({_PID: F.spark_partition_id(), _AT: F.monotonically_increasing_id()})
+    # Always true, but it names every column above the exchange: both branches then keep the same columns, so they share
+    # one range exchange (ReusedExchange) and with it the slice boundaries, whatever the caller selects.
+    ranged = ranged.filter((F.col(_AT) >= 0) | (F.xxhash64(*ranged.columns) == 0))
+
+    # One slice per window partition; running frames, so the window streams and holds no slice in memory.
+    here = Window.partitionBy(_PID).orderBy(_AT)
+    running = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.lag(c).over(here)), by, F.lag(_AT).over(here).isNotNull())
+    local = ranged.withColumns({_NEW: ~same, _SUM: F.sum(_AMOUNT).over(running)})
+    local = local.withColumn(_START, F.max(F.when(F.col(_NEW), F.col(_SUM) - F.col(_AMOUNT))).over(running))
+    if first:
+        kept = F.struct(*[F.col(c) for c in first])
+        local = local.withColumn(_FIRST, F.last(F.when(F.col(_NEW), kept), ignorenulls=True).over(running))
+
+    # Correction table: totals per (slice, group); keep groups that continue from an earlier slice.
+    aggs = [F.sum(_AMOUNT).alias(_CNT)] + ([F.first(_FIRST).alias("_fl_lf")] if first else [])
     stats = local.groupBy(_PID, *by).agg(*aggs)
-    w_before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    w_first = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*by).orderBy(_PID)
     corr = stats.select(
         F.col(_PID).alias("_fl_c_pid"),
         *[F.col(c).alias(f"_fl_c_{c}") for c in by],
-        F.sum(_CNT).over(w_before).alias(_OFF),
-        *[F.first(f"_fl_lf_{c}").over(w_first).alias(f"_fl_cf_{c}") for c in first],
-    ).filter(F.col(_OFF) > 0)
-
-    cond = F.col(_PID) == F.col("_fl_c_pid")
-    for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_fl_c_{c}"))
-    # Broadcast is bounded by construction (<= p - 1 rows), not by a guess.
+        F.sum(_CNT).over(before.rowsBetween(Window.unboundedPreceding, -1)).alias(_OFF),
+        *([F.first("_fl_lf").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_fl_cf")] if first else []),
+    ).filter(F.col(_OFF).isNotNull())
+
+    cond = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"_fl_c_{c}")), by, F.col(_PID) == F.col("_fl_c_pid"))
     joined = local.join(F.broadcast(corr), cond, "left")
-    result_cols = [F.col(c) for c in df.columns]
-    result_cols.append((F.col(_LRANK) + F.coalesce(F.col(_OFF), F.lit(0))).alias(out))
-    for c in first:
-        result_cols.append(
-            F.when(F.col(_OFF).isNotNull(), F.col(f"_fl_cf_{c}")).otherwise(F.col(f"_fl_first_{c}")).alias(f"first_{c}")
-        )
-    return joined.select(*result_cols)
+    total = F.col(_SUM) - F.col(_START) + F.coalesce(F.col(_OFF), F.lit(0))
+    firsts = [F.when(F.col(_OFF).isNotNull(), F.col("_fl_cf")[c]).otherwise(F.col(_FIRST)[c]).alias(f"first_{c}") for c in first]
+    return joined.select(*[F.col(c) for c in df.columns], total.alias(out), *firsts)
+
+
+def number_within(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column | str],
+    out: str = "rn",
+    first: Sequence[str] = (),
+    partitions: int | None = None,
+) -> DataFrame:
+    """``row_number() over (partition by by order by order)``, as a running total of ones."""
+    return running_total(df, by, order, F.lit(1), out, first, partitions)
 
 
 def cap_within(
@@ -195,25 +104,6 @@ def cap_within(
     k: int,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Rows ranked ``<= k`` inside each group (ties broken by ``order``), skew-safe.
-
-    A partial/final count per group finds the groups holding more than ``k`` rows.
-    Every other group is kept whole: its rows cannot rank above ``k``, so they
-    need no ordering at all. Only the rows of the larger groups are numbered
-    with ``number_within``, which spreads a hot group over many tasks. The
-    large-group keys reach the row side through a NULL-safe semi/anti join that
-    AQE broadcasts when it measures the key table small (the usual case: few or
-    no groups above the cap).
-    """
-    by = list(by)
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_fl_n"))
-    heavy = counts.filter(F.col("_fl_n") > k).select(*[F.col(c).alias(f"_fl_h_{c}") for c in by])
-    cond = None
-    for c in by:
-        term = F.col(c).eqNullSafe(F.col(f"_fl_h_{c}"))
-        cond = term if cond is None else cond & term
-    light_rows = df.join(heavy, cond, "left_anti")
-    heavy_rows = df.join(heavy, cond, "left_semi")
-    capped = number_within(heavy_rows, by, order, out="_fl_k", partitions=partitions)
-    capped = capped.filter(F.col("_fl_k") <= k).drop("_fl_k")
-    return light_rows.unionByName(capped)
+    """Rows ranked ``<= k`` inside each group (ties broken by ``order``), skew-safe."""
+    numbered = number_within(df, by, order, out="_fl_k", partitions=partitions)
+    return numbered.filter(F.col("_fl_k") <= k).drop("_fl_k")

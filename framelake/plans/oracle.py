@@ -41,35 +41,34 @@ FX: dict[str, str] = {
         trunc(pos_ms)::bigint as timestamp_ms, width, height
         from decoded_fx where frame_number % 30 = 0""",
     "scored_fx": "select frame_id from frames_fx where timestamp_ms % 3 = 0",
-    "boxes_fx": """select printf('order_%d__%06d', l_orderkey, 0) as frame_id,
-        (l_linenumber)::float as x1, (l_quantity)::float as y1,
+    "boxes_fx": """select l_orderkey as k, (l_linenumber)::float as x1, (l_quantity)::float as y1,
         (l_linenumber + 10)::float as x2, (l_quantity + 20)::float as y2,
         (l_discount * 10)::float as conf, (l_suppkey % 3)::int as cls
-        from lineitem where l_orderkey % 97 <> 0""",
-    "detections_fx": """select f.frame_id, f.video_id, f.inferred_at,
-        case when f.k % 97 = 0 then []::""" + BOX + """[] else b.boxes end as boxes
-        from (select o_orderkey as k, printf('order_%d__%06d', o_orderkey, 0) as frame_id,
-                     printf('cust_%d', o_custkey) as video_id, o_orderdate as inferred_at from orders) f
-        left join (select frame_id, list({'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'conf': conf, 'cls': cls}
+        from lineitem""",
+    "detections_fx": """select printf('order_%d__%06d', o.o_orderkey, coalesce(b.f, 0)) as frame_id,
+        printf('cust_%d', o_custkey) as video_id, o_orderdate as inferred_at, b.boxes
+        from orders o
+        left join (select k, f, list({'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'conf': conf, 'cls': cls}
                           order by conf desc, x1, y1, x2, y2, cls) as boxes
-                   from (select * from boxes_fx qualify row_number() over (partition by frame_id
-                                 order by conf desc, x1, y1, x2, y2, cls) <= 300)
-                   group by frame_id) b on f.frame_id = b.frame_id""",
+                   from (select *, (row_number() over (partition by k order by conf desc, x1, y1, x2, y2, cls) - 1) // 8 as f
+                         from boxes_fx)
+                   group by k, f) b on o.o_orderkey = b.k""",
     "metrics": """select frame_id, video_id, inferred_at, coalesce(len(boxes), 0)::int as n_detections,
         case when coalesce(len(boxes), 0) > 0
              then list_sum(list_transform(boxes, lambda b: b.conf::double)) / len(boxes)
              else 0.0::double end as avg_conf
         from detections_fx""",
     "runs_fx": """select printf('det_%d', o_custkey % 50) as name, o_orderkey as run_id,
-        case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'RUNNING' else 'FAILED' end as status,
+        case when o_custkey % 50 = 47 then 'FAILED' when o_orderstatus = 'F' then 'FINISHED'
+             when o_orderstatus = 'O' then 'RUNNING' else 'FAILED' end as status,
         o_orderdate as start_time,
-        try_cast(case when o_orderkey % 7 = 0 then null when o_orderkey % 11 = 0 then 'n/a'
+        try_cast(case when o_orderkey % 7 = 0 or o_custkey % 50 = 48 then null when o_orderkey % 11 = 0 then 'n/a'
              else '0.' || lpad(((o_orderkey * 7919 + o_custkey) % 100000)::varchar, 5, '0') end as double) as map50,
         try_cast('0.' || lpad((o_custkey % 1000)::varchar, 3, '0') as double) as precision
         from orders""",
     "versions_fx": """select distinct printf('det_%d', o_custkey % 50) as name, l_orderkey as run_id,
         cast(l_orderkey * 10 + l_linenumber as varchar) as version
-        from lineitem join orders on l_orderkey = o_orderkey""",
+        from lineitem join orders on l_orderkey = o_orderkey where o_custkey % 50 <> 49""",
     "al_v": "select name, run_id, max(cast(version as bigint)) as version from versions_fx group by 1, 2",
     "al_r": """select r.name, r.run_id, r.map50, v.version, cast(substr(r.name, 5) as int) as m
         from runs_fx r join al_v v on r.name = v.name and r.run_id = v.run_id where status = 'FINISHED'""",
@@ -111,44 +110,54 @@ FX: dict[str, str] = {
     "bl_min": "select min(inferred_at) as t from metrics",
     "baseline": "select m.* from metrics m, bl_min where m.inferred_at < bl_min.t + interval 7 day",
     "long_m": """select date_trunc('day', inferred_at) as window_start, 'n_detections' as column_name,
-            n_detections::double as value from metrics where inferred_at is not null
-        union all select date_trunc('day', inferred_at), 'avg_conf', avg_conf from metrics
-            where inferred_at is not null""",
-    "long_b": """select 'n_detections' as column_name, n_detections::double as value from baseline
-            where inferred_at is not null
-        union all select 'avg_conf', avg_conf from baseline where inferred_at is not null""",
-    "dr_c": """select window_start, column_name,
-        case when column_name = 'avg_conf' then greatest(0, least(9, floor(value * 10)::int))
-             else greatest(0, least(10, trunc(value)::int)) end as bin, count(*) as c
-        from long_m where value is not null group by all""",
-    "dr_b": """select column_name,
-        case when column_name = 'avg_conf' then greatest(0, least(9, floor(value * 10)::int))
-             else greatest(0, least(10, trunc(value)::int)) end as bin, count(*) as cb
-        from long_b where value is not null group by all""",
+            n_detections::double as value, inferred_at < t + interval 7 day as inb from metrics, bl_min where inferred_at is not null
+        union all select date_trunc('day', inferred_at), 'avg_conf', avg_conf, inferred_at < t + interval 7 day
+            from metrics, bl_min where inferred_at is not null""",
     "dr_tc": """select window_start, column_name, count(*) as n, avg(value) as mean from long_m
         where value is not null group by all""",
-    "dr_tb": """select column_name, count(*) as baseline_n, avg(value) as baseline_mean from long_b
-        where value is not null group by all""",
+    "dr_tb": """select column_name, count(*) as baseline_n, avg(value) as baseline_mean from long_m
+        where value is not null and inb group by all""",
+    "dr_v": """select *, sum(cb) over (partition by column_name order by value) as rb from (
+        select column_name, value, count(*) filter (where inb) as cb from long_m where value is not null group by all)""",
+    "dr_e": """select distinct v.column_name, v.value as e from dr_v v join dr_tb b on v.column_name = b.column_name,
+        (select unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::double[]) as q)
+        where rb - cb <= floor((baseline_n - 1) * q) and floor((baseline_n - 1) * q) < rb""",
+    "dr_bin": """select v.column_name, v.value, cb, (count(*) filter (where e < v.value) + count(*) filter (where e <= v.value))::int as bin
+        from dr_v v left join dr_e e on v.column_name = e.column_name group by all""",
+    "dr_c": """select l.window_start, l.column_name, bin, count(*) as c from long_m l
+        join dr_bin b on l.column_name = b.column_name and l.value = b.value group by all""",
+    "dr_b": "select column_name, bin, sum(cb) as cb from dr_bin group by all",
+    "dr_ks": """select window_start, column_name, max(greatest(abs(rw / n - rb / baseline_n), abs((rw - c) / n - (rb - cb) / baseline_n))) as ks
+        from (select w.*, sum(c) over (partition by window_start, column_name order by value) as rw
+              from (select window_start, column_name, value, count(*) as c from long_m where value is not null group by all) w) w
+        join dr_v using (column_name, value) join dr_tc using (window_start, column_name) join dr_tb using (column_name)
+        group by window_start, column_name""",
     "dr_g": """select t.window_start, t.column_name, t.n, t.mean, tb.baseline_n, tb.baseline_mean, g.bin,
-            coalesce(c.c, 0) / t.n as p, coalesce(b.cb, 0) / tb.baseline_n as q
+            greatest(coalesce(c.c, 0) / t.n, 1e-6) as p, greatest(coalesce(b.cb, 0) / tb.baseline_n, 1e-6) as q
         from dr_tc t
-        cross join lateral (select unnest(range(0, case when t.column_name = 'avg_conf' then 10 else 11 end)) as bin) g
+        join (select column_name, unnest(range(2 * count(*)::int + 1)) as bin from dr_e group by column_name) g
+             on g.column_name = t.column_name
         left join dr_c c on c.window_start = t.window_start and c.column_name = t.column_name and c.bin = g.bin
         left join dr_b b on b.column_name = t.column_name and b.bin = g.bin
         left join dr_tb tb on tb.column_name = t.column_name""",
     "drift": """select window_start, column_name, max(n) as n, max(baseline_n) as baseline_n,
             max(mean) as mean, max(baseline_mean) as baseline_mean, max(mean) - max(baseline_mean) as mean_delta,
-            sum((greatest(p, 1e-6) - greatest(q, 1e-6)) * ln(greatest(p, 1e-6) / greatest(q, 1e-6))) as psi,
-            max(abs(cp - cq)) as ks
-        from (select *, sum(p) over w as cp, sum(q) over w as cq from dr_g
-              window w as (partition by window_start, column_name order by bin
-                           rows between unbounded preceding and current row))
+            sum((p - q) * ln(p / q)) as psi, max(ks) as ks
+        from dr_g join dr_ks using (window_start, column_name)
         group by window_start, column_name""",
 }
 
 _ORDER = list(FX)
 
 
+MODEL_FEATURES = """select f.frame_id, f.frame_path, f.video_id, f.timestamp_ms, m.n_detections as detection_count,
+        (round(cast(m.avg_conf as double), 6) + 0.0) as mean_confidence
+        from (select frame_id, printf('/frames/%s/%s.jpg', video_id, frame_id) as frame_path, video_id,
+                     0::bigint as timestamp_ms from detections_fx) f
+        left join (select frame_id, n_detections, avg_conf from metrics where day(inferred_at) % 4 <> 0) m
+        on f.frame_id = m.frame_id"""
+
+
 def _with(needs: list[str]) -> str:
     """WITH clause holding the needed fixtures and everything they depend on."""
     deps: set[str] = set()
@@ -179,7 +188,8 @@ def _q(needs: list[str], body: str) -> str:
 
 
 def _flat(list_expr: str) -> str:
-    inner = f"select frame_id, unnest(range(len({list_expr}))) as pos, unnest({list_expr}) as b from detections_fx"
+    some = f"select frame_id, unnest(range(len({list_expr}))) as pos, unnest({list_expr}) as b from detections_fx"
+    inner = f"select d.frame_id, s.pos, s.b from detections_fx d left join ({some}) s on d.frame_id = s.frame_id"
     return (
         f"select frame_id, pos::int as pos, {_r6('b.x1')} as x1, {_r6('b.y1')} as y1, {_r6('b.x2')} as x2, "
         f"{_r6('b.y2')} as y2, {_r6('b.conf')} as conf, b.cls as cls from ({inner})"
@@ -229,7 +239,7 @@ ORACLE: dict[str, str] = {
         printf('/frames/%s/%s__%06d.jpg', video_id, video_id, frame_number) as frame_path,
         trunc(pos_ms)::bigint as timestamp_ms, width, height
         from decoded_fx where frame_number % 30 = 0
-        qualify row_number() over (partition by video_id order by frame_number) <= 5""",
+        qualify row_number() over (partition by video_id order by frame_number) <= 2""",
     ),
     "frames_per_video": _q(["frames_fx"], "select video_id, count(*) as n_frames from frames_fx group by rollup(video_id)"),
     "frame_id_from_path": _q(
@@ -256,10 +266,12 @@ ORACLE: dict[str, str] = {
     ),
     "scored_boxes": f"""select vec_id, (row_number() over (partition by vec_id order by i) - 1)::int as box_pos,
         {_r6('x1')} as x1, {_r6('y1')} as y1, {_r6('x2')} as x2, {_r6('y2')} as y2, {_r6('conf')} as conf, cls
-        from (select vec_id, i, embedding[6*i+1] as x1, embedding[6*i+2] as y1, embedding[6*i+3] as x2,
-                     embedding[6*i+4] as y2, abs(embedding[6*i+5]) as conf, (embedding[6*i+6] > 0)::int as cls
-              from embeddings, range(10) r(i))
-        where conf::double >= 0.10::double""",
+        from (select vec_id, i, embedding[4*i+1] as x1, embedding[4*i+2] as y1, embedding[4*i+3] as x2,
+                     embedding[4*i+4] as y2, abs(embedding[4*i+4]) as conf, (embedding[4*i+3] > 0)::int as cls
+              from (select vec_id, embedding, unnest(range(len(embedding) // 4)) as i from embeddings))
+        where conf::double >= 0.10::double
+        union all select vec_id, null, null, null, null, null, null, null from embeddings
+        where len(list_filter(range(len(embedding) // 4), lambda i: abs(embedding[4*i+4])::double >= 0.10::double)) = 0""",
     "detections_provenance": _q(
         ["detections_fx", "aliases_fx"],
         """select d.frame_id, d.video_id, a.version as model_version, 'champion' as alias_used,
@@ -301,11 +313,17 @@ ORACLE: dict[str, str] = {
     "confs_classes": _q(
         ["detections_fx"],
         f"""select frame_id, pos::int as pos, {_r6('b.conf')} as conf, b.cls as cls
-        from (select frame_id, unnest(range(len(boxes))) as pos, unnest(boxes) as b from detections_fx)""",
+        from (select d.frame_id, s.pos, s.b from detections_fx d left join
+              (select frame_id, unnest(range(len(boxes))) as pos, unnest(boxes) as b from detections_fx) s
+              on d.frame_id = s.frame_id)""",
     ),
     "boxes_filtered": _q(["detections_fx"], _flat("list_filter(boxes, lambda b: b.conf >= 0.25::double)")),
     "boxes_nms": _q(["detections_fx"], _flat(_NMS)),
     "boxes_topk": _q(["detections_fx"], _flat("list_slice(boxes, 1, 3)")),
+    "boxes_postprocessed": _q(
+        ["detections_fx"],
+        _flat("list_slice(" + _NMS.replace("list_reduce(boxes,", "list_reduce(list_filter(boxes, lambda b: b.conf >= 0.25::double),") + ", 1, 3)"),
+    ),
     "box_totals": _q(
         ["metrics"],
         """select count(*) as n_frames, sum(n_detections)::bigint as total_boxes,
@@ -315,20 +333,48 @@ ORACLE: dict[str, str] = {
     ),
     "box_contract": _q(
         ["detections_fx"],
-        f"""select count(*) as n_frames, count(*) filter (where boxes is null) as n_null_frames,
+        f""", broken as (select list_transform(boxes, lambda b: {{'x1': b.x1, 'y1': b.y1, 'x2': b.x2, 'y2': b.y2, 'conf': b.conf,
+                 'cls': case when b.cls <> 2 then b.cls end}}) as boxes from detections_fx),
+        i as (select frame_id, day(inferred_at) as day from detections_fx),
+        o as (select frame_id from i where day % 9 <> 0 union all select 'unknown_' || frame_id from i where day % 10 = 0)
+        select count(*) as n_frames, count(*) filter (where boxes is null) as n_null_frames,
         sum(coalesce(len(boxes), 0))::bigint as n_boxes,
-        sum(coalesce(len(list_filter(boxes, lambda b: {_INVALID})), 0))::bigint as n_invalid_boxes,
-        true as schema_ok, count(*) as n_in, count(*) as n_out, 0::bigint as n_lost, 0::bigint as n_extra
-        from detections_fx""",
+        sum(coalesce(len(list_filter(boxes, lambda b: {_INVALID})), 0))::bigint as n_invalid_boxes, true as schema_ok,
+        (select count(*) from i) as n_in, (select count(*) from o) as n_out,
+        (select count(*) from i where not exists (select 1 from o where o.frame_id = i.frame_id)) as n_lost,
+        (select count(*) from o where not exists (select 1 from i where o.frame_id = i.frame_id)) as n_extra
+        from broken""",
     ),
-    "model_features": _q(
-        ["metrics"],
-        f"""select f.frame_id, f.frame_path, f.video_id, f.timestamp_ms, m.n_detections as detection_count,
-        {_r6('m.avg_conf')} as mean_confidence
-        from (select frame_id, printf('/frames/%s/%s.jpg', video_id, frame_id) as frame_path, video_id,
-                     0::bigint as timestamp_ms from detections_fx) f
-        left join (select frame_id, n_detections, avg_conf from metrics where day(inferred_at) % 4 <> 0) m
-        on f.frame_id = m.frame_id""",
+    "model_features": _q(["metrics"], MODEL_FEATURES),
+    "model_features_merged": _q(["metrics"], MODEL_FEATURES),
+    "predict_contract": _q(
+        ["files_fx"],
+        f"""select frame_id, n as n_boxes, n as n_confs, n as n_classes from (
+        select coalesce(case when doc_id % 3 = 0 then printf('given_%d', doc_id) end, {_stem(_base('path'))}) as frame_id,
+               case when path like '%.txt' then 0 else length(path) % 3 end::int as n from files_fx)""",
+    ),
+    "scoring_failures": _q(
+        ["files_fx"],
+        """select path, case when path like '%.txt' then 'ValueError: not a picture' end as error,
+        case when path like '%.txt' then 0 else length(path) % 3 end::int as n_boxes from files_fx""",
+    ),
+    "pending_count": _q(
+        ["frames_fx", "scored_fx"],
+        "select count(*) as n_pending from frames_fx f where not exists (select 1 from scored_fx s where s.frame_id = f.frame_id)",
+    ),
+    "registered_versions": _q(
+        ["runs_fx", "versions_fx"],
+        """select r.name, r.run_id, cast(coalesce(t.top, 0) + row_number() over (partition by r.name order by r.run_id) as varchar) as version
+        from runs_fx r left join (select name, max(version::bigint) as top from versions_fx group by name) t on r.name = t.name
+        where not exists (select 1 from versions_fx v where v.name = r.name and v.run_id = r.run_id)""",
+    ),
+    "logged_runs": _q(
+        ["runs_fx"],
+        """select run_id, name, case when run_id % 4 >= 2 then 'FINISHED' else status end as status,
+        ((map50 is not null)::int + (precision is not null)::int) as n_metrics from runs_fx""",
+    ),
+    "latest_run": _q(
+        ["runs_fx"], "select name, run_id, status, start_time from runs_fx order by start_time desc nulls last, run_id desc limit 1"
     ),
     "run_metrics": _q(
         ["runs_fx"],
@@ -399,7 +445,7 @@ ORACLE: dict[str, str] = {
         where d.psi > 0.2""",
     ),
     "incremental_scoring": """select printf('vec_%d__%06d', vec_id, 0) as frame_id, printf('label_%d', label) as video_id,
-        coalesce(len(list_filter(range(10), lambda i: abs(embedding[6*i+5])::double >= 0.10::double)), 0)::int
+        coalesce(len(list_filter(range(len(embedding) // 4), lambda i: abs(embedding[4*i+4])::double >= 0.10::double)), 0)::int
             as n_detections,
         case when vec_id % 2 = 0 then '1' else '2' end as model_version, 'champion' as alias_used
         from embeddings""",

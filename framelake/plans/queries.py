@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- fixed query parameters ---------------------------------------------------
 PROVENANCE_MODEL = "det_2"
 PROVENANCE_ALIAS = "champion"
-CAP_PER_VIDEO = 5
+CAP_PER_VIDEO = 2
 TOP_K = 3
 STANDIN_MIN_CONF = 0.10
 # -----------------------------------------------------------------------------
@@ -126,11 +126,11 @@ def _metrics(spark, d) -> DataFrame:
     return monitor.detections_metrics(fx.detections_fx(spark, d))
 
 
-def _metrics_table(spark, d) -> DataFrame:
-    """The metrics snapshot as the monitoring stage sees it: written once (SNK-7 in
-    the reference flow), then read by the baseline, profile and drift plans. Here
-    it is a checkpoint in the shared checkpoint folder."""
-    return materialize(_metrics(spark, d))
+def _counts(spark, d) -> DataFrame:
+    """Value counts of the metrics. Every order has a frame stamped with its date, so the
+    baseline's end is read from the orders alone."""
+    first = fx.table(spark, d, "orders").select(F.col("o_orderdate").alias("inferred_at"))
+    return monitor.value_counts(_metrics(spark, d), baseline_until=monitor.baseline_end(first))
 
 
 def detections_metrics(spark, d):
@@ -146,7 +146,7 @@ def detections_summary(spark, d):
 def confs_classes(spark, d):
     det = fx.detections_fx(spark, d)
     z = det.select("frame_id", F.arrays_zip(bx.confs("boxes").alias("conf"), bx.classes("boxes").alias("cls")).alias("z"))
-    e = z.select("frame_id", F.posexplode("z").alias("pos", "p"))
+    e = z.select("frame_id", F.posexplode_outer("z").alias("pos", "p"))
     return e.select("frame_id", "pos", r6("p.conf").alias("conf"), F.col("p.cls").alias("cls"))
 
 
@@ -165,6 +165,12 @@ def boxes_topk(spark, d):
     return _flat_boxes(det.select("frame_id", bx.top("boxes", TOP_K).alias("b")), "b")
 
 
+def boxes_postprocessed(spark, d):
+    """The detector's order: threshold, suppress, then cap."""
+    det = fx.detections_fx(spark, d)
+    return _flat_boxes(det.select("frame_id", bx.detector_postprocess("boxes", 0.25, 0.45, TOP_K).alias("b")), "b")
+
+
 def box_totals(spark, d):
     """AGG-6, AGG-7, JOI-7 in one pass: totals and the top frame with its path
     (``min_by`` over a struct carrying the path; ``monitor.top_frame`` is the
@@ -188,10 +194,14 @@ def box_totals(spark, d):
 
 
 def box_contract(spark, d):
-    # A contract check reads the stored detections table several times: written once here.
-    det = materialize(fx.detections_fx(spark, d))
-    c = contracts.box_contract(det)
-    rc = contracts.row_count_check(det, monitor.detections_metrics(det), "frame_id")
+    """Boxes of class 2 lose their class (invalid); some frames lose their metrics row, some get a second, unknown one."""
+    det = fx.detections_fx(spark, d)
+    broken = F.transform("boxes", lambda b: b.withField("cls", F.when(b["cls"] != 2, b["cls"])))
+    c = contracts.box_contract(det.select("frame_id", broken.alias("boxes")))
+    frames_in = det.select("frame_id", F.dayofmonth("inferred_at").alias("day"))
+    out = frames_in.filter(F.col("day") % 9 != 0).unionByName(
+        frames_in.filter(F.col("day") % 10 == 0).withColumn("frame_id", F.concat(F.lit("unknown_"), "frame_id")))
+    rc = contracts.row_count_check(frames_in, out, "frame_id")
     counts = rc.select(F.struct(*rc.columns)).scalar()  # one row, one subquery
     return c.select("*", *[counts[k].alias(k) for k in rc.columns])
 
@@ -210,6 +220,45 @@ def model_features(spark, d):
     return j.select(*feats.columns, "detection_count", r6("mean_confidence").alias("mean_confidence"))
 
 
+def model_features_merged(spark, d):
+    """The feature table after the model features of the scored frames are merged in."""
+    det = fx.detections_fx(spark, d)
+    path = F.format_string("/frames/%s/%s.jpg", "video_id", "frame_id")
+    feats = features.raw_features(det.select("frame_id", "video_id", path.alias("frame_path"), F.lit(0).cast("long").alias("timestamp_ms")))
+    scored = monitor.detections_metrics(det.filter(F.dayofmonth("inferred_at") % 4 != 0))
+    merged = features.with_model_features(feats, scored).filter(F.col("detection_count").isNotNull())
+    out = store.merge_result(feats, merged, ["frame_id"], evolve=True)
+    return out.withColumn("mean_confidence", r6("mean_confidence"))
+
+
+class PicturePredictor(scoring.Predictor):
+    """Stand-in over paths: as many boxes as the path's length leaves by 3; a text file is no picture."""
+
+    key = "picture-path"
+
+    def predict(self, model, inputs):
+        if inputs.str.endswith(".txt").any():
+            raise ValueError("not a picture")
+        box = {"x1": 0.0, "y1": 0.0, "x2": 1.0, "y2": 1.0, "conf": 0.5, "cls": 1}
+        return [[box] * (len(p) % 3) for p in inputs]
+
+
+def predict_contract(spark, d):
+    f = fx.files_fx(spark, d)
+    given = F.when(F.col("doc_id") % 3 == 0, F.format_string("given_%d", "doc_id"))
+    out = scoring.predict_frames(f.select("path", given.alias("frame_id")), PicturePredictor())
+    return out.select("frame_id", F.size("boxes").alias("n_boxes"), F.size("confs").alias("n_confs"), F.size("classes").alias("n_classes"))
+
+
+def scoring_failures(spark, d):
+    s = scoring.score(fx.files_fx(spark, d).select("path"), "path", PicturePredictor(), error_col="error")
+    return s.select("path", "error", F.size("boxes").alias("n_boxes"))
+
+
+def pending_count(spark, d):
+    return scoring.unscored(fx.frames_fx(spark, d), fx.scored_fx(spark, d)).agg(F.count(F.lit(1)).alias("n_pending"))
+
+
 def run_metrics(spark, d):
     r = fx.runs_fx(spark, d)
     return r.select(
@@ -231,6 +280,25 @@ def run_versions(spark, d):
     return registry.run_versions(fx.runs_fx(spark, d), fx.versions_fx(spark, d))
 
 
+def registered_versions(spark, d):
+    """Versions given to the runs that have none yet."""
+    runs, versions = fx.runs_fx(spark, d), fx.versions_fx(spark, d)
+    new = runs.join(versions.select("name", "run_id"), ["name", "run_id"], "left_anti")
+    return registry.register_versions(versions, new)
+
+
+def logged_runs(spark, d):
+    """The runs table after some runs are logged again as finished and some for the first time."""
+    runs = fx.runs_fx(spark, d)
+    again = runs.filter(F.col("run_id") % 4 >= 2).withColumn("status", F.lit(registry.FINISHED))
+    out = registry.log_runs(runs.filter(F.col("run_id") % 4 != 3), again)
+    return out.select("run_id", "name", "status", F.size("metrics").alias("n_metrics"))
+
+
+def latest_run(spark, d):
+    return registry.latest_run(fx.runs_fx(spark, d)).select("name", "run_id", "status", "start_time")
+
+
 def champion_metric(spark, d):
     c = registry.champion_metric(fx.runs_fx(spark, d), fx.versions_fx(spark, d), fx.aliases_fx(spark, d))
     return c.select("name", "champion_version", "champion_run_id", r6("champion_metric").alias("champion_metric"))
@@ -272,19 +340,18 @@ def decision_tags(spark, d):
 
 
 def baseline_window(spark, d):
-    b = monitor.baseline(_metrics_table(spark, d))
+    b = monitor.baseline(_metrics(spark, d))
     return b.select("frame_id", "video_id", "inferred_at", "n_detections", r6("avg_conf").alias("avg_conf"))
 
 
 def daily_profile(spark, d):
-    p = monitor.profile(_metrics_table(spark, d))
+    p = monitor.profile(_metrics(spark, d))
     dbl = ["mean", "stddev", "min", "max", "p25", "p50", "p75"]
     return p.select("window_start", "column_name", "n", "n_null", "n_distinct", *[r6(c).alias(c) for c in dbl])
 
 
 def _drift(spark, d) -> DataFrame:
-    m = _metrics_table(spark, d)
-    return monitor.drift(m, monitor.baseline(m))
+    return monitor.drift_counts(_counts(spark, d))
 
 
 def drift_vs_baseline(spark, d):
@@ -337,12 +404,20 @@ QUERIES: dict[str, Query] = {
     "boxes_filtered": boxes_filtered,
     "boxes_nms": boxes_nms,
     "boxes_topk": boxes_topk,
+    "boxes_postprocessed": boxes_postprocessed,
     "box_totals": box_totals,
     "box_contract": box_contract,
     "model_features": model_features,
+    "model_features_merged": model_features_merged,
+    "predict_contract": predict_contract,
+    "scoring_failures": scoring_failures,
+    "pending_count": pending_count,
     "run_metrics": run_metrics,
     "runs_ranked": runs_ranked,
     "run_versions": run_versions,
+    "registered_versions": registered_versions,
+    "logged_runs": logged_runs,
+    "latest_run": latest_run,
     "champion_metric": champion_metric,
     "promotion_gate": promotion_gate,
     "alias_moves": alias_moves,

@@ -31,8 +31,7 @@ METRIC_NAME_MAP = {
 # Monitoring defaults: baseline width and profile granularity.
 BASELINE_DAYS = 7
 MONITOR_GRANULARITY = "1 day"
-# Feature-table tags and description.
-FEATURE_TABLE_TAGS = {"domain": "volleyball", "stage": "raw_features"}
+# Key of the feature table.
 FEATURE_PRIMARY_KEY = "frame_id"
 # -----------------------------------------------------------------------------
 

@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.conf.get(CHECKPOINT_CONF, None) or ""
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master is {sc.master})")
         path = tempfile.mkdtemp(prefix="framelake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

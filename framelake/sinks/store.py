@@ -31,16 +31,25 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def merge_result(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_result(target: DataFrame, source: DataFrame, keys: Sequence[str], evolve: bool = False) -> DataFrame:
     """JOI-2 / SNK-3 as a pure plan: rows of ``target`` not matched by key, plus all of ``source``.
 
     Equal to MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT * for a source
     with unique, non-null keys. The anti join shuffles both sides on the key (or
     broadcasts the source when AQE measures it small).
+
+    The column sets must be equal unless ``evolve`` is set. Then columns only in ``source`` are added (NULL in
+    rows that are not matched), and columns only in ``target`` keep their value in matched rows.
     """
     keys = list(keys)
+    extra = [c for c in source.columns if c not in target.columns]
+    missing = [c for c in target.columns if c not in source.columns]
+    if (extra or missing) and not evolve:
+        raise ValueError(f"columns differ: only in the source {extra}, only in the target {missing}; pass evolve=True to merge them")
     kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    if missing:
+        source = source.join(target.select(*keys, *missing), keys, "left")
+    return kept.unionByName(source, allowMissingColumns=True).select(*target.columns, *extra)
 
 
 # ---------------------------------------------------------------- path versions
@@ -126,7 +135,7 @@ def _commit(spark: SparkSession, folder: str) -> None:
     fs.create(jvm.org.apache.hadoop.fs.Path(jpath, _COMMIT_MARKER), True).close()
 
 
-def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list[str], fmt: str, check: bool) -> str:
+def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list[str], fmt: str, check: bool, evolve: bool) -> str:
     """Path form of the upsert: the increment is written once, as a staged segment.
 
     The staged files are then the only copy of the increment anyone reads: the key
@@ -145,7 +154,10 @@ def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list
             # (Uncommitted entry folders alone, e.g. a rejected first write, are not.)
             current = spark.read.format(fmt).load(target)
     n = _next_number(spark, target)
-    staged_path = _write_entry(source if current is None else source.select(*current.columns), target, n, fmt, "append")
+    same = current is None or set(source.columns) == set(current.columns)
+    if not same:
+        merge_result(current, source, keys, evolve)  # raises unless the difference is allowed
+    staged_path = _write_entry(source, target, n, fmt, "append")
     staged = spark.read.format(fmt).load(staged_path)
     if check:
         check_keys(staged, keys)
@@ -157,10 +169,10 @@ def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list
     # stored is rewritten. Only key columns are read; AQE broadcasts the
     # increment's keys when they are small.
     overlap = staged.select(*keys).join(current.select(*keys), keys, "left_semi").limit(1).count() > 0
-    if not overlap and entries:
+    if not overlap and entries and same:
         _commit(spark, staged_path)
         return f"appended:{n}"
-    out = _write_entry(merge_result(current, staged, keys), target, n + 1, fmt, "snapshot")
+    out = _write_entry(merge_result(current, staged, keys, evolve), target, n + 1, fmt, "snapshot")
     _commit(spark, out)
     return f"versioned:{n + 1}"
 
@@ -180,16 +192,18 @@ def upsert(
     keys: Sequence[str],
     fmt: str = "parquet",
     check: bool = True,
+    evolve: bool = False,
 ) -> str:
     """SNK-2 / SNK-3 / SNK-4: create on first write, else idempotent keyed upsert.
 
     ``target`` is a catalog table name or a storage path (contains '/').
     Returns what was done: 'created[:n]', 'appended:n', 'versioned:n' (paths) or
-    'created', 'merged', 'swapped' (catalog tables).
+    'created', 'merged', 'swapped' (catalog tables). ``evolve`` allows the source to have
+    more or fewer columns (see :func:`merge_result`); otherwise a difference raises.
     """
     keys = list(keys)
     if "/" in target:
-        return _upsert_path(spark, target, source, keys, fmt, check)
+        return _upsert_path(spark, target, source, keys, fmt, check, evolve)
     # Catalog table: the increment is read several times (key check, merge): cut
     # its lineage once into the shared checkpoint folder so upstream work (a
     # scoring UDF, above all) runs exactly once and survives executor loss.
@@ -197,6 +211,7 @@ def upsert(
     source = source.checkpoint(eager=True)
     if check:
         check_keys(source, keys)
+    recover_table(spark, target)
     if not table_exists(spark, target):
         source.write.format(fmt).saveAsTable(target)
         return "created"
@@ -212,17 +227,25 @@ def upsert(
             .merge()
         )
         return "merged"
-    # Plain catalog table (Parquet): stage the merged result as its own table,
-    # then swap names. Spark refuses to overwrite a table it is reading, and a
-    # crash between the two steps leaves the complete staged table behind.
-    staged = f"{target}__staged"
+    # Plain catalog table (Parquet): stage the merged result as its own table, move the
+    # present one aside, move the staged one in, and only then drop the old one. A crash at any
+    # point leaves a complete table that recover_table() puts back.
+    staged, old = f"{target}__staged", f"{target}__old"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    merge_result(spark.table(target), source, keys).write.format(fmt).saveAsTable(staged)
-    spark.sql(f"DROP TABLE {target}")
+    merge_result(spark.table(target), source, keys, evolve).write.format(fmt).saveAsTable(staged)
+    spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    spark.sql(f"DROP TABLE {old}")
     return "swapped"
 
 
+def recover_table(spark: SparkSession, target: str) -> None:
+    """Undo a swap that a crash cut short: without ``target``, the table moved aside is put back; with it, that one is dropped."""
+    old = f"{target}__old"
+    if table_exists(spark, old):
+        spark.sql(f"DROP TABLE {old}" if table_exists(spark, target) else f"ALTER TABLE {old} RENAME TO {target}")
+
+
 def compact(spark: SparkSession, target: str, max_segments: int = 32, fmt: str = "parquet") -> str | None:
     """Fold the newest snapshot and its append segments into one new snapshot.
 
@@ -242,8 +265,8 @@ def compact(spark: SparkSession, target: str, max_segments: int = 32, fmt: str =
     return f"compacted:{n}"
 
 
-def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """SNK-7: snapshot overwrite with schema replacement.
+def overwrite(df: DataFrame, target: str, fmt: str = "parquet", change_feed: bool = False) -> None:
+    """SNK-7: snapshot overwrite with schema replacement; ``change_feed`` turns the change feed on where the format has one.
 
     A table name is replaced through ``saveAsTable``; a path gets a new version.
     Reading and overwriting the same table in one job is refused by Spark, so
@@ -254,6 +277,8 @@ def overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> None:
         _commit(spark, _write_entry(df, target, _next_number(spark, target), fmt, "snapshot"))  # a new full snapshot
     else:
         df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
+        if change_feed and _supports_merge(df.sparkSession, target):
+            set_table_properties(df.sparkSession, target, {"delta.enableChangeDataFeed": "true"})
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

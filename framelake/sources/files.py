@@ -9,6 +9,7 @@ part of this library).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from framelake.functions import ids
 from framelake.operators.frames import listing
+from framelake.session import materialize
 
 DECODED_SCHEMA = T.StructType(
     [
@@ -28,6 +30,8 @@ DECODED_SCHEMA = T.StructType(
     ]
 )
 
+CHUNK_FRAMES = 10_000
+
 # decode_fn(path) -> iterable of (frame_number, pos_ms, width, height)
 DecodeFn = Callable[[str], Iterable[tuple[int, float, int, int]]]
 
@@ -57,11 +61,18 @@ def _one_item_per_task(df: DataFrame) -> DataFrame:
 
     A path row is a few bytes, so AQE, which sizes partitions by bytes, would put
     thousands of videos in one task; an explicit count (round robin) prevents that.
-    The count job only reads the small item table.
+    The items are written once (a few bytes each), so neither the listing nor a
+    frame count runs again for the count or the spread.
     """
-    spark = df.sparkSession
-    cap = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(max(1, min(df.count(), cap)))
+    items = materialize(df)
+    return items.repartition(max(1, items.count()))
+
+
+def _chunks(video_id: str, frames: Iterable[tuple[int, float, int, int]]) -> Iterator[pd.DataFrame]:
+    """Decoded frames as tables of at most ``CHUNK_FRAMES`` rows: a long video is never held whole."""
+    names, it = [f.name for f in DECODED_SCHEMA.fields], iter(frames)
+    while rows := [(video_id, int(k), float(ms), int(w), int(h)) for k, ms, w, h in islice(it, CHUNK_FRAMES)]:
+        yield pd.DataFrame(rows, columns=names)
 
 
 def decode_videos(
@@ -83,16 +94,13 @@ def decode_videos(
     and ``decode_fn(path, start, end)`` yields the frames of that range.
     """
     spread = files.select(F.col(path_col).alias("path"), ids.video_id_from_path(path_col).alias("video_id"))
-    names = [f.name for f in DECODED_SCHEMA.fields]
     if frames_per_task is None:
         spread = _one_item_per_task(spread)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for path, vid in zip(pdf["path"], pdf["video_id"]):
-                    rows = [(vid, int(k), float(ms), int(w), int(h)) for k, ms, w, h in decode_fn(path)]
-                    if rows:
-                        yield pd.DataFrame(rows, columns=names)
+                    yield from _chunks(vid, decode_fn(path))
 
         return spread.mapInPandas(run, DECODED_SCHEMA)
 
@@ -104,7 +112,8 @@ def decode_videos(
     def n_frames(paths: pd.Series) -> pd.Series:
         return paths.map(lambda p: int(count_fn(p)))
 
-    counted = spread.withColumn("_n", n_frames("path"))
+    # Written once, so each video is opened for its count only once; a video without frames has no range.
+    counted = materialize(spread.withColumn("_n", n_frames("path"))).filter(F.col("_n") > 0)
     ranges = counted.select(
         "path", "video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("start"), "_n"
     ).withColumn("end", F.least(F.col("start") + step, F.col("_n")))
@@ -113,11 +122,9 @@ def decode_videos(
     def run_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, vid, start, end in zip(pdf["path"], pdf["video_id"], pdf["start"], pdf["end"]):
-                rows = [(vid, int(k), float(ms), int(w), int(h)) for k, ms, w, h in decode_fn(path, int(start), int(end))]
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                yield from _chunks(vid, decode_fn(path, int(start), int(end)))
 
-    return ranges.filter(F.col("_n") > 0).mapInPandas(run_ranges, DECODED_SCHEMA)
+    return ranges.mapInPandas(run_ranges, DECODED_SCHEMA)
 
 
 def build_frames(spark: SparkSession, manifest: DataFrame) -> DataFrame:

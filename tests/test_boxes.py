@@ -89,3 +89,20 @@ def test_contract_counts_invalid_boxes(spark):
     assert (r["n_frames"], r["n_null_frames"], r["n_boxes"], r["n_invalid_boxes"], r["schema_ok"]) == (2, 1, 3, 3, True)
     wrong = df.select("frame_id", F.transform("boxes", lambda b: F.struct(b["x1"].alias("x1"))).alias("boxes"))
     assert box_contract(wrong).first()["schema_ok"] is False
+
+
+def test_an_order_of_1000_boxes_loses_none_before_the_cap(spark):
+    """Suppression sees every box; only the last step caps."""
+    from pyspark.sql import functions as F
+
+    from framelake.functions import boxes as bx
+    from framelake.schemas import BOXES_DDL
+
+    rows = [("f", [(float(3 * i), 0.0, float(3 * i + 1), 1.0, 0.3 + (i % 7) / 10, 0) for i in range(1000)]), ("empty", []), ("none", None)]
+    df = spark.createDataFrame(rows, f"frame_id string, boxes {BOXES_DDL}")
+    out = df.select("frame_id", F.size(bx.nms(bx.keep_conf("boxes", 0.25), 0.45)).alias("kept"),
+                    F.size(bx.detector_postprocess("boxes", 0.25, 0.45, 300)).alias("capped"))
+    got = {r["frame_id"]: (r["kept"], r["capped"]) for r in out.collect()}
+    assert got["f"] == (1000, 300) and got["empty"] == (0, 0)
+    flat = bx.flatten(df, "boxes", ["frame_id"])
+    assert flat.count() == 1002 and flat.filter("pos is null").count() == 2

@@ -55,6 +55,15 @@ def test_stage_flows(spark, tmp_dir):
     assert jobs.read(spark, f"{lake}/metrics").count() == 5
     assert jobs.read(spark, f"{lake}/monitor/profile").count() == 2
 
+    jobs.merge_model_features(spark, f"{lake}/metrics", f"{lake}/features")
+    wide = jobs.read(spark, f"{lake}/features")
+    assert wide.columns[-2:] == ["detection_count", "mean_confidence"] and wide.filter("detection_count is null").count() == 0
+    jobs.register_features(spark, f"{lake}/frames", f"{lake}/features")  # re-run on the wider table keeps the model features
+    assert jobs.read(spark, f"{lake}/features").filter("detection_count is not null").count() == 5
+    review = (aliases, "det", "champion")
+    jobs.setup_monitoring(spark, f"{lake}/detections", f"{lake}/metrics", f"{lake}/baseline", f"{lake}/monitor", review=review)
+    assert jobs.read(spark, f"{lake}/monitor/flags").columns[-1] == "flagged_version"
+
 
 def test_promotion_flow_is_idempotent(spark, tmp_dir):
     t = datetime(2024, 1, 1)
@@ -106,3 +115,38 @@ def test_ingest_refuses_two_files_with_one_video_id(spark, tmp_dir):
     with pytest.raises(ValueError, match="unique"):
         jobs.ingest_frames(spark, raw, _decode, f"{tmp_dir}/frames", f"{tmp_dir}/jpg")
     assert jobs.read(spark, f"{tmp_dir}/frames") is None  # nothing committed
+
+
+class _Fails(FramePredictor):
+    key = "jobs-fails"
+
+    def predict(self, model, inputs: pd.Series):
+        if inputs.str.contains("short").any():
+            raise ValueError("cannot read " + "x" * 600)
+        return super().predict(model, inputs)
+
+
+def test_failed_frames_are_counted(spark, tmp_dir):
+    rows = [(f"{v}__{i:06d}", v, f"/{v}/{i}.jpg") for v in ("long", "short") for i in range(3)]
+    spark.createDataFrame(rows, "frame_id string, video_id string, frame_path string").write.parquet(f"{tmp_dir}/frames")
+    aliases = spark.createDataFrame([("det", "champion", "3")], "name string, alias string, version string")
+    assert jobs.batch_inference(spark, f"{tmp_dir}/frames", f"{tmp_dir}/det", aliases, "det", "champion", _Fails(),
+                                failures_target=f"{tmp_dir}/failures") == 6
+    failed = jobs.read(spark, f"{tmp_dir}/failures").collect()
+    assert sorted(r["frame_id"][:5] for r in failed) == ["short"] * 3 and all(len(r["error"]) > 600 for r in failed)
+    assert jobs.read(spark, f"{tmp_dir}/det").count() == 6
+
+
+def test_empty_and_long_videos(spark, tmp_dir):
+    from framelake.sources import files
+
+    videos = spark.createDataFrame([("/a/empty.mp4",), ("/a/long.mp4",)], "path string")
+    n = {"/a/empty.mp4": 0, "/a/long.mp4": 25_001}
+
+    def decode(path, start=0, end=None):
+        for k in range(start, n[path] if end is None else end):
+            yield k, k * 33.0, 640, 480
+
+    assert files.decode_videos(videos, decode).count() == 25_001
+    ranged = files.decode_videos(videos, decode, frames_per_task=4_000, count_fn=lambda p: n[p])
+    assert ranged.count() == 25_001 and ranged.select("frame_number").distinct().count() == 25_001

@@ -47,11 +47,11 @@ def test_drift_psi_ks_by_hand(spark):
     base = [(f"b{i}", "v", t0, 1, 0.05) for i in range(4)]
     cur = [(f"c{i}", "v", t0 + timedelta(days=3), 2 if i < 2 else 1, 0.95) for i in range(4)]
     d = {r["column_name"]: r for r in monitor.drift(_metrics(spark, cur), _metrics(spark, base)).collect()}
-    # avg_conf: all mass moves from bin 0 to bin 9
+    # the baseline's only value is a bin of its own, with one open bin on either side
     f = 1e-6
-    assert np.isclose(d["avg_conf"]["psi"], 2 * (1 - f) * np.log((1 - f) / f))
+    move = (0 + f - 1) * np.log(f / 1) + (1 - f) * np.log(1 / f)
+    assert np.isclose(d["avg_conf"]["psi"], move, rtol=1e-4)
     assert np.isclose(d["avg_conf"]["ks"], 1.0) and np.isclose(d["avg_conf"]["mean_delta"], 0.9)
-    # n_detections: p = (0, .5, .5), q = (0, 1, 0)
     psi = (0.5 - 1) * np.log(0.5 / 1) + (0.5 - f) * np.log(0.5 / f)
     assert np.isclose(d["n_detections"]["psi"], psi) and np.isclose(d["n_detections"]["ks"], 0.5)
     flags = monitor.flags(monitor.drift(_metrics(spark, cur), _metrics(spark, base)),
@@ -80,3 +80,36 @@ def test_top_frame_with_path(spark):
     frames = spark.createDataFrame([("a", "/a.jpg"), ("b", "/b.jpg")], "frame_id string, frame_path string")
     r = monitor.top_frame(m, frames).first()
     assert (r["frame_id"], r["n_detections"], r["frame_path"]) == ("a", 3, "/a.jpg")
+
+
+def test_large_counts_are_flagged_and_ks_is_exact(spark):
+    t0 = datetime(2024, 1, 1)
+    base = [(f"b{i}", "v", t0, 12, 0.5) for i in range(20)]
+    cur = [(f"c{i}", "v", t0 + timedelta(days=9), 40, 0.5) for i in range(20)]
+    d = {r["column_name"]: r for r in monitor.drift(_metrics(spark, cur), _metrics(spark, base)).collect()}
+    assert d["n_detections"]["psi"] > monitor.PSI_FLAG and d["n_detections"]["ks"] == 1.0
+    assert d["avg_conf"]["psi"] == 0.0 and d["avg_conf"]["ks"] == 0.0
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(0.5, 0.1, 300), rng.normal(0.55, 0.1, 200)
+    cur = [(f"c{i}", "v", t0 + timedelta(days=9), 1, float(x)) for i, x in enumerate(a)]
+    base = [(f"b{i}", "v", t0, 1, float(x)) for i, x in enumerate(b)]
+    got = {r["column_name"]: r["ks"] for r in monitor.drift(_metrics(spark, cur), _metrics(spark, base)).collect()}
+    every = np.concatenate([a, b])
+    ks = max(abs((a <= x).mean() - (b <= x).mean()) for x in every)
+    assert np.isclose(got["avg_conf"], ks)
+
+
+def test_hot_value_collapses_before_the_shuffle(spark):
+    """93 % of the frames share one value: it is one row of the counts table, and quartiles stay exact."""
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    m = spark.range(n).select(
+        F.format_string("f%d", "id").alias("frame_id"), F.lit("v").alias("video_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("inferred_at"),
+        F.when(F.col("id") % 100 < 93, 0).otherwise(F.col("id") % 7 + 1).cast("int").alias("n_detections"), F.lit(0.0).alias("avg_conf"))
+    counts = monitor.value_counts(m)
+    assert counts.count() <= 9 and counts.agg(F.max("c")).first()[0] >= n * 0.93
+    p = {r["column_name"]: r for r in monitor.profile(m).collect()}
+    assert (p["n_detections"]["p25"], p["n_detections"]["p50"], p["n_detections"]["p75"]) == (0.0, 0.0, 0.0)
+    assert p["n_detections"]["n"] == n and p["n_detections"]["n_distinct"] == 8

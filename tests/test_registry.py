@@ -100,3 +100,28 @@ def test_register_versions_and_latest_run(spark):
     assert registry.latest_run(runs).first()["run_id"] == 2
     logged = registry.log_runs(runs, _runs(spark, [("a", 2, "FAILED", None)]))
     assert sorted((r["run_id"], r["status"]) for r in logged.collect()) == [(1, "FINISHED"), (2, "FAILED")]
+
+
+def test_nan_metric_counts_as_not_logged(spark):
+    from datetime import datetime
+
+    t = datetime(2024, 1, 1)
+    runs = spark.createDataFrame(
+        [("m", 1, "FINISHED", t, {}, {"mAP50": float("nan")}), ("m", 2, "FINISHED", t, {}, {"mAP50": 0.4})],
+        "name string, run_id long, status string, start_time timestamp, tags map<string,string>, metrics map<string,double>")
+    ranks = {r["run_id"]: r["rank"] for r in registry.rank_runs(runs).collect()}
+    versions = spark.createDataFrame([("m", 1, "1"), ("m", 2, "2")], "name string, run_id long, version string")
+    aliases = spark.createDataFrame([], "name string, alias string, version string")
+    p = registry.promotion(runs, versions, aliases).first()
+    assert ranks == {2: 1, 1: 2} and p["best_run_id"] == 2 and p["challenger_version"] == "1"
+
+
+def test_version_of_two_runs_takes_the_smallest_run(spark):
+    from datetime import datetime
+
+    t = datetime(2024, 1, 1)
+    runs = spark.createDataFrame([("m", i, "FINISHED", t, {}, {"mAP50": i / 10}) for i in (1, 2, 3)],
+                                 "name string, run_id long, status string, start_time timestamp, tags map<string,string>, metrics map<string,double>")
+    versions = spark.createDataFrame([("m", 3, "5"), ("m", 2, "5")], "name string, run_id long, version string")
+    aliases = spark.createDataFrame([("m", "champion", "5")], "name string, alias string, version string")
+    assert registry.champion_metric(runs, versions, aliases).first()["champion_run_id"] == 2

@@ -1,6 +1,7 @@
 """Vectorized scoring, isolation, predict contract, incremental passes (UDF-1..4, JOI-1, STR-1)."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from framelake.operators import scoring
@@ -76,7 +77,8 @@ def test_resolved_version_from_alias_table(spark):
     det = scoring.score(_frames(spark), "frame_path", PathPredictor())
     out = scoring.with_resolved_version(det, aliases, "m", "champion")
     assert {r["model_version"] for r in out.collect()} == {"7"}
-    assert scoring.with_resolved_version(det, aliases, "m", "missing").count() == 0
+    with pytest.raises(Exception, match="m@missing does not exist"):
+        scoring.with_resolved_version(det, aliases, "m", "missing").collect()
 
 
 def test_spread_for_model_bounds_rows_per_task(spark):

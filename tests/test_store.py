@@ -81,9 +81,9 @@ def test_catalog_table_create_then_swap(spark):
     assert store.upsert(spark, name, _frames(spark, [("a", "v", 1)]), ["frame_id"]) == "created"
     assert store.upsert(spark, name, _frames(spark, [("a", "v", 5), ("b", "v", 1)]), ["frame_id"]) == "swapped"
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", "v", 5), ("b", "v", 1)]
-    store.set_table_properties(spark, name, {"domain": "volleyball", "note": "it's"})
+    store.set_table_properties(spark, name, {"domain": "video", "note": "it's"})
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    assert props["domain"] == "volleyball" and props["note"] == "it's"
+    assert props["domain"] == "video" and props["note"] == "it's"
     spark.sql(f"DROP TABLE {name}")
 
 
@@ -122,3 +122,38 @@ def test_snapshot_changes_null_to_value_is_update(spark):
     new = _frames(spark, [("a", "v", 1), ("b", "v", None)])
     got = [(r["frame_id"], r["change_type"]) for r in store.snapshot_changes(old, new, ["frame_id"]).collect()]
     assert got == [("a", "update")]
+
+
+def test_interrupted_swap_loses_no_row(spark):
+    name = "fl_test_swap"
+    for n in (name, f"{name}__old", f"{name}__staged"):
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    store.upsert(spark, name, _frames(spark, [("a", "v", 1), ("b", "v", 1), ("c", "v", 1)]), ["frame_id"])
+    # a crash after the present table was moved aside and before the staged one took its place
+    store.merge_result(spark.table(name), _frames(spark, [("d", "v", 1)]), ["frame_id"]).write.saveAsTable(f"{name}__staged")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+    assert store.upsert(spark, name, _frames(spark, [("d", "v", 2)]), ["frame_id"]) == "swapped"
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", "v", 1), ("b", "v", 1), ("c", "v", 1), ("d", "v", 2)]
+    # a crash before the old table was dropped
+    spark.table(name).limit(1).write.saveAsTable(f"{name}__old")
+    store.recover_table(spark, name)
+    assert spark.table(name).count() == 4 and not store.table_exists(spark, f"{name}__old")
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_column_differences_raise_or_merge(spark, tmp_dir):
+    t = spark.createDataFrame([("a", 1, 10), ("b", 1, 20)], "k string, x int, y int")
+    wide = spark.createDataFrame([("b", 2, 5, "n"), ("c", 2, 6, "n")], "k string, x int, y int, z string")
+    narrow = spark.createDataFrame([("b", 7)], "k string, x int")
+    for s in (wide, narrow):
+        with pytest.raises(ValueError, match="columns differ"):
+            store.merge_result(t, s, ["k"])
+    assert sorted(store.merge_result(t, wide, ["k"], evolve=True).collect()) == [("a", 1, 10, None), ("b", 2, 5, "n"), ("c", 2, 6, "n")]
+    assert sorted(store.merge_result(t, narrow, ["k"], evolve=True).collect()) == [("a", 1, 10), ("b", 7, 20)]
+    path = f"{tmp_dir}/evolving"
+    store.upsert(spark, path, t, ["k"])
+    with pytest.raises(ValueError, match="columns differ"):
+        store.upsert(spark, path, wide, ["k"])
+    store.upsert(spark, path, wide, ["k"], evolve=True)
+    store.upsert(spark, path, narrow, ["k"], evolve=True)
+    assert sorted(store.read_versioned(spark, path).collect()) == [("a", 1, 10, None), ("b", 7, 5, "n"), ("c", 2, 6, "n")]
