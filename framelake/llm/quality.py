@@ -110,10 +110,11 @@ class RuleModel:
 
 
 def fit_rules(sample: DataFrame, n_trees: int = N_TREES, depth: int = DEPTH, l1: float = L1) -> RuleModel:
-    """Fit on rows of ``STATS`` and ``label`` (0 or 1); without both classes the score is constant."""
+    """Fit on rows of ``STATS`` and ``label`` (0 or 1). Without both classes the score is constant: the share of 1
+    kept inside 0.01 to 0.99, or 0.99 without any row, so that nothing is rejected where nothing was learned."""
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones == 0 or ones == n:
-        p = 0.5 if n == 0 else min(max(ones / n, 0.01), 0.99)
+        p = 0.99 if n == 0 else min(max(ones / n, 0.01), 0.99)
         return RuleModel(float(np.log(p / (1 - p))), [])
     x = VectorAssembler(inputCols=STATS, outputCol="features").transform(sample)
     forest = RandomForestClassifier(labelCol="label", numTrees=n_trees, maxDepth=depth, seed=11, subsamplingRate=0.7,
@@ -134,7 +135,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     if there are more, about ``sample_rows`` chosen by a hash of the id (a documented bound). The
     score uses the text alone. Null and empty texts are scored as texts without words. Labels that
     repeat count once (by majority); null ones are ignored; a table without both classes gives a
-    constant score. Other columns are ignored.
+    constant score (see :func:`fit_rules`). Other columns are ignored.
     """
     stats = staged(statistics(docs), "statistics")
     marks = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))

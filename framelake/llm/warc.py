@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 RECORDS_PER_FILE = 2_000
 REVISIT_FROM = 1_000
 _SALT = 64
-_VERSION = re.compile(rb"(?:(?<=\n)|\A)WARC/1\.[01]\r\n")
+_CHUNK = 1 << 16
+#: Not bound to the start of a line: what stands before a record may be the torn end of another.
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _FIELDS = ["file", "offset", "length", "kind", "reason", "record_type", "record_id", "target_uri", "refers_to", "payload_bytes",
            "payload_digest", "payload"]
@@ -119,17 +121,20 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
 
 def _member(data: bytes, at: int) -> tuple[dict, int]:
     """The record in the gzip member at ``at`` and the place after the member."""
-    unzip = zlib.decompressobj(31)
-    try:
-        plain = unzip.decompress(data[at:]) + unzip.flush()
-    except zlib.error as e:
-        raise BadRecord(f"gzip: {e}") from None
-    if not unzip.eof:
-        raise BadRecord("gzip member cut off")
+    unzip, parts = zlib.decompressobj(31), []
+    while not unzip.eof:
+        if at >= len(data):
+            raise BadRecord("gzip member cut off")
+        try:
+            parts.append(unzip.decompress(data[at:at + _CHUNK]))
+        except zlib.error as e:
+            raise BadRecord(f"gzip: {e}") from None
+        at += min(_CHUNK, len(data) - at)
+    plain = b"".join(parts)
     record, end = parse_record(plain, 0)
     if end != len(plain):
         raise BadRecord("more than one record in a member")
-    return record, len(data) - len(unzip.unused_data)
+    return record, at - len(unzip.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[dict]:

@@ -1,0 +1,110 @@
+"""Exact dedup and the n-gram Jaccard join against brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm_docs import SF_SMALL, docs, texts  # noqa: F401 (fixtures)
+from framelake.llm import dedup
+from framelake.llm.components import components
+from framelake.llm.jaccard import jaccard_components
+
+LOW = {c: c + 32 for c in range(65, 91)}
+
+
+def shingles(text, k):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+
+def brute(rows, k, percent):
+    sets = [shingles(t, k) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    low = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[find(i)].append(d)
+    return Counter((d, len(s), min(low[find(i)], default=None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets)))
+
+
+@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80), (2, 60)])
+def test_jaccard_matches_brute_force(docs, texts, k, percent):
+    got = Counter(tuple(r) for r in jaccard_components(docs, k, percent).select("doc_id", "n_shingles", "component_id").collect())
+    assert got == brute(texts, k, percent)
+
+
+@pytest.mark.parametrize("percent,region", [(85, 0.25), (85, 1.0), (70, 0.25)])
+def test_jaccard_large_group_of_near_copies(spark, percent, region):
+    """Hundreds of copies with a few changed words: links below, at and above the threshold."""
+    import random
+
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(250):
+        v = list(base)
+        for _ in range(rnd.randint(0, 8)):
+            v[rnd.randrange(150)] = f"x{rnd.randint(0, 60)}"
+        rows.append((i, " ".join(v[: rnd.choice((150, 150, 140))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = Counter(tuple(r) for r in jaccard_components(df, 4, percent, region).collect())
+    assert got == brute(rows, 4, percent)
+
+
+def test_jaccard_empty_table(spark):
+    assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(5, j) for j in range(300, 340)] + [(7, 7), (None, 3), (300, 5), (300, 5)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[i] == 100 for i in range(100, 161)) and all(got[j] == 5 for j in range(300, 340)) and got[7] == 7
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("keep,fan_in", [("max", 16), ("min", 2)])
+def test_exact_dedup(docs, texts, keep, fan_in):
+    got = dedup.exact_dedup(docs, keep, fan_in).collect()
+    groups = defaultdict(list)
+    for d, t in texts:
+        groups[t or ""].append(d)
+    best = {t: (max if keep == "max" else min)([d for d in ids if d is not None], default=None) for t, ids in groups.items()}
+    by_sha = {hashlib.sha256(t.encode()).hexdigest(): t for t in groups}
+    assert len(got) == len(texts)
+    kept = Counter()
+    for r in got:
+        t = by_sha[r["text_sha256"]]
+        assert r["keep_id"] == best[t] and r["group_size"] == len(groups[t]) and r["doc_id"] in groups[t]
+        kept[t] += r["kept"]
+        assert not r["kept"] or r["doc_id"] == best[t]
+    assert all(kept[t] == 1 for t in groups)  # also where the best row is repeated
+    out = dedup.deduplicate(docs, keep, fan_in)
+    assert out.columns == docs.columns and out.count() == len(groups)
+
+
+def test_exact_dedup_merges_in_rounds(spark):
+    df = spark.range(0, 3000, 1, 37).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))
+    out = dedup.exact_dedup(df, fan_in=2).filter("kept")
+    assert out.count() == 2001 and out.filter("group_size = 1000").first()["keep_id"] == 2997
+    assert dedup.exact_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_registered_dedup_equals_its_sql(spark):
+    from framelake.llm.queries import ORACLE, QUERIES
+    from oracle_compare import duck
+
+    rows = sorted(tuple(r) for r in QUERIES["op4_exact_dedup"](spark, SF_SMALL).collect())
+    assert rows == sorted(duck(SF_SMALL).sql(ORACLE["op4_exact_dedup"]).fetchall())
