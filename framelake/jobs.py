@@ -29,17 +29,11 @@ from framelake.sinks import store
 from framelake.sources import files
 
 def read(spark: SparkSession, target: str) -> DataFrame | None:
-    """A target's current content: catalog table, versioned path, or plain path; None if absent."""
+    """A target's current content: catalog table or path; None if absent."""
     if "/" not in target:
         store.recover_table(spark, target)
         return spark.table(target) if store.table_exists(spark, target) else None
-    versioned = store.read_versioned(spark, target)
-    if versioned is not None:
-        return versioned
-    if store.has_entries(spark, target):
-        return None  # our layout, nothing committed yet (e.g. a rejected first write)
-    fs, p = store._fs(spark, target)
-    return spark.read.parquet(target) if fs.exists(p) else None
+    return store.read_path(spark, target)
 
 
 def ingest_frames(
@@ -132,7 +126,7 @@ def batch_inference(
         store.upsert(spark, failures_target, failed, [FRAME_KEY])
     store.upsert(spark, detections_target, scoring.with_provenance(scored, version, alias), [FRAME_KEY])
     if "/" in detections_target:
-        store.compact(spark, detections_target)  # keeps the number of segments bounded
+        store.compact(spark, detections_target)  # keeps the number of files bounded
     return pending
 
 

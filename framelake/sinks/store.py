@@ -1,29 +1,28 @@
 """Sinks and table maintenance (SNK-1..SNK-9, AGG-9 as the upsert's guard).
 
-Keyed upsert has two forms:
+Keyed upsert has three forms:
 
 * a catalog table whose format supports row-level operations (Delta, Iceberg):
   ``DataFrame.mergeInto`` - update all on match, insert all otherwise;
-* a plain Parquet location: the increment is written once as a staged segment
-  ``a=<n>``; if all its keys are new it is committed as is (nothing stored is
-  rewritten), otherwise a new snapshot ``v=<n+1>`` = ``current LEFT ANTI staged
-  UNION ALL staged`` is written beside it. An entry counts only once its
-  ``_COMMITTED`` marker exists; readers take the newest snapshot plus later
-  segments. Nothing is overwritten in place, so a crash or a lost executor
-  mid-write leaves the previous state intact and a retry writes new folders.
+* any other catalog table: the merged result is staged, then swapped in by renames;
+* a storage path: Parquet partitioned by a hash bucket of the key. An increment of new keys is
+  appended; otherwise only the buckets that it touches are merged, staged in the shared
+  checkpoint folder and put in place by Spark's dynamic partition overwrite. A ``_PENDING``
+  file names the staged copy while that runs, so a run cut short is finished by the next
+  reader or writer. One writer at a time.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.operators.contracts import check_keys
-from framelake.session import ensure_checkpoint_dir
-
-_VERSION_PREFIX = "v="
+from framelake.session import checkpoint_path, ensure_checkpoint_dir
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -52,129 +51,103 @@ def merge_result(target: DataFrame, source: DataFrame, keys: Sequence[str], evol
     return kept.unionByName(source, allowMissingColumns=True).select(*target.columns, *extra)
 
 
-# ---------------------------------------------------------------- path versions
-# A path table is a folder of entries: full snapshots "v=<n>" and append segments
-# "a=<n>" (one counter). The current content is the newest snapshot plus every
-# later segment. An entry counts only once its _COMMITTED marker exists (written
-# after Spark's job commit and our checks), so half-written or rejected folders
-# are never read.
-_APPEND_PREFIX = "a="
-_COMMIT_MARKER = "_COMMITTED"
+# ---------------------------------------------------------------- path tables
+DEFAULT_BUCKETS = 64
+_PENDING = "_PENDING"
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _entries(spark: SparkSession, path: str, committed_only: bool) -> list[tuple[int, str]]:
-    fs, jpath = _fs(spark, path)
-    if not fs.exists(jpath):
-        return []
-    jvm = spark.sparkContext._jvm
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        for prefix, kind in ((_VERSION_PREFIX, "snapshot"), (_APPEND_PREFIX, "append")):
-            if st.isDirectory() and name.startswith(prefix):
-                if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _COMMIT_MARKER)):
-                    out.append((int(name[len(prefix):]), kind))
-    return sorted(out)
-
-
-def committed_entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, kind) of committed entries, kind 'snapshot' or 'append', in order."""
-    return _entries(spark, path, committed_only=True)
-
-
-def has_entries(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` uses the entry layout at all (committed or not)."""
-    return bool(_entries(spark, path, committed_only=False))
-
+def _bucket_column(columns: Sequence[str]) -> str | None:
+    """The bucket column of a path table; its name tells the number of buckets."""
+    return next((c for c in columns if re.fullmatch(r"_bucket_of_[0-9]+", c)), None)
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of all committed entries (snapshots and append segments)."""
-    return [n for n, _ in committed_entries(spark, path)]
 
+def _with_bucket(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    return df.withColumn(column, F.pmod(F.xxhash64(*keys), F.lit(int(column.rsplit("_", 1)[1]))).cast("int"))
 
-def version_path(path: str, version: int, kind: str = "snapshot") -> str:
-    prefix = _VERSION_PREFIX if kind == "snapshot" else _APPEND_PREFIX
-    return f"{path.rstrip('/')}/{prefix}{version:06d}"
 
-
-def _current_paths(entries: list[tuple[int, str]], path: str) -> list[str]:
-    snaps = [n for n, k in entries if k == "snapshot"]
-    base = snaps[-1] if snaps else 0
-    return [version_path(path, n, k) for n, k in entries if n >= base]
-
-
-def read_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """SRC-6 for the path form: newest snapshot plus later append segments, or None."""
-    entries = committed_entries(spark, path)
-    if not entries:
+def _stored(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The table at ``path`` with its bucket column, after finishing a run that was cut short; None if there is none."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
         return None
-    return spark.read.format(fmt).load(_current_paths(entries, path))
-
-
-def _next_number(spark: SparkSession, path: str) -> int:
-    """Next entry number, past committed and abandoned folders alike."""
-    every = _entries(spark, path, committed_only=False)
-    return (every[-1][0] + 1) if every else 1
-
-
-def _write_entry(df: DataFrame, path: str, n: int, fmt: str, kind: str) -> str:
-    out = version_path(path, n, kind)
-    df.write.format(fmt).mode("errorifexists").save(out)
-    return out
-
-
-def _commit(spark: SparkSession, folder: str) -> None:
-    fs, jpath = _fs(spark, folder)
-    jvm = spark.sparkContext._jvm
-    fs.create(jvm.org.apache.hadoop.fs.Path(jpath, _COMMIT_MARKER), True).close()
-
-
-def _upsert_path(spark: SparkSession, target: str, source: DataFrame, keys: list[str], fmt: str, check: bool, evolve: bool) -> str:
-    """Path form of the upsert: the increment is written once, as a staged segment.
-
-    The staged files are then the only copy of the increment anyone reads: the key
-    check and the overlap test read just their key columns, and a merge reads
-    them instead of re-running the increment's plan (a scoring UDF runs once). An
-    insert-only increment is committed in place as an append segment; otherwise
-    a merged snapshot is written and committed, and the staged folder stays
-    uncommitted (ignored by readers).
-    """
-    entries = committed_entries(spark, target)
-    current = spark.read.format(fmt).load(_current_paths(entries, target)) if entries else None
-    if current is None and not has_entries(spark, target):
-        fs, jpath = _fs(spark, target)
-        if fs.exists(jpath) and fs.listStatus(jpath):
-            # A plain (unversioned) table at the path: its rows are the current content.
-            # (Uncommitted entry folders alone, e.g. a rejected first write, are not.)
-            current = spark.read.format(fmt).load(target)
-    n = _next_number(spark, target)
-    same = current is None or set(source.columns) == set(current.columns)
-    if not same:
-        merge_result(current, source, keys, evolve)  # raises unless the difference is allowed
-    staged_path = _write_entry(source, target, n, fmt, "append")
-    staged = spark.read.format(fmt).load(staged_path)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, _PENDING)
+    if fs.exists(mark):
+        body = fs.open(mark)
+        mode, staged = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(body, "UTF-8").split(" ", 1)
+        body.close()
+        _put(spark, staged, path, fmt, mode)
+    if not any(st.isDirectory() or not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(root)):
+        return None
+    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+
+
+def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """SRC-6 for the path form: the table's rows, or None if there is no table."""
+    df = _stored(spark, path, fmt)
+    return df if df is None or _bucket_column(df.columns) is None else df.drop(_bucket_column(df.columns))
+
+
+def _stage(df: DataFrame, fmt: str) -> str:
+    """Write ``df`` once to the shared checkpoint folder."""
+    folder = checkpoint_path(df.sparkSession, "staged", uuid.uuid4().hex)
+    df.write.format(fmt).save(folder)
+    return folder
+
+
+def _put(spark: SparkSession, staged: str, path: str, fmt: str, mode: str) -> None:
+    """Replace the staged copy's buckets (mode ``dynamic``) or the whole table (``static``); can be repeated."""
+    df = spark.read.format(fmt).load(staged)
+    bucket = _bucket_column(df.columns)
+    fs, root = _fs(spark, path)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, _PENDING)
+    if not fs.exists(mark):
+        out = fs.create(mark, True)
+        out.write(bytearray(f"{mode} {staged}".encode()))
+        out.close()
+    if mode == "static":  # the mark stays while the old content goes, so a repeat starts here again
+        for st in fs.listStatus(root):
+            if st.getPath().getName() != _PENDING:
+                fs.delete(st.getPath(), True)
+    writer = df.repartition(F.col(bucket)).write if bucket else df.write
+    writer = writer.format(fmt).mode("overwrite" if mode == "dynamic" else "append").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(bucket) if bucket else writer).save(path)
+    fs.delete(mark, True)
+
+
+def _upsert_path(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], fmt: str, check: bool, evolve: bool, buckets: int
+) -> str:
+    """Path form of the upsert. The increment is staged once: the key check, the overlap test and the
+    merge read it instead of running its plan again (a scoring UDF runs once)."""
+    current = _stored(spark, path, fmt)
+    bucket = _bucket_column(current.columns) if current is not None else None
+    column = bucket or f"_bucket_of_{buckets}"
+    inc = spark.read.format(fmt).load(_stage(_with_bucket(source, keys, column), fmt))
     if check:
-        check_keys(staged, keys)
+        check_keys(inc, keys)
     if current is None:
-        _commit(spark, staged_path)
-        return f"created:{n}"
-    # Insert-only increments (the normal case for incremental scoring, whose
-    # frames were anti-joined against the target) are appended: nothing already
-    # stored is rewritten. Only key columns are read; AQE broadcasts the
-    # increment's keys when they are small.
-    overlap = staged.select(*keys).join(current.select(*keys), keys, "left_semi").limit(1).count() > 0
-    if not overlap and entries and same:
-        _commit(spark, staged_path)
-        return f"appended:{n}"
-    out = _write_entry(merge_result(current, staged, keys, evolve), target, n + 1, fmt, "snapshot")
-    _commit(spark, out)
-    return f"versioned:{n + 1}"
+        inc.repartition(F.col(column)).write.format(fmt).mode("append").partitionBy(column).save(path)
+        return "created"
+    plain = current if bucket else _with_bucket(current, keys, column)
+    same = set(plain.columns) == set(inc.columns)
+    if not same and not evolve:
+        merge_result(plain, inc, keys)  # raises and names the columns
+    if bucket:
+        # At most ``buckets`` numbers; the scan of the table is pruned to them.
+        touched = [r[0] for r in inc.select(column).distinct().collect()]
+        plain = plain.filter(F.col(column).isin(touched))
+        overlap = not inc.select(*keys).join(plain.select(*keys), keys, "left_semi").isEmpty()
+        if not overlap and same:
+            inc.repartition(F.col(column)).write.format(fmt).mode("append").partitionBy(column).save(path)
+            return "appended"
+    merged = merge_result(plain, inc, [*keys, column], evolve)
+    _put(spark, _stage(merged, fmt), path, fmt, "dynamic" if bucket else "static")
+    return "merged"
 
 
 def _supports_merge(spark: SparkSession, table: str) -> bool:
@@ -193,17 +166,18 @@ def upsert(
     fmt: str = "parquet",
     check: bool = True,
     evolve: bool = False,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> str:
     """SNK-2 / SNK-3 / SNK-4: create on first write, else idempotent keyed upsert.
 
     ``target`` is a catalog table name or a storage path (contains '/').
-    Returns what was done: 'created[:n]', 'appended:n', 'versioned:n' (paths) or
-    'created', 'merged', 'swapped' (catalog tables). ``evolve`` allows the source to have
+    Returns what was done: 'created', 'appended' (paths, only new keys), 'merged' or 'swapped'.
+    ``buckets`` is the number of key buckets of a new path table; a later upsert rewrites only those it touches. ``evolve`` allows the source to have
     more or fewer columns (see :func:`merge_result`); otherwise a difference raises.
     """
     keys = list(keys)
     if "/" in target:
-        return _upsert_path(spark, target, source, keys, fmt, check, evolve)
+        return _upsert_path(spark, target, source, keys, fmt, check, evolve, buckets)
     # Catalog table: the increment is read several times (key check, merge): cut
     # its lineage once into the shared checkpoint folder so upstream work (a
     # scoring UDF, above all) runs exactly once and survives executor loss.
@@ -246,39 +220,36 @@ def recover_table(spark: SparkSession, target: str) -> None:
         spark.sql(f"DROP TABLE {old}" if table_exists(spark, target) else f"ALTER TABLE {old} RENAME TO {target}")
 
 
-def compact(spark: SparkSession, target: str, max_segments: int = 32, fmt: str = "parquet") -> str | None:
-    """Fold the newest snapshot and its append segments into one new snapshot.
+def compact(spark: SparkSession, path: str, max_files: int = 32, fmt: str = "parquet") -> int:
+    """Rewrite the buckets of a path table that hold more than ``max_files`` files; returns how many.
 
-    Incremental runs add one segment each; past ``max_segments`` a reader would list
-    and open too many small folders, so the current content is rewritten once as
-    a snapshot (committed like any other entry; readers switch atomically).
-    Returns the new entry, or None when compaction is not needed.
+    Incremental runs append a file or more to a bucket each time; past ``max_files`` a reader would open too many.
     """
-    entries = committed_entries(spark, target)
-    current_paths = _current_paths(entries, target)
-    segments = [n for n, k in entries if k == "append" and version_path(target, n, k) in current_paths]
-    if len(segments) <= max_segments:
-        return None
-    n = _next_number(spark, target)
-    out = _write_entry(spark.read.format(fmt).load(current_paths), target, n, fmt, "snapshot")
-    _commit(spark, out)
-    return f"compacted:{n}"
+    df = _stored(spark, path, fmt)
+    bucket = _bucket_column(df.columns) if df is not None else None
+    if bucket is None:
+        return 0
+    files = df.select(bucket, F.input_file_name().alias("f")).groupBy(bucket).agg(F.count_distinct("f").alias("n"))
+    many = [r[0] for r in files.filter(F.col("n") > max_files).collect()]  # at most one number per bucket
+    if many:
+        _put(spark, _stage(df.filter(F.col(bucket).isin(many)), fmt), path, fmt, "dynamic")
+    return len(many)
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet", change_feed: bool = False) -> None:
     """SNK-7: snapshot overwrite with schema replacement; ``change_feed`` turns the change feed on where the format has one.
 
-    A table name is replaced through ``saveAsTable``; a path gets a new version.
-    Reading and overwriting the same table in one job is refused by Spark, so
-    derived snapshots always go to their own table.
+    A path's new content is staged first, so a derived snapshot may read what it replaces; a
+    table name is replaced through ``saveAsTable`` (Spark refuses to overwrite a table that the job reads).
     """
     if "/" in target:
-        spark = df.sparkSession
-        _commit(spark, _write_entry(df, target, _next_number(spark, target), fmt, "snapshot"))  # a new full snapshot
-    else:
-        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
-        if change_feed and _supports_merge(df.sparkSession, target):
-            set_table_properties(df.sparkSession, target, {"delta.enableChangeDataFeed": "true"})
+        fs, root = _fs(df.sparkSession, target)
+        fs.mkdirs(root)
+        _put(df.sparkSession, _stage(df, fmt), target, fmt, "static")
+        return
+    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
+    if change_feed and _supports_merge(df.sparkSession, target):
+        set_table_properties(df.sparkSession, target, {"delta.enableChangeDataFeed": "true"})
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from framelake.operators.scoring import Predictor, score, spread_for_model, unscored, with_provenance
 from framelake.session import checkpoint_path
-from framelake.sinks.store import read_versioned, upsert
+from framelake.sinks.store import compact, read_path, upsert
 
 
 def score_new_frames(
@@ -30,11 +30,16 @@ def score_new_frames(
     name: str = "incremental-scoring",
     available_now: bool = True,
     rows_per_task: int | None = None,
+    checkpoint: str | None = None,
 ):
-    """Start the stream; with ``available_now`` it processes what exists and stops."""
+    """Start the stream; with ``available_now`` it processes what exists and stops.
+
+    ``checkpoint`` is the folder of the stream's own state, which a restart must name again; by
+    default ``streams/<name>`` below ``spark.checkpoint.dir``.
+    """
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        current = read_versioned(spark, detections_path)
+        current = read_path(spark, detections_path)
         # A frame listed twice in one micro batch (two files) is one frame: score it once.
         todo = unscored(batch.dropDuplicates(["frame_id"]), current)
         pending = todo.count()
@@ -44,11 +49,12 @@ def score_new_frames(
             todo = spread_for_model(todo, rows_per_task, pending)
         scored = with_provenance(score(todo, input_col, predictor), model_version, alias)
         upsert(spark, detections_path, scored, ["frame_id"])
+        compact(spark, detections_path)  # keeps the number of files bounded
 
     stream = spark.readStream.schema(frames_schema).parquet(frames_dir)
     writer = (
         stream.writeStream.foreachBatch(upsert_batch)
-        .option("checkpointLocation", checkpoint_path(spark, "streams", name))
+        .option("checkpointLocation", checkpoint or checkpoint_path(spark, "streams", name))
         .queryName(name)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -61,18 +61,18 @@ def test_drift_psi_ks_by_hand(spark):
 
 
 def test_refresh_monitor_is_idempotent(spark, tmp_dir):
-    from framelake.sinks.store import read_versioned
+    from framelake.sinks.store import read_path
 
     t0 = datetime(2024, 1, 1)
     rows = [(f"f{i}", "v", t0 + timedelta(hours=7 * i), i % 4, (i % 10) / 10) for i in range(60)]
     m = _metrics(spark, rows)
     b = monitor.baseline(m, 7)
     monitor.refresh_monitor(spark, m, b, tmp_dir)
-    first = sorted(tuple(r) for r in read_versioned(spark, f"{tmp_dir}/profile").collect())
+    first = sorted(tuple(r) for r in read_path(spark, f"{tmp_dir}/profile").collect())
     monitor.refresh_monitor(spark, m, b, tmp_dir)
-    again = sorted(tuple(r) for r in read_versioned(spark, f"{tmp_dir}/profile").collect())
+    again = sorted(tuple(r) for r in read_path(spark, f"{tmp_dir}/profile").collect())
     assert first == again and len(again) == 2 * 18
-    assert read_versioned(spark, f"{tmp_dir}/drift").count() == 2 * 18
+    assert read_path(spark, f"{tmp_dir}/drift").count() == 2 * 18
 
 
 def test_top_frame_with_path(spark):

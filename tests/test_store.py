@@ -1,6 +1,7 @@
 """Upsert, versions, change feed, table maintenance (SNK-1..SNK-9, AGG-9)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from framelake.sinks import store
 
@@ -16,62 +17,79 @@ def test_merge_result_updates_and_inserts(spark):
     assert got == [("a", "v", 1), ("b", "v", 2), ("c", "v", 2)]
 
 
-def test_path_upsert_is_idempotent_and_versioned(spark, tmp_dir):
+def _rows(spark, path):
+    return sorted(tuple(r) for r in store.read_path(spark, path).collect())
+
+
+def test_path_upsert_is_idempotent(spark, tmp_dir):
     path = f"{tmp_dir}/frames"
     first = _frames(spark, [("a", "v", 1), ("b", "v", 1)])
-    assert store.upsert(spark, path, first, ["frame_id"]) == "created:1"
+    assert store.upsert(spark, path, first, ["frame_id"]) == "created"
     inc = _frames(spark, [("b", "v", 2), ("c", "v", 2)])
-    assert store.upsert(spark, path, inc, ["frame_id"]) == "versioned:3"
-    once = sorted(tuple(r) for r in store.read_versioned(spark, path).collect())
-    assert store.upsert(spark, path, inc, ["frame_id"]) == "versioned:5"
-    twice = sorted(tuple(r) for r in store.read_versioned(spark, path).collect())
-    assert once == twice == [("a", "v", 1), ("b", "v", 2), ("c", "v", 2)]
-    # staged increments that were merged stay uncommitted and unread
-    assert store.committed_entries(spark, path) == [(1, "append"), (3, "snapshot"), (5, "snapshot")]
+    assert store.upsert(spark, path, inc, ["frame_id"]) == "merged"
+    once = _rows(spark, path)
+    assert store.upsert(spark, path, inc, ["frame_id"]) == "merged"
+    assert once == _rows(spark, path) == [("a", "v", 1), ("b", "v", 2), ("c", "v", 2)]
+    assert store.read_path(spark, path).columns == first.columns
 
 
-def test_insert_only_increment_is_appended(spark, tmp_dir):
-    path = f"{tmp_dir}/det"
-    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
-    assert store.upsert(spark, path, _frames(spark, [("b", "v", 1)]), ["frame_id"]) == "appended:2"
-    assert store.upsert(spark, path, _frames(spark, [("c", "v", 1)]), ["frame_id"]) == "appended:3"
-    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b", "c"]
-    # an overlapping increment folds everything into a new snapshot
-    assert store.upsert(spark, path, _frames(spark, [("b", "v", 9)]), ["frame_id"]) == "versioned:5"
-    assert sorted(tuple(r) for r in store.read_versioned(spark, path).collect()) == [("a", "v", 1), ("b", "v", 9), ("c", "v", 1)]
-    assert store.committed_entries(spark, path) == [(1, "append"), (2, "append"), (3, "append"), (5, "snapshot")]
-
-
-def test_compaction_folds_segments(spark, tmp_dir):
-    path = f"{tmp_dir}/c"
-    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
-    for k in "bcd":
-        store.upsert(spark, path, _frames(spark, [(k, "v", 1)]), ["frame_id"])
-    assert store.compact(spark, path, max_segments=5) is None
-    assert store.compact(spark, path, max_segments=2) == "compacted:5"
-    assert store.committed_entries(spark, path)[-1] == (5, "snapshot")
-    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b", "c", "d"]
-    assert store.compact(spark, path, max_segments=2) is None
+def test_only_touched_buckets_are_rewritten(spark, tmp_dir):
+    path = f"{tmp_dir}/many"
+    store.upsert(spark, path, _frames(spark, [(f"k{i}", "v", 1) for i in range(200)]), ["frame_id"], buckets=16)
+    before = set(spark.read.parquet(path).inputFiles())
+    assert store.upsert(spark, path, _frames(spark, [("k7", "v", 2)]), ["frame_id"]) == "merged"
+    after = set(spark.read.parquet(path).inputFiles())
+    assert len(before) == 16 and len(before - after) == 1
+    assert store.read_path(spark, path).filter("width = 2").count() == 1 and store.read_path(spark, path).count() == 200
 
 
-def test_uncommitted_entry_is_ignored(spark, tmp_dir):
+def test_new_keys_are_appended_and_compacted(spark, tmp_dir):
+    path = f"{tmp_dir}/det"
+    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"], buckets=1)
+    for k in "bcd":
+        kept = set(spark.read.parquet(path).inputFiles())
+        assert store.upsert(spark, path, _frames(spark, [(k, "v", 1)]), ["frame_id"]) == "appended"
+        assert kept < set(spark.read.parquet(path).inputFiles())
+    assert store.compact(spark, path, max_files=5) == 0
+    assert store.compact(spark, path, max_files=2) == 1
+    assert len(spark.read.parquet(path).inputFiles()) == 1 and [r[0] for r in _rows(spark, path)] == ["a", "b", "c", "d"]
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 9)]), ["frame_id"]) == "merged"
+    assert _rows(spark, path) == [("a", "v", 1), ("b", "v", 9), ("c", "v", 1), ("d", "v", 1)]
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_a_run_cut_short_is_finished(spark, tmp_dir, mode):
     path = f"{tmp_dir}/t"
-    store.upsert(spark, path, _frames(spark, [("a", "v", 1)]), ["frame_id"])
-    # a crashed writer leaves a folder without the commit marker
-    _frames(spark, [("zzz", "v", 9)]).write.parquet(store.version_path(path, 2))
-    assert [r[0] for r in store.read_versioned(spark, path).collect()] == ["a"]
-    assert store.upsert(spark, path, _frames(spark, [("b", "v", 1)]), ["frame_id"]) == "appended:3"
-    assert sorted(r[0] for r in store.read_versioned(spark, path).collect()) == ["a", "b"]
+    store.upsert(spark, path, _frames(spark, [("a", "v", 1), ("b", "v", 1)]), ["frame_id"], buckets=1)
+    new = store._with_bucket(_frames(spark, [("a", "v", 2), ("b", "v", 1)]), ["frame_id"], "_bucket_of_1")
+    staged = store._stage(new, "parquet")
+    # the writer died after the mark, with the bucket's old files already gone
+    fs, root = store._fs(spark, path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = fs.create(jpath(root, "_PENDING"), True)
+    out.write(bytearray(f"{mode} {staged}".encode()))
+    out.close()
+    fs.delete(jpath(root, "_bucket_of_1=0"), True)
+    assert _rows(spark, path) == [("a", "v", 2), ("b", "v", 1)]
+    assert not fs.exists(jpath(root, "_PENDING"))
+
+
+def test_plain_parquet_becomes_bucketed(spark, tmp_dir):
+    path = f"{tmp_dir}/plain"
+    _frames(spark, [("a", "v", 1), ("b", "v", 1)]).write.parquet(path)
+    assert store.upsert(spark, path, _frames(spark, [("b", "v", 2)]), ["frame_id"]) == "merged"
+    assert _rows(spark, path) == [("a", "v", 1), ("b", "v", 2)]
+    store.overwrite(store.read_path(spark, path).withColumn("z", F.lit(1)), path)
+    assert _rows(spark, path) == [("a", "v", 1, 1), ("b", "v", 2, 1)]
 
 
 @pytest.mark.parametrize("rows", [[("a", "v", 1), ("a", "v", 2)], [(None, "v", 1)]])
 def test_upsert_rejects_duplicate_or_null_keys(spark, tmp_dir, rows):
     with pytest.raises(ValueError):
         store.upsert(spark, f"{tmp_dir}/x", _frames(spark, rows), ["frame_id"])
-    assert store.read_versioned(spark, f"{tmp_dir}/x") is None  # rejected increment never committed
-    # the next valid write starts clean: the rejected rows are never read back
-    assert store.upsert(spark, f"{tmp_dir}/x", _frames(spark, [("z", "v", 3)]), ["frame_id"]).startswith("created")
-    assert [tuple(r) for r in store.read_versioned(spark, f"{tmp_dir}/x").collect()] == [("z", "v", 3)]
+    assert store.read_path(spark, f"{tmp_dir}/x") is None  # nothing of the rejected increment is readable
+    assert store.upsert(spark, f"{tmp_dir}/x", _frames(spark, [("z", "v", 3)]), ["frame_id"]) == "created"
+    assert _rows(spark, f"{tmp_dir}/x") == [("z", "v", 3)]
 
 
 def test_catalog_table_create_then_swap(spark):
@@ -156,4 +174,4 @@ def test_column_differences_raise_or_merge(spark, tmp_dir):
         store.upsert(spark, path, wide, ["k"])
     store.upsert(spark, path, wide, ["k"], evolve=True)
     store.upsert(spark, path, narrow, ["k"], evolve=True)
-    assert sorted(store.read_versioned(spark, path).collect()) == [("a", 1, 10, None), ("b", 7, 5, "n"), ("c", 2, 6, "n")]
+    assert sorted(store.read_path(spark, path).select("k", "x", "y", "z").collect()) == [("a", 1, 10, None), ("b", 7, 5, "n"), ("c", 2, 6, "n")]

@@ -1,7 +1,7 @@
 """Stream form of incremental scoring: new files scored once, re-runs score nothing."""
 
 from framelake.operators.scoring import Predictor
-from framelake.sinks.store import read_versioned
+from framelake.sinks.store import read_path
 from framelake.streaming.incremental import score_new_frames
 
 
@@ -23,11 +23,11 @@ def test_stream_scores_new_frames_once(spark, tmp_dir):
     schema = _parse_datatype_string(SCHEMA)
     q = score_new_frames(spark, f"{src}/*", schema, out, "frame_path", LenPredictor(), "1", "champion", name="t-stream")
     q.awaitTermination(120)
-    assert read_versioned(spark, out).count() == 5
+    assert read_path(spark, out).count() == 5
     spark.createDataFrame([(f"b__{i:06d}", "b", f"/b/{i}.jpg") for i in range(3)] + [("a__000000", "a", "/a/0.jpg")], SCHEMA).write.parquet(f"{src}/b2")
     spark.createDataFrame([("b__000001", "b", "/b/1.jpg")], SCHEMA).write.parquet(f"{src}/b3")  # listed twice
     q = score_new_frames(spark, f"{src}/*", schema, out, "frame_path", LenPredictor(), "2", "champion", name="t-stream")
     q.awaitTermination(120)
-    det = read_versioned(spark, out)
+    det = read_path(spark, out)
     assert det.count() == 8
     assert sorted(r["model_version"] for r in det.collect()).count("2") == 3
