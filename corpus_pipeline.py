@@ -3,6 +3,11 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir), works on all rows its
 predecessor kept and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
+
+Null, empty and blank texts pass like others (exact dedup keeps one of them). A decision is for a ``doc_id``: rows that
+share one are kept or dropped together, except that exact dedup keeps one row per distinct text; rows with a null
+``doc_id`` are never near copies of a kept row's id and stay. Without labels nothing is rejected, without a benchmark
+nothing is contaminated; an empty table gives an empty result.
 """
 
 from __future__ import annotations
