@@ -63,3 +63,10 @@ def test_pipeline_on_awkward_documents(spark, tmp_dir, docs):
         if i == 0:
             assert d.count() == n  # nothing learned, nothing rejected
     assert d.count() > 0
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_dir):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        d = stage(spark, d, SF_SMALL)
+        assert d.count() == 0
