@@ -22,7 +22,7 @@ _BASE_INV = U(pow(int(BASE), -1, 1 << 64))
 _SEED = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
 PLACE = _SEED.integers(1, 1 << 63, 64, dtype=np.uint64) | U(1)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
