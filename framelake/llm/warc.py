@@ -18,8 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.llm.staging import staged
+
 RECORDS_PER_FILE = 2_000
 REVISIT_FROM = 1_000
+BROADCAST_GROUPS = 500_000
 _SALT = 64
 _CHUNK = 1 << 16
 #: Not bound to the start of a line: what stands before a record may be the torn end of another.
@@ -37,22 +40,28 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def with_revisits(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+def with_revisits(pages: DataFrame, revisit_from: int = REVISIT_FROM, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """``page_id, url, html, n_bytes, sha1, response_id``: the page that an equal, long enough payload refers to.
 
     ``response_id`` is the largest ``page_id`` of the equal payloads, or null where a row is a response itself.
     A page_id is only null among equals if all are; rows that repeat the largest one are responses too.
-    Groups are reduced per (digest, salt) before they meet, and answers return the same way, so a large group
-    of copies is never in one task.
+    Groups are reduced per (digest, salt) before they meet. Payloads that occur more than once are told to every task
+    up to ``BROADCAST_GROUPS`` of them (about 60 bytes each), so pages are not shuffled; beyond, answers return per
+    (digest, salt). Either way a large group of copies is never in one task.
     """
     text = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), text.alias("html"), F.octet_length(text).alias("n_bytes"),
                         F.sha1(text).alias("sha1"), F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALT)).alias("salt"))
-    part = rows.where(F.col("n_bytes") >= revisit_from).groupBy("sha1", "n_bytes", "salt").agg(F.max("page_id").alias("top"))
-    whole = part.groupBy("sha1", "n_bytes").agg(F.max("top").alias("response_id"))
-    answers = part.select("sha1", "n_bytes", "salt").join(whole, ["sha1", "n_bytes"])
-    out = rows.join(answers, ["sha1", "n_bytes", "salt"], "left")
-    first = F.col("page_id").eqNullSafe(F.col("response_id")) | (F.col("n_bytes") < revisit_from)
+    part = rows.where(F.col("n_bytes") >= revisit_from).groupBy("sha1", "n_bytes", "salt").agg(
+        F.max("page_id").alias("top"), F.count("*").alias("copies"))
+    whole = part.groupBy("sha1", "n_bytes").agg(F.max("top").alias("response_id"), F.sum("copies").alias("copies"))
+    whole = staged(whole.where("copies > 1").drop("copies"), "payloads")
+    if whole.count() <= broadcast_groups:
+        out = rows.join(F.broadcast(whole), ["sha1", "n_bytes"], "left")
+    else:
+        answers = part.select("sha1", "n_bytes", "salt").join(whole, ["sha1", "n_bytes"])
+        out = rows.join(answers, ["sha1", "n_bytes", "salt"], "left")
+    first = F.col("page_id").eqNullSafe(F.col("response_id")) | F.col("response_id").isNull()
     return out.select("page_id", "url", "html", "n_bytes", "sha1", F.when(~first, F.col("response_id")).alias("response_id"))
 
 

@@ -66,6 +66,13 @@ def test_warc_round_trip(spark, tmp_dir):
     warc.write_archives(pages.limit(0), f"{tmp_dir}/none")
 
 
+def test_revisits_are_the_same_either_way(spark):
+    pages = _pages(spark)
+    cols = ["page_id", "sha1", "response_id"]
+    ways = [sorted(map(str, warc.with_revisits(pages, broadcast_groups=n).select(cols).collect())) for n in (0, 100)]
+    assert ways[0] == ways[1] and len(ways[0]) == pages.count()
+
+
 def _record(i, body):
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:{hashlib.sha1(body).hexdigest()}\r\n"
     return (head + f"Content-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
