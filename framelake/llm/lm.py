@@ -91,16 +91,26 @@ def _join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                   pa.array([_pack(out, 8)], pa.binary())], names=["block", "bucket", "counts"])
 
 
-def score_words(w: Words, key: np.ndarray, count: np.ndarray, order: int, buckets: int, backoff: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per document: summed log scores without the ``1 / N`` of single words, how many ended there, and unseen words."""
+def _inside(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+    """For every n-gram, how often its own document has it (``gram`` is below ``n``)."""
+    _, inverse, cnt = np.unique(doc * n + gram, return_inverse=True, return_counts=True)
+    return cnt[inverse]
+
+
+def score_words(w: Words, key: np.ndarray, count: np.ndarray, order: int, buckets: int, backoff: float,
+                leave_out: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per document: summed log scores without the ``1 / N`` of single words, how many ended there, and unseen words.
+    With ``leave_out``, a document's own n-grams are taken off the counts it is scored by."""
     n = len(w.hash)
+    doc = w.doc_of_word()
     c = np.zeros((order + 1, n))  # count of the n-gram that ends at a word; 0 where the document starts later
     h_count = np.zeros((order + 1, n))  # count of its history
     for k in range(1, order + 1):
         at = _starts(w, k)
         h = windows(w.hash, k)[at]
         full = ((h >> U(48)) * U(buckets) >> U(16) << U(48)) | (h & _MASK)
-        c[k, at + k - 1] = count[np.searchsorted(key, full)]
+        gram = np.searchsorted(key, full)
+        c[k, at + k - 1] = count[gram] - _inside(doc[at], gram, len(key)) if leave_out else count[gram]
         if k > 1:
             h_count[k, at + k - 1] = c[k - 1, at + k - 2]
     log = np.zeros(n)
@@ -113,7 +123,6 @@ def score_words(w: Words, key: np.ndarray, count: np.ndarray, order: int, bucket
         log[open_ & (since >= k - 1)] += np.log(backoff)
     known = open_ & (c[1] > 0)
     log[known] += np.log(c[1, known])
-    doc = w.doc_of_word()
 
     def per(x: np.ndarray) -> np.ndarray:
         return np.bincount(doc, weights=x, minlength=w.docs)
@@ -121,7 +130,7 @@ def score_words(w: Words, key: np.ndarray, count: np.ndarray, order: int, bucket
     return per(log), per(known), per(open_ & ~known)
 
 
-def _score(order: int, buckets: int, backoff: float):
+def _score(order: int, buckets: int, backoff: float, leave_out: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_sum", pa.float64()), ("known", pa.int64()), ("unseen", pa.int64())])
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -130,7 +139,7 @@ def _score(order: int, buckets: int, backoff: float):
         count = np.zeros(len(gram))
         for b, x in zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist()):
             count[ends[b]:ends[b + 1]] = _unpack(x, 8)
-        log, known, unseen = score_words(w, gram, count, order, buckets, backoff)
+        log, known, unseen = score_words(w, gram, count, order, buckets, backoff, leave_out)
         return pa.table([docs.column("doc_id"), pa.array(w.count(), pa.int64()), pa.array(log), pa.array(known.astype(np.int64)),
                          pa.array(unseen.astype(np.int64))], schema=schema)
 
@@ -143,10 +152,12 @@ def _blocks(docs: DataFrame, rows: int) -> DataFrame:
                        F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORDER, backoff: float = BACKOFF, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORDER, backoff: float = BACKOFF, block_rows: int = BLOCK_ROWS,
+              leave_out: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_words, log_score, mean_log_score``.
 
-    Counts come from every text of ``corpus`` (by default ``docs`` themselves). ``log_score`` is the natural log of the
+    Counts come from every text of ``corpus`` (by default ``docs`` themselves; with ``leave_out``, from all other rows of
+    them, so that n-grams found in no other row back off). ``log_score`` is the natural log of the
     product of the words' scores, ``mean_log_score`` its mean per word. Null, empty and blank texts have no words, score 0
     and a null mean. Repeated rows are each scored; other columns are ignored; an empty corpus makes all words unseen.
     """
@@ -154,17 +165,20 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORD
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = _blocks(docs, block_rows)
     own = corpus is None
+    if leave_out and not own:
+        raise ValueError("leave_out is for documents scored by their own counts")
     lists = blocks.groupBy("block").applyInArrow(_emit(order, buckets, True, own), _LISTS)
     if not own:
         lists = lists.union(_blocks(corpus, block_rows).groupBy("block").applyInArrow(_emit(order, buckets, False, True), _LISTS))
     answers = lists.repartition(buckets, "bucket").mapInArrow(_join_counts, "block long, bucket int, counts binary")
     scored = staged(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(order, buckets, backoff), "doc_id long, n_words long, log_sum double, known long, unseen long"), "scores")
+        _score(order, buckets, backoff, leave_out), "doc_id long, n_words long, log_sum double, known long, unseen long"), "scores")
     if own:
         total = scored.agg(F.sum("n_words")).first()[0] or 0
     else:
         total = corpus.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "n long").agg(F.sum("n")).first()[0] or 0
-    log = F.col("log_sum") - F.col("known") * F.lit(float(np.log(max(total, 1)))) - F.col("unseen") * F.lit(float(np.log(total + 1)))
+    others = F.lit(total) - F.col("n_words") if leave_out else F.lit(total)
+    log = F.col("log_sum") - F.col("known") * F.log(F.greatest(others, F.lit(1))) - F.col("unseen") * F.log(others + 1)
     return scored.select("doc_id", "n_words", log.alias("log_score"), F.when(F.col("n_words") > 0, log / F.col("n_words")).alias("mean_log_score"))
 
 

@@ -162,6 +162,34 @@ def test_scores_of_the_corpus_itself_and_of_nothing(spark, docs, texts):
     assert unseen["log_score"] == 0.0  # one unseen word of an empty corpus: 1 / (0 + 1)
 
 
+def test_registered_scores_leave_out_the_document_itself(spark, tmp_path):
+    from framelake.llm.queries import QUERIES
+
+    rows = [(1, "the cat sat on the mat"), (2, "the cat sat on a mat the cat"), (3, "qzx vkw qzx vkw jjq qzx vkw"), (4, "The cat"), (4, "The cat"),
+            (5, None), (6, "  "), (7, "mat"), (8, "qzy")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def score(mine):
+        rest = [words(t) for i, (_, t) in enumerate(rows) if i != mine]
+        counts = Counter(tuple(w[i:i + n]) for w in rest for n in range(1, lm.ORDER + 1) for i in range(len(w) - n + 1))
+        total, s, w = sum(map(len, rest)), 0.0, words(rows[mine][1])
+        for i in range(len(w)):
+            weight = 1.0
+            for n in range(min(lm.ORDER, i + 1), 0, -1):
+                g = tuple(w[i - n + 1:i + 1])
+                if counts[g]:
+                    s += math.log(weight * counts[g] / (counts[g[:-1]] if n > 1 else total))
+                    break
+                weight *= lm.BACKOFF if n > 1 else 1 / (total + 1)
+            else:
+                s += math.log(weight)
+        return s
+
+    got = sorted((r["doc_id"], r["log_score"]) for r in QUERIES["op7_stupid_backoff"](spark, str(tmp_path)).collect())
+    assert [s for _, s in got] == pytest.approx([s for _, s in sorted((r[0], score(i)) for i, r in enumerate(rows))])
+    assert dict(got)[3] < -7 * math.log(20)  # words found nowhere else
+
+
 def test_segmentations_round_trip_and_are_distinct(docs, texts):
     got = spm.decode_ids(spm.sample_segmentations(docs, k=3)).collect()
     by_doc = {}
