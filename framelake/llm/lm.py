@@ -1,7 +1,7 @@
 """Stupid-backoff language-model scores, computed relationally.
 
 Texts are dealt to blocks of about ``BLOCK_ROWS`` rows. A block lists its distinct n-grams of every order once, as 48-bit
-hashes packed by hash bucket. Each bucket adds up the counts of its n-grams over all blocks (the count table,
+hashes packed by hash bucket (sorted; the upper 16 bits as differences, counts and answers as deflated byte planes). Each bucket adds up the counts of its n-grams over all blocks (the count table,
 partitioned by hash), joins them back to the lists that asked, and returns the counts in list order. A
 block then looks up the counts of its own n-grams and sums the log scores per document. An n-gram of a third of all rows
 thus reaches its bucket once per block, and a bucket holds one list per block.
@@ -12,6 +12,7 @@ word has ``count(w) / N``, an unseen one ``1 / (N + 1)``. Words are runs of non-
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,23 +23,38 @@ from pyspark.sql import functions as F
 from framelake.llm.staging import staged
 from framelake.llm.tokens import NON_BLANK, U, Words, windows, words_of
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BLOCK_ROWS = 2_000
 _MASK = U((1 << 48) - 1)
-_LISTS = "bucket int, block long, asks boolean, grams binary, counts binary"
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("asks", pa.bool_()), ("grams", pa.binary()), ("counts", pa.binary())])
+_JOIN_GRAMS = 1 << 20
+_LISTS = "bucket int, block long, asks boolean, size int, grams binary, counts binary"
+_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("asks", pa.bool_()), ("size", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())])
 
 
-def _pack(x: np.ndarray, width: int) -> bytes:
-    """Little-endian integers of ``width`` bytes."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def _pack(x: np.ndarray) -> bytes:
+    """Small integers from 0 as deflated byte planes."""
+    return zlib.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_width(x)].T).tobytes(), 1)
 
 
-def _unpack(b: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(b) // width, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(b, dtype=np.uint8).reshape(-1, width)
-    return out.reshape(-1).view("<u8").astype(U)
+def _width(x: np.ndarray) -> int:
+    return max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+
+
+def _unpack(b: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(b), dtype=np.uint8).reshape(-1, n)
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :len(planes)] = planes.T
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+def _pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending 48-bit integers: their lower 32 bits, then the steps of the upper 16."""
+    return x.astype("<u4").tobytes() + _pack(np.diff(x >> U(32), prepend=U(0)))
+
+
+def _unpack_sorted(b: bytes, n: int) -> np.ndarray:
+    return (np.cumsum(_unpack(b[4 * n:], n)).astype(U) << U(32)) | np.frombuffer(b, dtype="<u4", count=n).astype(U)
 
 
 def _starts(w: Words, n: int) -> np.ndarray:
@@ -62,33 +78,44 @@ def _emit(order: int, buckets: int, asks: bool, counts: bool):
         gram, cnt, ends = block_grams(words_of(table.column("text"), NON_BLANK), order, buckets)
         used = np.flatnonzero(np.diff(ends))
         return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([key[0].as_py()] * len(used), pa.int64()),
-                         "asks": pa.array([asks] * len(used), pa.bool_()),
-                         "grams": pa.array([_pack(gram[ends[b]:ends[b + 1]] & _MASK, 6) for b in used], pa.binary()),
-                         "counts": pa.array([_pack(cnt[ends[b]:ends[b + 1]], 4) if counts else b"" for b in used], pa.binary())}, schema=_SCHEMA)
+                         "asks": pa.array([asks] * len(used), pa.bool_()), "size": pa.array(np.diff(ends)[used], pa.int32()),
+                         "grams": pa.array([_pack_sorted(gram[ends[b]:ends[b + 1]] & _MASK) for b in used], pa.binary()),
+                         "counts": pa.array([_pack(cnt[ends[b]:ends[b + 1]]) if counts else b"" for b in used], pa.binary())}, schema=_SCHEMA)
 
     return run
 
 
 def _join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up each bucket's counts and answer its lists."""
+    """Add up each bucket's counts and answer its lists, each by what the other lists count."""
     lists: dict[int, list[tuple]] = {}
     for b in batches:
         for r in zip(*(b.column(f.name).to_pylist() for f in _SCHEMA)):
             lists.setdefault(r[0], []).append(r)
     for bucket in sorted(lists):
         mine = lists.pop(bucket)
-        have = [(_unpack(r[3], 6), _unpack(r[4], 4)) for r in mine if r[4]]
-        gram = np.concatenate([g for g, _ in have]) if have else np.zeros(0, U)
-        keys, inverse = np.unique(gram, return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([c for _, c in have]).astype(float), minlength=len(keys)) if have else np.zeros(0)
-        for r in mine:
+        grams = [_unpack_sorted(r[4], r[3]) for r in mine]
+        counts = [_unpack(r[5], r[3]) if r[5] else np.zeros(0, np.int64) for r in mine]
+        out = [np.zeros(r[3] if r[2] else 0, np.int64) for r in mine]
+        parts = max(1, sum(map(len, grams)) // _JOIN_GRAMS)  # ranges of hashes, one after the other
+        cuts = np.array([(p << 48) // parts for p in range(parts + 1)], dtype=U)
+        at = [np.searchsorted(g, cuts) for g in grams]
+        for p in range(parts):
+            cut = [slice(a[p], a[p + 1]) for a in at]
+            have = [i for i in range(len(mine)) if mine[i][5]]
+            gram = np.concatenate([grams[i][cut[i]] for i in have]) if have else np.zeros(0, U)
+            if not len(gram):
+                continue
+            keys, inverse = np.unique(gram, return_inverse=True)
+            total = np.bincount(inverse, weights=np.concatenate([counts[i][cut[i]] for i in have]).astype(float)).astype(np.int64)
+            for i, r in enumerate(mine):
+                if r[2]:
+                    ask = grams[i][cut[i]]
+                    place = np.minimum(np.searchsorted(keys, ask), len(keys) - 1)
+                    out[i][cut[i]] = np.where(keys[place] == ask, total[place], 0) - (counts[i][cut[i]] if r[5] else 0)
+        for i, r in enumerate(mine):
             if r[2]:
-                ask = _unpack(r[3], 6)
-                at = np.searchsorted(keys, ask)
-                found = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == ask) if len(keys) else np.zeros(len(ask), bool)
-                out = np.where(found, total[np.minimum(at, max(len(keys) - 1, 0))] if len(keys) else 0, 0)
                 yield pa.RecordBatch.from_arrays([pa.array([r[1]], pa.int64()), pa.array([bucket], pa.int32()),
-                                                  pa.array([_pack(out, 8)], pa.binary())], names=["block", "bucket", "counts"])
+                                                  pa.array([_pack(out[i])], pa.binary())], names=["block", "bucket", "counts"])
 
 
 def _inside(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
@@ -130,15 +157,15 @@ def score_words(w: Words, key: np.ndarray, count: np.ndarray, order: int, bucket
     return per(log), per(known), per(open_ & ~known)
 
 
-def _score(order: int, buckets: int, backoff: float, leave_out: bool):
+def _score(order: int, buckets: int, backoff: float, own: bool, leave_out: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_sum", pa.float64()), ("known", pa.int64()), ("unseen", pa.int64())])
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         w = words_of(docs.column("text"), NON_BLANK)
-        gram, _, ends = block_grams(w, order, buckets)
-        count = np.zeros(len(gram))
+        gram, cnt, ends = block_grams(w, order, buckets)
+        count = cnt.astype(float) if own else np.zeros(len(gram))
         for b, x in zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist()):
-            count[ends[b]:ends[b + 1]] = _unpack(x, 8)
+            count[ends[b]:ends[b + 1]] += _unpack(x, ends[b + 1] - ends[b])
         log, known, unseen = score_words(w, gram, count, order, buckets, backoff, leave_out)
         return pa.table([docs.column("doc_id"), pa.array(w.count(), pa.int64()), pa.array(log), pa.array(known.astype(np.int64)),
                          pa.array(unseen.astype(np.int64))], schema=schema)
@@ -172,7 +199,7 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORD
         lists = lists.union(_blocks(corpus, block_rows).groupBy("block").applyInArrow(_emit(order, buckets, False, True), _LISTS))
     answers = lists.repartition(buckets, "bucket").mapInArrow(_join_counts, "block long, bucket int, counts binary")
     scored = staged(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(order, buckets, backoff, leave_out), "doc_id long, n_words long, log_sum double, known long, unseen long"), "scores")
+        _score(order, buckets, backoff, own, leave_out), "doc_id long, n_words long, log_sum double, known long, unseen long"), "scores")
     if own:
         total = scored.agg(F.sum("n_words")).first()[0] or 0
     else:

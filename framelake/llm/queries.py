@@ -51,7 +51,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document under the bigram counts of all other documents."""
+    """Stupid-backoff score of every document under the trigram counts of all other documents."""
     return lm.lm_scores(table(spark, sf_dir, "documents"), leave_out=True)
 
 

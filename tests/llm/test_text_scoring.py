@@ -162,6 +162,20 @@ def test_scores_of_the_corpus_itself_and_of_nothing(spark, docs, texts):
     assert unseen["log_score"] == 0.0  # one unseen word of an empty corpus: 1 / (0 + 1)
 
 
+def test_registered_scores_use_trigrams_and_lists_pack_without_loss(spark, tmp_path):
+    from framelake.llm.queries import QUERIES
+
+    rows = [(1, "a b c a b c a b c"), (2, "x b d x b d x b d"), (3, "a b c"), (4, "a b d")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["log_score"] for r in QUERIES["op7_stupid_backoff"](spark, str(tmp_path)).collect()}
+    assert got[3] - got[4] == pytest.approx(math.log(3 / 4) - math.log(0.4 * 3 / 7))  # c and d differ after 'a b' alone
+    rnd = np.random.default_rng(5)
+    for n in (1, 7, 5000):
+        hashes, counts = np.unique(rnd.integers(0, 1 << 48, n, dtype=np.uint64)), rnd.integers(0, 1 << 33, n)
+        counts[n // 2:] %= 3
+        assert (lm._unpack_sorted(lm._pack_sorted(hashes), len(hashes)) == hashes).all() and (lm._unpack(lm._pack(counts), n) == counts).all()
+
+
 def test_registered_scores_leave_out_the_document_itself(spark, tmp_path):
     from framelake.llm.queries import QUERIES
 
