@@ -13,7 +13,7 @@ No vocabulary piece crosses the start of a word, so each distinct word of a slic
 once (piece lookups and backward sums as array operations over all words together), and documents
 are walked word by word in parallel. All noise is a hash of the row key, the round and the place, so a
 row's samples do not depend on partitions or retries. Words of more than ``UNIT`` characters without a
-blank are segmented in parts of that length (no piece crosses the cut; nothing is dropped).
+blank are cut wherever no vocabulary piece that matches there crosses, which leaves every path; else they stay whole.
 """
 
 from __future__ import annotations
@@ -121,13 +121,46 @@ def _find(v: Vocab, h: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashes(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the characters' hashes, and the powers that shift them back."""
+    run = np.zeros(len(cp) + 1, dtype=U)
+    np.cumsum(_letter(cp) * _pow("b", len(cp)), out=run[1:])
+    return run, _pow("i", len(cp) + 1)
+
+
+def _matches(v: Vocab, run: np.ndarray, inv: np.ndarray, src: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By length: entries of ``src`` at whose characters a prefix of a piece starts, and its place in the vocabulary."""
+    pos = np.arange(len(src))
+    for n in range(1, longest + 1):
+        pos = pos[left[pos] >= n]
+        at = src[pos]
+        found = _find(v, mix((run[at + n] - run[at]) * inv[at] + U(n)))
+        pos, found = pos[found >= 0], found[found >= 0]  # only prefixes of pieces go on
+        if not len(pos):
+            break
+        yield n, pos, found
+
+
+def _cut_long(v: Vocab, cp: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Starts of units when those of more than ``UNIT`` characters are cut where no matching piece crosses."""
+    long = size > UNIT
+    first = np.concatenate([[0], np.cumsum(size[long])])
+    src = np.repeat(start[long] - first[:-1], size[long]) + np.arange(first[-1])
+    at = np.arange(len(src))
+    left = np.repeat(first[1:], size[long]) - at
+    reach = at + 1
+    for n, pos, found in _matches(v, *_hashes(cp[src]), at, left, v.longest):
+        pos = pos[v.ids[found] >= 0]
+        reach[pos] = pos + n
+    free = np.maximum.accumulate(reach)[:-1] <= at[1:]
+    return np.union1d(start, src[1:][free])
+
+
 class Lattice:
     """Distinct words of a slice: per character, the conditional probability of each piece length."""
 
     def __init__(self, v: Vocab, cp: np.ndarray, start: np.ndarray, size: np.ndarray):
-        run = np.zeros(len(cp) + 1, dtype=U)
-        np.cumsum(_letter(cp) * _pow("b", len(cp)), out=run[1:])
-        inv = _pow("i", len(cp) + 1)
+        run, inv = _hashes(cp)
         h = mix((run[start + size] - run[start]) * inv[start] + size.astype(U))
         _, one, self.word = np.unique(h, return_index=True, return_inverse=True)
         size = size[one]
@@ -139,14 +172,8 @@ class Lattice:
         left = np.repeat(self.first[1:], size) - np.arange(total)
         ids = np.full((longest, total), -1, dtype=np.int32)
         logp = np.full((longest, total), -np.inf, dtype=np.float32)
-        pos, used = np.arange(total), 1
-        for n in range(1, longest + 1):
-            pos = pos[left[pos] >= n]
-            s = src[pos]
-            found = _find(v, mix((run[s + n] - run[s]) * inv[s] + U(n)))
-            pos, found = pos[found >= 0], found[found >= 0]  # only prefixes of pieces go on
-            if not len(pos):
-                break
+        used = 1
+        for n, pos, found in _matches(v, run, inv, src, left, longest):
             ids[n - 1, pos] = v.ids[found]
             logp[n - 1, pos] = v.logp[found]
             used = n
@@ -192,8 +219,7 @@ class _Walk:
         start = np.flatnonzero(begin)
         size = np.diff(np.append(start, n))
         if (size > UNIT).any():
-            inside = np.arange(n) - np.repeat(start, size)
-            start = np.flatnonzero(inside % UNIT == 0)
+            start = _cut_long(v, cp, start, size)
             size = np.diff(np.append(start, n))
         self.size, self.key = size, key
         self.unit = np.searchsorted(start, doc_start)
@@ -224,7 +250,7 @@ class _Walk:
         if not out:
             return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.float64, np.float64))
         cols = [np.concatenate(c) for c in zip(*out)]
-        order = np.argsort(cols[0] * (UNIT + 1) + cols[1])
+        order = np.argsort(cols[0] * (int(self.size.max()) + 1) + cols[1])
         return tuple(c[order] for c in cols)
 
     def pick(self, unit: np.ndarray, off: np.ndarray, banned: np.ndarray | None, rnd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -314,7 +340,7 @@ def sample_part(w: _Walk, k: int) -> tuple[list[tuple], np.ndarray]:
         done = w.go(later, np.zeros(len(later), dtype=np.int64), r + 1)
         parts.append((*done, np.left_shift(1, done[2])))
         cols = [np.concatenate(c) for c in zip(*parts)]
-        order = np.argsort(cols[0] * (UNIT + 1) + cols[1], kind="stable")
+        order = np.argsort(cols[0] * (int(w.size.max(initial=0)) + 1) + cols[1], kind="stable")
         unit, off, edge, p, rest, banned = (c[order] for c in cols)
         new = np.flatnonzero(banned)
     return found, limit

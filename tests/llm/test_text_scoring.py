@@ -258,5 +258,35 @@ def test_segmentation_sampling_follows_the_lattice(spark):
     assert abs(sum(math.exp(r["log_prob"]) / r["inclusion"] for r in two) / n - 1) < 0.05
 
 
+def test_long_words_have_their_whole_lattice(spark):
+    """Against the uncut lattice: normalised log-probabilities, and pieces across every 64th character."""
+    import sentencepiece
+
+    v = spm.load_vocab()
+    sp = sentencepiece.SentencePieceProcessor(model_file=spm.MODEL)
+    logp = {sp.id_to_piece(int(i)): float(p) for i, p in zip(v.ids, v.logp) if i >= 0}
+    by_id = {int(i): float(p) for i, p in zip(v.ids, v.logp) if i >= 0}
+    texts = ["thereandinternationalinformation" * 32, "\n".join(["theinternational"] * 60), "\u4e2d\u6587\u5b57" * 340, "the " + "QmFzZTY0" * 125 + " end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = spm.decode_ids(spm.sample_segmentations(df, k=2)).collect()
+    assert {r["doc_id"] for r in rows} == {0, 1, 2, 3}
+    crossed = 0
+    for r in rows:
+        text = "\u2581" + texts[r["doc_id"]].replace(" ", "\u2581")
+        assert r["decoded"] == texts[r["doc_id"]]
+        back = [-math.inf] * len(text) + [0.0]
+        for i in range(len(text) - 1, -1, -1):
+            edges = [logp[text[i:j]] + back[j] for j in range(i + 1, min(len(text), i + v.longest) + 1) if text[i:j] in logp]
+            if text[i] not in logp:
+                edges.append(v.byte_logp * len(text[i].encode()) + back[i + 1])
+            top = max(edges)
+            back[i] = top + math.log(sum(math.exp(e - top) for e in edges))
+        assert r["log_prob"] == pytest.approx(sum(by_id.get(i, v.byte_logp) for i in r["ids"]) - back[0], abs=0.01)
+        if r["doc_id"] == 0:
+            ends = set(itertools.accumulate(len(sp.id_to_piece(i)) for i in r["ids"]))
+            crossed += sum(i not in ends for i in range(64, len(text), 64))
+    assert crossed > 0
+
+
 def test_segmentation_of_an_empty_table(spark):
     assert spm.segmentation_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
