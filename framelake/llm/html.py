@@ -32,6 +32,10 @@ OUTSIDE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising
 consent cookie cookies copyright disqus footer header login masthead menu menubar modal nav navbar navigation newsletter notice
 pagination popup promo promotion related replies respond search share sharing sidebar signup skip social sponsor sponsored
 subscribe tags toolbar widget""".split())
+COMMENTS = frozenset("comment comments disqus replies respond".split())
+# Words that only say what kind of box a name is for, as in ``comment-list`` or ``site-footer``.
+BOX_NAMES = frozenset("""area bar block body bottom box column container group holder inner item items left link links list main outer
+page panel posts primary region right secondary section site slot top unit wrap wrapper""".split())
 
 # Frequent words of the languages the rules are tuned for; pass others as a parameter.
 STOP_WORDS = frozenset("""a an and are as at be by for from has he in is it its not of on or that the this to was were will with
@@ -57,35 +61,68 @@ class Block:
     outside: bool
     main: bool
     heading: bool
+    mark: int = -1
     label: str = ""
 
 
-def _is_outside(tag: str, attrs: str) -> bool:
-    if tag in OUTSIDE:
-        return True
+def _named(attrs: str) -> frozenset[str]:
+    """The words of a class, id or role that is as a whole the name of something outside."""
+    out: set[str] = set()
     for m in _NAMED.finditer(attrs):
-        for word in re.split(r"[\s_\-]+", (m[2] or m[3] or m[4] or "").lower()):
-            if word in OUTSIDE_NAMES:
-                return True
-    return False
+        for token in (m[2] or m[3] or m[4] or "").lower().split():
+            parts = {x for x in re.split(r"[_\-]+", token) if x and not x.isdigit()}
+            if parts <= OUTSIDE_NAMES | BOX_NAMES:
+                out |= parts & OUTSIDE_NAMES
+    return frozenset(out)
+
+
+@dataclass
+class Mark:
+    """A container that is named as outside."""
+
+    above: int
+    names: frozenset[str]
+    held: int = 0
+    outside: bool = False
+
+
+def _judge_marks(found: list[Block], marks: list[Mark]) -> None:
+    """Blocks in named containers are outside, unless the container holds most of the page's text (one of comments also has
+    to hold all text that could be main)."""
+    real = False
+    for b in found:
+        if not b.outside:
+            real |= b.mark < 0 and len(b.text) >= SHORT and not b.heading
+            if b.mark >= 0:
+                marks[b.mark].held += len(b.text)
+    for m in reversed(marks):
+        if m.above >= 0:
+            marks[m.above].held += m.held
+    total = sum(len(b.text) for b in found if not b.outside)
+    for m in marks:
+        wrapper = 2 * m.held > total and not (real and m.names & COMMENTS)
+        m.outside = not wrapper or (m.above >= 0 and marks[m.above].outside)
+    for b in found:
+        b.outside |= b.mark >= 0 and marks[b.mark].outside
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks with visible text, in page order. Unclosed and cut-off markup is taken as far as it goes."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # tag, outside, main, link, heading
+    stack: list[tuple[str, bool, bool, bool, bool, int]] = []  # tag, outside, main, link, heading, innermost mark
+    marks: list[Mark] = []
     parts: list[tuple[str, bool]] = []
 
-    def state() -> tuple[str, bool, bool, bool, bool]:
-        return stack[-1] if stack else ("", False, False, False, False)
+    def state() -> tuple[str, bool, bool, bool, bool, int]:
+        return stack[-1] if stack else ("", False, False, False, False, -1)
 
     def close() -> None:
         if parts:
             text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(t for t, a in parts if a)).split()))
-                _, outside, main, _, heading = state()
-                out.append(Block(text, linked, outside, main, heading))
+                _, outside, main, _, heading, mark = state()
+                out.append(Block(text, linked, outside, main, heading, mark))
             parts.clear()
 
     def pop_to(i: int) -> None:
@@ -128,12 +165,15 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in VOID or m[3].rstrip().endswith("/"):
             continue
-        _, outside, main, link, heading = state()
+        _, outside, main, link, heading, mark = state()
         if tag in MAIN:
-            outside, main = outside and any(s[0] in ("aside", "nav") for s in stack), True
-        stack.append((tag, outside or (tag not in MAIN and _is_outside(tag, m[3])), main, link or tag == "a",
-                      tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading))
+            outside, main, mark = outside and any(s[0] in ("aside", "nav") for s in stack), True, -1
+        elif tag not in ("html", "body") and (names := _named(m[3])):
+            marks.append(Mark(mark, names))
+            mark = len(marks) - 1
+        stack.append((tag, outside or tag in OUTSIDE, main, link or tag == "a", tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading, mark))
     close()
+    _judge_marks(out, marks)
     return out
 
 

@@ -29,6 +29,15 @@ def test_pages_without_an_article_use_both_passes():
     assert main_text(page).split("\n") == ["Heading", (PROSE * 3).strip(), "Short one.", (PROSE * 2).strip()]
 
 
+def test_wrappers_named_by_their_layout_are_kept():
+    for tag in ("body class='single has-sidebar comments-open'", "body class=sidebar", "div class='content no-sidebar'", "div class='page right-sidebar'", "div id=widget"):
+        page = f"<{tag}><h2>Head</h2><p>{PROSE * 3}</p><div class='comment-list'><p>{PROSE}</p></div><div id=sidebar-1><p>{PROSE}</p></div></{tag.split()[0]}>"
+        assert main_text(page).split("\n") == ["Head", (PROSE * 3).strip()], tag
+    inside = f"<article><div class='entry has-related'><p>{PROSE}</p></div><div class='related-posts'><p>{PROSE}</p></div></article>"
+    assert main_text(inside) == PROSE.strip()
+    assert main_text(f"<div><p>{PROSE * 2}</p></div><div class=comments><p>{PROSE * 9}</p></div>") == (PROSE * 2).strip()
+
+
 def test_awkward_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no markup at all"), (4, "u", "<article><p>cut off &amp; <b"), (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"),
             (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"), (None, "u", "<article><p>" + PROSE * 3000 + "</article>"), (6, "u", "<script>never closed")]
