@@ -33,6 +33,7 @@ consent cookie cookies copyright disqus footer header login masthead menu menuba
 pagination popup promo promotion related replies respond search share sharing sidebar signup skip social sponsor sponsored
 subscribe tags toolbar widget""".split())
 COMMENTS = frozenset("comment comments disqus replies respond".split())
+LASTING = COMMENTS | frozenset("related sidebar widget".split())  # an article in such a container is outside too
 # Words that only say what kind of box a name is for, as in ``comment-list`` or ``site-footer``.
 BOX_NAMES = frozenset("""area bar block body bottom box column container group holder inner item items left link links list main outer
 page panel posts primary region right secondary section site slot top unit wrap wrapper""".split())
@@ -78,12 +79,19 @@ def _named(attrs: str) -> frozenset[str]:
 
 @dataclass
 class Mark:
-    """A container that is named as outside."""
+    """A container that is named as outside, or an article in one (without names), in which only ``LASTING`` ones above count."""
 
     above: int
     names: frozenset[str]
     held: int = 0
     outside: bool = False
+    lasting: bool = False
+    under: bool = False  # whether it or a container above is named by ``LASTING``
+
+
+def _in_names(marks: list[Mark], mark: int) -> bool:
+    """Whether a named container that still counts is around."""
+    return mark >= 0 and (bool(marks[mark].names) or marks[mark].under)
 
 
 def _judge_marks(found: list[Block], marks: list[Mark]) -> None:
@@ -92,7 +100,7 @@ def _judge_marks(found: list[Block], marks: list[Mark]) -> None:
     real = False
     for b in found:
         if not b.outside:
-            real |= b.mark < 0 and len(b.text) >= SHORT and not b.heading
+            real |= not _in_names(marks, b.mark) and len(b.text) >= SHORT and not b.heading
             if b.mark >= 0:
                 marks[b.mark].held += len(b.text)
     for m in reversed(marks):
@@ -101,7 +109,9 @@ def _judge_marks(found: list[Block], marks: list[Mark]) -> None:
     total = sum(len(b.text) for b in found if not b.outside)
     for m in marks:
         wrapper = 2 * m.held > total and not (real and m.names & COMMENTS)
-        m.outside = not wrapper or (m.above >= 0 and marks[m.above].outside)
+        over = marks[m.above] if m.above >= 0 else None
+        m.lasting = (not wrapper and bool(m.names & LASTING)) or (over is not None and over.lasting)
+        m.outside = m.lasting if not m.names else not wrapper or (over is not None and over.outside)
     for b in found:
         b.outside |= b.mark >= 0 and marks[b.mark].outside
 
@@ -125,6 +135,10 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, linked, outside, main, heading, mark))
             parts.clear()
 
+    def add(above: int, names: frozenset[str]) -> int:
+        marks.append(Mark(above, names, under=bool(names & LASTING) or (above >= 0 and marks[above].under)))
+        return len(marks) - 1
+
     def pop_to(i: int) -> None:
         del stack[i:]
 
@@ -167,10 +181,11 @@ def blocks(page: str) -> list[Block]:
             continue
         _, outside, main, link, heading, mark = state()
         if tag in MAIN:
-            outside, main, mark = outside and any(s[0] in ("aside", "nav") for s in stack), True, -1
-        elif tag not in ("html", "body") and (names := _named(m[3])):
-            marks.append(Mark(mark, names))
-            mark = len(marks) - 1
+            outside, main = outside and any(s[0] in ("aside", "nav") for s in stack), True
+            if mark >= 0:
+                mark = add(mark, frozenset())
+        if tag not in ("html", "body") and (names := _named(m[3])):
+            mark = add(mark, names)
         stack.append((tag, outside or tag in OUTSIDE, main, link or tag == "a", tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading, mark))
     close()
     _judge_marks(out, marks)

@@ -38,6 +38,14 @@ def test_wrappers_named_by_their_layout_are_kept():
     assert main_text(f"<div><p>{PROSE * 2}</p></div><div class=comments><p>{PROSE * 9}</p></div>") == (PROSE * 2).strip()
 
 
+def test_articles_in_comments_are_not_the_main_text():
+    comments = f"<div class='comments'><article class='comment'><p>{PROSE}</p></article><article><p>{PROSE}</p></article></div>"
+    for end in (comments, comments * 9, f"<article class='comment'><p>{PROSE}</p></article>", f"<div class=sidebar><article><p>{PROSE}</p></article></div>"):
+        for page in (f"<div id=page><div class=text><p>{PROSE * 3}</p></div>{end}</div>", f"<article><p>{PROSE * 3}</p>{end}</article>"):
+            assert main_text(page) == (PROSE * 3).strip()
+    assert main_text(f"<div class=header><article><p>{PROSE}</p></article></div><p>{PROSE * 5}</p>") == PROSE.strip()
+
+
 def test_awkward_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no markup at all"), (4, "u", "<article><p>cut off &amp; <b"), (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"),
             (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"), (None, "u", "<article><p>" + PROSE * 3000 + "</article>"), (6, "u", "<script>never closed")]
