@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 # HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option".split())
+RAW = frozenset("script style textarea title xmp noembed noframes".split())
+EXCLUDED = frozenset("noscript template iframe svg select option".split())  # closed by their parent at the latest
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup p pre section summary table
 tbody td tfoot th thead tr ul""".split())
@@ -119,19 +120,29 @@ def _judge_marks(found: list[Block], marks: list[Mark]) -> None:
 def blocks(page: str) -> list[Block]:
     """Blocks with visible text, in page order. Unclosed and cut-off markup is taken as far as it goes."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool, int]] = []  # tag, outside, main, link, heading, innermost mark
+    # tag, outside, main, link, heading, innermost mark, excluded (1, or 2 if it has no end tag and ends at the next block)
+    stack: list[tuple[str, bool, bool, bool, bool, int, int]] = []
+    last_end: dict[str, int] = {}
     marks: list[Mark] = []
     parts: list[tuple[str, bool]] = []
 
-    def state() -> tuple[str, bool, bool, bool, bool, int]:
-        return stack[-1] if stack else ("", False, False, False, False, -1)
+    def state() -> tuple[str, bool, bool, bool, bool, int, int]:
+        return stack[-1] if stack else ("", False, False, False, False, -1, 0)
+
+    def ends(tag: str, at: int) -> bool:
+        """Whether an end tag follows before the next element of that name (which can only stand inside svg and template)."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+        if tag == "option" or last_end[tag] < at:
+            return False
+        return tag in ("svg", "template") or re.compile(rf"<(/?){tag}\b", re.I).search(page, at)[1] == "/"
 
     def close() -> None:
         if parts:
             text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(t for t, a in parts if a)).split()))
-                _, outside, main, _, heading, mark = state()
+                _, outside, main, _, heading, mark, _ = state()
                 out.append(Block(text, linked, outside, main, heading, mark))
             parts.clear()
 
@@ -146,7 +157,7 @@ def blocks(page: str) -> list[Block]:
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else n]
-        if text:
+        if text and not state()[6]:
             parts.append((text, state()[3]))
         if m is None:
             break
@@ -155,17 +166,22 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in BLOCK:
+            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+            if tag in BLOCK and not (state()[6] if i < 0 else stack[i][6]):
                 close()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
+            if i >= 0:
+                pop_to(i)
             continue
         if tag in RAW and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
+        if state()[6] == 2 and tag in BLOCK:
+            pop_to(next(i for i, x in enumerate(stack) if x[6] == 2))
+        if state()[6]:
+            if tag not in VOID and not m[3].rstrip().endswith("/"):
+                stack.append((tag, *state()[1:]))
+            continue
         if tag in ("br", "wbr", "img"):
             parts.append((" " if tag != "wbr" else "", False))
             continue
@@ -179,14 +195,15 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in VOID or m[3].rstrip().endswith("/"):
             continue
-        _, outside, main, link, heading, mark = state()
+        _, outside, main, link, heading, mark, _ = state()
         if tag in MAIN:
             outside, main = outside and any(s[0] in ("aside", "nav") for s in stack), True
             if mark >= 0:
                 mark = add(mark, frozenset())
         if tag not in ("html", "body") and (names := _named(m[3])):
             mark = add(mark, names)
-        stack.append((tag, outside or tag in OUTSIDE, main, link or tag == "a", tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading, mark))
+        stack.append((tag, outside or tag in OUTSIDE, main, link or tag == "a", tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading, mark,
+                      (1 if ends(tag, at) else 2) if tag in EXCLUDED else 0))
     close()
     _judge_marks(out, marks)
     return out

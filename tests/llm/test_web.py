@@ -46,6 +46,16 @@ def test_articles_in_comments_are_not_the_main_text():
     assert main_text(f"<div class=header><article><p>{PROSE}</p></article></div><p>{PROSE * 5}</p>") == PROSE.strip()
 
 
+def test_excluded_elements_end_with_their_parent():
+    article = f"<article><p>{PROSE}</p></article>"
+    for head in ("<datalist><option value=a>A<option value=b>B</datalist>", "<div><noscript>Enable it</div>", "<div><iframe src=x></div>", "<iframe src=x>", "<svg><path>",
+                 "<div><template><b>t</b></div>", "<select><option>a<option>b</select>", "<option>a", "<noscript><p>Enable it</p></noscript>"):
+        for tail in ("", "<iframe src=y></iframe><noscript>n</noscript><select><option>z</option></select>"):
+            assert main_text(f"<body>{head}{article}{tail}</body>") == PROSE.strip(), head
+    inside = f"<article><p>{PROSE}<svg><title>t</title><text>hidden</text></svg> so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<select><option>o<div>p</select>.</p></article>"
+    assert main_text(inside) == PROSE + "so x=1 holds."
+
+
 def test_awkward_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no markup at all"), (4, "u", "<article><p>cut off &amp; <b"), (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"),
             (5, "u", "<p>&#233;&eacute;&bogus; 1 < 2"), (None, "u", "<article><p>" + PROSE * 3000 + "</article>"), (6, "u", "<script>never closed")]
