@@ -5,8 +5,8 @@ padded with a blank), by rank. A document takes the language whose profile is ne
 out-of-place distance: for each of the document's own most frequent n-grams, how many places it
 lies away in the profile, or ``depth`` places if it is missing.
 
-Profiles are learned from a sample of about ``sample_rows`` labelled rows (chosen by a hash of the
-identifier; all rows if there are fewer), a documented bound. Prediction reads every whole text.
+Profiles are learned from a sample of about ``sample_rows`` labelled rows, dealt evenly to the languages (chosen by a hash
+of the identifier; all rows of a language that has fewer, one hash at least of any), a documented bound. Prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -99,15 +99,21 @@ def learn_profiles(labelled: DataFrame, depth: int = DEPTH, sample_rows: int = S
     Rows with a null language are not used. At most ``MAX_LANGUAGES`` languages (checked).
     """
     rows = labelled.where("lang is not null").select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
-    total = rows.count()
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    if total > sample_rows:
-        rows = rows.where(share < int(1_000_000 * sample_rows / total))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(share).alias("least")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if sum(r.n for r in sizes) > sample_rows:
+        left, bounds = sample_rows, []
+        for i, r in enumerate(sorted(sizes, key=lambda r: (r.n, r.lang))):
+            take = min(r.n, left / (len(sizes) - i))
+            left -= take
+            bounds.append((r.lang, max(int(take / r.n * 2**53), r.least + 1)))
+        bound = labelled.sparkSession.createDataFrame(bounds, "lang string, bound long")  # MAX_LANGUAGES rows at most
+        rows = rows.join(F.broadcast(bound), "lang").where(share < F.col("bound")).select("doc_id", "text", "lang")
     grams = rows.mapInArrow(_learn, "lang string, gram long, cnt long").groupBy("lang", "gram").agg(F.sum("cnt").alias("cnt"))
     best = Window.partitionBy("lang").orderBy(F.desc("cnt"), "gram")
     top = grams.withColumn("r", F.row_number().over(best)).where(F.col("r") <= depth)
-    if (n := rows.select("lang").distinct().count()) > MAX_LANGUAGES:
-        raise ValueError(f"{n} languages; at most {MAX_LANGUAGES}")
     out: dict[str, list[int]] = {}
     for r in top.orderBy("lang", "r").collect():  # depth rows per language
         out.setdefault(r.lang, []).append(r.gram)

@@ -80,6 +80,15 @@ def test_language_id_held_out_accuracy_and_edges(spark):
     assert len(none) == 6 and {r["lang_pred"] for r in none} == {"und"}
 
 
+def test_rare_languages_are_learned_from_a_large_table(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "if(id % 2 = 0, 'the word and', 'der die und') as text", "if(id % 2 = 0, 'en', 'de') as lang")
+    rare = spark.createDataFrame([(7001, "qua quo", "xx"), (7002, "qui que", "xx"), (7003, "zzz", "yy"), (7004, "n", None)], "doc_id long, text string, lang string")
+    table = rows.unionByName(rare)
+    got = langid.learn_profiles(table, sample_rows=60)
+    assert sorted(got) == ["de", "en", "xx", "yy"] and got["xx"] == langid.learn_profiles(rare)["xx"]
+    assert sorted(langid.learn_profiles(table, sample_rows=1)) == ["de", "en", "xx", "yy"]
+
+
 def test_profiles_rank_by_count():
     import pyarrow as pa
 
