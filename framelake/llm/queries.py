@@ -12,6 +12,7 @@ from framelake.llm.html import extract_text
 from framelake.llm.jaccard import jaccard_components
 from framelake.llm.langid import identify
 from framelake.llm.quality import quality_scores
+from framelake.llm.spelling import spelling_groups
 from framelake.llm.staging import scratch_path
 
 
@@ -76,8 +77,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.classify_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the frequent word one edit away that it is a variant of."""
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_sampling, op2_ngram_jaccard_join, op3_language_id, op4_exact_dedup, op5_benchmark_decontamination,
-    op6_quality_classifier, op7_stupid_backoff, op8_html_extraction, op9_warc_salvage, op10_url_filter)}
+    op6_quality_classifier, op7_stupid_backoff, op8_html_extraction, op9_warc_salvage, op10_url_filter,
+    op11_spelling_variants)}
 
 ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP, "op9_warc_salvage": warc.ORACLE_WARC}
