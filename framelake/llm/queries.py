@@ -12,6 +12,7 @@ from framelake.llm.html import extract_text
 from framelake.llm.jaccard import jaccard_components
 from framelake.llm.langid import identify
 from framelake.llm.quality import quality_scores
+from framelake.llm.rulescore import quality_rules
 from framelake.llm.spelling import spelling_groups
 from framelake.llm.staging import scratch_path
 
@@ -82,9 +83,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, limits and the boosted trees' verdict of every document."""
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_sampling, op2_ngram_jaccard_join, op3_language_id, op4_exact_dedup, op5_benchmark_decontamination,
     op6_quality_classifier, op7_stupid_backoff, op8_html_extraction, op9_warc_salvage, op10_url_filter,
-    op11_spelling_variants)}
+    op11_spelling_variants, op12_quality_rules)}
 
 ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP, "op9_warc_salvage": warc.ORACLE_WARC}

@@ -63,7 +63,7 @@ def _pow(kind: str, n: int) -> np.ndarray:
 class Words:
     """Words of the documents of one slice, in text order."""
 
-    buf: np.ndarray        # lower-cased bytes of all documents, end to end
+    buf: np.ndarray        # bytes of all documents (lower-cased), end to end
     doc_start: np.ndarray  # byte where each document starts, and the end
     start: np.ndarray      # byte where each word starts
     end: np.ndarray        # byte after each word
@@ -98,11 +98,11 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def words_of(col: pa.Array, word_byte: np.ndarray) -> Words:
-    """Lower-case A-Z and hash every word of a text column."""
+def words_of(col: pa.Array, word_byte: np.ndarray, lower: bool = True) -> Words:
+    """Hash every word of a text column, with A-Z lower-cased unless ``lower`` is false."""
     raw, at = column_bytes(col)
     n = len(raw)
-    buf = LOWER[raw]
+    buf = LOWER[raw] if lower else raw
     inside = word_byte[buf]
     begins, ends = inside.copy(), inside.copy()
     if n:
