@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontam, dedup, lm, spm, urls, warc
+from framelake.llm import decontam, dedup, lm, merkle, spm, urls, warc
 from framelake.llm.html import extract_text
 from framelake.llm.jaccard import jaccard_components
 from framelake.llm.langid import identify
@@ -88,9 +88,15 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, checked after some texts lost their line feeds."""
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_sampling, op2_ngram_jaccard_join, op3_language_id, op4_exact_dedup, op5_benchmark_decontamination,
     op6_quality_classifier, op7_stupid_backoff, op8_html_extraction, op9_warc_salvage, op10_url_filter,
-    op11_spelling_variants, op12_quality_rules)}
+    op11_spelling_variants, op12_quality_rules, op13_merkle_manifest)}
 
-ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP, "op9_warc_salvage": warc.ORACLE_WARC}
+ORACLE: dict[str, str] = {"op4_exact_dedup": dedup.ORACLE_EXACT_DEDUP, "op9_warc_salvage": warc.ORACLE_WARC,
+                          "op13_merkle_manifest": merkle.ORACLE_MERKLE}
