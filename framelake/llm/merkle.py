@@ -163,36 +163,36 @@ leaves as (
   select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
          sha256(head || coalesce(strlen(shown_text) || ':' || shown_text, '-')) as shown from tampered),
 placed as (
-  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as at, count(*) over (partition by source) as n from leaves),
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from leaves),
 low as (
-  select source, 0 as lv, at, n, leaf as digest from placed
+  select source, 0 as lv, pos, n, leaf as digest from placed
   union all
-  select source, lv + 1, at // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by at)) from low where n > 1 group by source, lv, n, at // 3),
+  select source, lv + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos)) from low where n > 1 group by source, lv, n, pos // 3),
 subroots as (
-  select source, digest as subroot, row_number() over (order by source nulls first) - 1 as at, count(*) over () as n from low where n = 1),
+  select source, digest as subroot, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as n from low where n = 1),
 high as (
-  select 0 as lv, at, n, subroot as digest from subroots
+  select 0 as lv, pos, n, subroot as digest from subroots
   union all
-  select lv + 1, at // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by at)) from high where n > 1 group by lv, n, at // 3),
+  select lv + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos)) from high where n > 1 group by lv, n, pos // 3),
 top as (select digest as root from high where n = 1),
 walk as (
-  select doc_id, source, at as place, 0 as lv, false as upper_part, at, n, shown as folded, '' as proof, leaf from placed
+  select doc_id, source, pos as place, 0 as lv, false as upper_part, pos, n, shown as folded, '' as proof, leaf from placed
   union all
   select w.doc_id, w.source, w.place, case when w.n = 1 then 0 else w.lv + 1 end, w.upper_part or w.n = 1,
-         case when w.n = 1 then s.at else w.at // 3 end, case when w.n = 1 then s.n else (w.n + 2) // 3 end,
+         case when w.n = 1 then s.pos else w.pos // 3 end, case when w.n = 1 then s.n else (w.n + 2) // 3 end,
          case when w.n = 1 then w.folded else sha256(coalesce(r.before, '') || w.folded || coalesce(r.after, '')) end,
          w.proof || case when w.n = 1 then '' else coalesce(r.before, '') || coalesce(r.after, '') end, w.leaf
   from walk w
   join subroots s on s.source is not distinct from w.source
   left join (
-    select a.source, false as upper_part, a.lv, a.at,
-           string_agg(b.digest, '' order by b.at) filter (where b.at < a.at) as before, string_agg(b.digest, '' order by b.at) filter (where b.at > a.at) as after
-    from low a join low b on a.source is not distinct from b.source and a.lv = b.lv and a.at // 3 = b.at // 3 and a.n > 1 group by all
+    select a.source, false as upper_part, a.lv, a.pos,
+           string_agg(b.digest, '' order by b.pos) filter (where b.pos < a.pos) as before, string_agg(b.digest, '' order by b.pos) filter (where b.pos > a.pos) as after
+    from low a join low b on a.source is not distinct from b.source and a.lv = b.lv and a.pos // 3 = b.pos // 3 and a.n > 1 group by all
     union all
-    select null, true, a.lv, a.at,
-           string_agg(b.digest, '' order by b.at) filter (where b.at < a.at), string_agg(b.digest, '' order by b.at) filter (where b.at > a.at)
-    from high a join high b on a.lv = b.lv and a.at // 3 = b.at // 3 and a.n > 1 group by all) r
-    on r.upper_part = w.upper_part and r.lv = w.lv and r.at = w.at and (w.upper_part or r.source is not distinct from w.source)
+    select null, true, a.lv, a.pos,
+           string_agg(b.digest, '' order by b.pos) filter (where b.pos < a.pos), string_agg(b.digest, '' order by b.pos) filter (where b.pos > a.pos)
+    from high a join high b on a.lv = b.lv and a.pos // 3 = b.pos // 3 and a.n > 1 group by all) r
+    on r.upper_part = w.upper_part and r.lv = w.lv and r.pos = w.pos and (w.upper_part or r.source is not distinct from w.source)
   where w.n > 1 or not w.upper_part)
 select w.doc_id, w.source, w.leaf, s.subroot, top.root, sha256(w.proof) as proof_sha256, w.folded as folded_root, w.folded = top.root as verified
 from walk w join subroots s on s.source is not distinct from w.source cross join top

@@ -6,8 +6,10 @@ from zlib import crc32
 import pytest
 from pyspark.sql import functions as F
 
-from llm_docs import docs, texts  # noqa: F401 (fixtures)
+from llm_docs import SF_SMALL, docs, texts  # noqa: F401 (fixtures)
 from framelake.llm import merkle
+from framelake.llm.queries import ORACLE, QUERIES
+from oracle_compare import duck
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, at int, block int, digest string, root string"
 
@@ -86,3 +88,11 @@ def test_real_proofs_and_no_join(spark, docs):
     assert out.where("exists(proof, s -> s.at >= size(s.run) or size(s.run) > 3)").isEmpty()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_registered_query_matches_its_sql(spark):
+    out = QUERIES["op13_merkle_manifest"](spark, SF_SMALL)
+    rel = duck(SF_SMALL).sql(ORACLE["op13_merkle_manifest"])
+    assert out.columns == rel.columns
+    assert sorted(tuple(r) for r in out.collect()) == sorted(rel.fetchall())
+    assert 0 < out.where("verified").count() < out.count()
