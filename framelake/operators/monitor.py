@@ -2,21 +2,21 @@
 
 The reference hands profiling and drift to a hosted monitor; here they are plain
 DataFrame plans: one aggregate counts the values per window, and every statistic is exact,
-computed from those counts and their skew-safe running totals.
+computed from those counts and their histograms.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelake.functions import boxes as bx
-from framelake.operators.sequence import running_total
+from framelake.operators import histogram as hg
 from framelake.schemas import BASELINE_DAYS, MONITOR_GRANULARITY
+from framelake.session import staged
 
 # --- fixed values of the drift statistics ------------------------------------
 # Quantiles of the baseline that cut the PSI bins.
@@ -27,7 +27,7 @@ QUANTILES = (0.25, 0.5, 0.75)
 MONITORED = ("n_detections", "avg_conf")
 # -----------------------------------------------------------------------------
 
-BY = ["window_start", "column_name"]
+BY = hg.BY
 
 
 def detections_metrics(detections: DataFrame) -> DataFrame:
@@ -100,36 +100,36 @@ def baseline_end(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "infer
     return metrics.agg(F.min(ts)).scalar() + F.expr(f"INTERVAL {int(days)} DAYS")
 
 
-def _at(q: float, n: str) -> Column:
+def _at(q: float, n: str = "_n") -> Column:
     """Zero-based position of a quantile among ``n`` sorted rows."""
     return (F.col(n) - 1) * F.lit(q)
 
 
 def profile_counts(counts: DataFrame, qs: Sequence[float] = QUANTILES) -> DataFrame:
-    """MON-2 from value counts: see :func:`profile`."""
+    """MON-2 from value counts (a written table: it is read several times): see :func:`profile`."""
+    hist = hg.Histogram.of(counts)
     c, v = F.col("c"), F.col("value")
-    stats = counts.groupBy(*BY).agg(
+    off = v - F.col("middle")  # from the middle of the column's range, so that the squares do not cancel each other out
+    n = F.sum(F.when(v.isNotNull(), c))
+    squares = F.sum(off * off * c) - F.sum(off * c) / n * F.sum(off * c)
+    stats = hist.binned.groupBy(*BY).agg(
         F.sum("c").alias("n"),
         F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("n_null"),
-        F.sum(F.when(v.isNotNull(), c)).alias("_n"),
-        (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("mean"),
+        n.alias("_n"),
+        (F.sum(v * c) / n).alias("mean"),
+        F.when(n > 1, F.sqrt(F.greatest(squares / (n - 1), F.lit(0.0)))).alias("stddev"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.count("value").alias("n_distinct"),
     )
-    total = running_total(counts.filter(v.isNotNull()), BY, ["value"], c, "_r")
-    joined = total.join(stats.select(*BY, "_n", "mean"), BY)
-    aggs = [F.sqrt(F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))) / F.nullif(F.max("_n") - 1, F.lit(0))).alias("stddev")]
-    for q in qs:
-        h = _at(q, "_n")
-        for name, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            aggs.append(F.max(F.when((F.col("_r") - c <= at) & (at < F.col("_r")), v)).alias(f"_{name}{q}"))
-        aggs.append(F.max(h - F.floor(h)).alias(f"_d{q}"))
-    near = joined.groupBy(*BY).agg(*aggs)
-    spread = [
-        (F.col(f"`_lo{q}`") + F.col(f"`_d{q}`") * (F.col(f"`_hi{q}`") - F.col(f"`_lo{q}`"))).alias(f"p{round(q * 100):02d}") for q in qs
-    ]
-    return stats.drop("_n").join(near.select(*BY, "stddev", *spread), BY, "left")
+    at = {f"_{end}{i}": edge(_at(q)) for i, q in enumerate(qs) for end, edge in (("lo", F.floor), ("hi", F.ceil))}
+    joined = stats.join(hg.values_at(hist, BY, "c", at), BY, "left")
+
+    def quantile(i: int, q: float) -> Column:
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        return F.when(lo == hi, lo).otherwise(lo + (_at(q) - F.floor(_at(q))) * (hi - lo)).alias(f"p{round(q * 100):02d}")
+
+    return joined.select(*stats.drop("_n", "stddev").columns, "stddev", *[quantile(i, q) for i, q in enumerate(qs)])
 
 
 def profile(
@@ -141,49 +141,41 @@ def profile(
     """MON-2: time-series profile per window and column.
 
     count, nulls, mean, sample stddev, min, max, exact distinct count and exact
-    interpolated quartiles, keyed by (window_start, column_name), all from one table of value counts.
+    interpolated quartiles, keyed by (window_start, column_name), all from one written table of value counts.
+    Quartiles come from the histogram bins that hold them (:mod:`framelake.operators.histogram`).
     """
-    return profile_counts(value_counts(metrics, cols, granularity, ts))
+    return profile_counts(staged(value_counts(metrics, cols, granularity, ts), "counts"))
 
 
 def drift_counts(counts: DataFrame, qs: Sequence[float] = BIN_QUANTILES) -> DataFrame:
-    """MON-3 from value counts (``c`` of the window, ``cb`` of the baseline): see :func:`drift`."""
+    """MON-3 from value counts (``c`` of the window, ``cb`` of the baseline; a written table, read several times): see :func:`drift`."""
     known = counts.filter(F.col("value").isNotNull())
-    base = known.groupBy("column_name").agg(
-        F.sum("cb").alias("baseline_n"), F.try_divide(F.sum(F.col("value") * F.col("cb")), F.sum("cb")).alias("baseline_mean")
-    )
-    values = known.groupBy("column_name", "value").agg(F.sum("cb").alias("cb"))
-    values = running_total(values, ["column_name"], ["value"], F.col("cb"), "rb").join(base, "column_name")
-    here = [(F.col("rb") - F.col("cb") <= F.floor(_at(q, "baseline_n"))) & (F.floor(_at(q, "baseline_n")) < F.col("rb")) for q in qs]
-    edges = values.filter(reduce(lambda a, b: a | b, here)).groupBy("column_name").agg(F.sort_array(F.collect_set("value")).alias("edges"))
-    # One row per monitored column: the column list bounds these broadcasts.
-    edges = base.join(F.broadcast(edges), "column_name", "left").select(
-        "column_name", F.coalesce("edges", F.array().cast("array<double>")).alias("edges"))
-
-    cur = known.filter("c > 0").drop("cb")
-    stats = cur.groupBy(*BY).agg(F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"))
-    low, high = F.col("rb") - F.col("cb"), F.col("rb")
-    gaps = running_total(cur, BY, ["value"], F.col("c"), "rw").join(stats.select(*BY, "n"), BY).join(
-        values.select("column_name", "value", "cb", "rb", "baseline_n"), ["column_name", "value"])
-    ks = gaps.groupBy(*BY).agg(F.max(F.greatest(
-        F.abs(F.try_divide(F.col("rw"), F.col("n")) - F.try_divide(high, F.col("baseline_n"))),
-        F.abs(F.try_divide(F.col("rw") - F.col("c"), F.col("n")) - F.try_divide(low, F.col("baseline_n"))))).alias("ks"))
-
-    place = F.aggregate(
-        "edges", F.lit(0), lambda acc, e: acc + (e < F.col("value")).cast("int") + (e <= F.col("value")).cast("int"))
-    cur_bins = cur.join(F.broadcast(edges), "column_name").groupBy(*BY, place.alias("bin")).agg(F.sum("c").alias("c"))
-    base_bins = values.join(F.broadcast(edges), "column_name").groupBy("column_name", place.alias("bin")).agg(F.sum("cb").alias("cb"))
-    grid = stats.join(F.broadcast(edges), "column_name").select(
-        *BY, "n", F.explode(F.sequence(F.lit(0), F.size("edges") * 2)).alias("bin"))
-    g = grid.join(cur_bins, [*BY, "bin"], "left").join(F.broadcast(base_bins), ["column_name", "bin"], "left").join(
-        F.broadcast(base), "column_name")
-    p = F.greatest(F.coalesce("c", F.lit(0)) / F.col("n"), F.lit(SHARE_FLOOR))
-    q = F.greatest(F.try_divide(F.coalesce("cb", F.lit(0)), F.col("baseline_n")), F.lit(SHARE_FLOOR))
-    psi = g.groupBy(*BY).agg(F.sum(F.when(F.col("baseline_n") > 0, (p - q) * F.ln(p / q))).alias("psi"))
-    return (
-        stats.join(F.broadcast(base), "column_name").join(psi, BY).join(ks, BY)
-        .select(*BY, "n", "baseline_n", "mean", "baseline_mean", (F.col("mean") - F.col("baseline_mean")).alias("mean_delta"), "psi", "ks")
-    )
+    hist = hg.Histogram.of(known)
+    c, cb, v = F.col("c"), F.col("cb"), F.col("value")
+    cuts = [f"_q{i}" for i in range(len(qs))]
+    edges = hg.values_at(hist, ["column_name"], "cb", {name: F.floor(_at(q)) for name, q in zip(cuts, qs)})
+    edges = known.select("column_name").distinct().join(edges, "column_name", "left").select(
+        "column_name", F.array_sort(F.array_distinct(F.array_compact(F.array(*cuts)))).alias("edges"))
+    # One row per monitored column: the column list bounds this broadcast and the next.
+    place = F.aggregate("edges", F.lit(0), lambda acc, e: acc + (e < v).cast("int") + (e <= v).cast("int"))
+    placed = known.join(F.broadcast(edges), "column_name").withColumn("bin", place)
+
+    def shares(size: Column, name: str) -> list[Column]:
+        """Size, mean and the counts of every bin the edges can make (two per edge and one)."""
+        bins = F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == i, size)), F.lit(0)) for i in range(2 * len(qs) + 1)])
+        return [F.sum(size).alias(f"{name}n"), F.try_divide(F.sum(v * size), F.sum(size)).alias(f"{name}mean"), bins.alias(f"{name}bins")]
+
+    base = placed.groupBy("column_name").agg(*shares(cb, "baseline_"), F.first("edges").alias("edges"))
+    stats = placed.filter(c > 0).groupBy(*BY).agg(*shares(c, "")).join(F.broadcast(base), "column_name")
+
+    def term(acc: Column, i: Column) -> Column:
+        p = F.greatest(F.get("bins", i) / F.col("n"), F.lit(SHARE_FLOOR))
+        q = F.greatest(F.try_divide(F.get("baseline_bins", i), F.col("baseline_n")), F.lit(SHARE_FLOOR))
+        return acc + (p - q) * F.ln(p / q)
+
+    psi = F.when(F.col("baseline_n") > 0, F.aggregate(F.sequence(F.lit(0), F.size("edges") * 2), F.lit(0.0), term))
+    return stats.join(hg.largest_distances(hist), BY).select(
+        *BY, "n", "baseline_n", "mean", "baseline_mean", (F.col("mean") - F.col("baseline_mean")).alias("mean_delta"), psi.alias("psi"), "ks")
 
 
 def drift(
@@ -201,7 +193,8 @@ def drift(
     """
     current = value_counts(metrics, cols, granularity, ts).withColumn("cb", F.lit(0).cast("long"))
     base = value_counts(baseline_df, cols, granularity, ts).select(*BY, "value", F.lit(0).cast("long").alias("c"), F.col("c").alias("cb"))
-    return drift_counts(current.unionByName(base).groupBy(*BY, "value").agg(F.sum("c").alias("c"), F.sum("cb").alias("cb")))
+    counts = current.unionByName(base).groupBy(*BY, "value").agg(F.sum("c").alias("c"), F.sum("cb").alias("cb"))
+    return drift_counts(staged(counts, "counts"))
 
 
 def flags(drift_df: DataFrame, aliases: DataFrame, name: str, alias: str, threshold: float = PSI_FLAG) -> DataFrame:

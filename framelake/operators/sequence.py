@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _AMOUNT, _SUM, _CUTS, _SLICE, _OFF, _FIRST = "_fl_amount", "_fl_sum", "_fl_cuts", "_fl_slice", "_fl_off", "_fl_first"
@@ -68,9 +68,9 @@ def _bytes(text: str) -> int:
     return int(n) << (10 * " kmgtp".index(unit or " "))
 
 
-def _fits_one_task(df: DataFrame, spark: SparkSession) -> bool:
+def fits_one_task(df: DataFrame) -> bool:
     """Whether the planner expects the whole table to be no larger than one shuffle partition should be."""
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    target = _bytes(df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= target
 
 
@@ -122,42 +122,42 @@ def _same(by: list[str], prefix: str) -> Column:
     return reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(prefix + c)), by, F.lit(True))
 
 
-def _windowed(df: DataFrame, by: list[str], keys: list[Key], amount: Column | None, first: list[str]) -> DataFrame:
-    """The ordinary window: total to the current row, and the first row's values."""
+def _windowed(df: DataFrame, by: list[str], keys: list[Key], amounts: list[Column | None], first: list[str]) -> DataFrame:
+    """The ordinary window: totals to the current row, and the first row's values."""
     w = Window.partitionBy(*by).orderBy(*[k.sort() for k in keys])
     to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.row_number().over(w).cast("long") if amount is None else F.sum(amount.cast("long")).over(to_here)
-    out = df.withColumn(_SUM, total)
+    out = df.withColumns({f"{_SUM}{i}": F.row_number().over(w).cast("long") if a is None else F.sum(a.cast("long")).over(to_here)
+                          for i, a in enumerate(amounts)})
     return out.withColumn(_FIRST, F.first(F.struct(*[F.col(c) for c in first])).over(to_here)) if first else out
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[Column | str],
-    amount: Column | None,
-    out: str,
+    totals: dict[str, Column | None],
     first: Sequence[str] = (),
     partitions: int | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
     """``sum(amount) over (partition by by order by order rows to current)`` without hot-group skew.
 
-    ``amount`` is a whole number, zero or more; None counts rows. ``order`` must make the order total inside a group
+    ``totals`` gives for each new column an amount, a whole number, zero or more; None counts rows. ``order`` must make the order total inside a group
     for a deterministic result; its items are column names, with ``desc`` and ``nulls first`` or ``last`` behind them if need be, or
-    sorted columns. ``first`` names columns whose value on the group's first row is added as ``first_<name>``. ``at_most`` keeps rows up to
-    this total. ``partitions`` is how many slices the whole table is worth, by default ``spark.sql.shuffle.partitions``; where it is not
+    sorted columns. ``first`` names columns whose value on the group's first row is added as ``first_<name>``. ``at_most`` keeps rows
+    with a first total of no more. ``partitions`` is how many slices the whole table is worth, by default ``spark.sql.shuffle.partitions``; where it is not
     given and the planner expects the table to fit one shuffle partition, no group can be too large and none is looked for.
     """
     by, first, keys = list(by), list(first), [Key.of(o) for o in order]
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = None if p < 2 or (partitions is None and _fits_one_task(df, spark)) else _find_cuts(df, by, keys, p)
+    cuts = None if p < 2 or (partitions is None and fits_one_task(df)) else _find_cuts(df, by, keys, p)
     firsts = [F.col(_FIRST)[c].alias(f"first_{c}") for c in first]
+    amounts = list(totals.values())
     if cuts is None:
-        plain = _windowed(df, by, keys, amount, first)
-        plain = plain if at_most is None else plain.where(F.col(_SUM) <= at_most)
-        return plain.select(*[F.col(c) for c in df.columns], F.col(_SUM).alias(out), *firsts)
+        plain = _windowed(df, by, keys, amounts, first)
+        plain = plain if at_most is None else plain.where(F.col(f"{_SUM}0") <= at_most)
+        return plain.select(*[F.col(c) for c in df.columns], *[F.col(f"{_SUM}{i}").alias(out) for i, out in enumerate(totals)], *firsts)
 
     most = cuts.agg(F.max(F.size(_CUTS))).first()[0]
     if by:
@@ -167,29 +167,36 @@ def running_total(
         keyed = df.withColumn(_CUTS, cuts.select(_CUTS).scalar())
     keyed = keyed.withColumn(_SLICE, _slice_of(keys, most))
     hot = keyed.where(F.col(_CUTS).isNotNull())
-    local = _windowed(keyed.select(*df.columns, _SLICE), [*by, _SLICE], keys, amount, first)
+    local = _windowed(keyed.select(*df.columns, _SLICE), [*by, _SLICE], keys, amounts, first)
     if at_most is not None:
-        local = local.where(F.col(_SUM) <= at_most)
+        local = local.where(F.col(f"{_SUM}0") <= at_most)
 
     # Correction: what the earlier slices of each hot group add up to; a row per slice.
-    size = F.count(F.lit(1)) if amount is None else F.sum(amount.cast("long"))
+    sizes = [(F.count(F.lit(1)) if a is None else F.sum(a.cast("long"))).alias(f"_fl_n{i}") for i, a in enumerate(amounts)]
     earlier = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    corr = hot.groupBy(*by, _SLICE).agg(size.alias("_fl_n")).select(*by, _SLICE, F.sum("_fl_n").over(earlier).alias(_OFF)).where(
-        F.col(_OFF).isNotNull())
+    offsets = [F.sum(f"_fl_n{i}").over(earlier).alias(f"{_OFF}{i}") for i in range(len(amounts))]
+    corr = hot.groupBy(*by, _SLICE).agg(*sizes).select(*by, _SLICE, *offsets).where(F.col(_SLICE) > 0)
     if first:
         ahead = Window.partitionBy(*by).orderBy(_SLICE, *[k.sort() for k in keys])
         head = hot.select(*by, _SLICE, *{k.name for k in keys} - set(by), F.struct(*[F.col(c) for c in first]).alias("_fl_head"),
                           F.row_number().over(ahead).alias("_fl_r")).where("_fl_r = 1")
         head = head.select(*[F.col(c).alias("_fl_h_" + c) for c in by], "_fl_head")
         corr = corr.join(F.broadcast(head), _same(by, "_fl_h_")) if by else corr.withColumn("_fl_head", head.select("_fl_head").scalar())
-    corr = corr.select(*[F.col(c).alias("_fl_c_" + c) for c in by], F.col(_SLICE).alias("_fl_c_slice"), _OFF, *(["_fl_head"] if first else []))
+    corr = corr.select(*[F.col(c).alias("_fl_c_" + c) for c in by], F.col(_SLICE).alias("_fl_c_slice"),
+                       *[f"{_OFF}{i}" for i in range(len(amounts))], *(["_fl_head"] if first else []))
     joined = local.join(F.broadcast(corr), _same(by, "_fl_c_") & (F.col(_SLICE) == F.col("_fl_c_slice")), "left")
-    total = F.col(_SUM) + F.coalesce(F.col(_OFF), F.lit(0))
+    total = [F.col(f"{_SUM}{i}") + F.coalesce(F.col(f"{_OFF}{i}"), F.lit(0)) for i in range(len(amounts))]
     if at_most is not None:
-        joined = joined.where(total <= at_most)
+        joined = joined.where(total[0] <= at_most)
     if first:
-        firsts = [F.when(F.col(_OFF).isNotNull(), F.col("_fl_head")[c]).otherwise(F.col(_FIRST)[c]).alias(f"first_{c}") for c in first]
-    return joined.select(*[F.col(c) for c in df.columns], total.alias(out), *firsts)
+        firsts = [F.when(F.col("_fl_head").isNotNull(), F.col("_fl_head")[c]).otherwise(F.col(_FIRST)[c]).alias(f"first_{c}") for c in first]
+    return joined.select(*[F.col(c) for c in df.columns], *[t.alias(out) for t, out in zip(total, totals)], *firsts)
+
+
+def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], amount: Column | None, out: str,
+                  first: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """One running total; see :func:`running_totals`."""
+    return running_totals(df, by, order, {out: amount}, first, partitions)
 
 
 def number_within(
@@ -212,4 +219,4 @@ def cap_within(
     partitions: int | None = None,
 ) -> DataFrame:
     """Rows ranked ``<= k`` inside each group (ties broken by ``order``), skew-safe; a task passes on no more than ``k`` of a slice."""
-    return running_total(df, by, order, None, "_fl_k", partitions=partitions, at_most=k).drop("_fl_k")
+    return running_totals(df, by, order, {"_fl_k": None}, partitions=partitions, at_most=k).drop("_fl_k")

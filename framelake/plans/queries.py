@@ -17,7 +17,7 @@ from framelake import fixtures as fx
 from framelake.functions import boxes as bx
 from framelake.functions import ids
 from framelake.operators import contracts, features, frames, monitor, registry, scoring
-from framelake.session import materialize
+from framelake.session import materialize, staged
 from framelake.sinks import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +130,7 @@ def _counts(spark, d) -> DataFrame:
     """Value counts of the metrics. Every order has a frame stamped with its date, so the
     baseline's end is read from the orders alone."""
     first = fx.table(spark, d, "orders").select(F.col("o_orderdate").alias("inferred_at"))
-    return monitor.value_counts(_metrics(spark, d), baseline_until=monitor.baseline_end(first))
+    return staged(monitor.value_counts(_metrics(spark, d), baseline_until=monitor.baseline_end(first)), "counts")
 
 
 def detections_metrics(spark, d):

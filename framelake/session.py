@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +80,17 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def staged(df, name: str = "table"):
+    """Write a derived table that several plans read to the shared checkpoint folder, and read it back.
+
+    Parquet, so that a reader takes only the columns it needs and the planner knows the table's size; a lost executor
+    reads it again instead of deriving it again.
+    """
+    path = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_to_workers(spark: SparkSession, *extra_paths: str) -> None:
     """Make this package (and ``extra_paths``) importable by Python workers.
 

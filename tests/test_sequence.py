@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from framelake.operators.sequence import Key, _find_cuts, _slice_of, number_within, running_total
+from framelake.operators.sequence import Key, _find_cuts, _slice_of, number_within, running_total, running_totals
 
 
 def _data(spark, n=3000, seed=7):
