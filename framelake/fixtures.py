@@ -163,13 +163,13 @@ def versions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def aliases_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def aliases_fx(spark: SparkSession, sf_dir: str, versions: DataFrame | None = None) -> DataFrame:
     """Present champions: none for m % 5 = 0; a run without the metric for m % 5 = 1;
-    else the run ranked 2 + m % 7."""
+    else the run ranked 2 + m % 7. ``versions`` may be given as a written table."""
     from framelake.operators.registry import newest_versions
 
     runs = runs_fx(spark, sf_dir).filter(F.col("status") == "FINISHED")
-    v = newest_versions(versions_fx(spark, sf_dir))
+    v = newest_versions(versions or versions_fx(spark, sf_dir))
     r = runs.select("name", "run_id", F.element_at("metrics", F.lit("mAP50")).alias("map50")).join(v, ["name", "run_id"])
     r = r.withColumn("m", F.substring("name", 5, 10).cast("int"))
     ranked = number_within(r, ["name"], [F.col("map50").desc_nulls_last(), F.col("run_id").asc()], out="rk")

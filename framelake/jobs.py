@@ -137,14 +137,17 @@ def promote_models(
     aliases_target: str,
     metric: str = DEFAULT_METRIC,
     min_gain: float = DEFAULT_MIN_GAIN,
+    scopes: DataFrame | None = None,
 ) -> DataFrame:
     """Stage 04: decide for every model, move aliases, tag the best runs.
 
+    With ``scopes`` (``name, experiment``) a model's candidates are the runs of an experiment, whatever their own name.
+
     The decisions (one row per model) are checkpointed once and then drive both
     upserts and the returned record.
     """
     runs, versions, aliases = (read(spark, t) for t in (runs_target, versions_target, aliases_target))
-    decisions = materialize(registry.promotion(runs, versions, aliases, metric, min_gain))
+    decisions = materialize(registry.promotion(runs, versions, aliases, metric, min_gain, scopes))
     moves = registry.alias_updates(decisions)
     if not moves.isEmpty():
         store.upsert(spark, aliases_target, moves, ["name", "alias"])

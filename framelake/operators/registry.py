@@ -8,7 +8,9 @@ collapses map-side) instead of windows that would put a model in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.functions.ids import fmt_decimal
@@ -117,12 +119,48 @@ def _champions(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric:
     )
 
 
+# Row kinds of the table that is grouped by model.
+_REGISTERED, _UNREGISTERED, _CHAMPION, _MODEL = range(4)
+
+
+def candidates(runs: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Runs of the experiment that each model is promoted from, under the model's name; ``scopes`` has ``(name, experiment)``."""
+    return scopes.select("name", F.col("experiment")).distinct().join(runs.drop("name"), "experiment")
+
+
+def _tagged(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric: str, scopes: DataFrame | None) -> DataFrame:
+    """Runs, versions and champion aliases as rows of one table: ``(name, run_id, finished, metric, version, champion, alias_version, model)``."""
+
+    def rows(df: DataFrame, **cols: Column) -> DataFrame:
+        kinds = {"finished": "boolean", "metric": "double", "version": "long", "champion": "boolean", "alias_version": "string", "model": "boolean"}
+        return df.select("name", cols.pop("run_id", F.lit(None)).cast(runs.schema["run_id"].dataType).alias("run_id"),
+                         *[cols.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+
+    champ = aliases.filter(F.col("alias") == CHAMPION).select("name", F.col("version").alias("alias_version"))
+    # An alias is one row per model, so this lookup marks versions and adds no row.
+    lookup = champ.select(F.col("name").alias("_n"), F.col("alias_version").alias("_v"))
+    marked = versions.join(lookup, (F.col("name") == F.col("_n")) & (F.col("version") == F.col("_v")), "left")
+    measured = get_metric("metrics", metric)
+    parts = [rows(marked, run_id=F.col("run_id"), version=F.col("version"), champion=F.col("_n").isNotNull()),
+             rows(champ, alias_version=F.col("alias_version"))]
+    if scopes is None:
+        parts.append(rows(runs, run_id=F.col("run_id"), finished=F.col("status") == FINISHED, metric=measured))
+    else:
+        parts.append(rows(candidates(runs, scopes), run_id=F.col("run_id"), finished=F.col("status") == FINISHED, metric=measured))
+        parts.append(rows(scopes, model=F.lit(True)))
+        # The champion's run may lie in another experiment.
+        own = marked.filter(F.col("_n").isNotNull()).select(F.col("_n").alias("name"), "run_id")
+        parts.append(rows(own.join(runs.select("run_id", "metrics"), "run_id"), run_id=F.col("run_id"), metric=measured))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def promotion(
     runs: DataFrame,
     versions: DataFrame,
     aliases: DataFrame,
     metric: str = DEFAULT_METRIC,
     min_gain: float = DEFAULT_MIN_GAIN,
+    scopes: DataFrame | None = None,
 ) -> DataFrame:
     """REG-5/6/8: the promotion gate for every model at once.
 
@@ -130,41 +168,48 @@ def promotion(
     gate ``best > champion * min_gain``; the challenger is the next ranked run
     whose newest version differs from the best's.
 
-    One aggregate over (runs LEFT JOIN newest versions) keeps, per model and version, the
-    finished-run count and the best run (unfinished runs sort last, so models
-    without a finished run still appear). The best run and the challenger come from that
-    table: partial aggregates throughout, so a model holding most runs is combined map-side.
+    A model's candidates are its own runs or, with ``scopes`` (``name, experiment``), all runs of an experiment; the champion's
+    metric is read from its run wherever that is. A run that is recorded twice counts once.
+
+    Co-aggregation instead of a chain of joins: runs, versions and aliases are rows of one tagged table, read once each and
+    grouped by (model, run). Each run then stands as a candidate, as the champion's run, or both; the best candidate of each
+    version, the first two versions and the champion's run are picked by partial aggregates and group limits, so a
+    model that holds most runs shrinks to a few rows per task before anything is gathered by model.
     """
     gain_text = str(min_gain)
-    is_fin = F.col("status") == FINISHED
-    rv = runs.select("name", "run_id", is_fin.alias("finished"), get_metric("metrics", metric).alias("metric")).join(
-        newest_versions(versions), ["name", "run_id"], "left"
-    )
-    key = F.struct(~F.col("finished"), F.col("metric").isNull(), -F.col("metric"), F.col("run_id"))
-    per_version = rv.groupBy("name", "version").agg(
-        F.count_if(F.col("finished")).alias("n_finished"),
-        F.min(key).alias("key"),
-        F.min_by(F.struct("run_id", "metric", "version"), key).alias("_best"),
-    )
-    best = per_version.groupBy("name").agg(F.sum("n_finished").alias("n_finished"), F.min_by("_best", "key").alias("_best")).select(
-        "name",
-        "n_finished",
-        F.col("_best.run_id").alias("best_run_id"),
-        F.col("_best.metric").alias("best_metric"),
-        F.col("_best.version").alias("best_version"),
+    per_run = _tagged(runs, versions, aliases, metric, scopes).groupBy("name", "run_id").agg(
+        *[F.max(c).alias(c) for c in ("finished", "metric", "version", "champion", "alias_version", "model")])
+    is_run, named = F.col("finished").isNotNull(), F.col("alias_version").isNotNull() | F.col("model")
+
+    def entry(kind: Column | int, version: Column, unfinished: Column, value: Column) -> Column:
+        key = F.struct(unfinished.alias("unfinished"), value.isNull().alias("unmeasured"), (-value).alias("lower"), F.col("run_id"))
+        return F.struct((F.lit(kind) if isinstance(kind, int) else kind).alias("kind"), version.alias("version"), F.struct(
+            key.alias("key"), F.col("metric"), F.col("alias_version"), F.col("model")).alias("row"))
+
+    none, nothing = F.lit(None).cast("long"), F.lit(None).cast("double")
+    entries = F.array(
+        F.when(is_run, entry(F.when(F.col("version").isNull(), _UNREGISTERED).otherwise(_REGISTERED), F.col("version"), ~F.col("finished"), F.col("metric"))),
+        F.when(F.col("champion"), entry(_CHAMPION, none, F.lit(False), nothing)),
+        F.when(named, entry(_MODEL, none, F.lit(False), nothing)),
     )
-    challenger = (
-        per_version.filter((F.col("n_finished") > 0) & F.col("version").isNotNull())
-        .select("name", "version", "key")
-        .join(best.select("name", F.col("best_version").alias("_bv")), "name")
-        .filter(F.col("version") != F.col("_bv"))
-        .groupBy("name")
-        .agg(F.min_by("version", "key").alias("_challenger"))
-    )
-    j = best.join(_champions(runs, versions, aliases, metric), "name", "left").join(challenger, "name", "left")
+    best_of = (per_run.select("name", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("name", "e.*")
+               .groupBy("name", "kind", "version").agg(F.min("row").alias("row")))
+    first_two = Window.partitionBy("name", "kind").orderBy("row.key")
+    picked = best_of.withColumn("place", F.row_number().over(first_two)).filter("place <= 2")
+    kind, top = F.col("kind"), F.col("place") == 1
+    j = picked.groupBy("name").agg(
+        F.min(F.when(kind <= _UNREGISTERED, F.struct("row.key", "row.metric", "version"))).alias("best"),
+        F.max(F.when((kind == _REGISTERED) & ~top & ~F.col("row.key.unfinished"), F.col("version"))).cast("string").alias("_challenger"),
+        F.max(F.when((kind == _CHAMPION) & top, F.col("row.metric"))).alias("champion_metric"),
+        F.max(F.when(kind == _MODEL, F.col("row.alias_version"))).alias("champion_version"),
+        F.bool_or(F.when(kind == _MODEL, F.col("row.model"))).alias("model"),
+    ).filter(F.col("best").isNotNull() if scopes is None else F.col("model"))
+    j = j.select("name", "champion_version", "champion_metric", "_challenger", (~F.col("best.key.unfinished")).alias("has_best"),
+                 F.col("best.key.run_id").alias("best_run_id"), F.col("best.metric").alias("best_metric"),
+                 F.col("best.version").cast("string").alias("best_version"))
 
     status = (
-        F.when(F.col("n_finished") == 0, "error_no_runs")
+        F.when(~F.coalesce("has_best", F.lit(False)), "error_no_runs")
         .when(F.col("best_metric").isNull(), "error_no_metric")
         .when(F.col("best_version").isNull(), "error_no_version")
         .otherwise("ok")
@@ -184,7 +229,7 @@ def promotion(
     )
     decision = F.when(~ok, F.lit(None).cast("string")).when(promote, "promoted").otherwise("kept_champion")
     chall = F.when(ok, F.col("_challenger"))
-    has_best = F.col("n_finished") > 0
+    has_best = F.col("has_best")
     return (
         j.withColumn("status", status)
         .select(
@@ -230,11 +275,13 @@ def move_aliases(aliases: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def decision_tags(runs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """REG-7: runs whose tags get ``promotion_decision``; upsert them by run_id."""
-    d = decisions.filter(F.col("decision").isNotNull()).select(
-        "name", F.col("best_run_id").alias("run_id"), "decision"
-    )
-    tagged = runs.join(d, ["name", "run_id"])
+    """REG-7: runs whose tags get ``promotion_decision``; upsert them by run_id.
+
+    A run that is the best of several models (experiment scope) gets the smallest name's decision.
+    """
+    d = decisions.filter(F.col("decision").isNotNull()).groupBy(F.col("best_run_id").alias("run_id")).agg(
+        F.min_by("decision", "name").alias("decision"))
+    tagged = runs.join(d, "run_id").select(*runs.columns, "decision")
     new_tags = F.map_concat(
         F.map_filter(F.coalesce(F.col("tags"), F.create_map().cast("map<string,string>")), lambda k, v: k != DECISION_TAG),
         F.create_map(F.lit(DECISION_TAG), F.col("decision")),

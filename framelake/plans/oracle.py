@@ -106,6 +106,23 @@ FX: dict[str, str] = {
         status = 'ok' and (champion_metric is null or best_metric > champion_metric * 1.02::double) as promote,
         case when status = 'ok' then challenger end as challenger_version
         from pr_j""",
+    # the same, with candidates from an experiment
+    "ex_scope": """select distinct name, printf('exp_%d', cast(substr(name, 5) as int) * 7 % 12) as experiment from runs_fx""",
+    "ex_rk": """select s.name, r.run_id, r.map50 as metric, nv.version,
+        row_number() over (partition by s.name order by r.map50 desc nulls last, r.run_id) as rn
+        from ex_scope s join runs_fx r on s.experiment = printf('exp_%d', cast(substr(r.name, 5) as int) % 10)
+        left join pr_nv nv on nv.name = s.name and nv.run_id = r.run_id where r.status = 'FINISHED'""",
+    "ex_best": "select * from ex_rk where rn = 1",
+    "ex_champ": """select c.name, c.version as champion_version, r.map50 as champion_metric from aliases_fx c
+        left join (select name, version, min(run_id) as run_id from versions_fx group by all) v on v.name = c.name and v.version = c.version
+        left join runs_fx r on r.run_id = v.run_id where c.alias = 'champion'""",
+    "ex_j": """select s.name, b.run_id as best_run_id, b.metric as best_metric, b.version as best_version, c.champion_version, c.champion_metric,
+        (select first(k.version order by k.rn) from ex_rk k where k.name = s.name and k.version <> b.version) as challenger,
+        case when b.name is null then 'error_no_runs' when b.metric is null then 'error_no_metric'
+             when b.version is null then 'error_no_version' else 'ok' end as status
+        from ex_scope s left join ex_best b on b.name = s.name left join ex_champ c on c.name = s.name""",
+    "ex_decisions": """select *, status = 'ok' and (champion_metric is null or best_metric > champion_metric * 1.02::double) as promote,
+        case when status = 'ok' then challenger end as challenger_version from ex_j""",
     # monitoring
     "bl_min": "select min(inferred_at) as t from metrics",
     "baseline": "select m.* from metrics m, bl_min where m.inferred_at < bl_min.t + interval 7 day",
@@ -225,6 +242,14 @@ def _reason() -> str:
     )
 
 
+def _decision_columns(table: str) -> str:
+    return f"""select name, status, best_run_id, best_version, {_r6('best_metric')} as best_metric, champion_version,
+        {_r6('champion_metric')} as champion_metric, 1.02::double as gain_gate, challenger_version,
+        coalesce(challenger_version = champion_version, false) as challenger_is_champion, promote,
+        case when status <> 'ok' then null when promote then 'promoted' else 'kept_champion' end as decision,
+        {_reason()} as reason from {table}"""
+
+
 ORACLE: dict[str, str] = {
     "video_listing": _q(
         ["files_fx"],
@@ -397,14 +422,8 @@ ORACLE: dict[str, str] = {
         ["pr_champ"],
         f"select name, champion_version, champion_run_id, {_r6('champion_metric')} as champion_metric from pr_champ",
     ),
-    "promotion_gate": _q(
-        ["decisions"],
-        f"""select name, status, best_run_id, best_version, {_r6('best_metric')} as best_metric, champion_version,
-        {_r6('champion_metric')} as champion_metric, 1.02::double as gain_gate, challenger_version,
-        coalesce(challenger_version = champion_version, false) as challenger_is_champion, promote,
-        case when status <> 'ok' then null when promote then 'promoted' else 'kept_champion' end as decision,
-        {_reason()} as reason from decisions""",
-    ),
+    "promotion_gate": _q(["decisions"], _decision_columns("decisions")),
+    "promotion_by_experiment": _q(["ex_decisions"], _decision_columns("ex_decisions")),
     "alias_moves": _q(
         ["decisions", "aliases_fx"],
         """, upd as (select name, 'champion' as alias, best_version as version from decisions where promote

@@ -17,7 +17,7 @@ from framelake import fixtures as fx
 from framelake.functions import boxes as bx
 from framelake.functions import ids
 from framelake.operators import contracts, features, frames, monitor, registry, scoring
-from framelake.session import materialize, staged
+from framelake.session import staged
 from framelake.sinks import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,16 +305,12 @@ def champion_metric(spark, d):
 
 
 def _registry(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return fx.runs_fx(spark, d), fx.versions_fx(spark, d), fx.aliases_fx(spark, d)
+    """Runs as they are read; versions and aliases written once, as a registry holds them."""
+    versions = staged(fx.versions_fx(spark, d), "versions")
+    return fx.runs_fx(spark, d), versions, staged(fx.aliases_fx(spark, d, versions), "aliases")
 
 
-def _decisions(spark, d, reg=None) -> DataFrame:
-    runs, versions, aliases = reg or _registry(spark, d)
-    return registry.promotion(runs, versions, aliases)
-
-
-def promotion_gate(spark, d):
-    p = _decisions(spark, d)
+def _decision_columns(p: DataFrame) -> DataFrame:
     return p.select(
         "name", "status", "best_run_id", "best_version", r6("best_metric").alias("best_metric"),
         "champion_version", r6("champion_metric").alias("champion_metric"), r6("gain_gate").alias("gain_gate"),
@@ -322,18 +318,28 @@ def promotion_gate(spark, d):
     )
 
 
+def promotion_gate(spark, d):
+    return _decision_columns(registry.promotion(*_registry(spark, d)))
+
+
+def promotion_by_experiment(spark, d):
+    """Each model is promoted from one of ten experiments, whose runs were logged under several models; some name none of them."""
+    runs, versions, aliases = _registry(spark, d)
+    model = F.substring("name", 5, 10).cast("int")
+    runs = runs.withColumn("experiment", F.format_string("exp_%d", model % 10))
+    scopes = runs.select("name", F.format_string("exp_%d", model * 7 % 12).alias("experiment")).distinct()
+    return _decision_columns(registry.promotion(runs, versions, aliases, scopes=scopes))
+
+
 def alias_moves(spark, d):
     runs, versions, aliases = _registry(spark, d)
-    # The alias table is both read by the gate and merged into: written once.
-    reg = (runs, versions, materialize(aliases))
-    # One row per model, read by both sides of the merge: computed once.
-    decisions = materialize(_decisions(spark, d, reg))
-    return registry.move_aliases(reg[2], decisions)
+    # One row per model, read by both sides of the merge: written once.
+    return registry.move_aliases(aliases, staged(registry.promotion(runs, versions, aliases), "decisions"))
 
 
 def decision_tags(spark, d):
-    reg = _registry(spark, d)
-    t = registry.decision_tags(reg[0], _decisions(spark, d, reg))
+    runs, versions, aliases = _registry(spark, d)
+    t = registry.decision_tags(runs, staged(registry.promotion(runs, versions, aliases), "decisions"))
     return t.select(
         "name", "run_id", F.col("tags")["promotion_decision"].alias("promotion_decision"), F.size("tags").alias("n_tags")
     )
@@ -420,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "latest_run": latest_run,
     "champion_metric": champion_metric,
     "promotion_gate": promotion_gate,
+    "promotion_by_experiment": promotion_by_experiment,
     "alias_moves": alias_moves,
     "decision_tags": decision_tags,
     "baseline_window": baseline_window,

@@ -77,6 +77,7 @@ RUNS_SCHEMA = T.StructType(
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("experiment", T.StringType()),
     ]
 )
 VERSIONS_SCHEMA = T.StructType(

@@ -29,3 +29,13 @@ def test_scans_read_only_needed_columns(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     widths = sorted(len(s.split(",")) for s in schemas)
     assert widths and max(widths) <= 5, widths
+
+
+@pytest.mark.parametrize("name", ["promotion_gate", "decision_tags", "alias_moves"])
+def test_promotion_reads_each_table_once(spark, name):
+    """Runs and versions once, the aliases twice (lookup and rows); what follows is grouping, not a chain of joins."""
+    df = queries()[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") <= 4, plan
+    assert sum(plan.count(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin")) <= 1

@@ -125,3 +125,27 @@ def test_version_of_two_runs_takes_the_smallest_run(spark):
     versions = spark.createDataFrame([("m", 3, "5"), ("m", 2, "5")], "name string, run_id long, version string")
     aliases = spark.createDataFrame([("m", "champion", "5")], "name string, alias string, version string")
     assert registry.champion_metric(runs, versions, aliases).first()["champion_run_id"] == 2
+
+
+def test_unfinished_runs_are_no_challengers(spark):
+    runs = [("a", 1, "FINISHED", 0.9), ("a", 2, "RUNNING", 0.8), ("a", 3, "FINISHED", None)]
+    d = _decide(spark, runs, [("a", 1, "1"), ("a", 2, "2"), ("a", 3, "3"), ("a", 9, "4")], [("a", "champion", "4"), ("z", "champion", "1")])
+    assert set(d) == {"a"} and d["a"]["challenger_version"] == "3"
+    assert d["a"]["champion_version"] == "4" and d["a"]["champion_metric"] is None  # its run is not in the table
+    d = _decide(spark, runs[:2], [("a", 1, "1"), ("a", 2, "2")], [("a", "champion", "77")])
+    assert d["a"]["challenger_version"] is None and d["a"]["champion_version"] == "77" and d["a"]["reason"] == "first_deploy_no_champion"
+
+
+def test_candidates_by_experiment(spark):
+    """Runs are chosen by experiment, not by the name they were logged under; the champion's run may be elsewhere."""
+    runs = _runs(spark, [("x", 1, "FINISHED", 0.5), ("y", 2, "FINISHED", 0.7), ("y", 3, "FINISHED", 0.6), ("m", 4, "FINISHED", 0.9)])
+    runs = runs.withColumn("experiment", F.when(F.col("run_id") < 4, "e1").otherwise("e2"))
+    versions = _versions(spark, [("m", 2, "10"), ("m", 1, "9"), ("m", 4, "11"), ("n", 3, "1")])
+    aliases = _aliases(spark, [("m", "champion", "11")])
+    scopes = spark.createDataFrame([("m", "e1"), ("n", "e1"), ("o", "e9"), ("m", "e1")], "name string, experiment string")
+    d = {r["name"]: r for r in registry.promotion(runs, versions, aliases, scopes=scopes).collect()}
+    assert (d["m"]["best_run_id"], d["m"]["best_version"], d["m"]["challenger_version"]) == (2, "10", "9")
+    assert d["m"]["champion_metric"] == 0.9 and d["m"]["decision"] == "kept_champion"
+    assert d["n"]["status"] == "error_no_version" and d["n"]["best_run_id"] == 2 and d["o"]["status"] == "error_no_runs"
+    assert len(d) == 3
+    assert [r["run_id"] for r in registry.decision_tags(runs, registry.promotion(runs, versions, aliases, scopes=scopes)).collect()] == [2]
