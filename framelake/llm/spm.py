@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.llm.staging import free_name
 from framelake.llm.tokens import BASE, U, _pow, mix, slices
 
 BLANK = 0x2581
@@ -37,6 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 ALPHA = 1.0
 SEED = 20240229
+SLOT_BITS = 20
 _SLICE = 1 << 20
 _PART = 1 << 19
 _UNUSED = -1e8
@@ -83,12 +85,15 @@ def load_vocab(model_file: str = MODEL, alpha: float = ALPHA) -> Vocab:
     logp = alpha * (logp - np.log(np.exp(logp).sum()))
     cps = [np.array([ord(c) for c in text[i]], dtype=np.uint32) for i in plain]
     size = np.array([len(c) for c in cps])
-    ends = np.cumsum(size)
-    place = np.arange(ends[-1]) - np.repeat(ends - size, size)
-    run = np.concatenate([np.zeros(1, U), np.cumsum(_letter(np.concatenate(cps)) * _pow("b", 64)[place], dtype=U)])
-    every = mix(run[1:] - np.repeat(run[ends - size], size) + (place + 1).astype(U))
-    keys = np.unique(every)
-    at = np.searchsorted(keys, every[ends - 1])
+    letter, first = _letter(np.concatenate(cps)), np.cumsum(size) - size
+    every, h, whole = [], np.zeros(len(cps), dtype=U), np.zeros(len(cps), dtype=U)
+    for i in range(int(size.max())):
+        go = np.flatnonzero(size > i)
+        h[go] = h[go] * BASE + letter[first[go] + i]
+        every.append(mix(h[go]))
+        whole[go] = every[-1]
+    keys = np.unique(np.concatenate(every))
+    at = np.searchsorted(keys, whole)
     ids, logps = np.full(len(keys), -1, dtype=np.int32), np.full(len(keys), -np.inf)
     ids[at], logps[at] = plain, logp
     byte_ids = np.full(256, sp.unk_id(), dtype=np.int32)
@@ -99,19 +104,23 @@ def load_vocab(model_file: str = MODEL, alpha: float = ALPHA) -> Vocab:
             raw[i] = bytes([int(text[i][3:5], 16)])
         elif sp.is_control(i) or sp.is_unknown(i):
             raw[i] = b""
-    slot = np.searchsorted(keys >> U(48), np.arange(65537, dtype=U)).astype(np.int32)
+    slot = np.searchsorted(keys >> U(64 - SLOT_BITS), np.arange((1 << SLOT_BITS) + 1, dtype=U)).astype(np.int32)
     return Vocab(keys, slot, ids, logps, int(size.max()), byte_ids,
                  float(logp.min()), np.frombuffer(b"".join(raw), dtype=np.uint8),
                  np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
 
 
 def _find(v: Vocab, h: np.ndarray) -> np.ndarray:
-    """Place of each hash among the vocabulary's prefixes, or -1: a table by the top 16 bits, then a short scan."""
-    top = (h >> U(48)).astype(np.int64)
-    at, end = v.slot[top], v.slot[top + 1]
-    out = np.full(len(h), -1, dtype=np.int32)
-    todo = np.flatnonzero(at < end)
-    at, end, h = at[todo], end[todo], h[todo]
+    """Place of each hash among the vocabulary's prefixes, or -1: a table by the top bits, most of whose slots hold one key or none."""
+    top = (h >> U(64 - SLOT_BITS)).astype(np.int64)
+    at = v.slot[top]
+    some = at < v.slot[top + 1]
+    hit = some & (v.keys[np.minimum(at, len(v.keys) - 1)] == h)
+    out = np.where(hit, at, np.int32(-1))
+    todo = np.flatnonzero(some & ~hit)
+    at, end, h = at[todo] + 1, v.slot[top[todo] + 1], h[todo]
+    go = at < end
+    todo, at, end, h = todo[go], at[go], end[go], h[go]
     while len(todo):
         hit = v.keys[at] == h
         out[todo[hit]] = at[hit]
@@ -121,21 +130,17 @@ def _find(v: Vocab, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hashes(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of the characters' hashes, and the powers that shift them back."""
-    run = np.zeros(len(cp) + 1, dtype=U)
-    np.cumsum(_letter(cp) * _pow("b", len(cp)), out=run[1:])
-    return run, _pow("i", len(cp) + 1)
-
-
-def _matches(v: Vocab, run: np.ndarray, inv: np.ndarray, src: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _matches(v: Vocab, letter: np.ndarray, src: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """By length: entries of ``src`` at whose characters a prefix of a piece starts, and its place in the vocabulary."""
-    pos = np.arange(len(src))
+    pos, h = np.arange(len(src)), np.zeros(len(src), dtype=U)
     for n in range(1, longest + 1):
-        pos = pos[left[pos] >= n]
-        at = src[pos]
-        found = _find(v, mix((run[at + n] - run[at]) * inv[at] + U(n)))
-        pos, found = pos[found >= 0], found[found >= 0]  # only prefixes of pieces go on
+        if n > 1:
+            go = left[pos] >= n
+            pos, h = pos[go], h[go]
+        h = h * BASE + letter[src[pos] + (n - 1)]
+        found = _find(v, mix(h))
+        go = found >= 0  # only prefixes of pieces go on
+        pos, h, found = pos[go], h[go], found[go]
         if not len(pos):
             break
         yield n, pos, found
@@ -149,7 +154,7 @@ def _cut_long(v: Vocab, cp: np.ndarray, start: np.ndarray, size: np.ndarray) ->
     at = np.arange(len(src))
     left = np.repeat(first[1:], size[long]) - at
     reach = at + 1
-    for n, pos, found in _matches(v, *_hashes(cp[src]), at, left, v.longest):
+    for n, pos, found in _matches(v, _letter(cp[src]), at, left, v.longest):
         pos = pos[v.ids[found] >= 0]
         reach[pos] = pos + n
     free = np.maximum.accumulate(reach)[:-1] <= at[1:]
@@ -157,23 +162,38 @@ def _cut_long(v: Vocab, cp: np.ndarray, start: np.ndarray, size: np.ndarray) ->
 
 
 class Lattice:
-    """Distinct words of a slice: per character, the conditional probability of each piece length."""
+    """Distinct words of a slice: per character, the conditional probability of each piece length.
+
+    Words are ranked by length, longest first, and a node is a word's character at some distance from its end. The nodes of one distance
+    stand together in order of rank, so the nodes that edges of one length lead to are the head of another such block, and
+    the backward sums run over whole blocks without looking anything up.
+    """
 
     def __init__(self, v: Vocab, cp: np.ndarray, start: np.ndarray, size: np.ndarray):
-        run, inv = _hashes(cp)
-        h = mix((run[start + size] - run[start]) * inv[start] + size.astype(U))
-        _, one, self.word = np.unique(h, return_index=True, return_inverse=True)
-        size = size[one]
-        self.first = np.concatenate([[0], np.cumsum(size)])
-        total = int(self.first[-1])
-        longest = min(v.longest, int(size.max()) if len(size) else 1)
-        src = np.repeat(start[one] - self.first[:-1], size) + np.arange(total)
+        letter = _letter(cp)
+        run = np.zeros(len(cp) + 1, dtype=U)
+        np.cumsum(letter * _pow("b", len(cp)), out=run[1:])
+        h = mix((run[start + size] - run[start]) * _pow("i", len(cp) + 1)[start] + size.astype(U))
+        _, one, word = np.unique(h, return_index=True, return_inverse=True)
+        one_size = size[one]
+        most = int(one_size.max()) if len(one) else 0
+        order = np.argsort(-one_size, kind="stable")
+        rank = np.empty(len(one), dtype=np.int64)
+        rank[order] = np.arange(len(one))
+        self.rank = rank[word]
+        last = (start[one] + one_size)[order]
+        # Block d - 1 holds the nodes at distance d from the end, those of the words of at least d characters.
+        held = np.searchsorted(-one_size[order], -np.arange(1, most + 1), side="right")
+        self.base = np.concatenate([[0], np.cumsum(held)])
+        total = int(self.base[-1])
+        left = np.repeat(np.arange(1, most + 1), held)
+        src = last[np.arange(total) - np.repeat(self.base[:-1], held)] - left
         self.cp = cp[src]
-        left = np.repeat(self.first[1:], size) - np.arange(total)
+        longest = min(v.longest, max(most, 1))
         ids = np.full((longest, total), -1, dtype=np.int32)
         logp = np.full((longest, total), -np.inf, dtype=np.float32)
         used = 1
-        for n, pos, found in _matches(v, run, inv, src, left, longest):
+        for n, pos, found in _matches(v, letter, src, left, longest):
             ids[n - 1, pos] = v.ids[found]
             logp[n - 1, pos] = v.logp[found]
             used = n
@@ -182,25 +202,25 @@ class Lattice:
         c = self.cp[none]
         ids[0, none] = -2
         logp[0, none] = v.byte_logp * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
-        self.ids, logp = np.ascontiguousarray(ids.T), np.ascontiguousarray(logp.T)
-        back = np.zeros(total + longest + 1)
-        order = np.argsort(left, kind="stable")
-        ends = np.searchsorted(left[order], np.arange(1, (left.max() if total else 0) + 2))
-        for d in range(1, len(ends)):
-            pos = order[ends[d - 1]:ends[d]]
-            m = min(d, longest)
-            nxt = back[pos[:, None] + np.arange(1, m + 1)]
-            if m == d:
-                nxt[:, m - 1] = 0.0
-            t = logp[pos, :m] + nxt
-            top = t.max(axis=1)
-            t -= top[:, None]
-            p = np.exp(t)
-            tot = p.sum(axis=1)
-            back[pos] = top + np.log(tot)
-            logp[pos, :m] = p / tot[:, None]
-            logp[pos, m:] = 0
-        self.prob = logp
+        prob = np.zeros_like(logp)
+        some = [np.logical_or.reduceat(logp[j] > -np.inf, self.base[:-1]).tolist() if most else [] for j in range(longest)]
+        ahead: list[np.ndarray] = []  # log of the sum over all ways to the end, for the blocks done
+        for d in range(1, most + 1):
+            here, n = slice(self.base[d - 1], self.base[d]), int(held[d - 1])
+            used = [j for j in range(min(d, longest)) if some[j][d - 1]]
+            ways = [logp[j, here] + (ahead[d - j - 2][:n] if j + 1 < d else 0.0) for j in used]
+            top = np.maximum.reduce(ways)
+            share = [np.exp((w - top).astype(np.float32)) for w in ways]
+            whole = sum(share[1:], share[0])
+            ahead.append(top + np.log(whole, dtype=np.float64))
+            for j, x in zip(used, share):
+                np.divide(x, whole, out=prob[j, here])
+        upto, behind = prob.copy(), np.zeros_like(prob)
+        for j in range(1, longest):
+            upto[j] += upto[j - 1]
+            np.add(behind[-j], prob[-j], out=behind[-j - 1])
+        # A row per node: the piece ids, their probabilities, the sums up to each edge, and of those behind it.
+        self.ids, self.prob, self.upto, self.behind = (np.ascontiguousarray(x.T) for x in (ids, prob, upto, behind))
 
 
 def _noise(key: np.ndarray, a: np.ndarray, what: int) -> np.ndarray:
@@ -226,46 +246,61 @@ class _Walk:
         self.doc = np.repeat(np.arange(len(key)), np.diff(self.unit))
         self.place = start - doc_start[self.doc]
         self.lat = Lattice(v, cp, start, size)
-        self.node = self.lat.first[self.lat.word]
+        self.rank = self.lat.rank
 
     def part(self, lo: int, hi: int) -> _Walk:
         """The units of documents ``lo`` to ``hi``, on the same lattice."""
         one = object.__new__(_Walk)
         a, b = self.unit[lo], self.unit[hi]
         one.size, one.key, one.unit = self.size[a:b], self.key[lo:hi], self.unit[lo:hi + 1] - a
-        one.doc, one.place, one.node, one.lat = self.doc[a:b] - lo, self.place[a:b], self.node[a:b], self.lat
+        one.doc, one.place, one.rank, one.lat = self.doc[a:b] - lo, self.place[a:b], self.rank[a:b], self.lat
         return one
 
+    def node(self, unit: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """The lattice's node of each unit's character ``off``."""
+        return self.lat.base[self.size[unit] - off - 1] + self.rank[unit]
+
     def go(self, unit: np.ndarray, off: np.ndarray, rnd: int) -> tuple[np.ndarray, ...]:
-        """Draw a path from each unit's character ``off`` to its end: unit, offset, edge, p, rest."""
-        out = []
-        live = off < self.size[unit]
-        unit, off = unit[live], off[live]
-        while len(unit):
+        """Draw a path from each unit's character ``off`` to its end: unit, offset, edge, p, rest, in order of the units given."""
+        steps, taken, own = [], np.zeros(len(unit), dtype=np.int64), np.arange(len(unit))
+        while True:
+            live = off < self.size[unit]
+            unit, off, own = unit[live], off[live], own[live]
+            if not len(unit):
+                break
+            taken[own] += 1
             edge, p, rest = self.pick(unit, off, None, rnd)
-            out.append((unit, off, edge, p, rest))
+            steps.append((own, (unit, off, edge, p, rest)))
             off = off + edge + 1
-            live = off < self.size[unit]
-            unit, off = unit[live], off[live]
-        if not out:
-            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.float64, np.float64))
-        cols = [np.concatenate(c) for c in zip(*out)]
-        order = np.argsort(cols[0] * (int(self.size.max()) + 1) + cols[1])
-        return tuple(c[order] for c in cols)
+        first = np.cumsum(taken) - taken
+        out = tuple(np.zeros(int(taken.sum()), t) for t in (np.int64, np.int64, np.int64, np.float64, np.float64))
+        for i, (own, cols) in enumerate(steps):  # every unit takes its i-th step in round i
+            at = first[own] + i
+            for whole, part in zip(out, cols):
+                whole[at] = part
+        return out
 
     def pick(self, unit: np.ndarray, off: np.ndarray, banned: np.ndarray | None, rnd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Draw an edge not banned, by probability; its probability and that of the edges left."""
-        p = self.lat.prob[self.node[unit] + off]
-        if banned is not None:
+        node = self.node(unit, off)
+        u = _noise(self.key[self.doc[unit]], self.place[unit] + off, 2 * rnd + 1).astype(np.float32)
+        lat, row = self.lat, np.arange(len(node))
+        if banned is None:
+            cum = lat.upto[node]
+        else:
+            p = lat.prob[node]
             p[(banned[:, None] >> np.arange(p.shape[1])) & 1 == 1] = 0
-        cum = np.cumsum(p, axis=1)
-        u = _noise(self.key[self.doc[unit]], self.place[unit] + off, 2 * rnd + 1).astype(np.float32) * cum[:, -1]
-        u = np.minimum(u, np.nextafter(cum[:, -1], np.float32(0)))
-        edge = (cum <= u[:, None]).sum(axis=1)
-        row = np.arange(len(p))
-        mine = p[row, edge].astype(np.float64)
-        p[row, edge] = 0
-        return edge, mine, p.sum(axis=1, dtype=np.float64)
+            cum = np.cumsum(p, axis=1)
+        last = cum[:, -1]
+        u = np.minimum(u * last, np.nextafter(last, np.float32(0)))
+        edge = (cum > u[:, None]).argmax(axis=1)
+        mine = lat.prob[node, edge].astype(np.float64)
+        if banned is None:
+            rest = np.where(edge > 0, cum[row, edge - 1], np.float32(0)).astype(np.float64) + lat.behind[node, edge]
+        else:
+            p[row, edge] = 0
+            rest = p.sum(axis=1, dtype=np.float64)
+        return edge, mine, rest
 
 
 def _below(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -348,7 +383,7 @@ def sample_part(w: _Walk, k: int) -> tuple[list[tuple], np.ndarray]:
 
 def _ids(v: Vocab, w: _Walk, unit: np.ndarray, off: np.ndarray, edge: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of the steps, characters without a piece as bytes; and each document's offset."""
-    node = w.node[unit] + off
+    node = w.node(unit, off)
     ids = w.lat.ids[node, edge]
     doc = w.doc[unit]
     raw = np.flatnonzero(ids == -2)
@@ -402,14 +437,15 @@ def sample_segmentations(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed
     Rows ``doc_id, sample, ids, log_prob, perturbed, inclusion``. ``sample`` counts from 0; a text with fewer
     segmentations has fewer rows, each with inclusion 1. Null and empty texts have one empty
     segmentation. Repeated rows repeat their samples (noise is seeded by ``doc_id``; a null id counts as 0).
-    The whole text is segmented; blanks are kept; characters outside the vocabulary become bytes.
+    The whole text is segmented; blanks are kept; characters outside the vocabulary become bytes; U+2581 counts as a blank. The model
+    file has to be at ``model_file`` on every executor.
     """
     if k < 1:
         raise ValueError("k is at least 1")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sample(model_file, k, alpha, seed), _SAMPLES_DDL)
 
 
-def _decode(model_file: str, ids: str):
+def _decode(model_file: str, ids: str, out_name: str = "decoded"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load_vocab(model_file)
         for b in batches:
@@ -422,14 +458,19 @@ def _decode(model_file: str, ids: str):
             cut = to[at]
             texts = [out[s + (e > s and out[s] == 32):e] for s, e in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([t.decode("utf-8", "replace") for t in texts], pa.large_string()).cast(pa.string())],
-                                             names=[*b.schema.names, "decoded"])
+                                             names=[*b.schema.names, out_name])
 
     return run
 
 
 def decode_ids(rows: DataFrame, ids: str = "ids", model_file: str = MODEL) -> DataFrame:
-    """``rows`` with ``decoded``: the text of the ids, without the blank that encoding puts in front."""
-    return rows.mapInArrow(_decode(model_file, ids), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", decoded string")
+    """``rows`` with ``decoded``: the text of the ids, without the blank that encoding puts in front.
+
+    Underscores are put in front of the new column's name if ``rows`` has a column of that name. Null ids decode to an empty text. The
+    vocabulary writes a blank as U+2581, so that character itself comes back as a blank.
+    """
+    name = free_name("decoded", rows.columns)
+    return rows.mapInArrow(_decode(model_file, ids, name), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {name} string")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

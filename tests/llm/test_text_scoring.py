@@ -297,5 +297,25 @@ def test_long_words_have_their_whole_lattice(spark):
     assert crossed > 0
 
 
+def test_decoding_beside_a_column_of_that_name(spark):
+    rows = spm.sample_segmentations(spark.createDataFrame([(1, "a\u2581b c"), (2, None)], "doc_id long, text string"), k=1)
+    got = spm.decode_ids(rows.withColumn("decoded", F.lit("own")))
+    assert got.columns == [*rows.columns, "decoded", "_decoded"]
+    assert {(r["doc_id"], r["decoded"], r["_decoded"]) for r in got.collect()} == {(1, "own", "a b c"), (2, "own", "")}
+    none = spm.decode_ids(spark.createDataFrame([(1, None), (2, [])], "x int, ids array<int>")).collect()
+    assert [r["decoded"] for r in none] == ["", ""]
+
+
+def test_long_and_short_units_in_one_slice(spark):
+    """Words of very different lengths share the lattice's blocks: each document's samples are those it has alone."""
+    texts = ["ab" * 900, "a", "the quick brown fox", "x" * 300 + " é" * 50, "中文" * 200, "b ab " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    both = {(r["doc_id"], r["sample"]): (r["ids"], r["log_prob"]) for r in spm.sample_segmentations(df, k=3).collect()}
+    for i in range(len(texts)):
+        for r in spm.sample_segmentations(df.where(F.col("doc_id") == i), k=3).collect():
+            ids, logp = both[i, r["sample"]]
+            assert ids == r["ids"] and math.isclose(logp, r["log_prob"], rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_segmentation_of_an_empty_table(spark):
     assert spm.segmentation_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
