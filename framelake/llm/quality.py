@@ -144,7 +144,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     total = usable.count()
     if total > sample_rows:
         usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / total))
-    sample = staged(usable.select("label", *STATS).coalesce(2), "sample")
+    sample = staged(usable.select("label", *STATS).repartition(2), "sample")
     model = fit_rules(sample)
     score = model.score()
     return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),

@@ -112,7 +112,7 @@ def classify_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: Data
             share = staged(known.groupBy(key).agg(((F.sum("label") + 10 * prior) / (F.count("*") + 10)).alias(f"{key}_share")), key)
             stats[key] = F.broadcast(share) if share.count() <= BROADCAST_SUFFIXES else share
         some = known if n <= sample_rows else known.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))
-        sample = staged(_with_shares(some, stats, prior).select("label", *FEATURES).coalesce(2), "urls")
+        sample = staged(_with_shares(some, stats, prior).select("label", *FEATURES).repartition(2), "urls")
         model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=5).fit(
             VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample))
         margin = reduce(lambda a, b: a + b, [F.lit(float(w)) * tree_column(t, FEATURES) for w, t in zip(model.treeWeights, model.trees)])
