@@ -32,7 +32,7 @@ def read(spark: SparkSession, target: str) -> DataFrame | None:
     """A target's current content: catalog table or path; None if absent."""
     if "/" not in target:
         store.recover_table(spark, target)
-        return spark.table(target) if store.table_exists(spark, target) else None
+        return store.read_table(spark, target) if store.table_exists(spark, target) else None
     return store.read_path(spark, target)
 
 
@@ -125,8 +125,6 @@ def batch_inference(
         failed = scored.filter(F.col("error").isNotNull()).select(FRAME_KEY, "error", F.lit(version).cast("string").alias("model_version"))
         store.upsert(spark, failures_target, failed, [FRAME_KEY])
     store.upsert(spark, detections_target, scoring.with_provenance(scored, version, alias), [FRAME_KEY])
-    if "/" in detections_target:
-        store.compact(spark, detections_target)  # keeps the number of files bounded
     return pending
 
 

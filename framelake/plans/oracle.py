@@ -469,3 +469,6 @@ ORACLE: dict[str, str] = {
         case when vec_id % 2 = 0 then '1' else '2' end as model_version, 'champion' as alias_used
         from embeddings""",
 }
+
+# The same results by another way of the library.
+ORACLE |= {"upsert_frames_table": ORACLE["upsert_frames"], "snapshot_feed": ORACLE["snapshot_changes"]}

@@ -8,6 +8,7 @@ rounded to 6 digits, no wall-clock columns, so that the SQL twins in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from framelake import fixtures as fx
 from framelake.functions import boxes as bx
 from framelake.functions import ids
 from framelake.operators import contracts, features, frames, monitor, registry, scoring
-from framelake.session import staged
+from framelake.session import checkpoint_path, staged
 from framelake.sinks import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,13 +113,40 @@ def upsert_frames(spark, d):
     return store.merge_result(target, source, ["frame_id"])
 
 
-def snapshot_changes(spark, d):
+def upsert_frames_table(spark, d):
+    """The same upsert through a keyed catalog table: created, merged partition by partition, read back."""
+    target, source = _upsert_inputs(spark, d)
+    name = f"framelake_frames_{uuid.uuid4().hex}"
+    store.upsert(spark, name, target, ["frame_id"], parts=4, buckets=8)
+    store.upsert(spark, name, source, ["frame_id"])
+    out = staged(store.read_table(spark, name), "frames")
+    store.drop_keyed(spark, name)
+    return out
+
+
+def snapshot_feed(spark, d):
+    """The change feed of two written snapshots: only partitions with differing digests are read."""
+    old, new = _snapshots(spark, d)
+    paths = [checkpoint_path(spark, f"snapshot-{uuid.uuid4().hex}") for _ in range(2)]
+    for df, path in zip((old, new), paths):
+        store.write_snapshot(df, path, ["frame_id"], parts=16)
+    return _changes(store.changes_between(spark, *paths, ["frame_id"]))
+
+
+def _snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
     f = fx.frames_fx(spark, d)
     old = f.filter(F.col("timestamp_ms") % 5 != 0)
     new = f.filter(F.col("timestamp_ms") % 7 != 0).withColumn(
         "width", F.when(F.col("timestamp_ms") % 3 == 0, F.lit(1280)).otherwise(F.col("width"))
     )
-    ch = store.snapshot_changes(old, new, ["frame_id"])
+    return old, new
+
+
+def snapshot_changes(spark, d):
+    return _changes(store.snapshot_changes(*_snapshots(spark, d), ["frame_id"]))
+
+
+def _changes(ch: DataFrame) -> DataFrame:
     return ch.select("frame_id", "change_type", F.col("_old.width").alias("old_width"), F.col("_new.width").alias("new_width"))
 
 
@@ -403,7 +431,9 @@ QUERIES: dict[str, Query] = {
     "scored_boxes": scored_boxes,
     "detections_provenance": detections_provenance,
     "upsert_frames": upsert_frames,
+    "upsert_frames_table": upsert_frames_table,
     "snapshot_changes": snapshot_changes,
+    "snapshot_feed": snapshot_feed,
     "detections_metrics": detections_metrics,
     "detections_summary": detections_summary,
     "confs_classes": confs_classes,

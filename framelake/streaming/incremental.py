@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from framelake.operators.scoring import Predictor, score, spread_for_model, unscored, with_provenance
 from framelake.session import checkpoint_path
-from framelake.sinks.store import compact, read_path, upsert
+from framelake.sinks.store import read_path, upsert
 
 
 def score_new_frames(
@@ -49,7 +49,6 @@ def score_new_frames(
             todo = spread_for_model(todo, rows_per_task, pending)
         scored = with_provenance(score(todo, input_col, predictor), model_version, alias)
         upsert(spark, detections_path, scored, ["frame_id"])
-        compact(spark, detections_path)  # keeps the number of files bounded
 
     stream = spark.readStream.schema(frames_schema).parquet(frames_dir)
     writer = (
