@@ -26,13 +26,13 @@ def brute_hits(rows, items, size):
         w = alnum(t)
         n = min(size, len(w))
         for p in range(len(w) - n + 1 if n else 0):
-            win.setdefault(tuple(w[p:p + n]), set()).add(str(i))
+            win.setdefault(tuple(w[p:p + n]), set()).update([] if i is None else [str(i)])
     out = []
     for d, t in rows:
         w, hit, found = alnum(t), set(), set()
         for n in {len(k) for k in win}:
             for p in range(len(w) - n + 1):
-                if (x := win.get(tuple(w[p:p + n]))):
+                if (x := win.get(tuple(w[p:p + n]))) is not None:
                     hit.update(range(p, p + n))
                     found |= x
         out.append((d, len(w), len(hit), sorted(found)))
@@ -45,7 +45,7 @@ ITEMS = [(1, None), (2, ""), (3, "one"), (4, "!!!"), (10, "ONE two"), (11, "x"),
 @pytest.mark.parametrize("limit", [decontam.BROADCAST_WINDOWS, 0])
 def test_decontamination_matches_brute_force(spark, docs, texts, limit):
     long = next(t for d, t in texts if d == 5006).split()
-    items = ITEMS + [(20, " ".join(long[500:530]).upper()), (21, " ".join(long[510:516])), (20, "one")]
+    items = ITEMS + [(20, " ".join(long[500:530]).upper()), (21, " ".join(long[510:516])), (20, "one"), (None, " ".join(long[900:925]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     report = decontam.contamination(docs, bench, 10, limit)
     got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in report.collect()), key=str)
@@ -62,6 +62,34 @@ def test_decontamination_matches_brute_force(spark, docs, texts, limit):
     assert digest[5003] == hashlib.sha256(b"20,3").hexdigest()
 
 
+@pytest.mark.parametrize("limits", [(decontam.BROADCAST_WINDOWS, 1 << 20), (0, 1 << 20), (10, 0)])
+def test_items_without_id_and_documents_without_id(spark, monkeypatch, limits):
+    """An item without an id is hit; documents without an id are cut; own columns named like the helper's stay."""
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", limits[1])
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(None, "a " + " ".join(words[3:20]) + " z", 1, "s"), (1, " ".join(words), 2, "t"), (2, "clean text", 3, "u")],
+                                 "doc_id long, text string, spans int, cut_id string")
+    bench = spark.createDataFrame([(None, " ".join(words[:30])), (7, " ".join(words[15:38]))], "item_id long, text string")
+    report = decontam.contamination(docs, bench, 10, limits[0])
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in report.collect()}
+    assert got == {None: (19, 17, []), 1: (40, 38, ["7"]), 2: (2, 0, [])}
+    cut = decontam.cut_spans(docs, report)
+    assert cut.schema == docs.schema
+    assert {tuple(r) for r in cut.collect()} == {(None, "a  z", 1, "s"), (1, " w38 w39", 2, "t"), (2, "clean text", 3, "u")}
+
+
+def test_filter_passes_all_windows_and_few_others(spark):
+    wins = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    size, flags = decontam.bloom_filter(wins, 20_000)
+
+    def share(df):
+        h = df.toPandas()["h"].to_numpy().view(np.uint64)
+        one, two = decontam._bits(h, size)
+        return (((flags[one >> 3] >> (7 - (one & 7))) & (flags[two >> 3] >> (7 - (two & 7)))) & 1).mean()
+
+    assert share(wins) == 1 and share(spark.range(20_000, 60_000).select(F.xxhash64("id").alias("h"))) < 0.05
+
+
 def test_decontamination_without_benchmark(spark, docs, texts):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contamination(docs, empty).agg(F.sum("n_hit"), F.count("*")).first()[:] == (0, len(texts))
