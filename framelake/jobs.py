@@ -24,7 +24,7 @@ from framelake.schemas import (
     FEATURE_PRIMARY_KEY,
     FRAME_KEY,
 )
-from framelake.session import materialize
+from framelake.session import materialize, staged
 from framelake.sinks import store
 from framelake.sources import files
 
@@ -58,7 +58,7 @@ def ingest_frames(
         return None
     decoded = files.decode_videos(videos, decode_fn, frames_per_task=frames_per_task, count_fn=count_fn)
     manifest = frames.sample_frames(decoded, frame_interval, frames_out_dir, max_frames)
-    stamped = frames.with_extracted_at(manifest)
+    stamped = staged(frames.with_extracted_at(manifest), "manifest")  # decoded once, for the test and the upsert
     if stamped.isEmpty():
         return None
     store.upsert(spark, frames_target, stamped, [FRAME_KEY])

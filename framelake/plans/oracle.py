@@ -267,6 +267,15 @@ ORACLE: dict[str, str] = {
         qualify row_number() over (partition by video_id order by frame_number) <= 2""",
     ),
     "frames_per_video": _q(["frames_fx"], "select video_id, count(*) as n_frames from frames_fx group by rollup(video_id)"),
+    "decoded_ranges": _q(
+        ["files_fx"],
+        f"""select video_id, frame_id, '/frames/' || video_id || '/' || frame_id || '.jpg' as frame_path, timestamp_ms, width, height from (
+        select video_id, printf('%s__%06d', video_id, k) as frame_id, k * 40 as timestamp_ms, (640 + length(path))::int as width, 360 as height
+        from (select path, {_stem(_base('path'))} as video_id,
+              unnest(range(case when clip % 500 = 0 then 4321 else clip % 40 end)) as k
+              from (select path, string_split(path, '.')[2]::bigint as clip from files_fx where regexp_matches(path, '\\.(mp4|mov|avi)$', 'i')))
+        where k % 7 = 0)""",
+    ),
     "frame_id_from_path": _q(
         ["files_fx"],
         f"""select path, coalesce(case when doc_id % 3 = 0 then printf('given_%d', doc_id) end,
@@ -471,4 +480,4 @@ ORACLE: dict[str, str] = {
 }
 
 # The same results by another way of the library.
-ORACLE |= {"upsert_frames_table": ORACLE["upsert_frames"], "snapshot_feed": ORACLE["snapshot_changes"]}
+ORACLE |= {"monitor_refresh": ORACLE["drift_vs_baseline"], "upsert_frames_table": ORACLE["upsert_frames"], "snapshot_feed": ORACLE["snapshot_changes"]}

@@ -20,6 +20,7 @@ from framelake.functions import ids
 from framelake.operators import contracts, features, frames, monitor, registry, scoring
 from framelake.session import checkpoint_path, staged
 from framelake.sinks import store
+from framelake.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,23 @@ def frame_sampling(spark, d):
     return fx.frames_fx(spark, d)
 
 
+def _clip_frames(path: str) -> int:
+    """Frames of the stand-in clips: some have none, and one in 500 is long."""
+    clip = int(path.rsplit(".", 2)[1])
+    return 4321 if clip % 500 == 0 else clip % 40
+
+
+def _clip_decode(path: str, start: int, end: int):
+    return ((k, k * 1000.0 / 25, 640 + len(path), 360) for k in range(start, end))
+
+
+def decoded_ranges(spark, d):
+    """SRC-2: every clip decoded in ranges of frames, so that a long one is many tasks, then sampled."""
+    clips = fx.files_fx(spark, d).filter(ids.has_video_suffix("path"))
+    decoded = files.decode_videos(clips, _clip_decode, frames_per_task=1000, count_fn=_clip_frames)
+    return frames.sample_frames(decoded, 7, fx.FRAMES_OUT_DIR)
+
+
 def frame_sampling_capped(spark, d):
     return frames.sample_frames(fx.decoded_fx(spark, d), fx.FIXTURE_STRIDE, fx.FRAMES_OUT_DIR, max_frames=CAP_PER_VIDEO)
 
@@ -223,7 +241,7 @@ def box_totals(spark, d):
 
 def box_contract(spark, d):
     """Boxes of class 2 lose their class (invalid); some frames lose their metrics row, some get a second, unknown one."""
-    det = fx.detections_fx(spark, d)
+    det = staged(fx.detections_fx(spark, d), "detections")  # read by the contract and by both sides of the count
     broken = F.transform("boxes", lambda b: b.withField("cls", F.when(b["cls"] != 2, b["cls"])))
     c = contracts.box_contract(det.select("frame_id", broken.alias("boxes")))
     frames_in = det.select("frame_id", F.dayofmonth("inferred_at").alias("day"))
@@ -274,7 +292,8 @@ class PicturePredictor(scoring.Predictor):
 def predict_contract(spark, d):
     f = fx.files_fx(spark, d)
     given = F.when(F.col("doc_id") % 3 == 0, F.format_string("given_%d", "doc_id"))
-    out = scoring.predict_frames(f.select("path", given.alias("frame_id")), PicturePredictor())
+    # The frames table names the column frame_path; the contract's input is path.
+    out = scoring.predict_frames(f.select(F.col("path").alias("frame_path"), given.alias("frame_id")), PicturePredictor(), path_col="frame_path")
     return out.select("frame_id", F.size("boxes").alias("n_boxes"), F.size("confs").alias("n_confs"), F.size("classes").alias("n_classes"))
 
 
@@ -389,11 +408,23 @@ def _drift(spark, d) -> DataFrame:
 
 
 def drift_vs_baseline(spark, d):
-    dr = _drift(spark, d)
+    return _drift_columns(_drift(spark, d))
+
+
+def _drift_columns(dr: DataFrame) -> DataFrame:
     dbl = ["mean", "baseline_mean", "mean_delta", "psi", "ks"]
     return dr.select("window_start", "column_name", "n", "baseline_n", *[r6(c).alias(c) for c in dbl])
 
 
+def monitor_refresh(spark, d):
+    """MON-4: profile and drift are refreshed twice into their tables, which keep one row per window and column."""
+    metrics = staged(_metrics(spark, d), "metrics")
+    out = checkpoint_path(spark, f"monitor-{uuid.uuid4().hex}")
+    for _ in range(2):
+        paths = monitor.refresh_monitor(spark, metrics, monitor.baseline(metrics), out)
+    return _drift_columns(store.read_path(spark, paths["drift_path"]))
+
+
 def drift_flags(spark, d):
     fl = monitor.flags(_drift(spark, d), fx.aliases_fx(spark, d), PROVENANCE_MODEL, PROVENANCE_ALIAS)
     return fl.select("window_start", "column_name", r6("psi").alias("psi"), "name", "alias", "flagged_version")
@@ -423,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "video_listing": video_listing,
     "frame_sampling": frame_sampling,
     "frame_sampling_capped": frame_sampling_capped,
+    "decoded_ranges": decoded_ranges,
     "frames_per_video": frames_per_video,
     "frame_id_from_path": frame_id_from_path,
     "raw_features": raw_features,
@@ -463,5 +495,6 @@ QUERIES: dict[str, Query] = {
     "daily_profile": daily_profile,
     "drift_vs_baseline": drift_vs_baseline,
     "drift_flags": drift_flags,
+    "monitor_refresh": monitor_refresh,
     "incremental_scoring": incremental_scoring,
 }

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -338,16 +339,20 @@ def recover_table(spark: SparkSession, target: str) -> None:
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet", change_feed: bool = False) -> None:
-    """SNK-7: snapshot overwrite with schema replacement; ``change_feed`` turns the change feed on where the format has one.
+    """SNK-7: snapshot overwrite with schema replacement; ``change_feed`` turns the change feed on where the format has one
+    and warns where it has none (:func:`write_snapshot` and :func:`changes_between` give one for any).
 
     A path's new content is written beside it, so a derived snapshot may read what it replaces; a
     table name is replaced through ``saveAsTable`` (Spark refuses to overwrite a table that the job reads).
     """
+    feeds = "/" not in target and fmt in ROW_LEVEL_FORMATS
+    if change_feed and not feeds:
+        warnings.warn(f"{target} has no change feed of its own; compare written snapshots instead", stacklevel=2)
     if "/" in target:
         _swap_path(df.sparkSession, df, target, fmt)
         return
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target)
-    if change_feed and _supports_merge(df.sparkSession, target):
+    if change_feed and feeds:
         set_table_properties(df.sparkSession, target, {"delta.enableChangeDataFeed": "true"})
 
 

@@ -117,7 +117,9 @@ def decode_videos(
     ranges = counted.select(
         "path", "video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("start"), "_n"
     ).withColumn("end", F.least(F.col("start") + step, F.col("_n")))
-    ranges = _one_item_per_task(ranges)
+    # As many tasks as there are full ranges of frames, so that short videos share one; dealt evenly, not by the rows' few bytes.
+    frames = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    ranges = ranges.repartition(max(1, -(-frames // step)))
 
     def run_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
