@@ -39,8 +39,8 @@ K = 2
 ALPHA = 1.0
 SEED = 20240229
 SLOT_BITS = 20
-_SLICE = 1 << 20
-_PART = 1 << 19
+_SLICE = 1 << 18
+_PART = 1 << 18
 _UNUSED = -1e8
 _SAMPLES = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()),
                       ("perturbed", pa.float64()), ("inclusion", pa.float64())])
