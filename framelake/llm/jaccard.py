@@ -34,13 +34,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.components import components
-from framelake.llm.staging import staged
+from framelake.llm.staging import partitions_for, staged
 from framelake.llm.tokens import NON_BLANK, PLACE, U, mix, slices, windows, words_of
 
 REGION = 0.25
 SMALL = 64
 MARK = np.uint64(0xFFFFFFFFFFFFFFFF)
 FLUSH = 1_000_000
+BUCKETS_A_TASK, MOST_BUCKETS = 8, 1 << 14
+DEALT_GROWTH = 0.5  # bytes of dealt shingles per byte of text
 BROADCAST_CLASSES = 1_000_000
 
 _DEALT = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("doc_id", pa.int64()), ("fp", pa.int64()),
@@ -140,23 +142,34 @@ def _deal(k: int, buckets: int, region: float):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: count, for each class, its shingles that other classes have."""
+    """Reduce side: count, for each class, its shingles that other classes have. Rows come in order of their buckets, and one
+    bucket's shingles are held at a time."""
     schema = pa.schema([f for f in _DEALT if f.name in ("kind", "doc_id", "fp", "n", "m")])
-    tokens, owners = [], []
+    now, tokens, owners = -1, [], []
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        if tokens:
+            _, owner, many = _once(np.concatenate(tokens), np.concatenate(owners))
+            owner = owner[many]
+            ids, cnt = _credits(owner[owner != MARK])
+            yield _rows(schema, len(ids), kind=["c"] * len(ids), fp=ids, m=cnt)
+            tokens.clear()
+            owners.clear()
+
     for b in batches:
-        kind = np.array(b.column("kind").to_pylist(), dtype=object)
+        kind, bucket = np.array(b.column("kind").to_pylist(), dtype=object), b.column("bucket").to_numpy()
         packed = np.flatnonzero(kind == "p")
-        if len(packed):
-            tokens += [np.frombuffer(b.column("tokens")[int(i)].as_buffer(), dtype=U) for i in packed]
-            owners += [np.frombuffer(b.column("owners")[int(i)].as_buffer(), dtype=U) for i in packed]
+        for i in packed.tolist():
+            if bucket[i] != now:
+                yield from counted()
+                now = bucket[i]
+            # Copies: a view would keep its whole batch.
+            tokens.append(np.frombuffer(b.column("tokens")[i].as_buffer(), dtype=U).copy())
+            owners.append(np.frombuffer(b.column("owners")[i].as_buffer(), dtype=U).copy())
         if len(packed) < len(kind):
             rest = b.filter(pa.array(kind != "p"))
             yield pa.RecordBatch.from_arrays([rest.column(f.name) for f in schema], schema=schema)
-    if tokens:
-        _, owner, many = _once(np.concatenate(tokens), np.concatenate(owners))
-        owner = owner[many]
-        ids, cnt = _credits(owner[owner != MARK])
-        yield _rows(schema, len(ids), kind=["c"] * len(ids), fp=ids, m=cnt)
+    yield from counted()
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -166,10 +179,13 @@ def _need(n: Column, percent: int) -> Column:
 
 def shingle_classes(docs: DataFrame, k: int, percent: int, region: float = REGION) -> tuple[DataFrame, DataFrame]:
     """Documents ``(doc_id, fp, n)`` and the classes ``(fp, n, rep)`` that may link with another."""
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    tasks = partitions_for(docs.sparkSession, DEALT_GROWTH * size)
+    buckets = tasks * max(1, min(BUCKETS_A_TASK, MOST_BUCKETS // tasks))
     dealt = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_deal(k, buckets, region), _DEALT_DDL)
-    both = staged(dealt.repartition(buckets, "bucket").mapInArrow(_meet, _CLASS_DDL), "shingles")
+    # Neighbouring buckets go to one task; the task's number is given, not hashed, so that no task is left without any.
+    dealt = dealt.repartitionById(tasks, F.expr(f"cast(bucket * {tasks}L div {buckets} as int)")).sortWithinPartitions("bucket")
+    both = staged(dealt.mapInArrow(_meet, _CLASS_DDL), "shingles")
     rows = both.where("kind = 'd'").select("doc_id", "fp", "n", "m")
     credit = both.where("kind = 'c'").groupBy("fp").agg(F.sum("m").alias("credit"))
     n, m = F.col("n"), F.col("m")

@@ -32,3 +32,9 @@ def free_name(name: str, taken: list[str]) -> str:
     while name.lower() in low:
         name = "_" + name
     return name
+
+
+def partitions_for(spark: SparkSession, size: float, target: int = 16 << 20, most: int = 10_000) -> int:
+    """How many partitions a shuffle of ``size`` bytes should have: about ``target`` bytes each, at least
+    ``spark.sql.shuffle.partitions``, and ``most`` at most (beyond that, tasks stream more)."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(most, int(size / target) + 1))
