@@ -11,6 +11,7 @@ of the identifier; all rows of a language that has fewer, one hash at least of a
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +48,11 @@ def gram_keys(col: pa.Array, owner: np.ndarray) -> np.ndarray:
     alpha, low = _letters()
     col = col.cast(pa.large_string()).fill_null("")
     size = pc.utf8_length(col).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    cp = np.frombuffer(("\n" + "\n".join(col.to_pylist())).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    own = np.repeat(owner.astype(U), size)
+    if not len(col):
+        return np.zeros(0, dtype=U)
+    # A line feed stands before each text and behind the last, whose words end there.
+    cp = np.frombuffer(("\n" + "\n".join(col.to_pylist()) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    own = np.append(np.repeat(owner.astype(U), size), U(owner[-1]))
     is_letter = alpha[cp]
     keep = is_letter.copy()
     keep[:-1] |= is_letter[1:]  # the blank before a word
@@ -96,13 +100,17 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_profiles(labelled: DataFrame, depth: int = DEPTH, sample_rows: int = SAMPLE_ROWS) -> dict[str, list[int]]:
     """Language to its n-gram hashes, most frequent first, from rows ``(doc_id, text, lang)``.
 
-    Rows with a null language are not used. At most ``MAX_LANGUAGES`` languages (checked).
+    Rows with a null language are not used. Of more than ``MAX_LANGUAGES`` languages (a documented bound on what is learned), those with the
+    most rows get a profile, ties by name, and a warning says so.
     """
     rows = labelled.where("lang is not null").select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
     share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(share).alias("least")).limit(MAX_LANGUAGES + 1).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(share).alias("least")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        warnings.warn(f"more than {MAX_LANGUAGES} languages: those with the most rows are learned", stacklevel=2)
+        sizes = sizes[:MAX_LANGUAGES]
+        learned = labelled.sparkSession.createDataFrame([(r.lang,) for r in sizes], "lang string")
+        rows = rows.join(F.broadcast(learned), "lang").select("doc_id", "text", "lang")
     if sum(r.n for r in sizes) > sample_rows:
         left, bounds = sample_rows, []
         for i, r in enumerate(sorted(sizes, key=lambda r: (r.n, r.lang))):
