@@ -77,7 +77,7 @@ def block_grams(w: Words, order: int, buckets: int, places: bool = False) -> tup
     size = np.cumsum([len(k) for k in key])
     key, *inverse, cnt = np.unique(np.concatenate(key), return_inverse=places, return_counts=True)
     ends = np.searchsorted(key >> U(48), np.arange(buckets + 1, dtype=U))
-    return (key, cnt, ends, np.split(inverse[0], size[:-1])) if places else (key, cnt, ends)
+    return (key, cnt, ends, np.split(inverse[0].astype(np.int32), size[:-1])) if places else (key, cnt, ends)
 
 
 def _emit(order: int, buckets: int, asks: bool, counts: bool):
@@ -135,7 +135,7 @@ def _inside(doc: np.ndarray, gram: np.ndarray, held: np.ndarray) -> np.ndarray:
     """For every n-gram, how often its own document has it; ``held`` is how often the block has each."""
     out = np.ones(len(gram), dtype=np.int64)
     some = np.flatnonzero(held[gram] > 1)
-    _, inverse, cnt = np.unique(doc[some] * len(held) + gram[some], return_inverse=True, return_counts=True)
+    _, inverse, cnt = np.unique(doc[some] * len(held) + gram[some].astype(np.int64), return_inverse=True, return_counts=True)
     out[some] = cnt[inverse]
     return out
 
@@ -149,19 +149,17 @@ def score_words(w: Words, places: list[np.ndarray], count: np.ndarray, held: np.
     n = len(w.hash)
     doc = w.doc_of_word()
     c = np.zeros((order + 1, n))  # count of the n-gram that ends at a word; 0 where the document starts later
-    h_count = np.zeros((order + 1, n))  # count of its history
     for k, gram in enumerate(places, 1):
         at = _starts(w, k)
         c[k, at + k - 1] = count[gram] if held is None else count[gram] - _inside(doc[at], gram, held)
-        if k > 1:
-            h_count[k, at + k - 1] = c[k - 1, at + k - 2]
     log = np.zeros(n)
     open_ = np.ones(n, dtype=bool)
     since = np.arange(n) - np.repeat(w.first[:-1], w.count())
     for k in range(order, 1, -1):
-        seen = open_ & (c[k] > 0) & (h_count[k] > 0)
-        log[seen] += np.log(c[k, seen] / h_count[k, seen])
-        open_ &= ~seen
+        # The history of an n-gram inside a document is the shorter one that ends a word before.
+        seen = np.flatnonzero(open_[1:] & (c[k, 1:] > 0) & (c[k - 1, :-1] > 0)) + 1
+        log[seen] += np.log(c[k, seen] / c[k - 1, seen - 1])
+        open_[seen] = False
         log[open_ & (since >= k - 1)] += np.log(backoff)
     known = open_ & (c[1] > 0)
     log[known] += np.log(c[1, known])
