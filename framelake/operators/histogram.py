@@ -24,14 +24,16 @@ BINS = 1024
 
 
 def column_ranges(counts: DataFrame) -> DataFrame:
-    """``(column_name, lo, hi)``: the finite range of each column, one row per column name."""
+    """``(column_name, lo, hi, middle)``: the finite range of each column, and the middle of that without the baseline; one row per column name."""
     v = F.col("value")
     finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
-    return counts.groupBy("column_name").agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"))
+    here = F.when(F.col("c") > 0, finite)
+    return counts.groupBy("column_name").agg(
+        F.min(finite).alias("lo"), F.max(finite).alias("hi"), (F.min(here) / 2 + F.max(here) / 2).alias("middle"))
 
 
 def with_bins(counts: DataFrame, bins: int = BINS) -> DataFrame:
-    """``counts`` with the ``bin`` of each value (null for null) and ``middle``, that of its column's range.
+    """``counts`` with the ``bin`` of each value (null for null) and ``middle``, that of the range of its column's windows.
 
     A larger value never has a smaller bin: every step of the computation keeps the order, rounding included.
     """
@@ -42,7 +44,7 @@ def with_bins(counts: DataFrame, bins: int = BINS) -> DataFrame:
              .otherwise(inner)).cast("int")
     # One row per monitored column: the column list bounds this broadcast.
     ranged = counts.join(F.broadcast(column_ranges(counts)), "column_name")
-    return ranged.withColumns({"bin": place, "middle": lo / 2 + hi / 2}).drop("lo", "hi")
+    return ranged.withColumn("bin", place).drop("lo", "hi")
 
 
 def cells(binned: DataFrame) -> DataFrame:
@@ -60,7 +62,7 @@ def _within(at: Column, to: Column, size: Column) -> Column:
 
 @dataclass(frozen=True)
 class Histogram:
-    """Value counts with their bins, and the written table of their cells."""
+    """Value counts with their bins, and their cells: two written tables, each read several times."""
 
     binned: DataFrame
     cell: DataFrame
@@ -68,8 +70,9 @@ class Histogram:
 
     @staticmethod
     def of(counts: DataFrame) -> Histogram:
-        """``counts`` is read several times: give a written table."""
-        binned = with_bins(counts)
+        """``counts`` is read several times: give a written table. The bins are written with the values, so that no reader looks for the
+        columns' ranges again."""
+        binned = staged(with_bins(counts), "binned")
         return Histogram(binned, staged(cells(binned), "cells"), fits_one_task(counts))
 
     def running(self, rows: DataFrame, by: list[str], totals: dict[str, Column]) -> DataFrame:
@@ -139,7 +142,8 @@ def largest_distances(hist: Histogram) -> DataFrame:
 
     Branch and bound: bins whose bound does not exceed the best distance found at bin ends stay closed.
     """
-    bounds = bounded_distances(hist.cell)
+    # Written, as both the best ends and the opened bins are taken from them: a row per window, column and bin at most.
+    bounds = staged(bounded_distances(hist.cell), "bounds")
     best = bounds.groupBy(*BY).agg(F.max("best").alias("best"))
     opened = bounds.where(F.col("high") > F.col("best")).select(
         *BY, "bin", (F.col("to") - F.col("c")).alias("w0"), (F.col("b_to") - F.col("b")).alias("b0"), "n", "b_n")

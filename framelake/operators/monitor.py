@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from framelake.functions import boxes as bx
 from framelake.operators import histogram as hg
 from framelake.schemas import BASELINE_DAYS, MONITOR_GRANULARITY
-from framelake.session import staged
+from framelake.session import materialize, staged
 
 # --- fixed values of the drift statistics ------------------------------------
 # Quantiles of the baseline that cut the PSI bins.
@@ -86,15 +86,33 @@ def value_counts(
     The one pass over the metrics that profile and drift need: a hot value (most frames may share one)
     collapses in the partial aggregate. ``baseline_until`` is the baseline's end; without it ``cb`` is 0.
     """
-    cols = list(cols)
     inside = F.lit(False) if baseline_until is None else F.col(ts) < baseline_until
-    typed = metrics.filter(F.col(ts).isNotNull()).select(
-        F.window(ts, granularity).start.alias("window_start"), inside.alias("inside"), *[F.col(c).cast("double").alias(c) for c in cols]
-    )
-    long = typed.unpivot(["window_start", "inside"], cols, "column_name", "value")
+    long = _values(metrics, cols, granularity, ts, inside=inside)
     return long.groupBy(*BY, "value").agg(F.count(F.lit(1)).alias("c"), F.count_if("inside").alias("cb"))
 
 
+def _values(metrics: DataFrame, cols: Sequence[str], granularity: str, ts: str, **more: Column) -> DataFrame:
+    """``(window_start, *more, column_name, value)``: a row per row and monitored column; a NULL ``ts`` drops out."""
+    cols = list(cols)
+    typed = metrics.filter(F.col(ts).isNotNull()).select(
+        F.window(ts, granularity).start.alias("window_start"), *[c.alias(name) for name, c in more.items()],
+        *[F.col(c).cast("double").alias(c) for c in cols])
+    return typed.unpivot(["window_start", *more], cols, "column_name", "value")
+
+
+def compared_counts(
+    metrics: DataFrame,
+    baseline_df: DataFrame,
+    cols: Sequence[str] = MONITORED,
+    granularity: str = MONITOR_GRANULARITY,
+    ts: str = "inferred_at",
+) -> DataFrame:
+    """:func:`value_counts` of ``metrics`` in ``c`` and of ``baseline_df`` in ``cb``: both sides meet in one aggregate."""
+    here = _values(metrics, cols, granularity, ts, c=F.lit(1), cb=F.lit(0))
+    base = _values(baseline_df, cols, granularity, ts, c=F.lit(0), cb=F.lit(1))
+    return here.unionByName(base).groupBy(*BY, "value").agg(F.sum("c").alias("c"), F.sum("cb").alias("cb"))
+
+
 def baseline_end(metrics: DataFrame, days: int = BASELINE_DAYS, ts: str = "inferred_at") -> Column:
     """MON-1: the end of the baseline window, as a scalar subquery."""
     return metrics.agg(F.min(ts)).scalar() + F.expr(f"INTERVAL {int(days)} DAYS")
@@ -107,12 +125,16 @@ def _at(q: float, n: str = "_n") -> Column:
 
 def profile_counts(counts: DataFrame, qs: Sequence[float] = QUANTILES) -> DataFrame:
     """MON-2 from value counts (a written table: it is read several times): see :func:`profile`."""
-    hist = hg.Histogram.of(counts)
+    return profile_histogram(hg.Histogram.of(counts), qs)
+
+
+def profile_histogram(hist: hg.Histogram, qs: Sequence[float] = QUANTILES) -> DataFrame:
+    """MON-2 from the histogram of the value counts; values that only the baseline has (``c`` of 0) are no part of it."""
     c, v = F.col("c"), F.col("value")
     off = v - F.col("middle")  # from the middle of the column's range, so that the squares do not cancel each other out
     n = F.sum(F.when(v.isNotNull(), c))
     squares = F.sum(off * off * c) - F.sum(off * c) / n * F.sum(off * c)
-    stats = hist.binned.groupBy(*BY).agg(
+    stats = hist.binned.where(c > 0).groupBy(*BY).agg(
         F.sum("c").alias("n"),
         F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("n_null"),
         n.alias("_n"),
@@ -149,13 +171,18 @@ def profile(
 
 def drift_counts(counts: DataFrame, qs: Sequence[float] = BIN_QUANTILES) -> DataFrame:
     """MON-3 from value counts (``c`` of the window, ``cb`` of the baseline; a written table, read several times): see :func:`drift`."""
-    known = counts.filter(F.col("value").isNotNull())
-    hist = hg.Histogram.of(known)
+    return drift_histogram(hg.Histogram.of(counts.filter(F.col("value").isNotNull())), qs)
+
+
+def drift_histogram(hist: hg.Histogram, qs: Sequence[float] = BIN_QUANTILES) -> DataFrame:
+    """MON-3 from the histogram of the value counts of both sides; NULL values are no part of it."""
+    known = hist.binned.where(F.col("value").isNotNull())
     c, cb, v = F.col("c"), F.col("cb"), F.col("value")
     cuts = [f"_q{i}" for i in range(len(qs))]
     edges = hg.values_at(hist, ["column_name"], "cb", {name: F.floor(_at(q)) for name, q in zip(cuts, qs)})
-    edges = known.select("column_name").distinct().join(edges, "column_name", "left").select(
-        "column_name", F.array_sort(F.array_distinct(F.array_compact(F.array(*cuts)))).alias("edges"))
+    # Written, as both sides read them: a row per monitored column.
+    edges = materialize(hist.cell.select("column_name").distinct().join(edges, "column_name", "left").select(
+        "column_name", F.array_sort(F.array_distinct(F.array_compact(F.array(*cuts)))).alias("edges")))
     # One row per monitored column: the column list bounds this broadcast and the next.
     place = F.aggregate("edges", F.lit(0), lambda acc, e: acc + (e < v).cast("int") + (e <= v).cast("int"))
     placed = known.join(F.broadcast(edges), "column_name").withColumn("bin", place)
@@ -191,10 +218,7 @@ def drift(
     over open-ended bins cut at the baseline's deciles, where each cut value is a bin of its own
     (so a shift away from a hot value shows), with both shares floored at 1e-6. PSI and KS are NULL without a baseline.
     """
-    current = value_counts(metrics, cols, granularity, ts).withColumn("cb", F.lit(0).cast("long"))
-    base = value_counts(baseline_df, cols, granularity, ts).select(*BY, "value", F.lit(0).cast("long").alias("c"), F.col("c").alias("cb"))
-    counts = current.unionByName(base).groupBy(*BY, "value").agg(F.sum("c").alias("c"), F.sum("cb").alias("cb"))
-    return drift_counts(staged(counts, "counts"))
+    return drift_counts(staged(compared_counts(metrics, baseline_df, cols, granularity, ts), "counts"))
 
 
 def flags(drift_df: DataFrame, aliases: DataFrame, name: str, alias: str, threshold: float = PSI_FLAG) -> DataFrame:
@@ -231,13 +255,14 @@ def refresh_monitor(spark, metrics: DataFrame, baseline_df: DataFrame, out_path:
     """MON-4: (re)compute profile and drift and upsert them by (window_start, column_name).
 
     Re-running converges to one row per key, so an existing monitor is simply
-    refreshed, never duplicated.
+    refreshed, never duplicated. Profile and drift are taken from one histogram of the value counts of both sides, written once a refresh.
     """
     from framelake.sinks.store import upsert
 
+    hist = hg.Histogram.of(staged(compared_counts(metrics, baseline_df), "counts"))
     keys = ["window_start", "column_name"]
     return {
-        "profile": upsert(spark, f"{out_path.rstrip('/')}/profile", profile(metrics), keys),
-        "drift": upsert(spark, f"{out_path.rstrip('/')}/drift", drift(metrics, baseline_df), keys),
+        "profile": upsert(spark, f"{out_path.rstrip('/')}/profile", profile_histogram(hist), keys),
+        "drift": upsert(spark, f"{out_path.rstrip('/')}/drift", drift_histogram(hist), keys),
         "drift_path": f"{out_path.rstrip('/')}/drift",
     }

@@ -113,3 +113,23 @@ def test_hot_value_collapses_before_the_shuffle(spark):
     p = {r["column_name"]: r for r in monitor.profile(m).collect()}
     assert (p["n_detections"]["p25"], p["n_detections"]["p50"], p["n_detections"]["p75"]) == (0.0, 0.0, 0.0)
     assert p["n_detections"]["n"] == n and p["n_detections"]["n_distinct"] == 8
+
+
+def test_a_refresh_counts_the_metrics_once(spark, tmp_dir, monkeypatch):
+    """Profile and drift come from one table of value counts and one histogram, and are those of their own functions, also with a
+    baseline that holds values and days the metrics have not."""
+    from framelake.operators import histogram
+    from framelake.sinks.store import read_path
+
+    t0 = datetime(2024, 1, 1)
+    m = _metrics(spark, [(f"f{i}", "v", t0 + timedelta(hours=5 * i), i % 4, None if i % 9 == 0 else (i % 10) / 10) for i in range(60)])
+    b = _metrics(spark, [(f"b{i}", "v", t0 - timedelta(days=2), 9, (i % 7) / 7 - 3) for i in range(20)] + [("n", "v", None, 1, 0.5)])
+    want = {"profile": monitor.profile(m), "drift": monitor.drift(m, b)}
+    want = {k: sorted(repr(r) for r in df.collect()) for k, df in want.items()}
+    written = []
+    for module in (monitor, histogram):
+        monkeypatch.setattr(module, "staged", lambda df, name="table", f=module.staged: written.append(name) or f(df, name))
+    monitor.refresh_monitor(spark, m, b, tmp_dir)
+    assert written.count("counts") == 1 and written.count("cells") == 1
+    for k, rows in want.items():
+        assert sorted(repr(r) for r in read_path(spark, f"{tmp_dir}/{k}").collect()) == rows
