@@ -31,6 +31,8 @@ DECODED_SCHEMA = T.StructType(
 )
 
 CHUNK_FRAMES = 10_000
+#: Waves of tasks that even out long items; see :func:`_most_tasks`.
+TASKS_PER_CORE = 16
 
 # decode_fn(path) -> iterable of (frame_number, pos_ms, width, height)
 DecodeFn = Callable[[str], Iterable[tuple[int, float, int, int]]]
@@ -56,22 +58,30 @@ def list_videos(spark: SparkSession, raw_videos_dir: str) -> DataFrame:
     return listing(files, keep=("length",))
 
 
-def _one_item_per_task(df: DataFrame) -> DataFrame:
-    """Spread work items (files, frame ranges) evenly, one per task where possible.
+def _most_tasks(spark: SparkSession) -> int:
+    """How many tasks work items are dealt to at most: waves enough to even out long items, and a number that does
+    not grow with the items, as starting a Python task takes longer than decoding a short clip."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: the server knows its cores
+        cores = 0
+    return max(TASKS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _spread_items(items: DataFrame, tasks: int) -> DataFrame:
+    """Deal work items (files, frame ranges; a written table) evenly to ``tasks`` tasks, or to :func:`_most_tasks` if that is fewer.
 
     A path row is a few bytes, so AQE, which sizes partitions by bytes, would put
     thousands of videos in one task; an explicit count (round robin) prevents that.
-    The items are written once (a few bytes each), so neither the listing nor a
-    frame count runs again for the count or the spread.
     """
-    items = materialize(df)
-    return items.repartition(max(1, items.count()))
+    return items.repartition(max(1, min(tasks, _most_tasks(items.sparkSession))))
 
 
-def _chunks(video_id: str, frames: Iterable[tuple[int, float, int, int]]) -> Iterator[pd.DataFrame]:
-    """Decoded frames as tables of at most ``CHUNK_FRAMES`` rows: a long video is never held whole."""
-    names, it = [f.name for f in DECODED_SCHEMA.fields], iter(frames)
-    while rows := [(video_id, int(k), float(ms), int(w), int(h)) for k, ms, w, h in islice(it, CHUNK_FRAMES)]:
+def _chunks(decoded: Iterable[tuple[str, Iterable[tuple[int, float, int, int]]]]) -> Iterator[pd.DataFrame]:
+    """Frames of ``(video_id, frames)`` as tables of ``CHUNK_FRAMES`` rows: a long video is never held whole, and short ones share a table."""
+    names = [f.name for f in DECODED_SCHEMA.fields]
+    it = ((vid, int(k), float(ms), int(w), int(h)) for vid, frames in decoded for k, ms, w, h in frames)
+    while rows := list(islice(it, CHUNK_FRAMES)):
         yield pd.DataFrame(rows, columns=names)
 
 
@@ -86,7 +96,7 @@ def decode_videos(
 
     Without ``frames_per_task``: ``decode_fn(path)`` yields
     ``(frame_number, pos_ms, width, height)`` for each frame, numbered from 0, and
-    each file is decoded by one task (files are spread over partitions first).
+    each file is decoded by one task (files are spread over partitions first, one to a task up to :func:`_most_tasks`).
 
     With ``frames_per_task`` and a seeking decoder, a long video is cut into frame
     ranges so it never becomes one giant task: ``count_fn(path)`` returns the
@@ -95,12 +105,12 @@ def decode_videos(
     """
     spread = files.select(F.col(path_col).alias("path"), ids.video_id_from_path(path_col).alias("video_id"))
     if frames_per_task is None:
-        spread = _one_item_per_task(spread)
+        # Written once (a few bytes each), so that the listing does not run again for the count or the spread.
+        spread = materialize(spread)
+        spread = _spread_items(spread, spread.count())
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for path, vid in zip(pdf["path"], pdf["video_id"]):
-                    yield from _chunks(vid, decode_fn(path))
+            yield from _chunks((vid, decode_fn(path)) for pdf in batches for path, vid in zip(pdf["path"], pdf["video_id"]))
 
         return spread.mapInPandas(run, DECODED_SCHEMA)
 
@@ -117,14 +127,13 @@ def decode_videos(
     ranges = counted.select(
         "path", "video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("start"), "_n"
     ).withColumn("end", F.least(F.col("start") + step, F.col("_n")))
-    # As many tasks as there are full ranges of frames, so that short videos share one; dealt evenly, not by the rows' few bytes.
+    # No more tasks than there are full ranges of frames, so that short videos share one; dealt evenly, not by the rows' few bytes.
     frames = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    ranges = ranges.repartition(max(1, -(-frames // step)))
+    ranges = _spread_items(ranges, -(-frames // step))
 
     def run_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, vid, start, end in zip(pdf["path"], pdf["video_id"], pdf["start"], pdf["end"]):
-                yield from _chunks(vid, decode_fn(path, int(start), int(end)))
+        yield from _chunks((vid, decode_fn(path, int(start), int(end))) for pdf in batches
+                           for path, vid, start, end in zip(pdf["path"], pdf["video_id"], pdf["start"], pdf["end"]))
 
     return ranges.mapInPandas(run_ranges, DECODED_SCHEMA)
 

@@ -67,6 +67,19 @@ def test_long_video_split_into_frame_ranges(spark, tmp_dir):
     assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in whole.collect())
 
 
+@pytest.mark.parametrize("ranged", [True, False])
+def test_many_short_clips_share_tasks_and_tables(spark, ranged):
+    """Tasks do not grow with the clips, nor tables of frames with the ranges; every frame is there."""
+    n = 700
+    clips = spark.range(n).select(F.format_string("/raw/c%d.mp4", "id").alias("path"))
+    given = {"frames_per_task": 2, "count_fn": lambda path: 3} if ranged else {}
+    decoded = files.decode_videos(clips, lambda path, start=0, end=3: ((k, 1.0, 1, 1) for k in range(start, end)), **given)
+    assert decoded.rdd.getNumPartitions() <= max(files.TASKS_PER_CORE * spark.sparkContext.defaultParallelism, 8) < n
+    assert sorted((r["video_id"], r["frame_number"]) for r in decoded.collect()) == sorted((f"c{i}", k) for i in range(n) for k in range(3))
+    tables = list(files._chunks((f"c{i}", ((k, 1.0, 1, 1) for k in range(30))) for i in range(n)))
+    assert [len(t) for t in tables] == [files.CHUNK_FRAMES] * 2 + [1000] and tables[-1]["video_id"].iloc[-1] == f"c{n - 1}"
+
+
 def test_frames_with_ingest_time_and_empty_short_circuit(spark):
     from framelake.sources.files import build_frames, is_empty
 
