@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from framelake.functions.ids import fmt_decimal
 from framelake.operators.sequence import number_within
 from framelake.schemas import CHALLENGER, CHAMPION, DECISION_TAG, DEFAULT_METRIC, DEFAULT_MIN_GAIN
+from framelake.session import staged
 
 FINISHED = "FINISHED"
 
@@ -27,22 +28,18 @@ def _c(col: Column | str) -> Column:
 def clean_metrics(results: Column | str, name_map: dict[str, str]) -> Column:
     """SCL-8: keep the mapped keys, rename them, keep numeric values only, as DOUBLE.
 
-    The key set is fixed, so the clean map is a ``map_concat`` of one-entry maps,
-    each present only when its raw value parses as a number. Plain expressions:
-    no explode, no shuffle, and it stays inside whole-stage codegen.
+    The key set is fixed, so the clean map is made of one entry for each, without those whose raw value is no
+    number: each value is computed once. Plain expressions, no explode, no shuffle.
     """
-    empty = F.create_map().cast("map<string,double>")
-    parts = []
-    for raw, clean in name_map.items():
-        value = F.try_element_at(_c(results), F.lit(raw)).try_cast("double")
-        parts.append(F.when(value.isNotNull(), F.create_map(F.lit(clean), value)).otherwise(empty))
-    return F.map_concat(*parts)
+    entries = [F.struct(F.lit(clean).alias("key"), F.try_element_at(_c(results), F.lit(raw)).try_cast("double").alias("value"))
+               for raw, clean in name_map.items()]
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
 
 
 def get_metric(metrics: Column | str, metric: str = DEFAULT_METRIC) -> Column:
     """REG-4: the metric value, NULL when the run did not log it (a NaN counts as not logged)."""
     value = F.try_element_at(_c(metrics), F.lit(metric))
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
 def finished(runs: DataFrame) -> DataFrame:
@@ -128,6 +125,38 @@ def candidates(runs: DataFrame, scopes: DataFrame) -> DataFrame:
     return scopes.select("name", F.col("experiment")).distinct().join(runs.drop("name"), "experiment")
 
 
+def _contenders(runs: DataFrame, versions: DataFrame, scopes: DataFrame, metric: str) -> DataFrame:
+    """The :func:`candidates` that can be picked for a model, and the model's versions: ``(name, run_id, finished, metric, version, champion)``.
+
+    A candidate is either registered under the model's name or the best run of the model's experiments: any other run is unregistered
+    there and worse. That best run is the same for every model with these experiments, so runs are grouped once for each set of
+    experiments, not once for each model. A NULL ``run_id`` is found by no join and stays a candidate of every model.
+    """
+    # A row per model; models with the same experiments share the scope, which is named after the first one.
+    sets = scopes.groupBy("name").agg(F.sort_array(F.collect_set("experiment")).alias("experiments"))
+    scope = sets.groupBy("experiments").agg(
+        F.coalesce(F.concat(F.lit("of "), F.min("name")), F.lit("")).alias("scope"), F.collect_list(F.struct("name")).alias("models"))
+    scope = staged(scope, "scopes")
+    of, chosen = scope.select("scope", F.explode("experiments").alias("experiment")), scope.select("scope", F.inline("models"))
+    run = runs.select("experiment", "run_id", (F.col("status") == FINISHED).alias("finished"), get_metric("metrics", metric).alias("metric"))
+    run = run.join(of, "experiment").groupBy("scope", "run_id").agg(F.max("finished").alias("finished"), F.max("metric").alias("metric"))
+    run = staged(run, "candidates")
+    row = F.struct(_standing("finished", "metric", "run_id").alias("key"), "run_id", "finished", "metric")
+    best = run.where(F.col("finished").isNotNull()).groupBy("scope").agg(F.min(row).alias("b")).select("scope", "b.run_id", "b.finished", "b.metric")
+    shared = best.unionByName(run.where(F.col("run_id").isNull())).join(chosen, "scope").select("name", "run_id", "finished", "metric")
+    newest = versions.groupBy("name", "run_id").agg(F.max(F.col("version").cast("long")).alias("version"), F.max("champion").alias("champion"))
+    registered = newest.join(chosen, newest["name"].eqNullSafe(chosen["name"])).drop(chosen["name"]).join(run, ["scope", "run_id"], "left").drop("scope")
+    # A version of a run that is neither candidate nor champion decides nothing.
+    registered = registered.where(F.col("finished").isNotNull() | F.col("metric").isNotNull() | F.col("champion") | F.col("run_id").isNull())
+    return registered.unionByName(shared, allowMissingColumns=True)
+
+
+def _standing(finished: Column | str, metric: Column | str, run_id: Column | str) -> Column:
+    """Order of candidates: finished before unfinished, measured before unmeasured, then by metric and run id."""
+    value = _c(metric)
+    return F.struct((~_c(finished)).alias("unfinished"), value.isNull().alias("unmeasured"), (-value).alias("lower"), _c(run_id).alias("run_id"))
+
+
 def _tagged(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric: str, scopes: DataFrame | None) -> DataFrame:
     """Runs, versions and champion aliases as rows of one table: ``(name, run_id, finished, metric, version, champion, alias_version, model)``."""
 
@@ -140,16 +169,19 @@ def _tagged(runs: DataFrame, versions: DataFrame, aliases: DataFrame, metric: st
     # An alias is one row per model, so this lookup marks versions and adds no row.
     lookup = champ.select(F.col("name").alias("_n"), F.col("alias_version").alias("_v"))
     marked = versions.join(lookup, (F.col("name") == F.col("_n")) & (F.col("version") == F.col("_v")), "left")
+    marked = marked.select(versions["name"], "run_id", versions["version"], F.col("_n").isNotNull().alias("champion"))
     measured = get_metric("metrics", metric)
-    parts = [rows(marked, run_id=F.col("run_id"), version=F.col("version"), champion=F.col("_n").isNotNull()),
-             rows(champ, alias_version=F.col("alias_version"))]
+    parts = [rows(champ, alias_version=F.col("alias_version"))]
     if scopes is None:
+        parts.append(rows(marked, **{c: F.col(c) for c in ("run_id", "version", "champion")}))
         parts.append(rows(runs, run_id=F.col("run_id"), finished=F.col("status") == FINISHED, metric=measured))
     else:
-        parts.append(rows(candidates(runs, scopes), run_id=F.col("run_id"), finished=F.col("status") == FINISHED, metric=measured))
+        scopes = staged(scopes.select("name", "experiment").distinct(), "scopes")
+        contenders = _contenders(runs, marked, scopes, metric)
+        parts.append(rows(contenders, **{c: F.col(c) for c in ("run_id", "finished", "metric", "version", "champion")}))
         parts.append(rows(scopes, model=F.lit(True)))
-        # The champion's run may lie in another experiment.
-        own = marked.filter(F.col("_n").isNotNull()).select(F.col("_n").alias("name"), "run_id")
+        # The champion's run may lie in another experiment; written, as it is a row per version that an alias names.
+        own = staged(marked.filter("champion").select("name", "run_id"), "champions")
         parts.append(rows(own.join(runs.select("run_id", "metrics"), "run_id"), run_id=F.col("run_id"), metric=measured))
     return reduce(DataFrame.unionByName, parts)
 
@@ -181,16 +213,16 @@ def promotion(
         *[F.max(c).alias(c) for c in ("finished", "metric", "version", "champion", "alias_version", "model")])
     is_run, named = F.col("finished").isNotNull(), F.col("alias_version").isNotNull() | F.col("model")
 
-    def entry(kind: Column | int, version: Column, unfinished: Column, value: Column) -> Column:
-        key = F.struct(unfinished.alias("unfinished"), value.isNull().alias("unmeasured"), (-value).alias("lower"), F.col("run_id"))
+    def entry(kind: Column | int, version: Column, is_finished: Column, value: Column) -> Column:
+        key = _standing(is_finished, value, "run_id")
         return F.struct((F.lit(kind) if isinstance(kind, int) else kind).alias("kind"), version.alias("version"), F.struct(
             key.alias("key"), F.col("metric"), F.col("alias_version"), F.col("model")).alias("row"))
 
     none, nothing = F.lit(None).cast("long"), F.lit(None).cast("double")
     entries = F.array(
-        F.when(is_run, entry(F.when(F.col("version").isNull(), _UNREGISTERED).otherwise(_REGISTERED), F.col("version"), ~F.col("finished"), F.col("metric"))),
-        F.when(F.col("champion"), entry(_CHAMPION, none, F.lit(False), nothing)),
-        F.when(named, entry(_MODEL, none, F.lit(False), nothing)),
+        F.when(is_run, entry(F.when(F.col("version").isNull(), _UNREGISTERED).otherwise(_REGISTERED), F.col("version"), F.col("finished"), F.col("metric"))),
+        F.when(F.col("champion"), entry(_CHAMPION, none, F.lit(True), nothing)),
+        F.when(named, entry(_MODEL, none, F.lit(True), nothing)),
     )
     best_of = (per_run.select("name", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("name", "e.*")
                .groupBy("name", "kind", "version").agg(F.min("row").alias("row")))

@@ -1,7 +1,9 @@
 """Promotion gate, aliases, tags, versions (REG-1..REG-8, ORD-2..4, JOI-3/4, SCL-8)."""
 
+import random
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from framelake.operators import registry
@@ -149,3 +151,30 @@ def test_candidates_by_experiment(spark):
     assert d["n"]["status"] == "error_no_version" and d["n"]["best_run_id"] == 2 and d["o"]["status"] == "error_no_runs"
     assert len(d) == 3
     assert [r["run_id"] for r in registry.decision_tags(runs, registry.promotion(runs, versions, aliases, scopes=scopes)).collect()] == [2]
+
+
+def test_candidates_of_an_experiment_are_not_copied_to_each_model(spark):
+    """Same decisions as with every candidate of every model, which is what the table grouped by model held before."""
+    rng = random.Random(4)
+    exps = ["e1", "e2", "e3", None]
+    runs = [(rng.choice([*range(40), None]), rng.choice(exps), rng.choice(["FINISHED", "FAILED", None]), rng.choice([{}, {"mAP50": rng.random()}, {"mAP50": float("nan")}, None]))
+            for _ in range(150)]
+    runs = spark.createDataFrame([("logged", *r) for r in runs], "name string, run_id long, experiment string, status string, metrics map<string,double>")
+    names = [f"m{i}" for i in range(30)]
+    versions = [(rng.choice([*names, "x", None]), rng.choice([*range(50), None]), str(v)) for v in range(700)]
+    aliases = spark.createDataFrame([(n, "champion", rng.choice([v for m, _, v in versions if m == n] or ["9999"])) for n in names[::2]], "name string, alias string, version string")
+    versions = spark.createDataFrame(versions, "name string, run_id long, version string")
+    scopes = spark.createDataFrame([(n, rng.choice([*exps, "e9"])) for n in [*names, None] * 2], "name string, experiment string")
+    got = sorted(repr(r) for r in registry.promotion(runs, versions, aliases, scopes=scopes).collect())
+    tagged = registry._tagged(runs, versions, aliases, "mAP50", scopes)
+    assert tagged.where("finished is not null").count() < registry.candidates(runs, scopes).where("status is not null").count() / 3
+
+    def every_candidate(runs, versions, scopes, metric):
+        c = registry.candidates(runs, scopes).select("name", "run_id", (F.col("status") == "FINISHED").alias("finished"), registry.get_metric("metrics", metric).alias("metric"))
+        return versions.withColumn("version", F.col("version").cast("long")).unionByName(c, allowMissingColumns=True)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(registry, "_contenders", every_candidate)
+        want = registry.promotion(runs, versions, aliases, scopes=scopes).collect()
+    assert got == sorted(repr(r) for r in want) and {r["status"] for r in want} > {"ok"}
+    assert registry.promotion(runs, versions, aliases, scopes=scopes.where("experiment = 'none'")).count() == 0
